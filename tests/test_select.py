@@ -1,0 +1,184 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridloom.operators import select
+from gridloom.operators.select import Shape
+
+from conftest import cells
+
+
+@pytest.fixture(scope="module")
+def dummy_time(spark):
+    """10 daily steps from 2000-01-01 on a 10×10 grid."""
+    df = spark.range(10 * 100).select(
+        (F.lit("2000-01-01").cast("timestamp_ntz")
+         + F.make_dt_interval(F.floor(F.col("id") / 100).cast("int"))).alias("time"),
+        (F.floor(F.col("id") / 10) % 10).cast("int").alias("rlat"),
+        (F.col("id") % 10).cast("int").alias("rlon"),
+        F.rand(1).alias("v"))
+    return df.cache()
+
+
+def steps(df):
+    return sorted(r[0] for r in df.select("time").distinct().collect())
+
+
+@pytest.mark.parametrize("start,end,n", [
+    ("2000-01-04", "2000-01-06", 3),
+    ("2000-01-01", "2000-01-10", 10),
+    ("2000-01-01", "2000-01-01", 1),
+])
+def test_slice_time_happy(dummy_time, start, end, n):
+    out = select.slice_time(dummy_time, start, end)
+    assert len(steps(out)) == n
+    assert out.count() == n * 100
+
+
+@pytest.mark.parametrize("start,end", [
+    ("1999-12-31", "2000-01-11"),      # before range
+    ("2000-01-01", "2100-01-11"),      # after range
+    ("2000-01-01", "2000-01-32"),      # invalid date
+    ("2000-01-10", "2000-01-01"),      # end before start
+])
+def test_slice_time_errors(dummy_time, start, end):
+    with pytest.raises(ValueError):
+        select.slice_time(dummy_time, start, end)
+
+
+def test_slice_time_pushes_filter(dummy_time, spark, tmp_path):
+    path = str(tmp_path / "cells")
+    dummy_time.write.parquet(path)
+    out = select.slice_time(spark.read.parquet(path), "2000-01-04", "2000-01-06")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "time" in plan.split("PushedFilters")[1][:300]
+
+
+@pytest.mark.parametrize("start,end,n", [
+    ("20001001T01:00:00", "20150929T23:00:00", 131_447),
+    ("20001001T01:00:00", "20001001T01:00:00", 1),
+    ("20001001T01:00:00", "20001001T02:00:00", 2),
+])
+def test_slice_time_hour_counts(spark, start, end, n):
+    hours = spark.sql("""select explode(sequence(timestamp_ntz'2000-09-01 00:00:00',
+        timestamp_ntz'2015-12-31 23:00:00', interval 1 hour)) as time""")
+    out = select.slice_time(hours, start, end)
+    assert out.count() == n
+
+
+def test_year_split_hours(spark):
+    hours = spark.sql("""select explode(sequence(timestamp_ntz'2000-10-01 01:00:00',
+        timestamp_ntz'2015-09-29 23:00:00', interval 1 hour)) as time""")
+    parts = select.train_test_split(hours, [2000, 2001, 2002], [2014])
+    n_test = parts["test"].count()
+    assert n_test == 19_727
+    n_val = parts["validation"].count()
+    assert parts["train"].count() == 131_447 - n_test - n_val
+
+
+@pytest.fixture(scope="module")
+def yearly3(spark):
+    return spark.createDataFrame(
+        [(dt.datetime(2000 + i, 1, 1), i + 1) for i in range(3)], "time timestamp_ntz, var int")
+
+
+@pytest.mark.parametrize("test_years,val_years,expect", [
+    ([2000, 2001], [2003], {"train": [3], "test": [1, 2], "validation": []}),
+    ([2000], [2001], {"train": [3], "test": [1], "validation": [2]}),
+    ([2000], [2000], {"train": [2, 3], "test": [1], "validation": [1]}),
+])
+def test_train_test_split(yearly3, test_years, val_years, expect):
+    parts = select.train_test_split(yearly3, test_years, val_years)
+    assert set(parts) == {"train", "test", "validation"}
+    for k, v in expect.items():
+        assert sorted(r[0] for r in parts[k].select("var").collect()) == v
+
+
+def test_split_column_overlap(yearly3):
+    out = select.with_split(yearly3, [2000], [2000])
+    got = sorted((r["split"], r["var"]) for r in out.collect())
+    assert got == [("test", 1), ("train", 2), ("train", 3), ("validation", 1)]
+
+
+@pytest.mark.parametrize("test_years,val_years", [([], []), (200, [200]), ([200], 200)])
+def test_train_test_split_errors(yearly3, test_years, val_years):
+    with pytest.raises(ValueError):
+        select.train_test_split(yearly3, test_years, val_years)
+
+
+def test_none_years_disable(yearly3):
+    parts = select.train_test_split(yearly3, [None], [None])
+    assert parts["train"].count() == 3
+    assert parts["test"].count() == 0
+
+
+@pytest.fixture(scope="module")
+def ones100(spark):
+    df = spark.range(10 * 100 * 100).select(
+        (F.lit("2000-01-01").cast("timestamp_ntz")
+         + F.make_ym_interval(F.floor(F.col("id") / 10000).cast("int"))).alias("time"),
+        (F.floor(F.col("id") / 100) % 100).cast("int").alias("rlat"),
+        (F.col("id") % 100).cast("int").alias("rlon"),
+        F.lit(1.0).alias("var"), F.lit(1.0).alias("var2"))
+    return df
+
+
+def test_crop_known(ones100):
+    out = select.crop_field(ones100, 2, {"first_index": 0, "last_index": 50},
+                            {"first_index": 0, "last_index": 50}, shape=Shape(100, 100))
+    r = out.agg(F.count("*"), F.max("rlat"), F.max("rlon"), F.min("var")).first()
+    assert tuple(r) == (10 * 50 * 50, 49, 49, 1.0)
+
+
+def test_crop_unaltered(ones100):
+    small = select.crop_field(ones100, 1, {"first_index": 0, "last_index": 50},
+                              {"first_index": 0, "last_index": 50}, shape=Shape(100, 100))
+    again = select.crop_field(small, 1, {"first_index": 0, "last_index": 50},
+                              {"first_index": 0, "last_index": 50}, shape=Shape(50, 50))
+    assert again.exceptAll(small).count() == 0 and small.exceptAll(again).count() == 0
+
+
+def test_crop_offset_reindexes(spark):
+    df = cells(spark, [(dt.datetime(2000, 1, 1), y, x, float(10 * y + x))
+                       for y in range(6) for x in range(6)])
+    out = select.crop_field(df, 2, {"first_index": 2, "last_index": 6},
+                            {"first_index": 1, "last_index": 5}, shape=Shape(6, 6))
+    got = {(r.rlat, r.rlon): r.v for r in out.collect()}
+    assert got[(0, 0)] == 12.0 and got[(3, 3)] == 45.0 and len(got) == 16
+
+
+def test_crop_not_divisible(ones100):
+    with pytest.raises(AssertionError):
+        select.crop_field(ones100, 2, {"first_index": 0, "last_index": -1},
+                          {"first_index": 0, "last_index": -1}, shape=Shape(100, 100))
+
+
+def test_crop_requires_dims(spark, yearly3):
+    with pytest.raises(AssertionError):
+        select.crop_field(yearly3, 2, {"first_index": 0, "last_index": 2},
+                          {"first_index": 0, "last_index": 2}, shape=Shape(2, 2))
+
+
+def test_crop_not_square(ones100):
+    with pytest.raises(AssertionError):
+        select.crop_field(ones100, 2, {"first_index": 0, "last_index": 50},
+                          {"first_index": 0, "last_index": 40}, shape=Shape(100, 100))
+
+
+def test_box_select(spark):
+    grid = spark.createDataFrame([(y, x, 40.0 + y, -150.0 + x) for y in range(5) for x in range(5)],
+                                 "rlat int, rlon int, lat double, lon double")
+    df = cells(spark, [(dt.datetime(2000, 1, 1), y, x, float(y * 5 + x))
+                       for y in range(5) for x in range(5)])
+    out, sub = select.box_select(df, grid, 211.0, 212.0, 41.5, 44.0)   # lon 211 ≡ -149
+    got = sorted((r.rlat, r.rlon, r.v) for r in out.collect())
+    assert got == [(0, 0, 11.0), (0, 1, 12.0), (1, 0, 16.0), (1, 1, 17.0), (2, 0, 21.0), (2, 1, 22.0)]
+    assert sub.count() == 6
+
+
+def test_date_select_whole_days(spark):
+    df = spark.sql("""select explode(sequence(timestamp_ntz'2000-12-31 00:00:00',
+        timestamp_ntz'2001-01-03 23:00:00', interval 1 hour)) as time""")
+    out = select.date_select(df, "20010101", "20010102")
+    assert out.count() == 48
