@@ -1,0 +1,142 @@
+import datetime as dt
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_mod
+from gridloom.config import (DataConfig, IndexRange, Loader, Model, Spatial, TimeSelect, Variable,
+                             default_coords, default_dims)
+from gridloom.operators.aggregate import Stats
+from gridloom.plans import cuts, preprocess, samples as sample_plans
+from gridloom.sinks import writers
+from gridloom.sources import fixtures
+from gridloom.streaming import scaling
+
+from conftest import SF_SMALL
+
+
+@pytest.fixture(scope="module")
+def hr_input(spark, tmp_path_factory):
+    """G (sf0.001) written with the source's own names: Time, T2."""
+    path = str(tmp_path_factory.mktemp("in") / "hr")
+    g = fixtures.dense_field(spark, SF_SMALL)
+    g.select(F.col("time").alias("Time"), "rlat", "rlon", F.col("v").alias("T2")).write.parquet(path)
+    return path
+
+
+def config(out, var_path, models):
+    return DataConfig(
+        output_path=out, climate_models=models, dims=default_dims(), coords=default_coords(),
+        time=TimeSelect("20000201T00:00:00", "20050101T00:00:00", [2001], [2004]),
+        spatial=Spatial(2, IndexRange(2, 6), IndexRange(2, 6)), loader=Loader(batch_size=4))
+
+
+def test_preprocess_hr_end_to_end(spark, hr_input, tmp_path):
+    out = str(tmp_path / "proc")
+    var = Variable("tas", ["T2"], path=hr_input, apply_standardize=True)
+    cfg = config(out, hr_input, [Model("hr", "test", [var])])
+    attrs = preprocess.preprocess(spark, cfg)
+    a = attrs[("hr", "tas")]
+    written = spark.read.parquet(out)
+    train = written.where("split = 'train'")
+    st = train.agg(F.avg("tas"), F.stddev_pop("tas"), F.max("rlat"), F.max("rlon")).first()
+    assert abs(st[0]) < 1e-9 and st[1] == pytest.approx(1.0)
+    assert (st[2], st[3]) == (3, 3)
+    assert set(r.split for r in written.select("split").distinct().collect()) == \
+        {"train", "test", "validation"}
+    assert writers.read_attrs(spark, f"{out}/variable=tas/model=hr")["mean"] == pytest.approx(a["mean"])
+
+    # samples, batches, masks over everything written
+    s_root, b_root = str(tmp_path / "samples"), str(tmp_path / "batched")
+    sample_plans.make_samples(spark, out, s_root, "tas", 4, 4, ["tas"], ["hr"])
+    s = spark.read.parquet(s_root)
+    assert s.count() == written.select("split", "time").distinct().count()
+    assert s.where(F.size("tensor") != 16).count() == 0
+    keys = sample_plans.list_samples(spark, s_root, "tas", "hr", "test")
+    assert [r.key for r in keys.collect()] == sorted(r.key for r in keys.collect())
+    sample_plans.make_batches(spark, s_root, b_root, 4, seed=0)
+    b = spark.read.parquet(b_root)
+    assert b.agg(F.sum(F.size("tensors"))).first()[0] == s.count()
+    assert writers.read_attrs(spark, f"{s_root}/train/tas_train_hr_attrs")["attributes"]["std"] > 0
+
+
+def test_preprocess_unknown_model(spark, hr_input):
+    cells = spark.read.parquet(hr_input)
+    var = Variable("tas", ["T2"])
+    with pytest.raises(KeyError):
+        preprocess.prepare_variable(cells, var, "mr", default_dims(), default_coords(),
+                                    "2000-02-01", "2005-01-01", [2001], [2004], 2,
+                                    {"first_index": 0, "last_index": 4},
+                                    {"first_index": 0, "last_index": 4})
+
+
+def test_invariant_gets_no_split(spark, hr_input):
+    cells = spark.read.parquet(hr_input).where("Time = timestamp_ntz'2000-01-01 00:00:00'") \
+        .drop("Time")
+    var = Variable("orog", ["T2"], invariant=True)
+    frame, attrs = preprocess.prepare_variable(
+        cells, var, "hr_invariant", default_dims(), default_coords(), None, None, [2001], [2004], 2,
+        {"first_index": 0, "last_index": 4}, {"first_index": 0, "last_index": 4})
+    assert attrs == {} and "split" not in frame.columns and frame.count() == 16
+
+
+def test_masks_only_for_precipitation():
+    with pytest.raises(ValueError):
+        sample_plans.check_mask_variables(["pr", "tas"])
+
+
+def test_mask_plan(spark, tmp_path):
+    rows = [("pr", "lr", "train", "2000-01-01-00", [-1.0, 0.0]),
+            ("pr", "hr", "test", "2000-01-01-01", [1.0, -5.0]),
+            ("tas", "hr", "test", "2000-01-01-01", [1.0, 1.0])]
+    s_root, m_root = str(tmp_path / "s"), str(tmp_path / "m")
+    spark.createDataFrame(rows, "variable string, model string, split string, key string, "
+                                "tensor array<double>").write.partitionBy(
+        "variable", "model", "split").parquet(s_root)
+    sample_plans.make_masks(spark, s_root, m_root)
+    got = {r.key: list(r.tensor) for r in spark.read.parquet(m_root).collect()}
+    assert got == {"mask_2000-01-01-00": [0, 1], "mask_2000-01-01-01": [1, 0]}
+
+
+def test_lead_unfold(spark):
+    lf = fixtures.lead_field(spark, SF_SMALL)
+    out = cuts.unfold_leads(lf)
+    assert out.where("level != 0").count() == 0
+    want = lf.select((F.col("time") + F.expr("make_dt_interval(0, level - 1)")).alias("time"),
+                     F.lit(0).alias("level"), "rlat", "rlon", "v")
+    assert out.exceptAll(want).count() == 0 and want.exceptAll(out).count() == 0
+    assert out.count() == lf.count()          # duplicates kept
+
+
+def test_streaming_scaling_matches_batch(spark, tmp_path):
+    src, sink, ck = (str(tmp_path / n) for n in ("src", "sink", "ck"))
+    g = fixtures.dense_field(spark, SF_SMALL)
+    g.repartition(4).write.parquet(src)
+    stats = Stats(mean=0.1, std=2.0)
+    var = Variable("v", transform=["x * 10"], apply_standardize=True)
+    q = scaling.start_scaling(spark, src, "time timestamp_ntz, rlat int, rlon int, v double",
+                              var, stats, sink, ck)
+    q.awaitTermination(120)
+    got = spark.read.parquet(sink)
+    want = g.select("time", "rlat", "rlon", ((F.col("v") * 10 - 0.1) / 2.0).alias("v"))
+    assert got.count() == want.count()
+    diff = got.join(want, ["time", "rlat", "rlon"]).agg(
+        F.max(F.abs(got["v"] - want["v"]))).first()[0]
+    assert diff < 1e-12
+
+
+def test_entry_contract(spark):
+    df = entry_mod.entry(spark)
+    assert df.columns == ["split", "time", "rlat", "rlon", "v"]
+    assert df.count() > 0
+    assert set(entry_mod.queries()) == set(entry_mod.oracle_sql())
+
+
+def test_oracle_sql_runs_in_duckdb():
+    import duckdb
+    con = duckdb.connect()
+    for t in ("embeddings", "lineitem", "events"):
+        con.execute(f"create view {t} as select * from read_parquet('{SF_SMALL}/{t}.parquet')")
+    for name, sql in entry_mod.oracle_sql().items():
+        assert con.execute(sql).fetchall() is not None, name
