@@ -558,7 +558,8 @@ def q_batch_tensors(spark: SparkSession, sf: str) -> DataFrame:
     """Stacked batch tensors (K7), summarised by batch checksum."""
     s = _split_samples(spark, sf)
     a = samples.assign_batches(s.select("split", "key"), BATCH_SIZE, SEED, group=("split",))
-    b = samples.batches(s, a, group=("split",))
+    b = samples.batches(s, a, group=("split",),
+                        broadcast_assignment=samples.assignment_fits_broadcast(a))
     total = F.aggregate(F.flatten("tensors"), F.lit(0.0), lambda acc, e: acc + e.cast("double"))
     return b.select("split", "batch_id", "name", F.size("tensors").alias("n"),
                     r6(total, "total"))

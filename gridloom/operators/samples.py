@@ -34,9 +34,8 @@ def samples(df: DataFrame, value: str, ny: int, nx: int,
     """
     keyed = df.withColumn("key", sample_key("time"))
     packed = pack(keyed, value, ny, nx, keys=(*group, "key"), check=check,
-                  element_type=element_type)
-    times = keyed.groupBy(*group, "key").agg(F.min("time").alias("time"))
-    return packed.join(times, [*group, "key"]).select(*group, "key", "time", "ny", "nx", "tensor")
+                  element_type=element_type, extra={"time": F.min("time")})
+    return packed.select(*group, "key", "time", "ny", "nx", "tensor")
 
 
 def permutation_hash(seed: int, key: str = "key"):
@@ -88,15 +87,28 @@ def batch_names(assignment: DataFrame, group: Sequence[str] = ()) -> DataFrame:
                     F.size("_m").alias("n")))
 
 
+# Keys above which the key → batch assignment is shuffled rather than broadcast
+# (≈ 100 bytes per key row: 4M keys ≈ 400 MB is past what executors should hold).
+MAX_BROADCAST_KEYS = 2_000_000
+
+
+def assignment_fits_broadcast(assignment: DataFrame, max_keys: int = MAX_BROADCAST_KEYS) -> bool:
+    """Proven bound: one assignment row per sample (one count of the key frame)."""
+    return assignment.count() <= max_keys
+
+
 def batches(sample_frame: DataFrame, assignment: DataFrame, group: Sequence[str] = (),
-            check: bool = True) -> DataFrame:
+            check: bool = True, broadcast_assignment: bool = False) -> DataFrame:
     """Stack the tensors of each batch: ``(*group, batch_id, name, keys, tensors)``.
 
     Groups hold at most ``batch_size`` tensors.  A batch containing a missing
-    value raises (the reference refuses NaN batches).
+    value raises (the reference refuses NaN batches).  With a broadcast
+    assignment (one row per sample, size checked by the caller) the tensors
+    cross a single exchange, the one grouping them by batch.
     """
     group = list(group)
-    j = assignment.join(sample_frame.select(*group, "key", "tensor"), [*group, "key"])
+    side = F.broadcast(assignment) if broadcast_assignment else assignment
+    j = sample_frame.select(*group, "key", "tensor").join(side, [*group, "key"])
     members = F.sort_array(F.collect_list(F.struct("slot", "key", "tensor")))
     g = j.groupBy(*group, "batch_id").agg(members.alias("_m"))
     tensors = F.transform("_m", lambda m: m["tensor"])

@@ -18,25 +18,30 @@ def complete(count: Column, ny: int, nx: int) -> Column:
 
 
 def pack(df: DataFrame, value: str, ny: int, nx: int, keys: tuple[str, ...] = ("time",),
-         check: bool = True, element_type: str = "float", out: str = "tensor") -> DataFrame:
+         check: bool = True, element_type: str = "float", out: str = "tensor",
+         extra: dict[str, Column] | None = None) -> DataFrame:
     """One row-major tensor per step.
 
     With ``check`` a step that lacks a cell or holds a missing value raises at
     run time (the reference refuses NaN samples), and so does a step holding
-    more than ``ny·nx`` cells (duplicate keys).
+    more than ``ny·nx`` cells (duplicate keys).  ``extra`` aggregates ride
+    along in the same (single) aggregation.
     """
     keys = list(keys)
+    extra = extra or {}
     cells = F.sort_array(F.collect_list(F.struct(F.col("rlat"), F.col("rlon"),
                                                  F.col(value).alias("v"))))
     g = df.groupBy(*keys).agg(cells.alias("_cells"), F.count(value).alias("_n"),
-                              F.count(F.lit(1)).alias("_rows"))
+                              F.count(F.lit(1)).alias("_rows"),
+                              *[c.alias(name) for name, c in extra.items()])
     tensor = F.transform("_cells", lambda c: c["v"].cast(element_type))
     if check:
         ok = complete(F.col("_n"), ny, nx) & (F.col("_rows") == F.lit(ny * nx))
         tensor = F.when(ok, tensor).otherwise(F.raise_error(F.concat(
             F.lit("missing or duplicate cells in step "),
             F.concat_ws("/", *[F.col(k).cast("string") for k in keys]))))
-    return g.select(*keys, F.lit(ny).alias("ny"), F.lit(nx).alias("nx"), tensor.alias(out))
+    return g.select(*keys, *extra.keys(), F.lit(ny).alias("ny"), F.lit(nx).alias("nx"),
+                    tensor.alias(out))
 
 
 def unpack(df: DataFrame, value: str = "v", tensor: str = "tensor",

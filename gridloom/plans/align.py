@@ -1,24 +1,70 @@
 """Grid alignment plans (P4, P5) and the high-resolution crop.
 
-Physical plan for LR alignment (regrid → crop → coarsen):
+Physical plan for LR alignment (regrid → crop → coarsen), two-step form:
 
-    scan ─► Exchange hashpartitioning(time) ─► BroadcastHashJoin(weights)
+    scan ─► Exchange rangepartitioning(time, n) ─► BroadcastHashJoin(weights)
          ─► HashAggregate(time, rlat, rlon)      (no exchange: clustered by time)
          ─► HashAggregate(time, rlat/f, rlon/f)  (no exchange)
 
-The only shuffle moves the *source* field (the small, low-resolution side)
-before the regrid multiplies it to the target size.  The crop is pushed into
-the weight frame: cropped-away targets never get weights, so they are never
-computed.
+* The only shuffle moves the *source* field (the small, low-resolution side)
+  before the regrid multiplies it to the target size.
+* ``n`` is sized from the *output* volume (steps × target cells), not from
+  the input bytes: AQE would size the exchange by the small input and leave a
+  few tasks to produce the high-resolution output.  Every time step has the
+  same bounded number of cells, so range partitions on time are balanced and
+  the written files cover contiguous time ranges.
+* The crop is pushed into the weight frame: cropped-away targets are never
+  computed.
+* Composed form: when the source is dense and null-free and every target is
+  inside the source hull, regrid and block mean are both linear, so their
+  weight matrices multiply into one (≈ a few source cells per coarse block).
+  The high-resolution intermediate is then never built:
+
+      scan ─► Exchange rangepartitioning(time, n) ─► BroadcastHashJoin(composed)
+           ─► HashAggregate(time, block_y, block_x)
+
+  The guard (one aggregate over the source, one over the weights) falls back
+  to the two-step form whenever a value is missing, because the block mean
+  skips missing cells and is then no longer linear.
 """
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import aggregate, regrid, select
 from ..operators.select import Shape
 
+# Output bytes per task the time partitioning aims for (cell rows ≈ 24 bytes).
+TARGET_TASK_BYTES = 128 * 1024 * 1024
+CELL_BYTES = 24
+
+
+@dataclass
+class SourceProfile:
+    rows: int
+    values: int
+    steps: int
+
+
+def profile_source(cells: DataFrame, value: str, keys: tuple[str, ...]) -> SourceProfile:
+    """Rows, non-missing values and time steps of the source (one aggregate)."""
+    aggs = [F.count(F.lit(1)).alias("rows"), F.count(value).alias("values")]
+    aggs.append(F.count_distinct("time").alias("steps") if "time" in keys
+                else F.lit(1).alias("steps"))
+    r = cells.agg(*aggs).first()
+    return SourceProfile(int(r["rows"]), int(r["values"]), int(r["steps"]))
+
+
+def time_partitions(steps: int, out_cells_per_step: int, floor: int) -> int:
+    """Tasks so that each produces about ``TARGET_TASK_BYTES`` of output (≤ one per step)."""
+    want = math.ceil(steps * out_cells_per_step * CELL_BYTES / TARGET_TASK_BYTES)
+    return max(1, min(max(want, floor), max(steps, 1)))
+
 
 def _cropped_target(tgt_grid: DataFrame, scale_factor: int, x, y,
                     shape: Shape | None) -> tuple[DataFrame, Shape]:
@@ -29,9 +75,18 @@ def _cropped_target(tgt_grid: DataFrame, scale_factor: int, x, y,
     return cropped, select.cropped_shape(scale_factor, x, y, shape)
 
 
+def _by_time(cells: DataFrame, keys: tuple[str, ...], profile: SourceProfile | None,
+             out_cells_per_step: int) -> DataFrame:
+    if "time" not in keys:
+        return cells
+    floor = cells.sparkSession.sparkContext.defaultParallelism
+    steps = profile.steps if profile is not None else floor
+    return cells.repartitionByRange(time_partitions(steps, out_cells_per_step, floor), "time")
+
+
 def align_grid(cells: DataFrame, src_grid: DataFrame, tgt_grid: DataFrame, scale_factor: int,
                x, y, value: str, keys: tuple[str, ...] = ("time",),
-               tgt_shape: Shape | None = None, partition_by_time: bool = True) -> DataFrame:
+               tgt_shape: Shape | None = None, profile: SourceProfile | None = None) -> DataFrame:
     """Regrid onto the reference grid and crop it (P4); coordinates are dropped."""
     regrid.check_inputs(src_grid, tgt_grid)
     target, out_shape = _cropped_target(tgt_grid, scale_factor, x, y, tgt_shape)
@@ -39,18 +94,48 @@ def align_grid(cells: DataFrame, src_grid: DataFrame, tgt_grid: DataFrame, scale
     # ≤ 4 weight rows per cropped target point: a bound known without a job
     small = 4 * out_shape.ny * out_shape.nx <= regrid.MAX_BROADCAST_ROWS
     keys = tuple(k for k in keys if k in cells.columns)
-    if partition_by_time and "time" in keys:
-        cells = cells.repartition("time")
+    if profile is None and "time" in keys:
+        profile = profile_source(cells, value, keys)
+    cells = _by_time(cells, keys, profile, out_shape.ny * out_shape.nx)
     return regrid.apply_weights(cells, weights, value, keys, broadcast=small)
 
 
 def align_with_lr(cells: DataFrame, src_grid: DataFrame, tgt_grid: DataFrame, scale_factor: int,
                   x, y, value: str, keys: tuple[str, ...] = ("time",),
-                  tgt_shape: Shape | None = None) -> DataFrame:
-    """Regrid, crop and coarsen a low-resolution field (P5)."""
+                  tgt_shape: Shape | None = None, compose: bool | str = "auto") -> DataFrame:
+    """Regrid, crop and coarsen a low-resolution field (P5).
+
+    ``compose``: ``"auto"`` uses the composed weight matrix when the guard
+    holds, ``False`` always runs the two steps, ``True`` requires the guard.
+    """
+    regrid.check_inputs(src_grid, tgt_grid)
     tgt_shape = tgt_shape or select.grid_shape(tgt_grid)
     out_shape = select.cropped_shape(scale_factor, x, y, tgt_shape)
-    aligned = align_grid(cells, src_grid, tgt_grid, scale_factor, x, y, value, keys, tgt_shape)
+    keys = tuple(k for k in keys if k in cells.columns)
+    if out_shape.ny % scale_factor or out_shape.nx % scale_factor:
+        raise ValueError(f"grid {out_shape.ny}x{out_shape.nx} is not divisible by {scale_factor}")
+    if compose is False:
+        aligned = align_grid(cells, src_grid, tgt_grid, scale_factor, x, y, value, keys, tgt_shape)
+        return aggregate.coarsen(aligned, scale_factor, value, shape=out_shape, keys=keys)
+
+    target, _ = _cropped_target(tgt_grid, scale_factor, x, y, tgt_shape)
+    info: dict = {}
+    weights = regrid.bilinear_weights(src_grid, target, info)
+    profile = profile_source(cells, value, keys)
+    n_targets = out_shape.ny * out_shape.nx
+    dense = (profile.values == profile.rows
+             and profile.rows == profile.steps * info.get("source_cells", -1))
+    ok = dense and regrid.covered_targets(weights) == n_targets
+    if compose is True and not ok:
+        raise ValueError("composed weights need a dense, null-free source covering every target")
+    small = 4 * n_targets <= regrid.MAX_BROADCAST_ROWS
+    if ok:
+        composed = regrid.compose_coarsen(weights, scale_factor)
+        blocks = n_targets // (scale_factor * scale_factor)
+        return regrid.apply_weights(_by_time(cells, keys, profile, blocks), composed, value, keys,
+                                    broadcast=small)
+    by_time = _by_time(cells, keys, profile, n_targets)
+    aligned = regrid.apply_weights(by_time, weights, value, keys, broadcast=small)
     return aggregate.coarsen(aligned, scale_factor, value, shape=out_shape, keys=keys)
 
 

@@ -71,7 +71,8 @@ def batch_frame(sample_rows: DataFrame, batch_size: int, seed: int = 0,
                 group: Sequence[str] = GROUP, randomize: bool = True) -> DataFrame:
     keys = sample_rows.select(*group, "key")
     assignment = S.assign_batches(keys, batch_size, seed, group=group, randomize=randomize)
-    return S.batches(sample_rows, assignment, group=group)
+    small = S.assignment_fits_broadcast(assignment)
+    return S.batches(sample_rows, assignment, group=group, broadcast_assignment=small)
 
 
 def make_batches(spark: SparkSession, sample_root: str, batch_root: str, batch_size: int,

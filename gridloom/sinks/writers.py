@@ -89,8 +89,12 @@ def write_invariant(df: DataFrame, root: str, variable: str, model: str) -> None
 
 
 def write_samples(samples: DataFrame, root: str, partition_by: Sequence[str] = ("split",)) -> None:
-    """Tensor rows, one per time step (K5); ``key`` names the sample."""
-    (samples.repartitionByRange("key").sortWithinPartitions("key")
+    """Tensor rows, one per time step (K5); ``key`` names the sample.
+
+    No extra shuffle: rows are only sorted within their task by partition
+    columns and key, so each file holds an ordered run of samples.
+    """
+    (samples.sortWithinPartitions(*partition_by, "key")
      .write.mode("overwrite").partitionBy(*partition_by)
      .option("partitionOverwriteMode", "dynamic").parquet(root))
 

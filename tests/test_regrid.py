@@ -132,10 +132,25 @@ def test_composed_weights_equal_two_steps(spark):
     tg = spark.createDataFrame([(j, i, 40.2 + 0.8 * j, 200.3 + 0.8 * i) for j in range(8) for i in range(8)],
                                "rlat int, rlon int, lat double, lon double")
     two = align.align_with_lr(src, sg, tg, 2, {"first_index": 0, "last_index": 8},
-                              {"first_index": 0, "last_index": 8}, "v")
+                              {"first_index": 0, "last_index": 8}, "v", compose=False)
     w = regrid.compose_coarsen(regrid.bilinear_weights(sg, tg), 2)
     one = regrid.apply_weights(src, w, "v")
+    auto = align.align_with_lr(src, sg, tg, 2, {"first_index": 0, "last_index": 8},
+                               {"first_index": 0, "last_index": 8}, "v")
     assert result(one) == pytest.approx(result(two))
+    assert result(auto) == pytest.approx(result(two))
+
+
+def test_composed_guard_falls_back_on_missing(spark):
+    lats, lons = np.arange(40, 48, 1.0), np.arange(200, 208, 1.0)
+    src = field(spark, lats, lons, fn=lambda a, b: a + b, skip={(3, 3)})
+    sg = grid_frame(spark, lats, lons)
+    tg = spark.createDataFrame([(j, i, 40.2 + 0.8 * j, 200.3 + 0.8 * i) for j in range(8) for i in range(8)],
+                               "rlat int, rlon int, lat double, lon double")
+    args = (src, sg, tg, 2, {"first_index": 0, "last_index": 8}, {"first_index": 0, "last_index": 8}, "v")
+    with pytest.raises(ValueError):
+        align.align_with_lr(*args, compose=True)
+    assert result(align.align_with_lr(*args)) == result(align.align_with_lr(*args, compose=False))
 
 
 def test_align_plan_single_data_exchange(spark, tmp_path):
@@ -146,17 +161,20 @@ def test_align_plan_single_data_exchange(spark, tmp_path):
     sg = grid_frame(spark, lats, lons)
     tg = spark.createDataFrame([(j, i, 40.2 + 0.8 * j, 200.3 + 0.8 * i) for j in range(8) for i in range(8)],
                                "rlat int, rlon int, lat double, lon double")
-    out = align.align_with_lr(src, sg, tg, 2, {"first_index": 0, "last_index": 8},
-                              {"first_index": 0, "last_index": 8}, "v")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        plan = out._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    data_side = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
-    # one exchange on time for the cells; the weight side is broadcast
-    assert sum("time" in ln for ln in data_side) == 1
-    assert "BroadcastHashJoin" in plan
+    for compose in (False, "auto"):
+        out = align.align_with_lr(src, sg, tg, 2, {"first_index": 0, "last_index": 8},
+                                  {"first_index": 0, "last_index": 8}, "v", compose=compose)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            plan = out._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+        exchanges = [ln for ln in plan.splitlines() if "Exchange " in ln and "Broadcast" not in ln]
+        # one range exchange on time for the cells; the weight side is broadcast
+        data = [ln for ln in exchanges if "rangepartitioning(time" in ln]
+        assert len(data) == 1, plan
+        assert not any("hashpartitioning(time" in ln for ln in exchanges), plan
+        assert "BroadcastHashJoin" in plan
 
 
 def test_coarsen_skips_missing(spark):
