@@ -417,6 +417,58 @@ def q_regrid_outside(spark: SparkSession, sf: str) -> DataFrame:
 SQL_REGRID_OUTSIDE = with_(G_SQL, T_SQL(3.0), W_SQL) + APPLY_SQL
 
 
+def q_regrid_curvilinear(spark: SparkSession, sf: str) -> DataFrame:
+    """Sparse monthly field on the curvilinear grid T, regridded onto G's regular points (J1d)."""
+    m = fixtures.monthly_field(spark, sf).where(
+        (F.col("rlat") < fixtures.TARGET_SIDE) & (F.col("rlon") < fixtures.TARGET_SIDE))
+    out = regrid.interpolate(m, fixtures.curvilinear_target(spark), fixtures.dense_grid(spark, sf),
+                             "v", method="curvilinear")
+    return rounded(out)
+
+
+# Brute force: every target point is tested against every quad of T.
+SQL_REGRID_CURVILINEAR = with_(M_SQL, T_SQL(), G_SQL, G_GRID_SQL, """q as (
+  select a.rlat as qy, a.rlon as qx, a.lat as lat00, a.lon as lon00, b.lat as lat01, b.lon as lon01,
+         c.lat as lat10, c.lon as lon10, d.lat as lat11, d.lon as lon11
+  from t a join t b on b.rlat = a.rlat and b.rlon = a.rlon + 1
+           join t c on c.rlat = a.rlat + 1 and c.rlon = a.rlon
+           join t d on d.rlat = a.rlat + 1 and d.rlon = a.rlon + 1)""", """k as (
+  select gg.rlat, gg.rlon, q.qy, q.qx,
+         gg.lon - lon00 as hx, gg.lat - lat00 as hy, lon01 - lon00 as ex, lat01 - lat00 as ey,
+         lon10 - lon00 as fx, lat10 - lat00 as fy,
+         lon00 - lon01 - lon10 + lon11 as gx, lat00 - lat01 - lat10 + lat11 as gy
+  from gg, q
+  where gg.lat between least(lat00, lat01, lat10, lat11) and greatest(lat00, lat01, lat10, lat11)
+    and gg.lon between least(lon00, lon01, lon10, lon11) and greatest(lon00, lon01, lon10, lon11))""",
+    """c as (select *, gx * fy - gy * fx as k2, (ex * fy - ey * fx) + (hx * gy - hy * gx) as k1,
+  hx * ey - hy * ex as k0 from k)""",
+    """d as (select *, sqrt(greatest(k1 * k1 - 4.0 * k0 * k2, 0.0)) as disc from c)""",
+    """e as (select *, -0.5 * (k1 + (case when k1 >= 0 then 1.0 else -1.0 end) * disc) as qq from d)""",
+    """f as (select *, case when qq = 0 then null else k0 / qq end as t_near,
+  case when k2 = 0 then null else qq / k2 end as t_far from e)""",
+    """g2 as (select *, case when t_near between -1e-9 and 1 + 1e-9 then t_near else t_far end as tt
+  from f)""",
+    """h as (select *, ex + gx * tt as ddx, ey + gy * tt as ddy from g2)""",
+    """st as (select rlat, rlon, qy, qx, tt,
+  case when abs(ddx) >= abs(ddy) then (case when ddx = 0 then null else (hx - fx * tt) / ddx end)
+       else (case when ddy = 0 then null else (hy - fy * tt) / ddy end) end as ss from h)""",
+    """best as (select * from (
+  select *, row_number() over (partition by rlat, rlon order by qy, qx) as rn from st
+  where ss between -1e-9 and 1 + 1e-9 and tt between -1e-9 and 1 + 1e-9) where rn = 1)""",
+    """cl as (select rlat, rlon, qy, qx, least(greatest(ss, 0.0), 1.0) as s,
+  least(greatest(tt, 0.0), 1.0) as t from best)""",
+    """c4 as (
+  select rlat, rlon, qy as sy, qx as sx, (1.0 - s) * (1.0 - t) as w from cl
+  union all select rlat, rlon, qy, qx + 1, s * (1.0 - t) from cl
+  union all select rlat, rlon, qy + 1, qx, (1.0 - s) * t from cl
+  union all select rlat, rlon, qy + 1, qx + 1, s * t from cl)""",
+    """w as (select rlat, rlon, sy, sx, w, count(*) over (partition by rlat, rlon) as n_corners
+  from c4 where w <> 0)""") + """select m.time, w.rlat, w.rlon,
+round(case when count(*) = max(w.n_corners) and count(m.v) = max(w.n_corners)
+      then sum(m.v * w.w) end, 6) as v
+from m join w on m.rlat = w.sy and m.rlon = w.sx group by all"""
+
+
 def q_align_lr(spark: SparkSession, sf: str) -> DataFrame:
     """Regrid onto T, crop 8×8 from (2, 2), coarsen by 4 (P5)."""
     g = dense(spark, sf)
@@ -675,6 +727,7 @@ QUERIES: dict[str, Query] = {
     "regrid_weights": q_regrid_weights,
     "regrid_bilinear": q_regrid_bilinear,
     "regrid_outside": q_regrid_outside,
+    "regrid_curvilinear": q_regrid_curvilinear,
     "align_lr": q_align_lr,
     "align_hr": q_align_hr,
     "invariant_lr": q_invariant_lr,
@@ -713,6 +766,7 @@ _ORACLE: dict[str, str] = {
     "regrid_weights": SQL_REGRID_WEIGHTS,
     "regrid_bilinear": SQL_REGRID_BILINEAR,
     "regrid_outside": SQL_REGRID_OUTSIDE,
+    "regrid_curvilinear": SQL_REGRID_CURVILINEAR,
     "align_lr": SQL_ALIGN_LR,
     "align_hr": SQL_ALIGN_HR,
     "invariant_lr": SQL_INVARIANT_LR,

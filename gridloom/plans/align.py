@@ -90,7 +90,7 @@ def align_grid(cells: DataFrame, src_grid: DataFrame, tgt_grid: DataFrame, scale
     """Regrid onto the reference grid and crop it (P4); coordinates are dropped."""
     regrid.check_inputs(src_grid, tgt_grid)
     target, out_shape = _cropped_target(tgt_grid, scale_factor, x, y, tgt_shape)
-    weights = regrid.bilinear_weights(src_grid, target)
+    weights = regrid.grid_weights(src_grid, target)
     # ≤ 4 weight rows per cropped target point: a bound known without a job
     small = 4 * out_shape.ny * out_shape.nx <= regrid.MAX_BROADCAST_ROWS
     keys = tuple(k for k in keys if k in cells.columns)
@@ -120,7 +120,7 @@ def align_with_lr(cells: DataFrame, src_grid: DataFrame, tgt_grid: DataFrame, sc
 
     target, _ = _cropped_target(tgt_grid, scale_factor, x, y, tgt_shape)
     info: dict = {}
-    weights = regrid.bilinear_weights(src_grid, target, info)
+    weights = regrid.grid_weights(src_grid, target, info=info)
     profile = profile_source(cells, value, keys)
     n_targets = out_shape.ny * out_shape.nx
     dense = (profile.values == profile.rows

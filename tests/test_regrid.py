@@ -202,3 +202,77 @@ def test_coarsen_keeps_global_mean(spark):
     df = field(spark, np.arange(8.0), np.arange(8.0), fn=lambda a, b: a * b + 1, steps=3)
     c = aggregate.coarsen(df, 4, "v")
     assert c.agg(F.avg("v")).first()[0] == pytest.approx(df.agg(F.avg("v")).first()[0])
+
+
+def curvi_grid(ny=6, nx=7):
+    pts = {}
+    for i in range(ny):
+        for j in range(nx):
+            pts[(i, j)] = (40 + 0.9 * i + 0.1 * j + 0.02 * i * j, 200 + 1.0 * j + 0.15 * i - 0.01 * i * j)
+    return pts
+
+
+def brute_force_quad(pts, lat, lon, ny, nx):
+    """Lowest quad (by index) containing the point, by Newton on every quad."""
+    for i in range(ny - 1):
+        for j in range(nx - 1):
+            c = [np.array(pts[(i + a, j + b)][::-1]) for a, b in ((0, 0), (0, 1), (1, 0), (1, 1))]
+            s, t = 0.5, 0.5
+            for _ in range(50):
+                p = (1 - s) * (1 - t) * c[0] + s * (1 - t) * c[1] + (1 - s) * t * c[2] + s * t * c[3]
+                ds = -(1 - t) * c[0] + (1 - t) * c[1] - t * c[2] + t * c[3]
+                dt_ = -(1 - s) * c[0] - s * c[1] + (1 - s) * c[2] + s * c[3]
+                jac = np.column_stack([ds, dt_])
+                step = np.linalg.solve(jac, np.array([lon, lat]) - p)
+                s, t = s + step[0], t + step[1]
+            if -1e-9 <= s <= 1 + 1e-9 and -1e-9 <= t <= 1 + 1e-9:
+                return (i, j, s, t)
+    return None
+
+
+def test_curvilinear_matches_brute_force(spark):
+    ny, nx = 6, 7
+    pts = curvi_grid(ny, nx)
+    sg = spark.createDataFrame([(i, j, la, lo) for (i, j), (la, lo) in pts.items()],
+                               "rlat int, rlon int, lat double, lon double")
+    assert not regrid.is_rectilinear(sg)
+    rng = np.random.default_rng(3)
+    tpts = list(zip(rng.uniform(39.5, 45.5, 60), rng.uniform(199.5, 207.5, 60)))
+    tpts += [pts[(2, 3)], pts[(0, 0)], pts[(ny - 1, nx - 1)]]
+    tg = spark.createDataFrame([(k // 10, k % 10, float(a), float(b)) for k, (a, b) in enumerate(tpts)],
+                               "rlat int, rlon int, lat double, lon double")
+    w = regrid.grid_weights(sg, tg)
+    got = {}
+    for r in w.collect():
+        got.setdefault((r.rlat, r.rlon), {})[(r.sy, r.sx)] = r.w
+    for k, (a, b) in enumerate(tpts):
+        q = brute_force_quad(pts, a, b, ny, nx)
+        key = (k // 10, k % 10)
+        if q is None:
+            assert key not in got
+            continue
+        i, j, s, t = q
+        want = {(i, j): (1 - s) * (1 - t), (i, j + 1): s * (1 - t), (i + 1, j): (1 - s) * t,
+                (i + 1, j + 1): s * t}
+        want = {kk: v for kk, v in want.items() if abs(v) > 1e-9}
+        have = {kk: v for kk, v in got[key].items() if abs(v) > 1e-9}
+        assert set(have) == set(want), (key, have, want)
+        for kk in want:
+            assert have[kk] == pytest.approx(want[kk], abs=1e-7)
+    # affine fields are reproduced exactly
+    src = spark.createDataFrame([(T0, i, j, float(affine(la, lo))) for (i, j), (la, lo) in pts.items()],
+                                "time timestamp_ntz, rlat int, rlon int, v double")
+    out = result(regrid.interpolate(src, sg, tg, "v"))
+    for (h, y, x), v in out.items():
+        a, b = tpts[y * 10 + x]
+        assert v == pytest.approx(affine(a, b), abs=1e-9)
+
+
+def test_curvilinear_onto_itself(spark):
+    pts = curvi_grid(5, 5)
+    sg = spark.createDataFrame([(i, j, la, lo) for (i, j), (la, lo) in pts.items()],
+                               "rlat int, rlon int, lat double, lon double")
+    src = spark.createDataFrame([(T0, i, j, float(i * 10 + j)) for (i, j) in pts],
+                                "time timestamp_ntz, rlat int, rlon int, v double")
+    out = result(regrid.interpolate(src, sg, sg, "v"))
+    assert out == pytest.approx(result(src))
