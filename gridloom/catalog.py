@@ -33,6 +33,7 @@ SEED = 0
 BATCH_SIZE = 4
 G_SHAPE = Shape(8, 8)
 M_SHAPE = Shape(16, 16)
+T_SHAPE = Shape(fixtures.TARGET_SIDE, fixtures.TARGET_SIDE)
 
 
 # Fixed value: rounding boundary at 6 places, moved off the decimal midpoint.
@@ -395,7 +396,8 @@ SQL_REGRID_WEIGHTS = with_(G_SQL, T_SQL(), W_SQL) + \
 
 def q_regrid_bilinear(spark: SparkSession, sf: str) -> DataFrame:
     g = dense(spark, sf)
-    out = regrid.interpolate(g, fixtures.dense_grid(spark, sf), fixtures.curvilinear_target(spark), "v")
+    out = regrid.interpolate(g, fixtures.dense_grid(spark, sf), fixtures.curvilinear_target(spark), "v",
+                             tgt_points=T_SHAPE.ny * T_SHAPE.nx)
     return rounded(out)
 
 
@@ -410,7 +412,8 @@ def q_regrid_outside(spark: SparkSession, sf: str) -> DataFrame:
     """Targets shifted 3 degrees north: those outside the source hull are missing."""
     g = dense(spark, sf)
     out = regrid.interpolate(g, fixtures.dense_grid(spark, sf),
-                             fixtures.curvilinear_target(spark, lat_shift=3.0), "v")
+                             fixtures.curvilinear_target(spark, lat_shift=3.0), "v",
+                             tgt_points=T_SHAPE.ny * T_SHAPE.nx)
     return rounded(out)
 
 
@@ -422,7 +425,7 @@ def q_regrid_curvilinear(spark: SparkSession, sf: str) -> DataFrame:
     m = fixtures.monthly_field(spark, sf).where(
         (F.col("rlat") < fixtures.TARGET_SIDE) & (F.col("rlon") < fixtures.TARGET_SIDE))
     out = regrid.interpolate(m, fixtures.curvilinear_target(spark), fixtures.dense_grid(spark, sf),
-                             "v", method="curvilinear")
+                             "v", method="curvilinear", tgt_points=G_SHAPE.ny * G_SHAPE.nx)
     return rounded(out)
 
 
@@ -474,7 +477,7 @@ def q_align_lr(spark: SparkSession, sf: str) -> DataFrame:
     g = dense(spark, sf)
     out = align.align_with_lr(g, fixtures.dense_grid(spark, sf), fixtures.curvilinear_target(spark),
                               scale_factor=4, x={"first_index": 2, "last_index": 10},
-                              y={"first_index": 2, "last_index": 10}, value="v")
+                              y={"first_index": 2, "last_index": 10}, value="v", tgt_shape=T_SHAPE)
     return rounded(out)
 
 
@@ -504,7 +507,8 @@ def q_invariant_lr(spark: SparkSession, sf: str) -> DataFrame:
     inv = dense(spark, sf).groupBy("rlat", "rlon").agg(F.avg("v").alias("v"))
     out = align.align_with_lr(inv, fixtures.dense_grid(spark, sf), fixtures.curvilinear_target(spark),
                               scale_factor=4, x={"first_index": 2, "last_index": 10},
-                              y={"first_index": 2, "last_index": 10}, value="v", keys=())
+                              y={"first_index": 2, "last_index": 10}, value="v", keys=(),
+                              tgt_shape=T_SHAPE)
     return rounded(out)
 
 
@@ -689,7 +693,8 @@ def q_preprocess_lr(spark: SparkSession, sf: str) -> DataFrame:
         start="2000-03-01", end="2005-03-01", test_years=TEST_YEARS,
         validation_years=VALIDATION_YEARS, scale_factor=4,
         x={"first_index": 2, "last_index": 10}, y={"first_index": 2, "last_index": 10},
-        src_grid=fixtures.dense_grid(spark, sf), hr_ref=fixtures.curvilinear_target(spark))
+        src_grid=fixtures.dense_grid(spark, sf), hr_ref=fixtures.curvilinear_target(spark),
+        shape=T_SHAPE)
     return rounded(frame.select("split", "time", "rlat", "rlon", "tas"))
 
 

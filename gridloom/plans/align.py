@@ -15,17 +15,18 @@ Physical plan for LR alignment (regrid → crop → coarsen), two-step form:
   the written files cover contiguous time ranges.
 * The crop is pushed into the weight frame: cropped-away targets are never
   computed.
-* Composed form: when the source is dense and null-free and every target is
-  inside the source hull, regrid and block mean are both linear, so their
-  weight matrices multiply into one (≈ a few source cells per coarse block).
+* Composed form: when the source is dense and null-free, regrid and block
+  mean are both linear, so their weight matrices multiply into one (≈ a few
+  source cells per coarse block; targets outside the source hull are absent
+  and each block divides by the targets it covers).
   The high-resolution intermediate is then never built:
 
       scan ─► Exchange rangepartitioning(time, n) ─► BroadcastHashJoin(composed)
            ─► HashAggregate(time, block_y, block_x)
 
-  The guard (one aggregate over the source, one over the weights) falls back
-  to the two-step form whenever a value is missing, because the block mean
-  skips missing cells and is then no longer linear.
+  The guard (one aggregate over the source) falls back to the two-step form
+  whenever a value is missing, because the block mean skips missing cells and
+  is then no longer linear.
 """
 
 from __future__ import annotations
@@ -123,11 +124,10 @@ def align_with_lr(cells: DataFrame, src_grid: DataFrame, tgt_grid: DataFrame, sc
     weights = regrid.grid_weights(src_grid, target, info=info)
     profile = profile_source(cells, value, keys)
     n_targets = out_shape.ny * out_shape.nx
-    dense = (profile.values == profile.rows
-             and profile.rows == profile.steps * info.get("source_cells", -1))
-    ok = dense and regrid.covered_targets(weights) == n_targets
+    ok = (profile.values == profile.rows
+          and profile.rows == profile.steps * info.get("source_cells", -1))
     if compose is True and not ok:
-        raise ValueError("composed weights need a dense, null-free source covering every target")
+        raise ValueError("composed weights need a dense, null-free source")
     small = 4 * n_targets <= regrid.MAX_BROADCAST_ROWS
     if ok:
         composed = regrid.compose_coarsen(weights, scale_factor)

@@ -37,13 +37,18 @@ LR_MODELS = ("lr", "lr_invariant")
 def align_variable(cells: DataFrame, model: str, scale_factor: int, x, y, value: str,
                    src_grid: DataFrame | None = None, hr_ref: DataFrame | None = None,
                    shape: Shape | None = None, keys=("time",)) -> DataFrame:
-    """Dispatch on the model name; unknown names (or LR without a reference) → KeyError."""
+    """Dispatch on the model name; unknown names (or LR without a reference) → KeyError.
+
+    ``shape`` is the shape of the grid being cropped (the field for ``hr``, the
+    reference grid for ``lr``) when known; otherwise it is measured.
+    """
     if model in HR_MODELS:
         return align.align_hr(cells, scale_factor, x, y, shape=shape)
     if model in LR_MODELS and hr_ref is not None:
         if src_grid is None:
             raise ValueError("a low-resolution field needs its source grid")
-        return align.align_with_lr(cells, src_grid, hr_ref, scale_factor, x, y, value, keys=keys)
+        return align.align_with_lr(cells, src_grid, hr_ref, scale_factor, x, y, value, keys=keys,
+                                   tgt_shape=shape)
     raise KeyError(model)
 
 

@@ -141,6 +141,18 @@ def test_composed_weights_equal_two_steps(spark):
     assert result(auto) == pytest.approx(result(two))
 
 
+def test_composed_exact_with_targets_outside_hull(spark):
+    lats, lons = np.arange(40, 46, 1.0), np.arange(200, 206, 1.0)
+    src, sg = field(spark, lats, lons, fn=lambda a, b: np.sin(a) + b), grid_frame(spark, lats, lons)
+    # a 4×4 target grid whose top row and right column fall outside the source
+    tg = spark.createDataFrame([(j, i, 41.2 + 1.5 * j, 200.4 + 1.6 * i) for j in range(4) for i in range(4)],
+                               "rlat int, rlon int, lat double, lon double")
+    args = (src, sg, tg, 2, {"first_index": 0, "last_index": 4}, {"first_index": 0, "last_index": 4}, "v")
+    two = result(align.align_with_lr(*args, compose=False))
+    one = result(align.align_with_lr(*args, compose=True))
+    assert one.keys() == two.keys() and one == pytest.approx(two)
+
+
 def test_composed_guard_falls_back_on_missing(spark):
     lats, lons = np.arange(40, 48, 1.0), np.arange(200, 208, 1.0)
     src = field(spark, lats, lons, fn=lambda a, b: a + b, skip={(3, 3)})
