@@ -281,7 +281,7 @@ round(v, 6) as v from l"""
 
 
 def q_lon_360(spark: SparkSession, sf: str) -> DataFrame:
-    grid = fixtures.dense_grid(spark, sf, west_negative=True)
+    grid = fixtures.grid_of_cells(spark, sf, west_negative=True)
     return names.match_longitudes(grid).select("rlat", "rlon", "lat", "lon")
 
 
@@ -386,7 +386,7 @@ round(((v - mu) / sd - (lo - mu) / sd) / ((hi - mu) / sd - (lo - mu) / sd), 6) a
 
 
 def q_regrid_weights(spark: SparkSession, sf: str) -> DataFrame:
-    w = regrid.bilinear_weights(fixtures.dense_grid(spark, sf), fixtures.curvilinear_target(spark))
+    w = regrid.bilinear_weights(fixtures.grid_of_cells(spark, sf), fixtures.curvilinear_target(spark))
     return rounded(w)
 
 
@@ -710,6 +710,72 @@ SQL_PREPROCESS_LR = with_(G_SQL, """g2 as (select * from g
     "select split, time, rlat, rlon, round((v - mu) / sd, 6) as tas from sp, st"
 
 
+def q_time_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Axis bounds and counts of the dense field."""
+    g = dense(spark, sf)
+    return g.agg(F.min("time").alias("first"), F.max("time").alias("last"),
+                 F.count_distinct("time").alias("n_steps"), F.count(F.lit(1)).alias("n_cells"),
+                 F.min("rlat").alias("rlat_min"), F.max("rlat").alias("rlat_max"))
+
+
+SQL_TIME_BOUNDS = with_(G_SQL) + """select min(time) as first, max(time) as last,
+count(distinct time) as n_steps, count(*) as n_cells, min(rlat) as rlat_min, max(rlat) as rlat_max
+from g"""
+
+
+def q_dim_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """Dimension sizes of the sparse monthly field."""
+    m = fixtures.monthly_field(spark, sf)
+    return m.agg(*[F.count_distinct(c).alias(f"n_{c}") for c in ("time", "rlat", "rlon")])
+
+
+SQL_DIM_SIZES = with_(M_SQL) + """select count(distinct time) as n_time, count(distinct rlat) as n_rlat,
+count(distinct rlon) as n_rlon from m"""
+
+
+def q_unpack_tensors(spark: SparkSession, sf: str) -> DataFrame:
+    """Samples back to cells (tensor → cell form)."""
+    s = samples.samples(dense(spark, sf), "v", 8, 8, element_type="double")
+    return rounded(tensors.unpack(s, "v"))
+
+
+SQL_UNPACK_TENSORS = with_(G_SQL) + "select time, rlat, rlon, round(v, 6) as v from g"
+
+
+def q_mask_tensors(spark: SparkSession, sf: str) -> DataFrame:
+    """Standardized samples of each split turned into 0/1 rain masks ``mask_{key}``."""
+    g = dense(spark, sf)
+    var = Variable("pr", apply_standardize=True)
+    out, _ = scale.split_and_scale(g, var, TEST_YEARS, VALIDATION_YEARS, value="v")
+    s = samples.samples(out, "v", 8, 8, group=("split",), element_type="double")
+    m = samples.masks(s)
+    return m.select("split", "key", F.aggregate("tensor", F.lit(0), lambda a, e: a + e).alias("wet"),
+                    F.array_join(F.transform("tensor", lambda e: e.cast("string")), "").alias("bits"))
+
+
+SQL_MASK_TENSORS = with_(G_SQL, SPLIT_SQL.format(src="g"), TRAIN_STATS_SQL, """mk as (
+  select split, time, rlat, rlon,
+         case when (v - mu) / sd > -0.0769779160618782 / 0.3726992905139923 then 1 else 0 end as b
+  from sp, st)""") + """select split, 'mask_' || strftime(time, '%Y-%m-%d-%H') as key,
+cast(sum(b) as int) as wet, string_agg(cast(b as varchar), '' order by rlat, rlon) as bits
+from mk group by all"""
+
+
+def q_batches_sorted(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches in sorted key order (``randomize = False``)."""
+    keys = select.with_split(dense(spark, sf), TEST_YEARS, VALIDATION_YEARS) \
+        .select("split", scalars.sample_key("time").alias("key")).distinct()
+    a = samples.assign_batches(keys, 3, group=("split",), randomize=False)
+    return samples.batch_names(a, group=("split",))
+
+
+SQL_BATCHES_SORTED = with_(G_SQL, SPLIT_SQL.format(src="g"), """k as (
+  select distinct split, strftime(time, '%Y-%m-%d-%H') as key from sp)""", """o as (
+  select split, key, row_number() over (partition by split order by key) - 1 as pos from k)""") + \
+    """select split, cast(pos // 3 as bigint) as batch_id, string_agg(key, '__' order by pos) as name,
+cast(count(*) as int) as n from o group by all"""
+
+
 QUERIES: dict[str, Query] = {
     "lr_min_slice": q_lr_min_slice,
     "slice_time": q_slice_time,
@@ -747,6 +813,11 @@ QUERIES: dict[str, Query] = {
     "pair_lr_hr": q_pair_lr_hr,
     "source_cut": q_source_cut,
     "preprocess_lr": q_preprocess_lr,
+    "time_bounds": q_time_bounds,
+    "dim_sizes": q_dim_sizes,
+    "unpack_tensors": q_unpack_tensors,
+    "mask_tensors": q_mask_tensors,
+    "batches_sorted": q_batches_sorted,
 }
 
 _ORACLE: dict[str, str] = {
@@ -786,6 +857,11 @@ _ORACLE: dict[str, str] = {
     "pair_lr_hr": SQL_PAIR_LR_HR,
     "source_cut": SQL_SOURCE_CUT,
     "preprocess_lr": SQL_PREPROCESS_LR,
+    "time_bounds": SQL_TIME_BOUNDS,
+    "dim_sizes": SQL_DIM_SIZES,
+    "unpack_tensors": SQL_UNPACK_TENSORS,
+    "mask_tensors": SQL_MASK_TENSORS,
+    "batches_sorted": SQL_BATCHES_SORTED,
 }
 
 ORACLE_SQL: dict[str, str] = {k: _sql_round6(v) for k, v in _ORACLE.items()}

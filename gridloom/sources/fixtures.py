@@ -48,10 +48,21 @@ def dense_field(spark: SparkSession, sf_dir: str, value: str = "v") -> DataFrame
 
 
 def dense_grid(spark: SparkSession, sf_dir: str, west_negative: bool = False) -> DataFrame:
-    """G's regular lat/lon grid ``(rlat, rlon, lat, lon)``, derived from the cells' indices.
+    """G's regular 1-degree lat/lon grid ``(rlat, rlon, lat, lon)`` (a grid definition).
 
     ``west_negative`` gives longitudes in -180..180 (for the 0..360 shift).
     """
+    n = DENSE_SIDE
+    cells = spark.range(n * n).select(F.floor(F.col("id") / n).cast("int").alias("rlat"),
+                                      (F.col("id") % n).cast("int").alias("rlon"))
+    lon0 = DENSE_LON0 - 360.0 if west_negative else DENSE_LON0
+    return cells.select("rlat", "rlon",
+                        (F.lit(DENSE_LAT0) + F.col("rlat").cast("double")).alias("lat"),
+                        (F.lit(lon0) + F.col("rlon").cast("double")).alias("lon"))
+
+
+def grid_of_cells(spark: SparkSession, sf_dir: str, west_negative: bool = False) -> DataFrame:
+    """G's grid derived from the cells themselves (distinct indices of every step)."""
     cells = dense_field(spark, sf_dir).select("rlat", "rlon").distinct()
     lon0 = DENSE_LON0 - 360.0 if west_negative else DENSE_LON0
     return cells.select("rlat", "rlon",
