@@ -6,9 +6,12 @@
 * Attributes (``history``, train statistics) go to a one-row JSON sidecar in
   ``_attrs/`` next to the data; names starting with ``_`` are ignored by the
   Parquet reader.
-* Rows are clustered by time before writing (``repartitionByRange`` +
-  ``sortWithinPartitions``) so files cover contiguous time ranges and a time
-  filter skips files and row groups.
+* No writer adds a shuffle by default: rows are sorted within their task
+  (partition columns, then time), so every file holds an ordered run and
+  Parquet row-group statistics let time filters skip data.  Frames coming
+  out of the alignment plan are already range-partitioned by time, so their
+  files also cover contiguous time ranges.  ``cluster=True`` adds an explicit
+  range repartition for inputs in arbitrary order.
 """
 
 from __future__ import annotations
@@ -48,13 +51,17 @@ def cluster_by_time(df: DataFrame, time: str = "time", partitions: int | None =
 
 def write_dataset(df: DataFrame, path: str, attrs: dict | None = None,
                   partition_by: Sequence[str] = (), max_records_per_file: int | None = None,
-                  cluster: bool = True) -> None:
+                  cluster: bool = False) -> None:
     """Overwrite ``path`` with ``df`` and record ``history`` (K1, K4).
 
     An empty frame still writes its schema and the sidecar.
     """
     spark = df.sparkSession
-    out = cluster_by_time(df) if cluster else df
+    if cluster:
+        out = cluster_by_time(df)
+    else:
+        order = [c for c in (*partition_by, "time") if c in df.columns]
+        out = df.sortWithinPartitions(*order) if order else df
     w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
@@ -85,7 +92,7 @@ def write_invariant(df: DataFrame, root: str, variable: str, model: str) -> None
     """Invariant fields: ``root/variable=…/model=…`` with no split (K3)."""
     from pyspark.sql import functions as F
     out = df.withColumns({"variable": F.lit(variable), "model": F.lit(model)})
-    write_dataset(out, root, partition_by=("variable", "model"), cluster=False)
+    write_dataset(out, root, partition_by=("variable", "model"))
 
 
 def write_samples(samples: DataFrame, root: str, partition_by: Sequence[str] = ("split",)) -> None:
