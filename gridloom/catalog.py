@@ -18,7 +18,7 @@ from pyspark.sql.types import DoubleType
 from .config import Dimension, Variable
 from .functions import scalars
 from .functions.expr import transform_column
-from .operators import aggregate, names, regrid, samples, scale, select, tensors
+from .operators import aggregate, names, regrid, samples, scale, select, tensor_regrid, tensors
 from .operators.select import Shape
 from .plans import align, cuts
 from .sources import fixtures
@@ -408,6 +408,14 @@ from g join w on g.rlat = w.sy and g.rlon = w.sx group by all"""
 SQL_REGRID_BILINEAR = with_(G_SQL, T_SQL(), W_SQL) + APPLY_SQL
 
 
+def q_regrid_tensor(spark: SparkSession, sf: str) -> DataFrame:
+    """Tensor-form regrid: one sparse product per step inside ``mapInArrow`` (no shuffle)."""
+    s = samples.samples(dense(spark, sf), "v", G_SHAPE.ny, G_SHAPE.nx)
+    w = regrid.grid_weights(fixtures.dense_grid(spark, sf), fixtures.curvilinear_target(spark))
+    out = tensor_regrid.regrid_tensors(s, w, (G_SHAPE.ny, G_SHAPE.nx), (T_SHAPE.ny, T_SHAPE.nx))
+    return rounded(tensors.unpack(out, "v", keys=("time",)))
+
+
 def q_regrid_outside(spark: SparkSession, sf: str) -> DataFrame:
     """Targets shifted 3 degrees north: those outside the source hull are missing."""
     g = dense(spark, sf)
@@ -798,6 +806,7 @@ QUERIES: dict[str, Query] = {
     "regrid_weights": q_regrid_weights,
     "regrid_bilinear": q_regrid_bilinear,
     "regrid_outside": q_regrid_outside,
+    "regrid_tensor": q_regrid_tensor,
     "regrid_curvilinear": q_regrid_curvilinear,
     "align_lr": q_align_lr,
     "align_hr": q_align_hr,
@@ -842,6 +851,7 @@ _ORACLE: dict[str, str] = {
     "regrid_weights": SQL_REGRID_WEIGHTS,
     "regrid_bilinear": SQL_REGRID_BILINEAR,
     "regrid_outside": SQL_REGRID_OUTSIDE,
+    "regrid_tensor": SQL_REGRID_BILINEAR,
     "regrid_curvilinear": SQL_REGRID_CURVILINEAR,
     "align_lr": SQL_ALIGN_LR,
     "align_hr": SQL_ALIGN_HR,

@@ -52,7 +52,7 @@ def unpack(df: DataFrame, value: str = "v", tensor: str = "tensor",
     return exploded.select(*keys,
                            F.floor(F.col("_p") / F.col("nx")).cast("int").alias("rlat"),
                            (F.col("_p") % F.col("nx")).cast("int").alias("rlon"),
-                           F.col("_v").cast("double").alias(value))
+                           F.nanvl(F.col("_v").cast("double"), F.lit(None).cast("double")).alias(value))
 
 
 def assert_complete(df: DataFrame, value: str, keys: tuple[str, ...], ny: int,

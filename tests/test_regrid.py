@@ -288,3 +288,38 @@ def test_curvilinear_onto_itself(spark):
                                 "time timestamp_ntz, rlat int, rlon int, v double")
     out = result(regrid.interpolate(src, sg, sg, "v"))
     assert out == pytest.approx(result(src))
+
+
+def test_tensor_regrid_matches_cells(spark):
+    from gridloom.operators import tensor_regrid, tensors
+    lats, lons = np.arange(40, 46, 1.0), np.arange(200, 206, 1.0)
+    src = field(spark, lats, lons, fn=lambda a, b: np.cos(a) * b, steps=3, skip={(2, 2)})
+    src = src.union(spark.createDataFrame([(T0 + dt.timedelta(hours=h), 2, 2, None if h == 0 else 1.5)
+                                           for h in range(3)], src.schema))
+    sg = grid_frame(spark, lats, lons)
+    pts = [(40.5, 200.5), (42.5, 202.5), (44.9, 204.9), (47.0, 201.0)] + \
+        [(40.2 + 0.5 * k, 200.1 + 0.45 * k) for k in range(8)]
+    tg = targets(spark, pts)                      # 2 rows of up to 10 points
+    cells = regrid.interpolate(src, sg, tg, "v")
+    packed = tensors.pack(src, "v", 6, 6, check=False, element_type="double")
+    w = regrid.grid_weights(sg, tg)
+    out = tensor_regrid.regrid_tensors(packed, w, (6, 6), (2, 10), keys=("time",))
+    got = result(tensors.unpack(out, "v"))
+    want = result(cells)
+    for k, v in got.items():
+        if v is None:
+            assert want.get(k) is None
+        else:
+            assert v == pytest.approx(want[k], abs=1e-12)
+    assert got[(0, 0, 1)] is None                 # NULL corner at step 0
+    assert got[(1, 0, 1)] is not None             # present at step 1
+    assert got[(0, 0, 3)] is None                 # outside the hull
+
+
+def test_tensor_regrid_bound(spark):
+    from gridloom.operators import tensor_regrid
+    g = grid_frame(spark, [40.0, 41.0], [200.0, 201.0])
+    w = regrid.grid_weights(g, g)
+    df = spark.createDataFrame([(T0, [1.0, 2.0, 3.0, 4.0])], "time timestamp_ntz, tensor array<double>")
+    with pytest.raises(ValueError):
+        tensor_regrid.regrid_tensors(df, w, (2, 2), (2, 2), keys=("time",), max_rows=1)
