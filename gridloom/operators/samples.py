@@ -38,6 +38,27 @@ def samples(df: DataFrame, value: str, ny: int, nx: int,
     return packed.select(*group, "key", "time", "ny", "nx", "tensor")
 
 
+def samples_by_time(df: DataFrame, value: str, ny: int, nx: int,
+                    group: Sequence[str] = (), check: bool = True,
+                    element_type: str = "float") -> DataFrame:
+    """Like ``samples`` but packed by ``(group, time)``.
+
+    A frame already clustered by time (the alignment plan's range
+    partitioning, kept through its checkpoint) packs without any exchange.
+    Hour keys are derived afterwards; ``assert_unique_keys`` checks them.
+    """
+    packed = pack(df, value, ny, nx, keys=(*group, "time"), check=check, element_type=element_type)
+    return packed.select(*group, sample_key("time").alias("key"), "time", "ny", "nx", "tensor")
+
+
+def assert_unique_keys(sample_frame: DataFrame, group: Sequence[str] = ()) -> None:
+    """Two steps in one hour would share a sample key: raise (one row per step is read)."""
+    dup = (sample_frame.groupBy(*group, "key").agg(F.count(F.lit(1)).alias("n"))
+           .where(F.col("n") > 1).limit(1).collect())
+    if dup:
+        raise ValueError(f"several time steps share the sample key {dup[0]['key']}")
+
+
 def permutation_hash(seed: int, key: str = "key"):
     return F.md5(F.concat(F.lit(f"{seed}|"), F.col(key)))
 

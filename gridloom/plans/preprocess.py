@@ -19,9 +19,10 @@ import logging
 import time as _time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import DataConfig, Dimension, Model, Variable
-from ..operators import names, scale, select
+from ..operators import names, samples, scale, select
 from ..operators.select import Shape
 from ..session import ensure_checkpoint_dir
 from ..sinks import writers
@@ -89,8 +90,15 @@ def checkpoint_stage(df: DataFrame) -> DataFrame:
 
 def run_variable(spark: SparkSession, model: Model, var: Variable, cfg: DataConfig,
                  src_grid: DataFrame | None = None, hr_ref: DataFrame | None = None,
-                 frame_dims: list[str] | None = None) -> dict:
-    """Load, prepare and write one variable; returns the recorded attributes."""
+                 frame_dims: list[str] | None = None, samples_root: str | None = None,
+                 sample_shape: tuple[int, int] | None = None) -> dict:
+    """Load, prepare and write one variable; returns the recorded attributes.
+
+    With ``samples_root`` the tensor samples (P8) are written from the same
+    staged frame, packed by (split, time): the aligned frame is already
+    clustered by time, so no second pass over written splits and no extra
+    shuffle of the field is needed.
+    """
     t0 = _time.time()
     cells = load_grid(spark, var.path)
     frame, attrs = prepare_variable(
@@ -102,10 +110,25 @@ def run_variable(spark: SparkSession, model: Model, var: Variable, cfg: DataConf
         writers.write_invariant(frame, cfg.output_path, var.name, model.name)
     else:
         writers.write_splits(frame, cfg.output_path, var.name, model.name, attrs=attrs)
+        if samples_root is not None:
+            ny, nx = sample_shape or _sample_shape(cfg, model.name)
+            tens = samples.samples_by_time(frame, var.name, ny, nx, group=("split",))
+            samples.assert_unique_keys(tens, ("split",))
+            out = tens.withColumns({"variable": F.lit(var.name), "model": F.lit(model.name)})
+            writers.write_samples(out, samples_root, partition_by=("variable", "model", "split"))
+            writers.write_train_stats(spark, samples_root, var.name, model.name, attrs)
     log.info("Done processing %s in %s (%.1fs)", var.name, model.info, _time.time() - t0)
     return attrs
 
 
+def _sample_shape(cfg: DataConfig, model: str) -> tuple[int, int]:
+    """Tensor shape after cropping (and coarsening for LR models)."""
+    ny = cfg.spatial.y.last_index - cfg.spatial.y.first_index
+    nx = cfg.spatial.x.last_index - cfg.spatial.x.first_index
+    f = cfg.spatial.scale_factor if model in LR_MODELS else 1
+    return ny // f, nx // f
+
+
 def reference_grid(spark: SparkSession, model: Model, cfg: DataConfig) -> DataFrame | None:
     """The model's ``hr_ref`` grid with names and longitudes normalised."""
     if model.hr_ref is None:

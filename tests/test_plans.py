@@ -140,3 +140,38 @@ def test_oracle_sql_runs_in_duckdb():
         con.execute(f"create view {t} as select * from read_parquet('{SF_SMALL}/{t}.parquet')")
     for name, sql in entry_mod.oracle_sql().items():
         assert con.execute(sql).fetchall() is not None, name
+
+
+def test_lr_run_writes_samples_without_second_shuffle(spark, tmp_path):
+    """LR: regrid onto T, crop 8×8, coarsen ×4; samples packed from the staged frame."""
+    src_path = str(tmp_path / "lr")
+    g = fixtures.dense_field(spark, SF_SMALL)
+    g.select(F.col("time").alias("Time"), "rlat", "rlon", F.col("v").alias("T2")).write.parquet(src_path)
+    out, s_root = str(tmp_path / "proc"), str(tmp_path / "samples")
+    var = Variable("tas", ["T2"], path=src_path, apply_standardize=True)
+    model = Model("lr", "test", [var])
+    cfg = DataConfig(output_path=out, climate_models=[model], dims=default_dims(),
+                     coords=default_coords(),
+                     time=TimeSelect("20000201T00:00:00", "20050101T00:00:00", [2001], [2004]),
+                     spatial=Spatial(4, IndexRange(2, 10), IndexRange(2, 10)))
+    preprocess.run_variable(spark, model, var, cfg, src_grid=fixtures.dense_grid(spark, SF_SMALL),
+                            hr_ref=fixtures.curvilinear_target(spark), samples_root=s_root)
+    direct = spark.read.parquet(s_root)
+    assert direct.where(F.size("tensor") != 4).count() == 0
+    # the same tensors as packing the written splits afterwards
+    again = str(tmp_path / "again")
+    sample_plans.make_samples(spark, out, again, "tas", 2, 2, ["tas"], ["lr"])
+    a = direct.select("split", "key", "tensor")
+    b = spark.read.parquet(again).select("split", "key", "tensor")
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
+    # packing by (split, time) on a time-clustered frame adds no exchange
+    staged = fixtures.dense_field(spark, SF_SMALL).repartitionByRange(4, "time")
+    from gridloom.operators import samples as S
+    from gridloom.operators import select as sel
+    packed = S.samples_by_time(sel.with_split(staged, [2001], [2004]), "v", 8, 8, group=("split",))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = packed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange") == 1 and "rangepartitioning(time" in plan
