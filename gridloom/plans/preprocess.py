@@ -109,9 +109,11 @@ def run_variable(spark: SparkSession, model: Model, var: Variable, cfg: DataConf
     if var.invariant:
         writers.write_invariant(frame, cfg.output_path, var.name, model.name)
     else:
-        writers.write_splits(frame, cfg.output_path, var.name, model.name, attrs=attrs)
+        ny, nx = sample_shape or _sample_shape(cfg, model.name)
+        time_chunk = next((d.chunksize for d in cfg.dims if d.name == "time"), "auto")
+        writers.write_splits(frame, cfg.output_path, var.name, model.name, attrs=attrs,
+                             max_records_per_file=writers.records_per_file(time_chunk, ny * nx))
         if samples_root is not None:
-            ny, nx = sample_shape or _sample_shape(cfg, model.name)
             tens = samples.samples_by_time(frame, var.name, ny, nx, group=("split",))
             samples.assert_unique_keys(tens, ("split",))
             out = tens.withColumns({"variable": F.lit(var.name), "model": F.lit(model.name)})

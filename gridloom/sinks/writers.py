@@ -73,8 +73,15 @@ def write_dataset(df: DataFrame, path: str, attrs: dict | None = None,
     write_attrs(spark, path, meta)
 
 
+def records_per_file(time_chunksize, cells_per_step: int) -> int | None:
+    """A time chunk of ``n`` steps → files of at most ``n`` steps (K4); -1/"auto" → no cap."""
+    if isinstance(time_chunksize, int) and time_chunksize > 0:
+        return time_chunksize * cells_per_step
+    return None
+
+
 def write_splits(df: DataFrame, root: str, variable: str, model: str,
-                 attrs: dict | None = None) -> None:
+                 attrs: dict | None = None, max_records_per_file: int | None = None) -> None:
     """One output per (variable, split, model), partitioned by year too (K2).
 
     ``df`` carries a ``split`` column; the layout is
@@ -83,7 +90,8 @@ def write_splits(df: DataFrame, root: str, variable: str, model: str,
     from pyspark.sql import functions as F
     out = df.withColumns({"variable": F.lit(variable), "model": F.lit(model),
                           "year": F.year("time").cast("int")})
-    write_dataset(out, root, attrs=None, partition_by=("variable", "model", "split", "year"))
+    write_dataset(out, root, attrs=None, partition_by=("variable", "model", "split", "year"),
+                  max_records_per_file=max_records_per_file)
     if attrs:
         write_attrs(df.sparkSession, f"{root.rstrip('/')}/variable={variable}/model={model}", attrs)
 

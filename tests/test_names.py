@@ -112,3 +112,66 @@ def test_order_and_drop(spark):
                                "v double, rlon int, rlat int, time int, lat double, lon double")
     out = names.order_dims(names.drop_coords(df))
     assert out.columns == ["time", "rlat", "rlon", "v"]
+
+
+def test_load_config_yaml(tmp_path):
+    from gridloom.config import load_config
+    text = """
+_target_: some.Target
+output_path: /tmp/out
+climate_models:
+  - _target_: x.Model
+    name: hr
+    info: "HR"
+    climate_variables:
+      - _target_: x.Variable
+        name: "U10"
+        alternative_names: ["u10", "uas"]
+        path: a/b.parquet
+        is_west_negative: true
+        invariant: false
+  - _target_: x.Model
+    name: lr
+    info: "LR"
+    hr_ref:
+      _target_: x.Variable
+      name: "hr_ref"
+      alternative_names: ["T2"]
+      path: ref.parquet
+      is_west_negative: true
+    climate_variables:
+      - _target_: x.Variable
+        name: "tas"
+        alternative_names: ["T2"]
+        path: lr.parquet
+        is_west_negative: false
+        apply_standardize: false
+        apply_normalize: true
+        transform: null
+dims:
+  - name: time
+    alternative_names: ["Time"]
+    chunksize: 100
+coords:
+  - name: lat
+    alternative_names: ["latitude"]
+select:
+  time:
+    range: {start: "20001001T06:00:00", end: "20150928T12:00:00"}
+    test_years: [2000, 2009, 2014]
+    validation_years: [2015]
+  spatial:
+    scale_factor: 8
+    x: {first_index: 110, last_index: 622}
+    y: {first_index: 20, last_index: 532}
+loader: {batch_size: 12, randomize: true, seed: 0}
+"""
+    p = tmp_path / "c.yaml"
+    p.write_text(text)
+    cfg = load_config(str(p))
+    assert [m.name for m in cfg.climate_models] == ["hr", "lr"]
+    lr = cfg.climate_models[1]
+    assert lr.hr_ref.name == "hr_ref" and lr.climate_variables[0].apply_normalize
+    assert lr.climate_variables[0].transforms() == []
+    assert cfg.time.test_years == [2000, 2009, 2014] and cfg.spatial.x.last_index == 622
+    assert cfg.dims[0].chunksize == 100 and cfg.loader.batch_size == 12
