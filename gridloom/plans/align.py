@@ -92,13 +92,14 @@ def align_grid(cells: DataFrame, src_grid: DataFrame, tgt_grid: DataFrame, scale
     regrid.check_inputs(src_grid, tgt_grid)
     target, out_shape = _cropped_target(tgt_grid, scale_factor, x, y, tgt_shape)
     weights = regrid.grid_weights(src_grid, target)
-    # ≤ 4 weight rows per cropped target point: a bound known without a job
-    small = 4 * out_shape.ny * out_shape.nx <= regrid.MAX_BROADCAST_ROWS
+    # ≤ 4 weight rows per cropped target point: a bound known without a job;
+    # past the broadcast bound the targets are applied in bands
     keys = tuple(k for k in keys if k in cells.columns)
     if profile is None and "time" in keys:
         profile = profile_source(cells, value, keys)
     cells = _by_time(cells, keys, profile, out_shape.ny * out_shape.nx)
-    return regrid.apply_weights(cells, weights, value, keys, broadcast=small)
+    return regrid.apply_weights_tiled(cells, weights, value, keys, out_shape.ny,
+                                      out_shape.ny * out_shape.nx)
 
 
 def align_with_lr(cells: DataFrame, src_grid: DataFrame, tgt_grid: DataFrame, scale_factor: int,
@@ -128,14 +129,14 @@ def align_with_lr(cells: DataFrame, src_grid: DataFrame, tgt_grid: DataFrame, sc
           and profile.rows == profile.steps * info.get("source_cells", -1))
     if compose is True and not ok:
         raise ValueError("composed weights need a dense, null-free source")
-    small = 4 * n_targets <= regrid.MAX_BROADCAST_ROWS
     if ok:
         composed = regrid.compose_coarsen(weights, scale_factor)
         blocks = n_targets // (scale_factor * scale_factor)
-        return regrid.apply_weights(_by_time(cells, keys, profile, blocks), composed, value, keys,
-                                    broadcast=small)
+        # composed rows ≤ uncomposed rows ≤ 4 per target point
+        return regrid.apply_weights_tiled(_by_time(cells, keys, profile, blocks), composed, value,
+                                          keys, out_shape.ny // scale_factor, n_targets)
     by_time = _by_time(cells, keys, profile, n_targets)
-    aligned = regrid.apply_weights(by_time, weights, value, keys, broadcast=small)
+    aligned = regrid.apply_weights_tiled(by_time, weights, value, keys, out_shape.ny, n_targets)
     return aggregate.coarsen(aligned, scale_factor, value, shape=out_shape, keys=keys)
 
 

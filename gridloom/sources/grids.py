@@ -62,11 +62,26 @@ def load_grid(spark: SparkSession, path: str | Sequence[str],
     return out
 
 
+def collapse_copies(df: DataFrame, on: Sequence[str]) -> DataFrame:
+    """One row per coordinate key: copies of a cell (a file listed twice) collapse.
+
+    A partial + final aggregate, so copies of even a very hot key are merged
+    map-side before anything is shuffled.
+    """
+    values = [c for c in df.columns if c not in on]
+    return df.groupBy(*on).agg(*[F.max(c).alias(c) for c in values])
+
+
 def combine_variables(a: DataFrame, b: DataFrame,
                       keys: Sequence[str] = COORD_COLUMNS) -> DataFrame:
-    """Full outer join of two variables on their shared coordinates."""
+    """Full outer join of two variables on their shared coordinates.
+
+    Each side first collapses copies of a cell; the join then reuses that
+    hash partitioning (no further exchange) and every key matches at most one
+    row per side, so no key can blow up or skew the join.
+    """
     on = [k for k in keys if k in a.columns and k in b.columns]
-    return a.join(b, on=on, how="full_outer")
+    return collapse_copies(a, on).join(collapse_copies(b, on), on=on, how="full_outer")
 
 
 def existing_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:

@@ -75,17 +75,29 @@ def test_missing_corner_is_null(spark):
     assert got[(0, 0, 4)] == pytest.approx(affine(40.5, 202.5))
 
 
-def test_broadcast_and_shuffle_paths_agree(spark):
+def test_broadcast_and_banded_paths_agree(spark):
     lats, lons = np.arange(40, 46, 1.0), np.arange(200, 206, 1.0)
     rng = np.random.default_rng(1)
     pts = list(zip(rng.uniform(40, 45, 40), rng.uniform(200, 205, 40)))
     src, sg, tg = field(spark, lats, lons), grid_frame(spark, lats, lons), targets(spark, pts)
     a = regrid.interpolate(src, sg, tg, "v")
-    b = regrid.interpolate(src, sg, tg, "v", max_broadcast_rows=0)
+    b = regrid.interpolate(src, sg, tg, "v", max_broadcast_rows=40)   # 4 bands of 10 targets
     assert result(a) == pytest.approx(result(b))
     plan = b._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" not in plan.split("apply")[0] or "SortMergeJoin" in plan \
-        or "ShuffledHashJoin" in plan
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert plan.count("BroadcastHashJoin") >= 4
+
+
+def test_banded_align_equals_single(spark):
+    lats, lons = np.arange(40, 48, 1.0), np.arange(200, 208, 1.0)
+    src, sg = field(spark, lats, lons, fn=lambda a, b: a * 0.3 - b), grid_frame(spark, lats, lons)
+    tg = spark.createDataFrame([(j, i, 40.2 + 0.8 * j, 200.3 + 0.8 * i) for j in range(8) for i in range(8)],
+                               "rlat int, rlon int, lat double, lon double")
+    w = regrid.bilinear_weights(sg, tg)
+    one = regrid.apply_weights(src, w, "v")
+    many = regrid.apply_weights_tiled(src, w, "v", ("time",), 8, 64, max_rows=40)
+    assert result(many) == pytest.approx(result(one))
+    assert many.count() == one.count()
 
 
 def test_no_nested_loop_or_cartesian(spark):
