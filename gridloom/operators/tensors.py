@@ -17,18 +17,38 @@ def complete(count: Column, ny: int, nx: int) -> Column:
     return count == F.lit(ny * nx)
 
 
+def guard_group_sizes(df: DataFrame, keys: list[str], ny: int, nx: int) -> None:
+    """Raise before packing when a step holds more than ``ny·nx`` cells or cells off the grid.
+
+    One partial aggregate (one small row per step and task crosses the
+    shuffle), so a step inflated by copies is caught without ever being
+    collected; afterwards every packed group is bounded by the grid size.
+    """
+    off = ((F.col("rlat") < 0) | (F.col("rlat") >= ny) | (F.col("rlon") < 0)
+           | (F.col("rlon") >= nx)).cast("int")
+    bad = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(off).alias("_off"))
+           .where((F.col("_n") > ny * nx) | (F.col("_off") > 0)).limit(1).collect())
+    if bad:
+        r = bad[0]
+        raise ValueError(f"step {[r[k] for k in keys]} holds {r['_n']} cells "
+                         f"({r['_off']} off the {ny}x{nx} grid); expected at most {ny * nx}")
+
+
 def pack(df: DataFrame, value: str, ny: int, nx: int, keys: tuple[str, ...] = ("time",),
          check: bool = True, element_type: str = "float", out: str = "tensor",
          extra: dict[str, Column] | None = None) -> DataFrame:
     """One row-major tensor per step.
 
-    With ``check`` a step that lacks a cell or holds a missing value raises at
-    run time (the reference refuses NaN samples), and so does a step holding
-    more than ``ny·nx`` cells (duplicate keys).  ``extra`` aggregates ride
+    With ``check`` a step holding more than ``ny·nx`` cells (copies, or two
+    steps in one hour) raises before anything is collected, and a step that
+    lacks a cell or holds a missing value raises at run time (the reference
+    refuses NaN samples).  ``extra`` aggregates ride
     along in the same (single) aggregation.
     """
     keys = list(keys)
     extra = extra or {}
+    if check:
+        guard_group_sizes(df, keys, ny, nx)
     cells = F.sort_array(F.collect_list(F.struct(F.col("rlat"), F.col("rlon"),
                                                  F.col(value).alias("v"))))
     g = df.groupBy(*keys).agg(cells.alias("_cells"), F.count(value).alias("_n"),

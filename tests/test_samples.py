@@ -45,10 +45,20 @@ def test_incomplete_sample_raises(spark):
 def test_same_hour_steps_raise(spark):
     rows = [(T0 + dt.timedelta(minutes=m), 0, 0, 1.0) for m in (0, 30)]
     df = spark.createDataFrame(rows, "time timestamp_ntz, rlat int, rlon int, v double")
-    with pytest.raises(Exception, match="missing or duplicate"):
+    with pytest.raises(ValueError, match="holds 2 cells"):
         samples.samples(df, "v", 1, 1).collect()
 
 
+def test_copies_and_off_grid_cells_raise_before_packing(spark):
+    rows = [(T0, y, x, 1.0) for y in range(2) for x in range(2)]
+    df = spark.createDataFrame(rows * 3, "time timestamp_ntz, rlat int, rlon int, v double")
+    with pytest.raises(ValueError, match="holds 12 cells"):
+        tensors.pack(df, "v", 2, 2)
+    off = spark.createDataFrame(rows[:3] + [(T0, 5, 0, 1.0)], df.schema)
+    with pytest.raises(ValueError, match="off the 2x2 grid"):
+        tensors.pack(off, "v", 2, 2)
+
+
 def test_sample_keys(spark):
     df = spark.createDataFrame([(dt.datetime(2001, 2, 3, 4, 0), 0, 0, 1.0)],
                                "time timestamp_ntz, rlat int, rlon int, v double")
