@@ -41,11 +41,14 @@ class SparseWeights:
 
 def sparse_weights(weights: DataFrame, nx_in: int, n_in: int, nx_out: int, n_out: int,
                    max_rows: int = MAX_BROADCAST_ROWS) -> SparseWeights:
-    """Weight frame → sorted arrays, after checking the proven row bound."""
-    n = weights.count()
-    if n > max_rows:
-        raise ValueError(f"{n} weight rows exceed the broadcast bound {max_rows}; "
-                         "use the cell-form regrid (shuffle join) instead")
+    """Weight frame → sorted arrays, after checking the proven row bound.
+
+    Bilinear (and composed) weights hold at most 4 rows per output point, so
+    ``4 · n_out`` bounds the frame before anything is collected.
+    """
+    if 4 * n_out > max_rows:
+        raise ValueError(f"up to {4 * n_out} weight rows exceed the broadcast bound {max_rows}; "
+                         "use the cell-form regrid (banded broadcast joins) instead")
     pdf = (weights.select((F.col("rlat") * nx_out + F.col("rlon")).alias("o"),
                           (F.col("sy") * nx_in + F.col("sx")).alias("i"), "w")
            .toPandas().sort_values(["o", "i"], kind="stable"))

@@ -36,18 +36,19 @@ def guard_group_sizes(df: DataFrame, keys: list[str], ny: int, nx: int) -> None:
 
 def pack(df: DataFrame, value: str, ny: int, nx: int, keys: tuple[str, ...] = ("time",),
          check: bool = True, element_type: str = "float", out: str = "tensor",
-         extra: dict[str, Column] | None = None) -> DataFrame:
+         extra: dict[str, Column] | None = None, unique_cells: bool = False) -> DataFrame:
     """One row-major tensor per step.
 
     With ``check`` a step holding more than ``ny·nx`` cells (copies, or two
     steps in one hour) raises before anything is collected, and a step that
     lacks a cell or holds a missing value raises at run time (the reference
-    refuses NaN samples).  ``extra`` aggregates ride
-    along in the same (single) aggregation.
+    refuses NaN samples).  ``unique_cells`` (frames produced by a
+    ``groupBy(time, rlat, rlon)``, which cannot hold copies) skips the
+    pre-check scan.  ``extra`` aggregates ride along in the same aggregation.
     """
     keys = list(keys)
     extra = extra or {}
-    if check:
+    if check and not unique_cells:
         guard_group_sizes(df, keys, ny, nx)
     cells = F.sort_array(F.collect_list(F.struct(F.col("rlat"), F.col("rlon"),
                                                  F.col(value).alias("v"))))

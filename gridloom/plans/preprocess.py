@@ -114,7 +114,9 @@ def run_variable(spark: SparkSession, model: Model, var: Variable, cfg: DataConf
         writers.write_splits(frame, cfg.output_path, var.name, model.name, attrs=attrs,
                              max_records_per_file=writers.records_per_file(time_chunk, ny * nx))
         if samples_root is not None:
-            tens = samples.samples_by_time(frame, var.name, ny, nx, group=("split",))
+            # LR frames come out of groupBy(time, rlat, rlon): no copies possible
+            tens = samples.samples_by_time(frame, var.name, ny, nx, group=("split",),
+                                           unique_cells=model.name in LR_MODELS)
             samples.assert_unique_keys(tens, ("split",))
             out = tens.withColumns({"variable": F.lit(var.name), "model": F.lit(model.name)})
             writers.write_samples(out, samples_root, partition_by=("variable", "model", "split"))
