@@ -53,7 +53,8 @@ def dense_grid(spark: SparkSession, sf_dir: str, west_negative: bool = False) ->
     ``west_negative`` gives longitudes in -180..180 (for the 0..360 shift).
     """
     n = DENSE_SIDE
-    cells = spark.range(n * n).select(F.floor(F.col("id") / n).cast("int").alias("rlat"),
+    # grid definitions are metadata: one partition is enough
+    cells = spark.range(0, n * n, 1, 1).select(F.floor(F.col("id") / n).cast("int").alias("rlat"),
                                       (F.col("id") % n).cast("int").alias("rlon"))
     lon0 = DENSE_LON0 - 360.0 if west_negative else DENSE_LON0
     return cells.select("rlat", "rlon",
@@ -95,7 +96,7 @@ def lead_field(spark: SparkSession, sf_dir: str, value: str = "v") -> DataFrame:
 def curvilinear_target(spark: SparkSession, lat_shift: float = 0.0) -> DataFrame:
     """T: 12×12 rotated target grid over G's area (a grid definition, not data)."""
     n = TARGET_SIDE
-    pts = spark.range(n * n).select(
+    pts = spark.range(0, n * n, 1, 1).select(
         F.floor(F.col("id") / n).alias("rlat"), (F.col("id") % n).alias("rlon"))
     return pts.select(
         F.col("rlat").cast("int").alias("rlat"), F.col("rlon").cast("int").alias("rlon"),
