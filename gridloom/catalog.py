@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .config import Dimension, Variable
+from .config import Variable
 from .functions import scalars
 from .functions.expr import transform_column
 from .operators import aggregate, names, regrid, samples, scale, select, tensor_regrid, tensors

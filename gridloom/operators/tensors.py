@@ -76,14 +76,6 @@ def unpack(df: DataFrame, value: str = "v", tensor: str = "tensor",
                            F.nanvl(F.col("_v").cast("double"), F.lit(None).cast("double")).alias(value))
 
 
-def assert_complete(df: DataFrame, value: str, keys: tuple[str, ...], ny: int,
-                    nx: int) -> DataFrame:
-    """Fail the job if a step is incomplete; otherwise pass the rows through."""
-    counts = df.groupBy(*keys).agg(F.count(value).alias("_n"))
-    bad = counts.where(~complete(F.col("_n"), ny, nx))
-    return bad.select(F.raise_error(F.lit("incomplete step")).alias("_err"))
-
-
 def tensor_has_missing(tensor: str | Column) -> Column:
     t = F.col(tensor) if isinstance(tensor, str) else tensor
     return F.exists(t, lambda e: e.isNull() | F.isnan(e))

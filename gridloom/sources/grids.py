@@ -35,11 +35,6 @@ def null_nans(df: DataFrame, keys: Iterable[str] = COORD_COLUMNS) -> DataFrame:
     return df.withColumns(fix) if fix else df
 
 
-def value_columns(df: DataFrame, keys: Iterable[str] = COORD_COLUMNS) -> list[str]:
-    keys = set(keys)
-    return [c for c in df.columns if c not in keys]
-
-
 def load_grid(spark: SparkSession, path: str | Sequence[str],
               keys: Sequence[str] = COORD_COLUMNS) -> DataFrame:
     """Open one path, a glob or a list of paths.
@@ -117,7 +112,3 @@ def load_reference_grid(spark: SparkSession, path: str | Sequence[str] | DataFra
     """
     df = path if isinstance(path, DataFrame) else spark.read.parquet(*_paths(path))
     return df.select(rlat, rlon, "lat", "lon").dropDuplicates([rlat, rlon])
-
-
-def with_nulls_for_nan(df: DataFrame, column: str) -> DataFrame:
-    return df.withColumn(column, F.nanvl(F.col(column), F.lit(None).cast("double")))

@@ -1,7 +1,6 @@
 import datetime as dt
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from gridloom.sinks import writers
@@ -78,3 +77,39 @@ def test_stats_sidecar(spark, tmp_path):
     writers.write_train_stats(spark, str(tmp_path), "tas", "hr", {"mean": 1.0, "std": 2.0})
     got = writers.read_attrs(spark, str(tmp_path / "train" / "tas_train_hr_attrs"))
     assert got == {"attributes": {"mean": 1.0, "std": 2.0}}
+
+
+def test_cut_sources_skips_missing(spark, tmp_path):
+    from gridloom.plans import cuts
+    p = str(tmp_path / "pr")
+    rows = [(dt.datetime(2001, 1, d, h), y, x, float(d)) for d in (1, 2, 3) for h in (0, 12)
+            for y in range(3) for x in range(3)]
+    spark.createDataFrame(rows, "time timestamp_ntz, rlat int, rlon int, pr double").write.parquet(p)
+    grid = spark.createDataFrame([(y, x, 46.0 + y, 208.0 + x) for y in range(3) for x in range(3)],
+                                 "rlat int, rlon int, lat double, lon double")
+    out = cuts.cut_sources(spark, [p, str(tmp_path / "missing")], grid,
+                           {"lon_min": 209, "lon_max": 210, "lat_min": 46, "lat_max": 47},
+                           "20010102", "20010102")
+    assert list(out) == [p]
+    got = out[p]
+    assert got.count() == 2 * 2 * 2 and got.agg(F.max("rlat"), F.max("rlon")).first() == (1, 1)
+
+
+def test_expand_glob_sorted(tmp_path):
+    for n in ("b.parquet", "a.parquet", "c.txt"):
+        (tmp_path / n).write_text("")
+    assert [os.path.basename(p) for p in grids.expand_glob(str(tmp_path / "*.parquet"))] == \
+        ["a.parquet", "b.parquet"]
+
+
+def test_bounds_counts_and_grid_coarsening(spark):
+    from gridloom.operators import aggregate
+    rows = [(dt.datetime(2000, 1, 1, h), y, x, 1.0) for h in range(3) for y in range(2) for x in range(2)]
+    df = spark.createDataFrame(rows, "time timestamp_ntz, rlat int, rlon int, v double")
+    assert aggregate.axis_bounds(df, "time") == (dt.datetime(2000, 1, 1, 0), dt.datetime(2000, 1, 1, 2))
+    r = aggregate.step_counts(df).first()
+    assert (r.n_cells, r.n_steps) == (12, 3)
+    grid = spark.createDataFrame([(y, x, 40.0 + y, 200.0 + 2 * x) for y in range(4) for x in range(4)],
+                                 "rlat int, rlon int, lat double, lon double")
+    cg = {(r.rlat, r.rlon): (r.lat, r.lon) for r in aggregate.coarsen_grid(grid, 2).collect()}
+    assert cg[(0, 0)] == (40.5, 201.0) and cg[(1, 1)] == (42.5, 205.0)
