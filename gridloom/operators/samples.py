@@ -120,7 +120,8 @@ def assignment_fits_broadcast(assignment: DataFrame, max_keys: int = MAX_BROADCA
 
 
 def batches(sample_frame: DataFrame, assignment: DataFrame, group: Sequence[str] = (),
-            check: bool = True, broadcast_assignment: bool = False) -> DataFrame:
+            check: bool = True, broadcast_assignment: bool = False,
+            name_col: str = "key") -> DataFrame:
     """Stack the tensors of each batch: ``(*group, batch_id, name, keys, tensors)``.
 
     Groups hold at most ``batch_size`` tensors.  A batch containing a missing
@@ -130,8 +131,9 @@ def batches(sample_frame: DataFrame, assignment: DataFrame, group: Sequence[str]
     """
     group = list(group)
     side = F.broadcast(assignment) if broadcast_assignment else assignment
-    j = sample_frame.select(*group, "key", "tensor").join(side, [*group, "key"])
-    members = F.sort_array(F.collect_list(F.struct("slot", "key", "tensor")))
+    names = F.col(name_col) if name_col != "key" else F.col("key")
+    j = sample_frame.select(*group, "key", names.alias("_name"), "tensor").join(side, [*group, "key"])
+    members = F.sort_array(F.collect_list(F.struct("slot", "key", "_name", "tensor")))
     g = j.groupBy(*group, "batch_id").agg(members.alias("_m"))
     tensors = F.transform("_m", lambda m: m["tensor"])
     if check:
@@ -139,16 +141,20 @@ def batches(sample_frame: DataFrame, assignment: DataFrame, group: Sequence[str]
         tensors = F.when(~bad, tensors).otherwise(
             F.raise_error(F.concat(F.lit("missing values in batch "), F.col("batch_id").cast("string"))))
     return g.select(*group, "batch_id",
-                    F.array_join(F.transform("_m", lambda m: m["key"]), "__").alias("name"),
+                    F.array_join(F.transform("_m", lambda m: m["_name"]), "__").alias("name"),
                     F.transform("_m", lambda m: m["key"]).alias("keys"),
                     tensors.alias("tensors"))
 
 
 def masks(sample_frame: DataFrame, threshold: float | None = None) -> DataFrame:
-    """Rain/no-rain mask tensors ``mask_{key}`` from standardized precipitation samples."""
+    """Rain/no-rain mask tensors from standardized precipitation samples.
+
+    ``key`` (and ``name`` when present) get the ``mask_`` prefix.
+    """
+    renamed = {c: F.concat(F.lit("mask_"), F.col(c)).alias(c)
+               for c in ("key", "name") if c in sample_frame.columns}
     return sample_frame.select(
-        *[c for c in sample_frame.columns if c not in ("tensor", "key")],
-        F.concat(F.lit("mask_"), F.col("key")).alias("key"),
+        *[renamed.get(c, F.col(c)) for c in sample_frame.columns if c != "tensor"],
         rain_mask_tensor("tensor", threshold).alias("tensor"))
 
 

@@ -118,7 +118,8 @@ def run_variable(spark: SparkSession, model: Model, var: Variable, cfg: DataConf
             tens = samples.samples_by_time(frame, var.name, ny, nx, group=("split",),
                                            unique_cells=model.name in LR_MODELS)
             samples.assert_unique_keys(tens, ("split",))
-            out = tens.withColumns({"variable": F.lit(var.name), "model": F.lit(model.name)})
+            out = tens.withColumns({"variable": F.lit(var.name), "model": F.lit(model.name),
+                                    "name": F.concat(F.lit(f"{var.name}_"), F.col("key"))})
             writers.write_samples(out, samples_root, partition_by=("variable", "model", "split"))
             writers.write_train_stats(spark, samples_root, var.name, model.name, attrs)
     log.info("Done processing %s in %s (%.1fs)", var.name, model.info, _time.time() - t0)

@@ -37,10 +37,16 @@ def read_splits(spark: SparkSession, root: str, variables: Sequence[str] | None
     return df.where(F.col("split").isin(list(splits)))
 
 
+def sample_name(variable: str = "variable", key: str = "key"):
+    """Sample name ``{variable}_{yyyy-MM-dd-HH}`` (the stem batches are named after)."""
+    return F.concat(F.col(variable), F.lit("_"), F.col(key))
+
+
 def sample_frame(cells: DataFrame, value: str, ny: int, nx: int,
                  group: Sequence[str] = GROUP, check: bool = True) -> DataFrame:
     """Cells ``(*group, time, rlat, rlon, value)`` → one tensor row per (group, key)."""
-    return S.samples(cells, value, ny, nx, group=group, check=check)
+    out = S.samples(cells, value, ny, nx, group=group, check=check)
+    return out.withColumn("name", sample_name()) if "variable" in out.columns else out
 
 
 def make_samples(spark: SparkSession, split_root: str, sample_root: str, value: str,
@@ -72,7 +78,9 @@ def batch_frame(sample_rows: DataFrame, batch_size: int, seed: int = 0,
     keys = sample_rows.select(*group, "key")
     assignment = S.assign_batches(keys, batch_size, seed, group=group, randomize=randomize)
     small = S.assignment_fits_broadcast(assignment)
-    return S.batches(sample_rows, assignment, group=group, broadcast_assignment=small)
+    name_col = "name" if "name" in sample_rows.columns else "key"
+    return S.batches(sample_rows, assignment, group=group, broadcast_assignment=small,
+                     name_col=name_col)
 
 
 def make_batches(spark: SparkSession, sample_root: str, batch_root: str, batch_size: int,

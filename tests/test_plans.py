@@ -56,6 +56,9 @@ def test_preprocess_hr_end_to_end(spark, hr_input, tmp_path):
     sample_plans.make_batches(spark, s_root, b_root, 4, seed=0)
     b = spark.read.parquet(b_root)
     assert b.agg(F.sum(F.size("tensors"))).first()[0] == s.count()
+    assert s.where(F.col("name") != F.concat(F.lit("tas_"), F.col("key"))).count() == 0
+    first = b.first()
+    assert first.name == "__".join(f"tas_{k}" for k in first["keys"])
     assert writers.read_attrs(spark, f"{s_root}/train/tas_train_hr_attrs")["attributes"]["std"] > 0
 
 
@@ -95,6 +98,9 @@ def test_mask_plan(spark, tmp_path):
     sample_plans.make_masks(spark, s_root, m_root)
     got = {r.key: list(r.tensor) for r in spark.read.parquet(m_root).collect()}
     assert got == {"mask_2000-01-01-00": [0, 1], "mask_2000-01-01-01": [1, 0]}
+    named = sample_plans.mask_frame(spark.createDataFrame(
+        [("pr_2000-01-01-00", "2000-01-01-00", [1.0])], "name string, key string, tensor array<double>"))
+    assert named.first().name == "mask_pr_2000-01-01-00"
 
 
 def test_lead_unfold(spark):
