@@ -200,17 +200,69 @@ class _Compiler:
         return builder(*[self.visit(a) for a in node.args])
 
 
+def trial_value(tree: ast.AST, x: float = 1.0):
+    """Evaluate the whitelisted expression once at a Python float ``x``.
+
+    Mirrors the configuration check of the original pipeline: arithmetic on
+    Python floats raises (``1 / (x - 1)`` → ZeroDivisionError) while numpy
+    calls return numpy scalars and only warn.  Errors propagate unchanged.
+    """
+    import numpy as np
+
+    def ev(node):
+        if isinstance(node, ast.Expression):
+            return ev(node.body)
+        if isinstance(node, ast.Constant):
+            return node.value
+        if isinstance(node, ast.Name):
+            return x
+        if isinstance(node, ast.Attribute):
+            return _CONSTANTS[node.attr]
+        if isinstance(node, ast.UnaryOp):
+            v = ev(node.operand)
+            return -v if isinstance(node.op, ast.USub) else +v
+        if isinstance(node, ast.BinOp):
+            a, b = ev(node.left), ev(node.right)
+            op = type(node.op)
+            return {ast.Add: lambda: a + b, ast.Sub: lambda: a - b, ast.Mult: lambda: a * b,
+                    ast.Div: lambda: a / b, ast.FloorDiv: lambda: a // b,
+                    ast.Mod: lambda: a % b, ast.Pow: lambda: a ** b}[op]()
+        if isinstance(node, ast.Compare):
+            left, out = ev(node.left), True
+            for op_node, rn in zip(node.ops, node.comparators):
+                right = ev(rn)
+                out = out and {ast.Lt: left < right, ast.LtE: left <= right, ast.Gt: left > right,
+                               ast.GtE: left >= right, ast.Eq: left == right,
+                               ast.NotEq: left != right}[type(op_node)]
+                left = right
+            return out
+        if isinstance(node, ast.Call):
+            args = [ev(a) for a in node.args]
+            if isinstance(node.func, ast.Name):
+                return abs(*args)
+            with np.errstate(all="ignore"):
+                # names were checked against the whitelist by the compiler
+                return getattr(np, node.func.attr)(*args)
+        raise ValueError(f"unsupported {type(node).__name__}")
+
+    return ev(tree)
+
+
 def compile_transform(source: str, x: Column) -> Column:
     """Compile one transform string into a Column over ``x``.
 
     Raises SyntaxError for invalid Python, NameError for unknown names and
-    ValueError for constructs outside the whitelist.
+    ValueError for constructs outside the whitelist; the expression is then
+    tried once at ``x = 1.0`` and any error of that trial (for example
+    ZeroDivisionError) propagates as it is.
     """
     try:
         tree = ast.parse(source.strip(), mode="eval")
     except SyntaxError as exc:
         raise SyntaxError(f"Invalid transform in config {source}.") from exc
-    return _Compiler(x, source).visit(tree)
+    column = _Compiler(x, source).visit(tree)     # validates names first
+    trial_value(tree, 1.0)
+    return column
 
 
 def transform_column(x: Column, transforms: list[str]) -> Column:

@@ -230,3 +230,17 @@ def test_nan_treated_as_missing(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "v double")
     st = aggregate.fit_stats(df.withColumn("v", scalars.nan_to_null("v")), "v")
     assert st.mean == 2.0 and st.count == 2
+
+
+@pytest.mark.parametrize("expr,err", [("1 / (x - 1)", ZeroDivisionError), ("x // 0", ZeroDivisionError),
+                                      ("x % (x - 1)", ZeroDivisionError)])
+def test_transform_trial_at_one_raises(expr, err):
+    with pytest.raises(err):
+        compile_transform(expr, F.col("x"))
+
+
+def test_transform_trial_numpy_only_warns(spark):
+    # numpy scalars do not raise at x = 1.0; the values are missing where undefined
+    df = spark.createDataFrame([(1.0,), (2.0,)], "x double")
+    got = values_of(df, transform_column(F.col("x"), ["np.log(x - 1)"]))
+    assert got[0] is None and got[1] == pytest.approx(0.0)
