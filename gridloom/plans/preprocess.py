@@ -151,9 +151,16 @@ def source_grid(cells: DataFrame) -> DataFrame:
     return cells.select("rlat", "rlon", "lat", "lon").dropDuplicates(["rlat", "rlon"])
 
 
-def preprocess(spark: SparkSession, cfg: DataConfig) -> dict:
-    """Every model and variable in turn (P7); returns attributes per output."""
-    out = {}
+def preprocess(spark: SparkSession, cfg: DataConfig, parallel: int = 1,
+               samples_root: str | None = None) -> dict:
+    """Every model and variable (P7); returns attributes per output.
+
+    Variables are independent, so with ``parallel > 1`` their jobs are
+    submitted from a thread pool and Spark runs them side by side (use the
+    FAIR scheduler to share executors evenly).  Each variable writes its own
+    partitions (dynamic overwrite), so concurrent writes do not collide.
+    """
+    tasks = []
     for model in cfg.climate_models:
         hr_ref = reference_grid(spark, model, cfg)
         for var in model.climate_variables:
@@ -163,6 +170,15 @@ def preprocess(spark: SparkSession, cfg: DataConfig) -> dict:
                                        cfg.dims)
                 if {"lat", "lon"} <= set(raw.columns):
                     src = source_grid(raw)
-            out[(model.name, var.name)] = run_variable(spark, model, var, cfg, src, hr_ref)
-    return out
-
+            tasks.append((model, var, src, hr_ref))
+
+    def run(t):
+        model, var, src, ref = t
+        return (model.name, var.name), run_variable(spark, model, var, cfg, src, ref,
+                                                    samples_root=samples_root)
+
+    if parallel <= 1:
+        return dict(run(t) for t in tasks)
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        return dict(pool.map(run, tasks))

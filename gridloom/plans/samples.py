@@ -60,9 +60,10 @@ def make_samples(spark: SparkSession, split_root: str, sample_root: str, value:
         for model in models or []:
             try:
                 attrs = writers.read_attrs(spark, f"{split_root.rstrip('/')}/variable={var}/model={model}")
-            except Exception:  # noqa: BLE001 - no statistics were recorded (unscaled)
+            except Exception:  # noqa: BLE001 - no sidecar was written
                 attrs = {}
-            writers.write_train_stats(spark, sample_root, var, model, attrs)
+            stats = {k: v for k, v in attrs.items() if k != "history"}
+            writers.write_train_stats(spark, sample_root, var, model, stats)
 
 
 def list_samples(spark: SparkSession, sample_root: str, variable: str, model: str,

@@ -51,10 +51,12 @@ def cluster_by_time(df: DataFrame, time: str = "time", partitions: int | None =
 
 def write_dataset(df: DataFrame, path: str, attrs: dict | None = None,
                   partition_by: Sequence[str] = (), max_records_per_file: int | None = None,
-                  cluster: bool = False) -> None:
+                  cluster: bool = False, attrs_path: str | None = None) -> None:
     """Overwrite ``path`` with ``df`` and record ``history`` (K1, K4).
 
-    An empty frame still writes its schema and the sidecar.
+    An empty frame still writes its schema and the sidecar.  ``attrs_path``
+    puts the sidecar next to one partition (so concurrent writers of
+    different partitions never share it).
     """
     spark = df.sparkSession
     if cluster:
@@ -70,7 +72,7 @@ def write_dataset(df: DataFrame, path: str, attrs: dict | None = None,
     w.parquet(path)
     meta = {"history": history_line()}
     meta.update(attrs or {})
-    write_attrs(spark, path, meta)
+    write_attrs(spark, attrs_path or path, meta)
 
 
 def records_per_file(time_chunksize, cells_per_step: int) -> int | None:
@@ -90,17 +92,17 @@ def write_splits(df: DataFrame, root: str, variable: str, model: str,
     from pyspark.sql import functions as F
     out = df.withColumns({"variable": F.lit(variable), "model": F.lit(model),
                           "year": F.year("time").cast("int")})
-    write_dataset(out, root, attrs=None, partition_by=("variable", "model", "split", "year"),
-                  max_records_per_file=max_records_per_file)
-    if attrs:
-        write_attrs(df.sparkSession, f"{root.rstrip('/')}/variable={variable}/model={model}", attrs)
+    write_dataset(out, root, attrs=attrs, partition_by=("variable", "model", "split", "year"),
+                  max_records_per_file=max_records_per_file,
+                  attrs_path=f"{root.rstrip('/')}/variable={variable}/model={model}")
 
 
 def write_invariant(df: DataFrame, root: str, variable: str, model: str) -> None:
     """Invariant fields: ``root/variable=…/model=…`` with no split (K3)."""
     from pyspark.sql import functions as F
     out = df.withColumns({"variable": F.lit(variable), "model": F.lit(model)})
-    write_dataset(out, root, partition_by=("variable", "model"))
+    write_dataset(out, root, partition_by=("variable", "model"),
+                  attrs_path=f"{root.rstrip('/')}/variable={variable}/model={model}")
 
 
 def write_samples(samples: DataFrame, root: str, partition_by: Sequence[str] = ("split",)) -> None:

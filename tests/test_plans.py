@@ -179,3 +179,19 @@ def test_lr_run_writes_samples_without_second_shuffle(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert plan.count("Exchange") == 1 and "rangepartitioning(time" in plan
+
+
+def test_preprocess_variables_in_parallel(spark, hr_input, tmp_path):
+    a, b = str(tmp_path / "seq"), str(tmp_path / "par")
+    vars_ = [Variable("tas", ["T2"], path=hr_input), Variable("uas", ["T2"], path=hr_input,
+                                                               transform=["x * 2"])]
+    out = {}
+    for root, parallel in ((a, 1), (b, 2)):
+        cfg = config(root, hr_input, [Model("hr", "test", vars_)])
+        out[parallel] = preprocess.preprocess(spark, cfg, parallel=parallel)
+    assert out[1].keys() == out[2].keys()
+    for k in out[1]:
+        assert out[1][k]["mean"] == pytest.approx(out[2][k]["mean"])
+    x = spark.read.parquet(a).drop("year")
+    y = spark.read.parquet(b).drop("year")
+    assert x.count() == y.count() and x.exceptAll(y).count() == 0
