@@ -77,7 +77,10 @@ def prepare_variable(cells: DataFrame, var: Variable, model: str,
                              shape=shape, keys=keys)
     if var.invariant:
         return aligned, {}
-    if stage is not None:
+    # Stage only expensive alignments: an LR regrid is worth materialising once
+    # for the statistics pass and the write; an HR crop is a filter that reaches
+    # the scan, so re-reading the source is cheaper than writing a copy of it.
+    if stage is not None and model in LR_MODELS:
         aligned = stage(aligned)
     return scale.split_and_scale(aligned, var, test_years, validation_years, value=value)
 

@@ -26,14 +26,20 @@ GROUP = ("variable", "model", "split")
 
 
 def read_splits(spark: SparkSession, root: str, variables: Sequence[str] | None = None,
-                models: Sequence[str] | None = None,
-                splits: Sequence[str] = SPLITS) -> DataFrame:
-    """Open written splits by naming convention (S5): filters prune partitions."""
+                models: Sequence[str] | None = None, splits: Sequence[str] = SPLITS,
+                years: Sequence[int] | None = None) -> DataFrame:
+    """Open written splits by naming convention (S5): every filter prunes partitions.
+
+    ``years`` filters the ``year`` partition column (``year(time)`` itself is
+    not pushed to the scan).
+    """
     df = spark.read.parquet(root)
     if variables:
         df = df.where(F.col("variable").isin(list(variables)))
     if models:
         df = df.where(F.col("model").isin(list(models)))
+    if years:
+        df = df.where(F.col("year").isin([int(y) for y in years]))
     return df.where(F.col("split").isin(list(splits)))
 
 

@@ -113,3 +113,15 @@ def test_bounds_counts_and_grid_coarsening(spark):
                                  "rlat int, rlon int, lat double, lon double")
     cg = {(r.rlat, r.rlon): (r.lat, r.lon) for r in aggregate.coarsen_grid(grid, 2).collect()}
     assert cg[(0, 0)] == (40.5, 201.0) and cg[(1, 1)] == (42.5, 205.0)
+
+
+def test_read_splits_prunes_years(spark, tmp_path):
+    from gridloom.plans import samples as sample_plans
+    root = str(tmp_path / "out")
+    rows = [("train", dt.datetime(2000 + k, 1, 1), 0, 0, float(k)) for k in range(4)]
+    df = spark.createDataFrame(rows, "split string, time timestamp_ntz, rlat int, rlon int, tas double")
+    writers.write_splits(df, root, "tas", "hr")
+    got = sample_plans.read_splits(spark, root, ["tas"], ["hr"], years=[2001, 2003])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "year" in plan.split("PartitionFilters")[1][:300]
+    assert sorted(r.tas for r in got.collect()) == [1.0, 3.0]
