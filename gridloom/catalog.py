@@ -113,12 +113,12 @@ L_SQL = """l as (
   from events group by all)"""
 
 
-def T_SQL(shift: float = 0.0) -> str:
+def T_SQL(shift: float = 0.0, side: int = 12) -> str:
     return f"""t as (
   select cast(j as int) as rlat, cast(i as int) as rlon,
          {46.0 + shift!r}::double + 0.45::double * j + 0.05::double * i as lat,
          230.0::double + 0.45::double * i + 0.05::double * j as lon
-  from range(12) a(j), range(12) b(i))"""
+  from range({side}) a(j), range({side}) b(i))"""
 
 
 # Bilinear weights of T on G's regular 1-degree grid, written out by hand.
@@ -362,15 +362,15 @@ SQL_MINMAX = with_(M_SQL, SPLIT_SQL.format(src="m"), TRAIN_STATS_SQL) + \
 
 
 def q_log_precip_train(spark: SparkSession, sf: str) -> DataFrame:
-    """Precipitation log scale fitted on the whole field (one split has the days)."""
-    lf = fixtures.lead_field(spark, sf).where(F.col("level") == 1).drop("level")
+    """Precipitation log scale over the whole unfolded lead field (every lead at its valid time)."""
+    pr = cuts.unfold_leads(fixtures.lead_field(spark, sf)).drop("level")
     var = Variable("pr", apply_standardize=False, apply_normalize=True)
-    out, _ = scale.split_and_scale(lf, var, [2001], [2002], value="v")
+    out, _ = scale.split_and_scale(pr, var, [2001], [2002], value="v")
     return out.select("split", "time", "rlat", "rlon", r6("v"))
 
 
-SQL_LOG_PRECIP_TRAIN = with_(L_SQL, """p as (select time, rlat, rlon, v from l where level = 1)""",
-                             """st as (select max(v) as hi from p)""") + \
+SQL_LOG_PRECIP_TRAIN = with_(L_SQL, """p as (select time + to_hours(level - 1) as time, rlat, rlon, v
+  from l)""", """st as (select max(v) as hi from p)""") + \
     """select 'train' as split, time, rlat, rlon,
 round((ln(v + 0.001) - ln(0.001)) / (ln(hi + 0.001) - ln(0.001)), 6) as v from p, st"""
 
@@ -429,16 +429,17 @@ SQL_REGRID_OUTSIDE = with_(G_SQL, T_SQL(3.0), W_SQL) + APPLY_SQL
 
 
 def q_regrid_curvilinear(spark: SparkSession, sf: str) -> DataFrame:
-    """Sparse monthly field on the curvilinear grid T, regridded onto G's regular points (J1d)."""
-    m = fixtures.monthly_field(spark, sf).where(
-        (F.col("rlat") < fixtures.TARGET_SIDE) & (F.col("rlon") < fixtures.TARGET_SIDE))
-    out = regrid.interpolate(m, fixtures.curvilinear_target(spark), fixtures.dense_grid(spark, sf),
+    """The whole sparse monthly field laid on a 16×16 curvilinear grid, regridded onto G's
+    regular points (J1d)."""
+    m = fixtures.monthly_field(spark, sf)
+    src = fixtures.curvilinear_target(spark, side=fixtures.MONTHLY_SIDE)
+    out = regrid.interpolate(m, src, fixtures.dense_grid(spark, sf),
                              "v", method="curvilinear", tgt_points=G_SHAPE.ny * G_SHAPE.nx)
     return rounded(out)
 
 
 # Brute force: every target point is tested against every quad of T.
-SQL_REGRID_CURVILINEAR = with_(M_SQL, T_SQL(), G_SQL, G_GRID_SQL, """q as (
+SQL_REGRID_CURVILINEAR = with_(M_SQL, T_SQL(side=16), G_SQL, G_GRID_SQL, """q as (
   select a.rlat as qy, a.rlon as qx, a.lat as lat00, a.lon as lon00, b.lat as lat01, b.lon as lon01,
          c.lat as lat10, c.lon as lon10, d.lat as lat11, d.lon as lon11
   from t a join t b on b.rlat = a.rlat and b.rlon = a.rlon + 1

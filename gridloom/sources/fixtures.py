@@ -93,9 +93,10 @@ def lead_field(spark: SparkSession, sf_dir: str, value: str = "v") -> DataFrame:
             .agg(F.sum("value").alias(value)))
 
 
-def curvilinear_target(spark: SparkSession, lat_shift: float = 0.0) -> DataFrame:
-    """T: 12×12 rotated target grid over G's area (a grid definition, not data)."""
-    n = TARGET_SIDE
+def curvilinear_target(spark: SparkSession, lat_shift: float = 0.0,
+                       side: int = TARGET_SIDE) -> DataFrame:
+    """T: ``side × side`` (12×12) rotated grid over G's area (a grid definition, not data)."""
+    n = side
     pts = spark.range(0, n * n, 1, 1).select(
         F.floor(F.col("id") / n).alias("rlat"), (F.col("id") % n).alias("rlon"))
     return pts.select(
