@@ -23,10 +23,10 @@ BASE_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "gridloom") -> SparkSession:
+                  app: str = "gridloom", extra_conf: dict | None = None) -> SparkSession:
     """A local session configured the way the test-suite and bench expect."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    for k, v in BASE_CONF.items():
+    for k, v in {**BASE_CONF, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     builder = (builder
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
