@@ -1,6 +1,6 @@
 """Plain configuration objects (no framework instantiation).
 
-They mirror the reference's configuration vocabulary: dimensions and
+They mirror the original pipeline's configuration vocabulary: dimensions and
 coordinates with alternative names, variables with scaling flags, models
 (``hr``/``lr`` and their invariant twins) and the selection block.
 """

@@ -2,7 +2,7 @@
 
 Missing values: an absent cell, a NULL and a NaN all mean "missing".  NaN is
 turned into NULL once on load (``nan_to_null``) so that Spark's aggregates
-skip it the way the reference's NaN-skipping reductions do.
+skip it the way NaN-skipping array reductions do.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Precipitation log-scale epsilon and the standardized value of
-# zero rain (-mean/std of the reference's precipitation statistics).
+# zero rain (-mean/std of a fixed set of precipitation statistics).
 PRECIP_EPSILON = 1e-3
 RAIN_MEAN = 0.0769779160618782
 RAIN_STD = 0.3726992905139923

@@ -29,7 +29,7 @@ def samples(df: DataFrame, value: str, ny: int, nx: int,
             element_type: str = "float") -> DataFrame:
     """``(*group, key, time, ny, nx, tensor)``: one tensor per hour key.
 
-    Two steps in the same hour would overwrite each other in the reference;
+    Two steps in the same hour would overwrite each other in the original pipeline;
     here they make the group hold more than ``ny·nx`` cells, which raises.
     """
     keyed = df.withColumn("key", sample_key("time"))
@@ -125,7 +125,7 @@ def batches(sample_frame: DataFrame, assignment: DataFrame, group: Sequence[str]
     """Stack the tensors of each batch: ``(*group, batch_id, name, keys, tensors)``.
 
     Groups hold at most ``batch_size`` tensors.  A batch containing a missing
-    value raises (the reference refuses NaN batches).  With a broadcast
+    value raises (NaN batches are refused).  With a broadcast
     assignment (one row per sample, size checked by the caller) the tensors
     cross a single exchange, the one grouping them by batch.
     """

@@ -41,7 +41,7 @@ def pack(df: DataFrame, value: str, ny: int, nx: int, keys: tuple[str, ...] = ("
 
     With ``check`` a step holding more than ``ny·nx`` cells (copies, or two
     steps in one hour) raises before anything is collected, and a step that
-    lacks a cell or holds a missing value raises at run time (the reference
+    lacks a cell or holds a missing value raises at run time (the original pipeline
     refuses NaN samples).  ``unique_cells`` (frames produced by a
     ``groupBy(time, rlat, rlon)``, which cannot hold copies) skips the
     pre-check scan.  ``extra`` aggregates ride along in the same aggregation.

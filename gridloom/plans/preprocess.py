@@ -38,7 +38,7 @@ LR_MODELS = ("lr", "lr_invariant")
 def align_variable(cells: DataFrame, model: str, scale_factor: int, x, y, value: str,
                    src_grid: DataFrame | None = None, hr_ref: DataFrame | None = None,
                    shape: Shape | None = None, keys=("time",)) -> DataFrame:
-    """Dispatch on the model name; unknown names (or LR without a reference) → KeyError.
+    """Dispatch on the model name; unknown names (or LR without a reference grid) → KeyError.
 
     ``shape`` is the shape of the grid being cropped (the field for ``hr``, the
     reference grid for ``lr``) when known; otherwise it is measured.

@@ -244,3 +244,14 @@ def test_transform_trial_numpy_only_warns(spark):
     df = spark.createDataFrame([(1.0,), (2.0,)], "x double")
     got = values_of(df, transform_column(F.col("x"), ["np.log(x - 1)"]))
     assert got[0] is None and got[1] == pytest.approx(0.0)
+
+
+def test_split_and_standardize_dict(field30):
+    from gridloom import api
+    df, data = field30
+    parts = api.split_and_standardize(df, Variable("var"), [2000], [2001])
+    assert set(parts) == {"train", "test", "validation"}
+    for name, (frame, attrs) in parts.items():
+        assert "split" not in frame.columns and frame.count() == 900
+        assert attrs["mean"] == pytest.approx(data[:, :, 2].mean())
+    assert api.coarsen_lr(df, 2, "var").count() == 3 * 15 * 15
