@@ -69,14 +69,21 @@ def collapse_copies(df: DataFrame, on: Sequence[str]) -> DataFrame:
 
 def combine_variables(a: DataFrame, b: DataFrame,
                       keys: Sequence[str] = COORD_COLUMNS) -> DataFrame:
-    """Full outer join of two variables on their shared coordinates.
+    """Full outer merge of two variables on their shared coordinates.
 
-    Each side first collapses copies of a cell; the join then reuses that
-    hash partitioning (no further exchange) and every key matches at most one
-    row per side, so no key can blow up or skew the join.
+    Written as a union followed by one ``groupBy(keys)``: each key keeps the
+    value of each variable (missing where a side lacks it), copies of a cell
+    collapse, and the aggregation is partial map-side, so there is a single
+    exchange and no sort-merge join.  A hot key cannot skew it: its copies are
+    merged before the shuffle.
     """
     on = [k for k in keys if k in a.columns and k in b.columns]
-    return collapse_copies(a, on).join(collapse_copies(b, on), on=on, how="full_outer")
+    va = [c for c in a.columns if c not in on]
+    vb = [c for c in b.columns if c not in on]
+    if set(va) & set(vb):
+        raise ValueError(f"both inputs carry {sorted(set(va) & set(vb))}; rename one first")
+    u = a.select(*on, *va).unionByName(b.select(*on, *vb), allowMissingColumns=True)
+    return u.groupBy(*on).agg(*[F.max(c).alias(c) for c in va + vb])
 
 
 def existing_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
