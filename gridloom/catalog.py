@@ -499,6 +499,69 @@ round(avg(v), 6) as v from r where rlat >= 2 and rlat < 10 and rlon >= 2 and rlo
 group by all"""
 
 
+def q_align_lr_sparse(spark: SparkSession, sf: str) -> DataFrame:
+    """Sparse monthly field on its half-degree grid: regrid onto T, crop, coarsen (two-step path)."""
+    m = fixtures.monthly_field(spark, sf)
+    out = align.align_with_lr(m, fixtures.monthly_grid(spark), fixtures.curvilinear_target(spark),
+                              scale_factor=4, x={"first_index": 2, "last_index": 10},
+                              y={"first_index": 2, "last_index": 10}, value="v", tgt_shape=T_SHAPE)
+    return rounded(out)
+
+
+# Bilinear weights of T on M's regular half-degree grid, written out by hand.
+W_HALF_SQL = """b as (
+  select rlat, rlon, lat, lon,
+         least(cast(floor((lat - 46.0) / 0.5) as int), 14) as y0,
+         least(cast(floor((lon - 230.0) / 0.5) as int), 14) as x0
+  from t where lat >= 46.0 and lat <= 53.5 and lon >= 230.0 and lon <= 237.5),
+f as (
+  select rlat, rlon, y0, x0,
+         (lat - (46.0 + 0.5 * y0)) / ((46.0 + 0.5 * (y0 + 1)) - (46.0 + 0.5 * y0)) as fy,
+         (lon - (230.0 + 0.5 * x0)) / ((230.0 + 0.5 * (x0 + 1)) - (230.0 + 0.5 * x0)) as fx
+  from b),
+c4 as (
+  select rlat, rlon, y0 as sy, x0 as sx, (1.0 - fy) * (1.0 - fx) as w from f
+  union all select rlat, rlon, y0, x0 + 1, (1.0 - fy) * fx from f
+  union all select rlat, rlon, y0 + 1, x0, fy * (1.0 - fx) from f
+  union all select rlat, rlon, y0 + 1, x0 + 1, fy * fx from f),
+w as (
+  select rlat, rlon, sy, sx, w, cast(count(*) over (partition by rlat, rlon) as int) as n_corners
+  from c4 where w <> 0)"""
+
+SQL_ALIGN_LR_SPARSE = with_(M_SQL, T_SQL(), W_HALF_SQL, """r as (
+  select m.time, w.rlat, w.rlon,
+         case when count(*) = max(w.n_corners) and count(m.v) = max(w.n_corners)
+              then sum(m.v * w.w) end as v
+  from m join w on m.rlat = w.sy and m.rlon = w.sx group by all)""") + """
+select time, cast((rlat - 2) // 4 as int) as rlat, cast((rlon - 2) // 4 as int) as rlon,
+round(avg(v), 6) as v from r where rlat >= 2 and rlat < 10 and rlon >= 2 and rlon < 10
+group by all"""
+
+
+def q_preprocess_hr(spark: SparkSession, sf: str) -> DataFrame:
+    """Per-variable preprocessing of an HR model, lazily (P6 ``hr`` branch)."""
+    from .config import default_coords, default_dims
+    from .plans import preprocess
+    raw = dense(spark, sf).select(F.col("time").alias("Time"), "rlat", "rlon",
+                                  F.col("v").alias("T2"))
+    var = Variable("tas", ["T2"], transform=["x * 100"], apply_standardize=True)
+    frame, _ = preprocess.prepare_variable(
+        raw, var, model="hr", dims=default_dims(), coords=default_coords(),
+        start="2000-03-01", end="2005-03-01", test_years=TEST_YEARS,
+        validation_years=VALIDATION_YEARS, scale_factor=2,
+        x={"first_index": 2, "last_index": 6}, y={"first_index": 1, "last_index": 5},
+        shape=G_SHAPE)
+    return rounded(frame.select("split", "time", "rlat", "rlon", "tas"))
+
+
+SQL_PREPROCESS_HR = with_(G_SQL, """c as (
+  select time, cast(rlat - 1 as int) as rlat, cast(rlon - 2 as int) as rlon, v * 100.0 as v from g
+  where time between timestamp '2000-03-01' and timestamp '2005-03-01'
+    and rlon >= 2 and rlon < 6 and rlat >= 1 and rlat < 5)""",
+                          SPLIT_SQL.format(src="c"), TRAIN_STATS_SQL) + \
+    "select split, time, rlat, rlon, round((v - mu) / sd, 6) as tas from sp, st"
+
+
 def q_align_hr(spark: SparkSession, sf: str) -> DataFrame:
     """High-resolution model: positional crop only (P6 ``hr`` branch)."""
     m = fixtures.monthly_field(spark, sf)
@@ -811,6 +874,8 @@ QUERIES: dict[str, Query] = {
     "regrid_curvilinear": q_regrid_curvilinear,
     "align_lr": q_align_lr,
     "align_hr": q_align_hr,
+    "align_lr_sparse": q_align_lr_sparse,
+    "preprocess_hr": q_preprocess_hr,
     "invariant_lr": q_invariant_lr,
     "combine_vars": q_combine_vars,
     "concat_time": q_concat_time,
@@ -856,6 +921,8 @@ _ORACLE: dict[str, str] = {
     "regrid_curvilinear": SQL_REGRID_CURVILINEAR,
     "align_lr": SQL_ALIGN_LR,
     "align_hr": SQL_ALIGN_HR,
+    "align_lr_sparse": SQL_ALIGN_LR_SPARSE,
+    "preprocess_hr": SQL_PREPROCESS_HR,
     "invariant_lr": SQL_INVARIANT_LR,
     "combine_vars": SQL_COMBINE_VARS,
     "concat_time": SQL_CONCAT_TIME,

@@ -82,6 +82,16 @@ def monthly_field(spark: SparkSession, sf_dir: str, value: str = "v",
             .agg(F.avg(measure).alias(value)))
 
 
+def monthly_grid(spark: SparkSession) -> DataFrame:
+    """M's regular half-degree grid over G's area (a grid definition)."""
+    n = MONTHLY_SIDE
+    cells = spark.range(0, n * n, 1, 1).select(F.floor(F.col("id") / n).cast("int").alias("rlat"),
+                                               (F.col("id") % n).cast("int").alias("rlon"))
+    return cells.select("rlat", "rlon",
+                        (F.lit(DENSE_LAT0) + F.lit(0.5) * F.col("rlat").cast("double")).alias("lat"),
+                        (F.lit(DENSE_LON0) + F.lit(0.5) * F.col("rlon").cast("double")).alias("lon"))
+
+
 def lead_field(spark: SparkSession, sf_dir: str, value: str = "v") -> DataFrame:
     """L: ``(time, level, rlat, rlon, v)`` daily forecast leads from ``events``."""
     ev = table(spark, sf_dir, "events")
