@@ -14,7 +14,7 @@ or when no source cell contributes (outside the hull).
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -58,55 +58,65 @@ def sparse_weights(weights: DataFrame, nx_in: int, n_in: int, nx_out: int, n_out
                          n_in, n_out)
 
 
-def apply_sparse(x: np.ndarray, sw: SparseWeights) -> np.ndarray:
-    """Rows of source tensors (k × n_in, NaN = missing) → rows of target tensors."""
-    gathered = x[:, sw.in_idx]
-    y = np.full((x.shape[0], sw.n_out), np.nan)
-    if sw.in_idx.size == 0:
-        return y
-    sums = np.add.reduceat(gathered * sw.w, sw.starts, axis=1)
-    missing = np.add.reduceat(np.isnan(gathered).astype(np.int32), sw.starts, axis=1) > 0
-    sums[missing] = np.nan
-    y[:, sw.out_idx] = sums
-    return y
+def _runner(bc, keys: list[str], tensor: str, n_in: int, n_out: int, ny_out: int, nx_out: int,
+            rows_per_chunk: int):
+    """The per-partition function shipped to Python workers.
 
-
-def regrid_tensors(df: DataFrame, weights: DataFrame, in_shape: tuple[int, int],
-                   out_shape: tuple[int, int], keys: Sequence[str] = ("key", "time"),
-                   tensor: str = "tensor", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Map-only regrid of tensor rows ``(*keys, tensor)``; output tensors are doubles.
-
-    Raises ValueError when the weight frame is past the broadcast bound.
+    Self-contained: it uses only numpy, pyarrow and the broadcast arrays, so
+    workers do not need this package on their path.
     """
-    ny_in, nx_in = in_shape
-    ny_out, nx_out = out_shape
-    n_in, n_out = ny_in * nx_in, ny_out * nx_out
-    sw = sparse_weights(weights, nx_in, n_in, nx_out, n_out, max_rows)
-    bc = df.sparkSession.sparkContext.broadcast(sw)
-    keys = [k for k in keys if k in df.columns]
-    key_fields = [df.schema[k] for k in keys]
-    rows_per_chunk = max(1, CHUNK_BYTES // max(1, 8 * sw.in_idx.size))
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        out_idx, starts, in_idx, w = bc.value
+
+        def kernel(x):
+            y = np.full((x.shape[0], n_out), np.nan)
+            if in_idx.size == 0:
+                return y
+            gathered = x[:, in_idx]
+            sums = np.add.reduceat(gathered * w, starts, axis=1)
+            missing = np.add.reduceat(np.isnan(gathered).astype(np.int32), starts, axis=1) > 0
+            sums[missing] = np.nan
+            y[:, out_idx] = sums
+            return y
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = bc.value
         for batch in batches:
             col = batch.column(tensor)
             flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             if flat.size != len(batch) * n_in:
                 raise ValueError(f"tensors must hold {n_in} values each")
             x = flat.reshape(len(batch), n_in)
-            parts = [apply_sparse(x[i:i + rows_per_chunk], w)
-                     for i in range(0, len(batch), rows_per_chunk)]
+            parts = [kernel(x[i:i + rows_per_chunk]) for i in range(0, len(batch), rows_per_chunk)]
             y = np.concatenate(parts) if parts else np.empty((0, n_out))
             offsets = pa.array(np.arange(0, (len(batch) + 1) * n_out, n_out, dtype=np.int32))
             values = pa.array(y.ravel(), type=pa.float64(), from_pandas=True)
-            out = pa.ListArray.from_arrays(offsets, values)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(k) for k in keys]
                 + [pa.array(np.full(len(batch), ny_out, np.int32)),
-                   pa.array(np.full(len(batch), nx_out, np.int32)), out],
+                   pa.array(np.full(len(batch), nx_out, np.int32)),
+                   pa.ListArray.from_arrays(offsets, values)],
                 names=[*keys, "ny", "nx", tensor])
 
+    return run
+
+
+def regrid_tensors(df: DataFrame, weights: DataFrame, in_shape: tuple[int, int],
+                   out_shape: tuple[int, int], keys: Sequence[str] = ("key", "time"),
+                   tensor: str = "tensor", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Map-only regrid of tensor rows ``(*keys, tensor)``; output tensors are doubles.
+
+    Raises ValueError when the weight frame is past the broadcast bound.
+    """
+    ny_in, nx_in = in_shape
+    ny_out, nx_out = out_shape
+    n_in, n_out = ny_in * nx_in, ny_out * nx_out
+    sw = sparse_weights(weights, nx_in, n_in, nx_out, n_out, max_rows)
+    bc = df.sparkSession.sparkContext.broadcast((sw.out_idx, sw.starts, sw.in_idx, sw.w))
+    keys = [k for k in keys if k in df.columns]
+    key_fields = [df.schema[k] for k in keys]
+    rows_per_chunk = max(1, CHUNK_BYTES // max(1, 8 * sw.in_idx.size))
+    run = _runner(bc, keys, tensor, n_in, n_out, ny_out, nx_out, rows_per_chunk)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in key_fields]
                        + ["ny int", "nx int", f"`{tensor}` array<double>"])
     return df.select(*keys, tensor).mapInArrow(run, schema)
