@@ -195,3 +195,33 @@ def test_preprocess_variables_in_parallel(spark, hr_input, tmp_path):
     x = spark.read.parquet(a).drop("year")
     y = spark.read.parquet(b).drop("year")
     assert x.count() == y.count() and x.exceptAll(y).count() == 0
+
+
+def test_cli_preprocess_samples_batches(spark, hr_input, tmp_path):
+    from gridloom import cli
+    out = tmp_path / "out"
+    cfg = tmp_path / "config.yaml"
+    cfg.write_text(f"""
+output_path: {out}
+climate_models:
+  - name: hr
+    climate_variables:
+      - {{name: tas, alternative_names: [T2], path: {hr_input}, apply_standardize: true}}
+dims:
+  - {{name: time, alternative_names: [Time], chunksize: 100}}
+  - {{name: rlat, alternative_names: []}}
+  - {{name: rlon, alternative_names: []}}
+select:
+  time:
+    range: {{start: "20000201T00:00:00", end: "20050101T00:00:00"}}
+    test_years: [2001]
+    validation_years: [2004]
+  spatial: {{scale_factor: 2, x: {{first_index: 2, last_index: 6}}, y: {{first_index: 2, last_index: 6}}}}
+loader: {{batch_size: 4, randomize: true, seed: 0}}
+""")
+    for step in ("preprocess", "samples", "batches"):
+        cli.main([step, str(cfg)])
+    s = spark.read.parquet(str(out / "samples"))
+    b = spark.read.parquet(str(out / "batched"))
+    assert s.count() == b.agg(F.sum(F.size("tensors"))).first()[0] > 0
+    assert b.where(F.size("tensors") > 4).count() == 0
