@@ -52,9 +52,15 @@ def samples_by_time(df: DataFrame, value: str, ny: int, nx: int,
     return packed.select(*group, sample_key("time").alias("key"), "time", "ny", "nx", "tensor")
 
 
-def assert_unique_keys(sample_frame: DataFrame, group: Sequence[str] = ()) -> None:
-    """Two steps in one hour would share a sample key: raise (one row per step is read)."""
-    dup = (sample_frame.groupBy(*group, "key").agg(F.count(F.lit(1)).alias("n"))
+def assert_unique_keys(frame: DataFrame, group: Sequence[str] = (), time: str = "time") -> None:
+    """Two steps in one hour would share a sample key: raise.
+
+    Reads only the time column of a cell (or sample) frame: distinct
+    ``(group, time)`` pairs are deduplicated map-side, then their hour keys are
+    counted, so the check never computes tensors.
+    """
+    steps = frame.select(*group, time).distinct()
+    dup = (steps.groupBy(*group, sample_key(time).alias("key")).agg(F.count(F.lit(1)).alias("n"))
            .where(F.col("n") > 1).limit(1).collect())
     if dup:
         raise ValueError(f"several time steps share the sample key {dup[0]['key']}")

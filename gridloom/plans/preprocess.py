@@ -118,9 +118,9 @@ def run_variable(spark: SparkSession, model: Model, var: Variable, cfg: DataConf
                              max_records_per_file=writers.records_per_file(time_chunk, ny * nx))
         if samples_root is not None:
             # LR frames come out of groupBy(time, rlat, rlon): no copies possible
+            samples.assert_unique_keys(frame, ("split",))
             tens = samples.samples_by_time(frame, var.name, ny, nx, group=("split",),
                                            unique_cells=model.name in LR_MODELS)
-            samples.assert_unique_keys(tens, ("split",))
             out = tens.withColumns({"variable": F.lit(var.name), "model": F.lit(model.name),
                                     "name": F.concat(F.lit(f"{var.name}_"), F.col("key"))})
             writers.write_samples(out, samples_root, partition_by=("variable", "model", "split"))

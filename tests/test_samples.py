@@ -162,3 +162,11 @@ def test_group_sizes_bounded_by_grid(spark):
     sizes = g.groupBy("time").count().agg(F.max("count")).first()[0]
     assert sizes == 64
     assert np.isfinite(tensors.pack(g, "v", 8, 8).count())
+
+
+def test_assert_unique_keys_reads_times_only(spark):
+    rows = [(T0 + dt.timedelta(minutes=m), y, 0, 1.0) for m in (0, 30) for y in range(2)]
+    df = spark.createDataFrame(rows, "time timestamp_ntz, rlat int, rlon int, v double")
+    with pytest.raises(ValueError, match="share the sample key 2000-01-01-00"):
+        samples.assert_unique_keys(df)
+    samples.assert_unique_keys(df.where(F.minute("time") == 0))     # one step per hour: fine
