@@ -73,3 +73,26 @@ def test_pack_unpack_identity_and_coarsen_mean(spark, ny, nx, steps, seed):
     c = aggregate.coarsen(df, f, "v", shape=aggregate.Shape(ny, nx))
     assert c.count() == steps * (ny // f) * (nx // f)
     assert c.agg(F.avg("v")).first()[0] == pytest.approx(df.agg(F.avg("v")).first()[0])
+
+
+@SETTINGS
+@given(ny=st.integers(2, 7), nx=st.integers(2, 7), x0=st.integers(-9, 9), x1=st.integers(-9, 9),
+       y0=st.integers(-9, 9), y1=st.integers(-9, 9), f=st.integers(1, 3))
+def test_crop_matches_numpy_slicing(spark, ny, nx, x0, x1, y0, y1, f):
+    from gridloom.operators import select
+    arr = np.arange(ny * nx, dtype=float).reshape(ny, nx)
+    rows = [(dt.datetime(2000, 1, 1), y, x, float(arr[y, x])) for y in range(ny) for x in range(nx)]
+    df = spark.createDataFrame(rows, "time timestamp_ntz, rlat int, rlon int, v double")
+    want = arr[y0:y1, x0:x1]
+    ok_div = (x1 - x0) % f == 0 and (y1 - y0) % f == 0
+    if not ok_div or want.shape[0] != want.shape[1]:
+        with pytest.raises(AssertionError):
+            select.crop_field(df, f, {"first_index": x0, "last_index": x1},
+                              {"first_index": y0, "last_index": y1}, shape=select.Shape(ny, nx))
+        return
+    out = select.crop_field(df, f, {"first_index": x0, "last_index": x1},
+                            {"first_index": y0, "last_index": y1}, shape=select.Shape(ny, nx))
+    got = np.full(want.shape, np.nan)
+    for r in out.collect():
+        got[r.rlat, r.rlon] = r.v
+    assert np.array_equal(got, want)

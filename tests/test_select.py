@@ -182,3 +182,18 @@ def test_date_select_whole_days(spark):
         timestamp_ntz'2001-01-03 23:00:00', interval 1 hour)) as time""")
     out = select.date_select(df, "20010101", "20010102")
     assert out.count() == 48
+
+
+def test_box_select_wraps_longitude(spark):
+    # grid straddling the 0/360 meridian: lons 356..363 expressed as 356..359, 0..3
+    grid = spark.createDataFrame([(0, x, 50.0, float((356 + x) % 360)) for x in range(8)],
+                                 "rlat int, rlon int, lat double, lon double")
+    df = cells(spark, [(dt.datetime(2000, 1, 1), 0, x, float(x)) for x in range(8)])
+    out, sub = select.box_select(df, grid, 358.0, 1.0, 49.0, 51.0)
+    assert sorted((r.rlon, r.v) for r in out.collect()) == [(0, 2.0), (1, 3.0), (2, 4.0), (3, 5.0)]
+
+
+def test_date_select_iso(spark):
+    df = spark.sql("""select explode(sequence(timestamp_ntz'2000-12-31 00:00:00',
+        timestamp_ntz'2001-01-03 23:00:00', interval 1 hour)) as time""")
+    assert select.date_select(df, "2001-01-01", "2001-01-01").count() == 24
