@@ -140,3 +140,29 @@ def test_rectilinear_regrid_matches_numpy(spark, seed, ny, nx, descending):
             assert k not in got
         else:
             assert got[k] == pytest.approx(want, abs=1e-9)
+
+
+@SETTINGS
+@given(seed=st.integers(0, 10_000), by=st.integers(1, 3), bx=st.integers(1, 3),
+       f=st.integers(1, 3), p_missing=st.floats(0.0, 0.9))
+def test_coarsen_with_missing_matches_nanmean(spark, seed, by, bx, f, p_missing):
+    rng = np.random.default_rng(seed)
+    ny, nx = by * f, bx * f
+    arr = rng.normal(size=(ny, nx))
+    arr[rng.random((ny, nx)) < p_missing] = np.nan
+    rows = [(dt.datetime(2000, 1, 1), y, x, None if np.isnan(arr[y, x]) else float(arr[y, x]))
+            for y in range(ny) for x in range(nx)]
+    df = spark.createDataFrame(rows, "time timestamp_ntz, rlat int, rlon int, v double")
+    got = {(r.rlat, r.rlon): r.v for r in
+           aggregate.coarsen(df, f, "v", shape=aggregate.Shape(ny, nx)).collect()}
+    with np.errstate(all="ignore"):
+        import warnings
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")
+            want = np.nanmean(arr.reshape(by, f, bx, f), axis=(1, 3))
+    for i in range(by):
+        for j in range(bx):
+            if np.isnan(want[i, j]):
+                assert got[(i, j)] is None
+            else:
+                assert got[(i, j)] == pytest.approx(want[i, j], abs=1e-12)
