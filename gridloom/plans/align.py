@@ -87,7 +87,8 @@ def _by_time(cells: DataFrame, keys: tuple[str, ...], profile: SourceProfile | N
 
 def align_grid(cells: DataFrame, src_grid: DataFrame, tgt_grid: DataFrame, scale_factor: int,
                x, y, value: str, keys: tuple[str, ...] = ("time",),
-               tgt_shape: Shape | None = None, profile: SourceProfile | None = None) -> DataFrame:
+               tgt_shape: Shape | None = None, profile: SourceProfile | None = None,
+               max_broadcast_rows: int = regrid.MAX_BROADCAST_ROWS) -> DataFrame:
     """Regrid onto the reference grid and crop it (P4); coordinates are dropped."""
     regrid.check_inputs(src_grid, tgt_grid)
     target, out_shape = _cropped_target(tgt_grid, scale_factor, x, y, tgt_shape)
@@ -99,12 +100,13 @@ def align_grid(cells: DataFrame, src_grid: DataFrame, tgt_grid: DataFrame, scale
         profile = profile_source(cells, value, keys)
     cells = _by_time(cells, keys, profile, out_shape.ny * out_shape.nx)
     return regrid.apply_weights_tiled(cells, weights, value, keys, out_shape.ny,
-                                      out_shape.ny * out_shape.nx)
+                                      out_shape.ny * out_shape.nx, max_broadcast_rows)
 
 
 def align_with_lr(cells: DataFrame, src_grid: DataFrame, tgt_grid: DataFrame, scale_factor: int,
                   x, y, value: str, keys: tuple[str, ...] = ("time",),
-                  tgt_shape: Shape | None = None, compose: bool | str = "auto") -> DataFrame:
+                  tgt_shape: Shape | None = None, compose: bool | str = "auto",
+                  max_broadcast_rows: int = regrid.MAX_BROADCAST_ROWS) -> DataFrame:
     """Regrid, crop and coarsen a low-resolution field (P5).
 
     ``compose``: ``"auto"`` uses the composed weight matrix when the guard
@@ -117,7 +119,8 @@ def align_with_lr(cells: DataFrame, src_grid: DataFrame, tgt_grid: DataFrame, sc
     if out_shape.ny % scale_factor or out_shape.nx % scale_factor:
         raise ValueError(f"grid {out_shape.ny}x{out_shape.nx} is not divisible by {scale_factor}")
     if compose is False:
-        aligned = align_grid(cells, src_grid, tgt_grid, scale_factor, x, y, value, keys, tgt_shape)
+        aligned = align_grid(cells, src_grid, tgt_grid, scale_factor, x, y, value, keys, tgt_shape,
+                             max_broadcast_rows=max_broadcast_rows)
         return aggregate.coarsen(aligned, scale_factor, value, shape=out_shape, keys=keys)
 
     target, _ = _cropped_target(tgt_grid, scale_factor, x, y, tgt_shape)
@@ -134,9 +137,11 @@ def align_with_lr(cells: DataFrame, src_grid: DataFrame, tgt_grid: DataFrame, sc
         blocks = n_targets // (scale_factor * scale_factor)
         # composed rows ≤ uncomposed rows ≤ 4 per target point
         return regrid.apply_weights_tiled(_by_time(cells, keys, profile, blocks), composed, value,
-                                          keys, out_shape.ny // scale_factor, n_targets)
+                                          keys, out_shape.ny // scale_factor, n_targets,
+                                          max_broadcast_rows)
     by_time = _by_time(cells, keys, profile, n_targets)
-    aligned = regrid.apply_weights_tiled(by_time, weights, value, keys, out_shape.ny, n_targets)
+    aligned = regrid.apply_weights_tiled(by_time, weights, value, keys, out_shape.ny, n_targets,
+                                         max_broadcast_rows)
     return aggregate.coarsen(aligned, scale_factor, value, shape=out_shape, keys=keys)
 
 

@@ -335,3 +335,19 @@ def test_tensor_regrid_bound(spark):
     df = spark.createDataFrame([(T0, [1.0, 2.0, 3.0, 4.0])], "time timestamp_ntz, tensor array<double>")
     with pytest.raises(ValueError):
         tensor_regrid.regrid_tensors(df, w, (2, 2), (2, 2), keys=("time",), max_rows=1)
+
+
+@pytest.mark.parametrize("compose", [False, "auto"])
+def test_align_banded_equals_broadcast(spark, compose):
+    lats, lons = np.arange(40, 48, 1.0), np.arange(200, 208, 1.0)
+    src, sg = field(spark, lats, lons, fn=lambda a, b: a * b / 100), grid_frame(spark, lats, lons)
+    tg = spark.createDataFrame([(j, i, 40.2 + 0.8 * j, 200.3 + 0.8 * i) for j in range(8) for i in range(8)],
+                               "rlat int, rlon int, lat double, lon double")
+    args = (src, sg, tg, 2, {"first_index": 0, "last_index": 8}, {"first_index": 0, "last_index": 8}, "v")
+    one = result(align.align_with_lr(*args, compose=compose))
+    banded = align.align_with_lr(*args, compose=compose, max_broadcast_rows=64)
+    assert result(banded) == pytest.approx(one)
+    plan = banded._jdf.queryExecution().executedPlan().toString()
+    # the cells are never joined by shuffling on source positions; every band is broadcast
+    assert "SortMergeJoin [sy" not in plan and "ShuffledHashJoin [sy" not in plan
+    assert plan.count("BroadcastHashJoin [sy") >= 2
