@@ -6,10 +6,12 @@ DuckDB SQL with the same rows where SQL can express the operator.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .substring_dedup import remove_repeated
+from .token_counts import LIMIT, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,8 +23,14 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > LIMIT)
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_token_counts": op2_token_counts,
 }
 
 ORACLE_SQL = {
