@@ -10,6 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontamination import contained_items
 from .substring_dedup import remove_repeated
 from .token_counts import LIMIT, token_counts
 
@@ -28,9 +29,14 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > LIMIT)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_token_counts": op2_token_counts,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE_SQL = {
@@ -45,4 +51,14 @@ ORACLE_SQL = {
         lost AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (r) LEFT JOIN lost USING (r)""",
+    "op10_decontamination": r"""
+        WITH word AS (
+            SELECT 'd' AS side, row_number() OVER () AS r, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+            UNION ALL
+            SELECT 'b', row_number() OVER (), item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') FROM benchmark),
+        cut AS (SELECT side, r, id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM word WHERE len(w) > 0),
+        sh AS (SELECT DISTINCT side, r, id, array_to_string(w[i:i + 4], ' ') AS s FROM cut),
+        n AS (SELECT r, count(*) AS n_item FROM sh WHERE side = 'b' GROUP BY r),
+        both AS (SELECT a.r AS ar, b.r AS br, a.id AS doc_id, b.id AS item_id, count(*) AS n_shared FROM sh a JOIN sh b ON a.s = b.s AND a.side = 'd' AND b.side = 'b' GROUP BY ALL)
+        SELECT doc_id, item_id, n_item, n_shared, CAST(n_shared AS DOUBLE) / n_item AS containment FROM both JOIN n ON br = n.r WHERE 10 * n_shared >= 8 * n_item""",
 }

@@ -116,8 +116,8 @@ def window_hashes(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.n
     return mix((sums[at + size] - sums[at]) * back[at]), at, row_first
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct ``size``-word shingle hashes of each row, ascending, with row offsets.
+def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and row of every ``size``-word shingle, by row.
 
     A row with fewer words has its whole sequence as its only shingle; a row
     without words has none.
@@ -129,18 +129,20 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.n
     rows = np.repeat(np.arange(len(counts)), counts)
     short = np.flatnonzero((n_words > 0) & (n_words < size))
     if len(short):
-        extra = np.concatenate([window_hashes(words[first[r]:first[r + 1]], np.array([0, n_words[r]]), int(n_words[r]))[0] for r in short])
-        hashes, rows = np.concatenate([hashes, extra]), np.concatenate([rows, short])
-    order = np.lexsort((hashes, rows)) if len(short) else _sort_in_rows(hashes, rows, row_first)
+        extra = [window_hashes(words[first[r]:first[r + 1]], np.array([0, n_words[r]]), int(n_words[r]))[0] for r in short]
+        at = np.searchsorted(rows, short)
+        hashes, rows = np.insert(hashes, at, np.concatenate(extra)), np.insert(rows, at, short)
+    return hashes, rows
+
+
+def distinct(hashes: np.ndarray, rows: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes of each row, ascending, and where each row begins (one more entry than rows)."""
+    order = np.argsort(hashes)
+    order = order[np.argsort(rows[order], kind="stable")]
     hashes, rows = hashes[order], rows[order]
     keep = np.ones(len(hashes), bool)
     keep[1:] = (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1])
-    return hashes[keep], np.searchsorted(rows[keep], np.arange(len(counts) + 1))
-
-
-def _sort_in_rows(hashes: np.ndarray, rows: np.ndarray, row_first: np.ndarray) -> np.ndarray:
-    by_hash = np.argsort(hashes)
-    return by_hash[np.argsort(rows[by_hash], kind="stable")]
+    return hashes[keep], np.searchsorted(rows[keep], np.arange(n_rows + 1))
 
 
 def join_words(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, keep: np.ndarray) -> pa.Array:
