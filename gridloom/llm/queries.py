@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontamination import contained_items
+from .ngram_join import near_duplicates
 from .substring_dedup import remove_repeated
 from .token_counts import LIMIT, token_counts
 
@@ -29,6 +30,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > LIMIT)
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("_id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -36,6 +42,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_token_counts": op2_token_counts,
+    "op7_ngram_join": op7_ngram_join,
     "op10_decontamination": op10_decontamination,
 }
 
@@ -51,6 +58,17 @@ ORACLE_SQL = {
         lost AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (r) LEFT JOIN lost USING (r)""",
+    "op7_ngram_join": r"""
+        WITH RECURSIVE d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        cut AS (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0),
+        sh AS (SELECT DISTINCT r, array_to_string(w[i:i + 3], ' ') AS s FROM cut),
+        n AS (SELECT r, count(*) AS n FROM sh GROUP BY r),
+        common AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.r <> b.r GROUP BY ALL),
+        link AS (SELECT x, y FROM common JOIN n p ON p.r = x JOIN n q ON q.r = y WHERE 100 * c >= 85 * (p.n + q.n - c)),
+        reach AS (SELECT r AS x, r AS y FROM d UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x)
+        SELECT a.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(b.doc_id) AS component_id
+        FROM reach JOIN d a ON a.r = reach.x JOIN d b ON b.r = reach.y LEFT JOIN n ON n.r = reach.x GROUP BY reach.x, a.doc_id""",
     "op10_decontamination": r"""
         WITH word AS (
             SELECT 'd' AS side, row_number() OVER () AS r, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
@@ -59,6 +77,6 @@ ORACLE_SQL = {
         cut AS (SELECT side, r, id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM word WHERE len(w) > 0),
         sh AS (SELECT DISTINCT side, r, id, array_to_string(w[i:i + 4], ' ') AS s FROM cut),
         n AS (SELECT r, count(*) AS n_item FROM sh WHERE side = 'b' GROUP BY r),
-        both AS (SELECT a.r AS ar, b.r AS br, a.id AS doc_id, b.id AS item_id, count(*) AS n_shared FROM sh a JOIN sh b ON a.s = b.s AND a.side = 'd' AND b.side = 'b' GROUP BY ALL)
-        SELECT doc_id, item_id, n_item, n_shared, CAST(n_shared AS DOUBLE) / n_item AS containment FROM both JOIN n ON br = n.r WHERE 10 * n_shared >= 8 * n_item""",
+        pair AS (SELECT a.r AS ar, b.r AS br, a.id AS doc_id, b.id AS item_id, count(*) AS n_shared FROM sh a JOIN sh b ON a.s = b.s AND a.side = 'd' AND b.side = 'b' GROUP BY ALL)
+        SELECT doc_id, item_id, n_item, n_shared, CAST(n_shared AS DOUBLE) / n_item AS containment FROM pair JOIN n ON br = n.r WHERE 10 * n_shared >= 8 * n_item""",
 }
