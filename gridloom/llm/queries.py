@@ -14,6 +14,7 @@ from .decontamination import contained_items
 from .ngram_join import near_duplicates
 from .substring_dedup import remove_repeated
 from .token_counts import LIMIT, token_counts
+from .toxicity import toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +36,10 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("_id").alias("doc_id"), "n_shingles", "component_id")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -43,6 +48,7 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_token_counts": op2_token_counts,
     "op7_ngram_join": op7_ngram_join,
+    "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
 }
 
