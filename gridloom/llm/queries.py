@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .decontamination import contained_items
 from .ngram_join import near_duplicates
+from .quality import quality
 from .substring_dedup import remove_repeated
 from .token_counts import LIMIT, token_counts
 from .toxicity import toxicity
@@ -36,6 +37,10 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("_id").alias("doc_id"), "n_shingles", "component_id")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -48,6 +53,7 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_token_counts": op2_token_counts,
     "op7_ngram_join": op7_ngram_join,
+    "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
 }
