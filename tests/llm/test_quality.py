@@ -14,7 +14,7 @@ def test_features_of_a_text_do_not_depend_on_its_neighbours():
         assert np.allclose(op.features(*buffers(pa.array([t])))[0], row)
     words = together[0][op.KINDS:]
     #      capitals only, one capital, with other signs
-    assert np.allclose(words[3:6] * 6, [1, 1, 3]) and np.isclose(words[9] * 6, 6)
+    assert np.allclose(words[3:6] * 6, [1, 1, 2]) and np.isclose(words[9] * 6, 5)
     assert np.isclose(together[2][op.KINDS + 8] * 3, 2) and np.isclose(together[2][op.KINDS + 9] * 3, 1)
 
 
