@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontamination import contained_items
+from .language_id import identify
 from .ngram_join import near_duplicates
 from .quality import quality
 from .substring_dedup import remove_repeated
@@ -32,6 +33,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > LIMIT)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(_table(spark, sf_dir, "documents"))
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select(F.col("_id").alias("doc_id"), "n_shingles", "component_id")
@@ -52,6 +57,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_token_counts": op2_token_counts,
+    "op6_language_id": op6_language_id,
     "op7_ngram_join": op7_ngram_join,
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
