@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from .decontamination import contained_items
 from .fingerprint import edited_fingerprints
 from .language_id import identify
+from .license_scan import scan_licenses
 from .ngram_join import near_duplicates
+from .packing import pack_documents
 from .quality import quality
 from .substring_dedup import remove_repeated
 from .token_counts import LIMIT, token_counts
@@ -34,10 +36,18 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > LIMIT)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"))
 
@@ -62,7 +72,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_token_counts": op2_token_counts,
+    "op3_license_scan": op3_license_scan,
     "op4_fingerprint": op4_fingerprint,
+    "op5_packing": op5_packing,
     "op6_language_id": op6_language_id,
     "op7_ngram_join": op7_ngram_join,
     "op8_quality": op8_quality,
