@@ -79,7 +79,21 @@ def _spans(gone, first):
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(opens, first), pa.int32()), pairs)
 
 
-def _cutter(window, bits):
+def _without(data, offsets, starts, ends, first, gone):
+    """Per row, the text without its removed intervals; everything else stays byte for byte."""
+    edge = np.zeros(len(data) + 1, np.int32)
+    edge[starts[gone]] += 1
+    edge[ends[gone]] -= 1
+    follows = np.flatnonzero(gone[1:] & gone[:-1]) + 1
+    follows = follows[~np.isin(follows, first)]  # blanks between two removed words of a row go too
+    edge[ends[follows - 1]] += 1
+    edge[starts[follows]] -= 1
+    stays = np.cumsum(edge[:-1]) == 0
+    at = np.concatenate([[0], np.cumsum(stays)])[offsets]
+    return pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data[stays])).cast(pa.string())
+
+
+def _cutter(window, bits, joined):
     def cut(texts, answers):
         data, offsets = buffers(texts["_text"])
         hashes, at, n_words = _block_hashes(data, offsets, window)
@@ -102,17 +116,27 @@ def _cutter(window, bits):
             words += len(starts)
             n_removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[first])
             out.append(pa.table({"row": texts["_row"].slice(lo, hi - lo), "n_words": pa.array(np.diff(first), pa.int64()), "n_removed": pa.array(n_removed, pa.int64()),
-                                 "spans": _spans(gone, first), "kept_text": join_words(part, part_at, starts, ends, first, ~gone)}))
+                                 "spans": _spans(gone, first), "kept_text": join_words(part, part_at, starts, ends, first, ~gone) if joined else _without(part, part_at, starts, ends, first, gone)}))
         return pa.concat_tables(out)
     return cut
 
 
-def remove_repeated(docs: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
+def cut_repeated(docs: DataFrame, text: str = "text", n_chars: str = "n_chars", window: int = WINDOW) -> DataFrame:
+    """``docs`` with their columns, the text without its repeated passages and ``n_chars``, if there, counted anew."""
+    kept = remove_repeated(docs, text, window, joined=False)
+    out = {c: F.col("kept_text") if c == text else F.col(f"row.`{c}`") for c in docs.columns}
+    if n_chars in out:
+        out[n_chars] = F.char_length("kept_text").cast(docs.schema[n_chars].dataType)
+    return kept.select([v.alias(c) for c, v in out.items()])
+
+
+def remove_repeated(docs: DataFrame, text: str = "text", window: int = WINDOW, joined: bool = True) -> DataFrame:
     """``docs`` without repeated passages.
 
     Returns one row per document: ``row`` (a struct of all columns but the
     text), ``n_words``, ``n_removed``, ``spans`` (removed word intervals,
-    half-open, maximal) and ``kept_text`` (kept words joined by one space).
+    half-open, maximal) and ``kept_text`` (kept words joined by one space, or, if
+    not ``joined``, the text as it was around the removed intervals).
     """
     others = [F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(None).cast("int").alias("none")]
     blocks, bits = plan(text_bytes(docs, text))
@@ -120,4 +144,4 @@ def remove_repeated(docs: DataFrame, text: str = "text", window: int = WINDOW) -
     sent = dealt.groupBy("_block").applyInArrow(_sender(window, bits), "_range int, _block int, _packed binary")
     answers = sent.groupBy("_range").applyInArrow(_answer, "_block int, _range int, _bits binary")
     schema = T.StructType([T.StructField("row", dealt.schema["_row"].dataType), *T._parse_datatype_string("n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept_text string").fields])
-    return dealt.groupBy("_block").cogroup(answers.groupBy("_block")).applyInArrow(_cutter(window, bits), schema)
+    return dealt.groupBy("_block").cogroup(answers.groupBy("_block")).applyInArrow(_cutter(window, bits, joined), schema)

@@ -3,7 +3,7 @@ from collections import Counter
 
 import pytest
 
-from gridloom.llm.substring_dedup import remove_repeated
+from gridloom.llm.substring_dedup import cut_repeated, remove_repeated
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -55,3 +55,10 @@ def test_empty_table_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, "a b c a b c", "n", 5)], "doc_id long, text string, spans string, n_words int")
     row = remove_repeated(df, window=3).first()
     assert (row.n_words, row.n_removed, row.row.spans, row.row.n_words) == (6, 6, "n", 5)
+
+
+def test_cut_leaves_the_rest_as_it_was(spark):
+    rows = [(1, " x  a b\nc d\ty ", 15, "en"), (2, "a b c d\n\nélan", 13, "m"), (3, None, 0, "n"), (4, "clean\n  text", 12, "k"), (5, "a b c d", 7, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, kept_text string")
+    got = sorted(map(tuple, cut_repeated(df, window=4).collect()))
+    assert got == [(1, " x  \ty ", 7, "en"), (2, "\n\nélan", 6, "m"), (3, "", 0, "n"), (4, "clean\n  text", 12, "k"), (5, "", 0, "z")]
