@@ -8,14 +8,15 @@ their sets reaches ``per_cent`` / 100.
 2. Partitions: in an order of shingles by document count, linked classes share a
    shingle among the first ``n - ceil(t * n) + 1`` of each (the prefix), so the
    classes are dealt out by their prefix shingles and nothing is lost.  The
-   counts come from packed hash blocks (``hash_blocks``); half of the hash
-   space is counted and precedes the other half, which any fixed order allows.
-   Shingles that occur in one class are not dealt out.
+   counts come from packed hash blocks (``hash_blocks``).  Shingles that occur in
+   one class alone count for a set's size but are not dealt out, and a class with
+   too few others to reach the index with anything is left out.
 3. Stars: in each partition every class is compared with its most common member
    (the one whose shingles occur most), which ties a group of copies together in
    one pass instead of through all its pairs.
 4. R-tree: partitions that still hold several components are indexed by their
-   classes' group counts; the tree prunes by the sum of coordinate minima, and
+   classes' group counts of shingles that other classes have too; the tree
+   prunes by the sum of coordinate minima, and
    surviving pairs of different components are verified on the texts.  A hot
    partition is cut into cells of bounded size that pair up all its parts.
 5. Components over all links by alternating stars.
@@ -106,15 +107,10 @@ def _block_sets(table, size):
     return np.concatenate(hashes), np.concatenate([[0], np.cumsum(counts)])
 
 
-def _counted(hashes):
-    """Whether a hash lies in the half of the hash space that is counted."""
-    return (hashes & np.uint64(1)) == 0
-
-
 def _sender(size, bits):
     def send(key, table):
         hashes, _ = _block_sets(_one_each(table), size)
-        own, counts = np.unique(hashes[_counted(hashes)], return_counts=True)
+        own, counts = np.unique(hashes, return_counts=True)
         edges = range_edges(own, bits)
         filled = np.flatnonzero(np.diff(edges))
         cuts = [(edges[r], edges[r + 1]) for r in filled]
@@ -129,7 +125,7 @@ def _answer(table):
     counts = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in table["_counts"]]).astype(np.int64)
     _, inverse = np.unique(np.concatenate(lists), return_inverse=True)
     total = np.bincount(inverse, counts)[inverse]
-    level = np.minimum(np.round(8 * np.log2(total)), 254).astype(np.uint8)
+    level = np.minimum(np.round(8 * np.log2(total)), 255).astype(np.uint8)
     cuts = np.cumsum([0, *map(len, lists)])
     return pa.table({"_block": table["_block"], "_range": table["_range"], "_levels": pa.array([level[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())})
 
@@ -139,26 +135,26 @@ def _prefixer(size, per_cent, bits):
     def prefix(texts, answers):
         texts = _one_each(texts)
         hashes, first = _block_sets(texts, size)
-        counted = _counted(hashes)
-        own, inverse = np.unique(hashes[counted], return_inverse=True)
+        own, inverse = np.unique(hashes, return_inverse=True)
         edges, levels = range_edges(own, bits), np.zeros(len(own), np.uint8)
         for r, packed in zip(answers["_range"].to_pylist(), answers["_levels"].to_pylist(), strict=True):
             levels[edges[r]:edges[r + 1]] = np.frombuffer(packed, np.uint8)
-        level = np.full(len(hashes), 255, np.uint8)
-        level[counted] = levels[inverse]
+        level = levels[inverse]
         n = np.diff(first)
         rows = np.repeat(np.arange(len(n)), n)
         order = np.lexsort((hashes, level, rows))
         rank = np.arange(len(hashes)) - np.repeat(first[:-1], n)
         length = n + per_cent * -n // 100 + 1  # n - ceil(t * n) + 1
-        chosen = order[(rank < np.repeat(length, n)) & (level[order] > 0)]
+        shared = np.bincount(rows, level > 0, len(n))
+        able = shared >= needed(n, -(-per_cent * n // 100), per_cent)  # with the smallest set that could do
+        chosen = order[(rank < np.repeat(length, n)) & (level[order] > 0) & able[rows]]
         keys, key_rows = hashes[chosen].view(np.int64), rows[chosen]
-        known = np.bincount(rows, np.where(level < 255, level, 0), len(n)) / np.maximum(np.bincount(rows, level < 255, len(n)), 1)
+        weight = np.bincount(rows, level, len(n)) / np.maximum(n, 1)
         per_row = np.bincount(key_rows, minlength=len(n))
         some = np.flatnonzero(per_row)
         starts = np.concatenate([[0], np.cumsum(per_row[some])]).astype(np.int32)
-        vectors = points(hashes, first)[some].astype(np.int32)
-        return pa.table({"_class": texts["_class"].combine_chunks().take(pa.array(some)), "_n": pa.array(n[some], pa.int64()), "_weight": pa.array(np.round(known[some] * 1000), pa.int64()),
+        vectors = points(hashes[level > 0], np.concatenate([[0], np.cumsum(shared)]).astype(np.int64))[some]
+        return pa.table({"_class": texts["_class"].combine_chunks().take(pa.array(some)), "_n": pa.array(n[some], pa.int64()), "_weight": pa.array(np.round(weight[some] * 1000), pa.int64()),
                          "_point": pa.array([v.tobytes() for v in vectors], pa.binary()), "_keys": pa.ListArray.from_arrays(pa.array(starts), pa.array(keys)),
                          "_text": texts["_text"].combine_chunks().take(pa.array(some))})
     return prefix
