@@ -27,7 +27,6 @@ def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="gridloom")
     p.add_argument("step", choices=["preprocess", "samples", "batches", "masks"])
     p.add_argument("config")
-    p.add_argument("--value", help="value column for samples (defaults to each variable name)")
     args = p.parse_args(argv)
     logging.basicConfig(level=logging.INFO)
     cfg = load_config(args.config)
@@ -43,16 +42,16 @@ def main(argv: list[str] | None = None) -> None:
             for var in model.climate_variables:
                 if var.invariant:
                     continue      # invariants have no split to sample
-                samples.make_samples(spark, root, f"{root}/samples", args.value or var.name, ny, nx,
+                samples.make_samples(spark, preprocess.split_root(root), f"{root}/samples", ny, nx,
                                      [var.name], [model.name])
     elif args.step == "batches":
         samples.make_batches(spark, f"{root}/samples", f"{root}/batched", cfg.loader.batch_size,
                              cfg.loader.seed, cfg.loader.randomize)
     else:
-        for model in cfg.climate_models:
-            samples.check_mask_variables([v.name for v in model.climate_variables])
-        samples.make_masks(spark, f"{root}/samples", f"{root}/masks",
-                           models=[m.name for m in cfg.climate_models])
+        # only precipitation has masks, whatever else the configuration holds
+        models = [m.name for m in cfg.climate_models if any(v.name == "pr" for v in m.climate_variables)]
+        samples.check_mask_variables(["pr"] if models else [v.name for m in cfg.climate_models for v in m.climate_variables])
+        samples.make_masks(spark, f"{root}/samples", f"{root}/masks", models=models)
 
 
 if __name__ == "__main__":

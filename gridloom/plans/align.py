@@ -85,6 +85,13 @@ def _by_time(cells: DataFrame, keys: tuple[str, ...], profile: SourceProfile | N
     return cells.repartitionByRange(time_partitions(steps, out_cells_per_step, floor), "time")
 
 
+def _covered(weights: DataFrame) -> DataFrame:
+    """The weights, or an error when no target point lies inside the source grid."""
+    if weights.isEmpty():
+        raise ValueError("no point of the reference grid lies inside the source grid; do both have the same longitude range?")
+    return weights
+
+
 def align_grid(cells: DataFrame, src_grid: DataFrame, tgt_grid: DataFrame, scale_factor: int,
                x, y, value: str, keys: tuple[str, ...] = ("time",),
                tgt_shape: Shape | None = None, profile: SourceProfile | None = None,
@@ -92,7 +99,7 @@ def align_grid(cells: DataFrame, src_grid: DataFrame, tgt_grid: DataFrame, scale
     """Regrid onto the reference grid and crop it (P4); coordinates are dropped."""
     regrid.check_inputs(src_grid, tgt_grid)
     target, out_shape = _cropped_target(tgt_grid, scale_factor, x, y, tgt_shape)
-    weights = regrid.grid_weights(src_grid, target)
+    weights = _covered(regrid.grid_weights(src_grid, target))
     # ≤ 4 weight rows per cropped target point: a bound known without a job;
     # past the broadcast bound the targets are applied in bands
     keys = tuple(k for k in keys if k in cells.columns)
@@ -125,7 +132,7 @@ def align_with_lr(cells: DataFrame, src_grid: DataFrame, tgt_grid: DataFrame, sc
 
     target, _ = _cropped_target(tgt_grid, scale_factor, x, y, tgt_shape)
     info: dict = {}
-    weights = regrid.grid_weights(src_grid, target, info=info)
+    weights = _covered(regrid.grid_weights(src_grid, target, info=info))
     profile = profile_source(cells, value, keys)
     n_targets = out_shape.ny * out_shape.nx
     ok = (profile.values == profile.rows

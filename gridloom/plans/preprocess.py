@@ -35,6 +35,14 @@ HR_MODELS = ("hr", "hr_invariant")
 LR_MODELS = ("lr", "lr_invariant")
 
 
+def split_root(output_path: str) -> str:
+    return f"{output_path.rstrip('/')}/splits"
+
+
+def invariant_root(output_path: str) -> str:
+    return f"{output_path.rstrip('/')}/invariants"
+
+
 def align_variable(cells: DataFrame, model: str, scale_factor: int, x, y, value: str,
                    src_grid: DataFrame | None = None, hr_ref: DataFrame | None = None,
                    shape: Shape | None = None, keys=("time",)) -> DataFrame:
@@ -104,31 +112,41 @@ def run_variable(spark: SparkSession, model: Model, var: Variable, cfg: DataConf
     """
     t0 = _time.time()
     cells = load_grid(spark, var.path)
+    frame_dims = frame_dims or cell_dims(cells.columns, var, cfg)
+    if model.name in LR_MODELS and src_grid is not None:
+        # the source grid carries the coordinates (and their longitude shift)
+        names_of = {n for c in cfg.coords for n in (c.name, *c.alternative_names)}
+        cells = cells.drop(*[c for c in cells.columns if c in names_of])
     frame, attrs = prepare_variable(
         cells, var, model.name, cfg.dims, cfg.coords, cfg.time.start, cfg.time.end,
         cfg.time.test_years, cfg.time.validation_years, cfg.spatial.scale_factor,
         cfg.spatial.x, cfg.spatial.y, src_grid=src_grid, hr_ref=hr_ref,
         frame_dims=frame_dims, stage=checkpoint_stage)
     if var.invariant:
-        writers.write_invariant(frame, cfg.output_path, var.name, model.name)
+        writers.write_invariant(frame, invariant_root(cfg.output_path), var.name, model.name)
     else:
         ny, nx = sample_shape or _sample_shape(cfg, model.name)
         time_chunk = next((d.chunksize for d in cfg.dims if d.name == "time"), "auto")
-        writers.write_splits(frame, cfg.output_path, var.name, model.name, attrs=attrs,
+        writers.write_splits(frame, split_root(cfg.output_path), var.name, model.name, attrs=attrs,
                              max_records_per_file=writers.records_per_file(time_chunk, ny * nx))
         if samples_root is not None:
             # LR frames come out of groupBy(time, rlat, rlon): no copies possible
             samples.assert_unique_keys(frame, ("split",))
             tens = samples.samples_by_time(frame, var.name, ny, nx, group=("split",),
                                            unique_cells=model.name in LR_MODELS)
-            out = tens.withColumns({"variable": F.lit(var.name), "model": F.lit(model.name),
-                                    "name": F.concat(F.lit(f"{var.name}_"), F.col("key"))})
-            writers.write_samples(out, samples_root, partition_by=("variable", "model", "split"))
+            out = tens.withColumn("name", F.concat(F.lit(f"{var.name}_"), F.col("key")))
+            writers.write_samples(out, samples_root, var.name, model.name)
             writers.write_train_stats(spark, samples_root, var.name, model.name, attrs)
     log.info("Done processing %s in %s (%.1fs)", var.name, model.info, _time.time() - t0)
     return attrs
 
 
+def cell_dims(columns: list[str], var: Variable, cfg: DataConfig) -> list[str]:
+    """The dimension columns of a field: all but its values and its coordinates (M3 compares them with the configured ones)."""
+    other = {var.name, *var.alternative_names} | {n for c in cfg.coords for n in (c.name, *c.alternative_names)}
+    return [c for c in columns if c not in other]
+
+
 def _sample_shape(cfg: DataConfig, model: str) -> tuple[int, int]:
     """Tensor shape after cropping (and coarsening for LR models)."""
     ny = cfg.spatial.y.last_index - cfg.spatial.y.first_index
@@ -154,14 +172,19 @@ def source_grid(cells: DataFrame) -> DataFrame:
     return cells.select("rlat", "rlon", "lat", "lon").dropDuplicates(["rlat", "rlon"])
 
 
+def shifted_grid(grid: DataFrame, var: Variable) -> DataFrame:
+    """A variable's grid at the longitudes of the reference grid (M4 on the grid that is regridded)."""
+    return names.match_longitudes(grid) if var.is_west_negative else grid
+
+
 def preprocess(spark: SparkSession, cfg: DataConfig, parallel: int = 1,
                samples_root: str | None = None) -> dict:
     """Every model and variable (P7); returns attributes per output.
 
     Variables are independent, so with ``parallel > 1`` their jobs are
     submitted from a thread pool and Spark runs them side by side (use the
-    FAIR scheduler to share executors evenly).  Each variable writes its own
-    partitions (dynamic overwrite), so concurrent writes do not collide.
+    FAIR scheduler to share executors evenly).  Each variable and model has a
+    path of its own, so concurrent writes do not collide.
     """
     tasks = []
     for model in cfg.climate_models:
@@ -172,7 +195,7 @@ def preprocess(spark: SparkSession, cfg: DataConfig, parallel: int = 1,
                 raw = names.rename_all(names.rename_all(load_grid(spark, var.path), cfg.coords),
                                        cfg.dims)
                 if {"lat", "lon"} <= set(raw.columns):
-                    src = source_grid(raw)
+                    src = shifted_grid(source_grid(raw), var)
             tasks.append((model, var, src, hr_ref))
 
     def run(t):

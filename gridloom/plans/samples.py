@@ -1,11 +1,11 @@
 """Sample, batch and mask production.
 
-Each is one Spark job over all (variable, model, split) partitions at once:
+Each runs over the (variable, model) pairs written below a root and writes each
+pair to its own path:
 
-* ``make_samples`` reads the written splits (partition pruning on variable,
-  model, split), packs one tensor per hour key and writes them; the training
-  statistics of each variable are copied to a ``train`` sidecar (K6).
-  Invariant outputs carry no split and are skipped.
+* ``make_samples`` reads a pair's splits, packs one tensor per hour key and
+  writes them with the pair's training statistics (K6).  Invariants have a root
+  of their own and are not sampled.
 * ``make_batches`` numbers the keys of each split in the seeded permuted
   order, joins the tensors back and stacks ``batch_size`` of them per row.
 * ``make_masks`` turns standardized precipitation samples into 0/1 masks.
@@ -25,6 +25,13 @@ SPLITS = ("train", "test", "validation")
 GROUP = ("variable", "model", "split")
 
 
+def wanted(spark: SparkSession, root: str, variables: Sequence[str] | None = None,
+           models: Sequence[str] | None = None) -> list[tuple[str, str]]:
+    """The pairs written below ``root`` that were asked for (None: all)."""
+    return [(v, m) for v, m in writers.stored_pairs(spark, root)
+            if (variables is None or v in variables) and (models is None or m in models)]
+
+
 def read_splits(spark: SparkSession, root: str, variables: Sequence[str] | None = None,
                 models: Sequence[str] | None = None, splits: Sequence[str] = SPLITS,
                 years: Sequence[int] | None = None) -> DataFrame:
@@ -33,11 +40,7 @@ def read_splits(spark: SparkSession, root: str, variables: Sequence[str] | None
     ``years`` filters the ``year`` partition column (``year(time)`` itself is
     not pushed to the scan).
     """
-    df = spark.read.parquet(root)
-    if variables:
-        df = df.where(F.col("variable").isin(list(variables)))
-    if models:
-        df = df.where(F.col("model").isin(list(models)))
+    df = writers.read_pairs(spark, root, wanted(spark, root, variables, models))
     if years:
         df = df.where(F.col("year").isin([int(y) for y in years]))
     return df.where(F.col("split").isin(list(splits)))
@@ -55,28 +58,23 @@ def sample_frame(cells: DataFrame, value: str, ny: int, nx: int,
     return out.withColumn("name", sample_name()) if "variable" in out.columns else out
 
 
-def make_samples(spark: SparkSession, split_root: str, sample_root: str, value: str,
-                 ny: int, nx: int, variables: Sequence[str] | None = None,
-                 models: Sequence[str] | None = None) -> None:
-    """Splits → tensors, written under ``sample_root`` by (variable, model, split)."""
-    cells = read_splits(spark, split_root, variables, models)
-    out = sample_frame(cells, value, ny, nx)
-    writers.write_samples(out, sample_root, partition_by=GROUP)
-    for var in variables or []:
-        for model in models or []:
-            try:
-                attrs = writers.read_attrs(spark, f"{split_root.rstrip('/')}/variable={var}/model={model}")
-            except Exception:  # noqa: BLE001 - no sidecar was written
-                attrs = {}
-            stats = {k: v for k, v in attrs.items() if k != "history"}
-            writers.write_train_stats(spark, sample_root, var, model, stats)
+def make_samples(spark: SparkSession, split_root: str, sample_root: str, ny: int, nx: int,
+                 variables: Sequence[str] | None = None, models: Sequence[str] | None = None) -> None:
+    """Splits → tensors, each (variable, model) written to its own path."""
+    pairs = wanted(spark, split_root, variables, models)
+    if not pairs:
+        raise FileNotFoundError(f"no splits of {variables} and {models} below {split_root}")
+    for var, model in pairs:
+        cells = read_splits(spark, split_root, [var], [model])
+        writers.write_samples(sample_frame(cells, writers.VALUE, ny, nx), sample_root, var, model)
+        attrs = writers.read_attrs(spark, writers.pair_path(split_root, var, model))
+        writers.write_train_stats(spark, sample_root, var, model, {k: v for k, v in attrs.items() if k != "history"})
 
 
 def list_samples(spark: SparkSession, sample_root: str, variable: str, model: str,
                  split: str) -> DataFrame:
     """S3: sample keys of one (variable, model, split), ordered, with the count."""
-    df = spark.read.parquet(sample_root).where(
-        (F.col("variable") == variable) & (F.col("model") == model) & (F.col("split") == split))
+    df = writers.read_pairs(spark, sample_root, [(variable, model)]).where(F.col("split") == split)
     return df.select("key").orderBy("key")
 
 
@@ -92,10 +90,13 @@ def batch_frame(sample_rows: DataFrame, batch_size: int, seed: int = 0,
 
 def make_batches(spark: SparkSession, sample_root: str, batch_root: str, batch_size: int,
                  seed: int = 0, randomize: bool = True) -> None:
-    """Every (variable, model, split) permuted and batched in one job."""
-    rows = spark.read.parquet(sample_root)
-    writers.write_batches(batch_frame(rows, batch_size, seed, randomize=randomize), batch_root,
-                          partition_by=GROUP)
+    """Every (variable, model, split) permuted and batched, the same way for equal keys."""
+    pairs = wanted(spark, sample_root)
+    if not pairs:
+        raise FileNotFoundError(f"no samples below {sample_root}")
+    for var, model in pairs:
+        rows = writers.read_pairs(spark, sample_root, [(var, model)])
+        writers.write_batches(batch_frame(rows, batch_size, seed, randomize=randomize), batch_root, var, model)
 
 
 def mask_frame(sample_rows: DataFrame, threshold: float | None = None) -> DataFrame:
@@ -105,10 +106,12 @@ def mask_frame(sample_rows: DataFrame, threshold: float | None = None) -> DataFr
 def make_masks(spark: SparkSession, sample_root: str, mask_root: str,
                models: Sequence[str] = ("lr", "hr"), threshold: float | None = None) -> None:
     """P10: masks for the precipitation samples of the given models."""
-    rows = spark.read.parquet(sample_root).where(
-        (F.col("variable") == "pr") & F.col("model").isin(list(models)))
-    writers.write_masks(mask_frame(rows.drop("variable"), threshold), mask_root,
-                        partition_by=("model", "split"))
+    pairs = wanted(spark, sample_root, ["pr"], models)
+    if not pairs:
+        raise FileNotFoundError(f"no precipitation samples of {list(models)} below {sample_root}")
+    for var, model in pairs:
+        rows = writers.read_pairs(spark, sample_root, [(var, model)]).drop("variable")
+        writers.write_masks(mask_frame(rows, threshold), mask_root, model)
 
 
 def check_mask_variables(variables: Sequence[str]) -> None:

@@ -1,8 +1,11 @@
 """Writers (K1–K8): partitioned Parquet plus small JSON sidecars.
 
-* Datasets are written with ``mode("overwrite")``; partitioned outputs use
-  dynamic partition overwrite so one (variable, model, split) can be
-  rewritten without touching the others.
+* Every (variable, model) has a path of its own below the root of its kind,
+  ``root/variable=…/model=…``, and is overwritten as a whole: a partition that a
+  new run does not produce is gone, and other variables are never touched.
+  Splits, invariants, samples, batches and masks have separate roots, and the
+  value column is called ``value`` everywhere, so a root has one schema and one
+  partition depth.
 * Attributes (``history``, train statistics) go to a one-row JSON sidecar in
   ``_attrs/`` next to the data; names starting with ``_`` are ignored by the
   Parquet reader.
@@ -23,6 +26,27 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 ATTRS_DIR = "_attrs"
+VALUE = "value"
+
+
+def pair_path(root: str, variable: str, model: str) -> str:
+    """The folder of one (variable, model) below a root."""
+    return f"{root.rstrip('/')}/variable={variable}/model={model}"
+
+
+def stored_pairs(spark: SparkSession, root: str) -> list[tuple[str, str]]:
+    """The (variable, model) pairs written below ``root``, asked of the cluster's file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/variable=*/model=*")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    folders = [(f.getPath().getParent().getName(), f.getPath().getName()) for f in found or []]
+    return sorted((v.removeprefix("variable="), m.removeprefix("model=")) for v, m in folders)
+
+
+def read_pairs(spark: SparkSession, root: str, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """The rows of some pairs with their partition columns; no pair → FileNotFoundError."""
+    if not pairs:
+        raise FileNotFoundError(f"nothing is written for the variables and models asked for below {root}")
+    return spark.read.option("basePath", root.rstrip("/")).parquet(*[pair_path(root, v, m) for v, m in pairs])
 
 
 def history_line(program: str = "gridloom") -> str:
@@ -51,12 +75,10 @@ def cluster_by_time(df: DataFrame, time: str = "time", partitions: int | None =
 
 def write_dataset(df: DataFrame, path: str, attrs: dict | None = None,
                   partition_by: Sequence[str] = (), max_records_per_file: int | None = None,
-                  cluster: bool = False, attrs_path: str | None = None) -> None:
+                  cluster: bool = False) -> None:
     """Overwrite ``path`` with ``df`` and record ``history`` (K1, K4).
 
-    An empty frame still writes its schema and the sidecar.  ``attrs_path``
-    puts the sidecar next to one partition (so concurrent writers of
-    different partitions never share it).
+    An empty frame still writes its schema and the sidecar.
     """
     spark = df.sparkSession
     if cluster:
@@ -66,13 +88,13 @@ def write_dataset(df: DataFrame, path: str, attrs: dict | None = None,
         out = df.sortWithinPartitions(*order) if order else df
     w = out.write.mode("overwrite")
     if partition_by:
-        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.parquet(path)
     meta = {"history": history_line()}
     meta.update(attrs or {})
-    write_attrs(spark, attrs_path or path, meta)
+    write_attrs(spark, path, meta)
 
 
 def records_per_file(time_chunksize, cells_per_step: int) -> int | None:
@@ -82,38 +104,41 @@ def records_per_file(time_chunksize, cells_per_step: int) -> int | None:
     return None
 
 
+def neutral(df: DataFrame, variable: str) -> DataFrame:
+    """``df`` with the variable's column under the name all variables share."""
+    return df.withColumnRenamed(variable, VALUE)
+
+
 def write_splits(df: DataFrame, root: str, variable: str, model: str,
                  attrs: dict | None = None, max_records_per_file: int | None = None) -> None:
-    """One output per (variable, split, model), partitioned by year too (K2).
+    """The splits of one (variable, model), partitioned by split and year (K2).
 
-    ``df`` carries a ``split`` column; the layout is
-    ``root/variable=…/model=…/split=…/year=…``.
+    ``df`` carries a ``split`` column; an earlier run of the same variable and
+    model is replaced entirely, whatever years it had.
     """
     from pyspark.sql import functions as F
-    out = df.withColumns({"variable": F.lit(variable), "model": F.lit(model),
-                          "year": F.year("time").cast("int")})
-    write_dataset(out, root, attrs=attrs, partition_by=("variable", "model", "split", "year"),
-                  max_records_per_file=max_records_per_file,
-                  attrs_path=f"{root.rstrip('/')}/variable={variable}/model={model}")
+    out = neutral(df, variable).withColumn("year", F.year("time").cast("int"))
+    write_dataset(out, pair_path(root, variable, model), attrs=attrs, partition_by=("split", "year"),
+                  max_records_per_file=max_records_per_file)
 
 
 def write_invariant(df: DataFrame, root: str, variable: str, model: str) -> None:
-    """Invariant fields: ``root/variable=…/model=…`` with no split (K3)."""
-    from pyspark.sql import functions as F
-    out = df.withColumns({"variable": F.lit(variable), "model": F.lit(model)})
-    write_dataset(out, root, partition_by=("variable", "model"),
-                  attrs_path=f"{root.rstrip('/')}/variable={variable}/model={model}")
+    """An invariant field, without splits (K3)."""
+    write_dataset(neutral(df, variable), pair_path(root, variable, model))
 
 
-def write_samples(samples: DataFrame, root: str, partition_by: Sequence[str] = ("split",)) -> None:
+def _write_tensors(rows: DataFrame, root: str, variable: str, model: str) -> None:
+    (rows.drop("variable", "model").write.mode("overwrite").partitionBy("split")
+     .option("partitionOverwriteMode", "static").parquet(pair_path(root, variable, model)))
+
+
+def write_samples(samples: DataFrame, root: str, variable: str, model: str) -> None:
     """Tensor rows, one per time step (K5); ``key`` names the sample.
 
-    No extra shuffle: rows are only sorted within their task by partition
-    columns and key, so each file holds an ordered run of samples.
+    No extra shuffle: rows are only sorted within their task by split and key,
+    so each file holds an ordered run of samples.
     """
-    (samples.sortWithinPartitions(*partition_by, "key")
-     .write.mode("overwrite").partitionBy(*partition_by)
-     .option("partitionOverwriteMode", "dynamic").parquet(root))
+    _write_tensors(samples.sortWithinPartitions("split", "key"), root, variable, model)
 
 
 def write_train_stats(spark: SparkSession, root: str, variable: str, model: str,
@@ -123,15 +148,11 @@ def write_train_stats(spark: SparkSession, root: str, variable: str, model: str,
                 {"attributes": attrs})
 
 
-def write_batches(batches: DataFrame, root: str, partition_by: Sequence[str] = ("split",)) -> None:
+def write_batches(batches: DataFrame, root: str, variable: str, model: str) -> None:
     """Stacked batch tensors named by their members (K7)."""
-    (batches.write.mode("overwrite").partitionBy(*partition_by)
-     .option("partitionOverwriteMode", "dynamic").parquet(root))
+    _write_tensors(batches, root, variable, model)
 
 
-def write_masks(masks: DataFrame, root: str, partition_by: Sequence[str] = ("split",)) -> None:
+def write_masks(masks: DataFrame, root: str, model: str) -> None:
     """Mask tensors under variable ``pr_mask`` (K8)."""
-    from pyspark.sql import functions as F
-    out = masks.withColumn("variable", F.lit("pr_mask"))
-    (out.write.mode("overwrite").partitionBy("variable", *partition_by)
-     .option("partitionOverwriteMode", "dynamic").parquet(root))
+    _write_tensors(masks, root, "pr_mask", model)

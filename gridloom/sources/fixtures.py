@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .grids import load_grid
+
 # Layout of the derived fields.
 DENSE_SIDE = 8
 DENSE_START = "2000-01-01 00:00:00"
@@ -30,7 +32,7 @@ TARGET_SIDE = 12
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return load_grid(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def dense_field(spark: SparkSession, sf_dir: str, value: str = "v") -> DataFrame:

@@ -2,15 +2,14 @@
 
 Cell-form Parquet is read lazily; value columns get NaN → NULL once.  Several
 paths of one variable are one scan (a concatenation along time); paths of
-different variables are combined on their shared coordinates with a full
-outer join.
+different variables are combined on the coordinates they share.
 """
 
 from __future__ import annotations
 
-import glob as _glob
 import logging
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,20 +34,35 @@ def null_nans(df: DataFrame, keys: Iterable[str] = COORD_COLUMNS) -> DataFrame:
     return df.withColumns(fix) if fix else df
 
 
+def expand_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
+    """Paths with their globs expanded by the cluster's file system, sorted within a glob; a glob without a match stays as it is."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for p in paths:
+        found = []
+        if any(c in p for c in "*?[{"):
+            jp = jvm.org.apache.hadoop.fs.Path(p)
+            found = sorted(f.getPath().toString() for f in jp.getFileSystem(conf).globStatus(jp) or [])
+        out += found or [p]
+    return out
+
+
 def load_grid(spark: SparkSession, path: str | Sequence[str],
               keys: Sequence[str] = COORD_COLUMNS) -> DataFrame:
-    """Open one path, a glob or a list of paths.
+    """Open one path, a glob or a list of either.
 
     Paths holding the same columns are read as one scan (concatenation);
-    different variables are merged with a full outer join on the coordinate
-    columns they share (each side keeps its own rows).
+    different variables are merged on the coordinate columns they share (see
+    ``combine_variables``).  With several paths, their schemas are read first,
+    some at a time.
     """
-    paths = _paths(path)
+    paths = expand_paths(spark, _paths(path))
     if len(paths) == 1:
         return null_nans(spark.read.parquet(paths[0]), keys)
+    with ThreadPoolExecutor(8) as pool:
+        columns = list(pool.map(lambda p: tuple(spark.read.parquet(p).columns), paths))
     frames: dict[tuple, list[str]] = {}
-    for p in paths:
-        cols = tuple(spark.read.parquet(p).columns)
+    for cols, p in zip(columns, paths, strict=True):
         frames.setdefault(cols, []).append(p)
     parts = [null_nans(spark.read.parquet(*ps), keys) for ps in frames.values()]
     out = parts[0]
@@ -57,33 +71,45 @@ def load_grid(spark: SparkSession, path: str | Sequence[str],
     return out
 
 
+def _only_value(c: str):
+    """The one value of a cell's copies; copies that differ are an error, not a choice."""
+    differ = F.raise_error(F.concat(F.lit(f"two values of {c} for one cell: "), F.min(c).cast("string"), F.lit(" and "), F.max(c).cast("string")))
+    return F.when(F.min(c) != F.max(c), differ).otherwise(F.max(c)).alias(c)
+
+
 def collapse_copies(df: DataFrame, on: Sequence[str]) -> DataFrame:
     """One row per coordinate key: copies of a cell (a file listed twice) collapse.
 
     A partial + final aggregate, so copies of even a very hot key are merged
     map-side before anything is shuffled.
     """
-    values = [c for c in df.columns if c not in on]
-    return df.groupBy(*on).agg(*[F.max(c).alias(c) for c in values])
+    return df.groupBy(*on).agg(*[_only_value(c) for c in df.columns if c not in on])
 
 
 def combine_variables(a: DataFrame, b: DataFrame,
                       keys: Sequence[str] = COORD_COLUMNS) -> DataFrame:
-    """Full outer merge of two variables on their shared coordinates.
-
-    Written as a union followed by one ``groupBy(keys)``: each key keeps the
-    value of each variable (missing where a side lacks it), copies of a cell
-    collapse, and the aggregation is partial map-side, so there is a single
-    exchange and no sort-merge join.  A hot key cannot skew it: its copies are
-    merged before the shuffle.
+    """Merge of two variables on their shared coordinates.
+
+    On equal coordinates it is a full outer merge: a union followed by one
+    ``groupBy(keys)``, in which each key keeps the value of each variable
+    (missing where a side lacks it), copies collapse map-side, and no key can
+    skew the one exchange.  A variable with fewer coordinates (a static field)
+    is attached to every row of the other that has its cell; Spark broadcasts
+    it if its size allows.  Coordinates that neither side holds entirely, and
+    two different values of one cell, are errors.
     """
-    on = [k for k in keys if k in a.columns and k in b.columns]
-    va = [c for c in a.columns if c not in on]
-    vb = [c for c in b.columns if c not in on]
+    on_a, on_b = ([k for k in keys if k in f.columns] for f in (a, b))
+    va, vb = ([c for c in f.columns if c not in on] for f, on in ((a, on_a), (b, on_b)))
     if set(va) & set(vb):
         raise ValueError(f"both inputs carry {sorted(set(va) & set(vb))}; rename one first")
-    u = a.select(*on, *va).unionByName(b.select(*on, *vb), allowMissingColumns=True)
-    return u.groupBy(*on).agg(*[F.max(c).alias(c) for c in va + vb])
+    if set(on_a) == set(on_b):
+        u = a.select(*on_a, *va).unionByName(b.select(*on_a, *vb), allowMissingColumns=True)
+        return u.groupBy(*on_a).agg(*[_only_value(c) for c in va + vb])
+    if set(on_a) > set(on_b) and on_b:
+        return a.join(collapse_copies(b.select(*on_b, *vb), on_b), on_b, "left").select(*on_a, *va, *vb)
+    if set(on_b) > set(on_a) and on_a:
+        return b.join(collapse_copies(a.select(*on_a, *va), on_a), on_a, "left").select(*on_b, *va, *vb)
+    raise ValueError(f"coordinates {on_a} and {on_b} do not contain each other")
 
 
 def existing_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
@@ -105,11 +131,6 @@ def existing_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
     return keep
 
 
-def expand_glob(pattern: str) -> list[str]:
-    """Sorted local glob expansion (Spark expands globs itself on read)."""
-    return sorted(_glob.glob(pattern))
-
-
 def load_reference_grid(spark: SparkSession, path: str | Sequence[str] | DataFrame,
                         rlat: str = "rlat", rlon: str = "rlon") -> DataFrame:
     """The target grid ``(rlat, rlon, lat, lon)`` of a reference field.

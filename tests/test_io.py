@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from gridloom.sinks import writers
@@ -40,9 +41,12 @@ def test_write_splits_prunes_partitions(spark, tmp_path):
     year = spark.read.parquet(root).where("year = 2001")
     assert year.count() == 1
     assert writers.read_attrs(spark, f"{root}/variable=tas/model=hr")["mean"] == 1.5
-    # dynamic overwrite: rewriting another model keeps this one
+    # another model has a path of its own; a rewrite of one replaces all its partitions
     writers.write_splits(df.limit(1), root, "tas", "lr")
     assert spark.read.parquet(root).where("model = 'hr'").count() == 4
+    writers.write_splits(df.where("split = 'test'"), root, "tas", "hr")
+    assert [(r.split, r.year, r.value) for r in spark.read.parquet(root).where("model = 'hr'").collect()] == [("test", 2001, 1.0)]
+    assert writers.stored_pairs(spark, root) == [("tas", "hr"), ("tas", "lr")]
 
 
 def test_existing_paths_skips_missing(spark, tmp_path):
@@ -95,11 +99,34 @@ def test_cut_sources_skips_missing(spark, tmp_path):
     assert got.count() == 2 * 2 * 2 and got.agg(F.max("rlat"), F.max("rlon")).first() == (1, 1)
 
 
-def test_expand_glob_sorted(tmp_path):
-    for n in ("b.parquet", "a.parquet", "c.txt"):
-        (tmp_path / n).write_text("")
-    assert [os.path.basename(p) for p in grids.expand_glob(str(tmp_path / "*.parquet"))] == \
-        ["a.parquet", "b.parquet"]
+def _field(spark, path, columns, rows):
+    spark.createDataFrame(rows, columns).write.parquet(path)
+    return path
+
+
+def test_glob_of_two_variables_equals_the_list(spark, tmp_path):
+    t0 = dt.datetime(2000, 1, 1)
+    paths = [_field(spark, str(tmp_path / f"{v}.parquet"), f"time timestamp_ntz, rlat int, rlon int, {v} double", [(t0, 0, x, float(x)) for x in range(3)]) for v in "ab"]
+    listed, globbed = grids.load_grid(spark, paths), grids.load_grid(spark, str(tmp_path / "*.parquet"))
+    assert sorted(map(tuple, listed.collect())) == sorted(map(tuple, globbed.collect())) == [(t0, 0, x, float(x), float(x)) for x in range(3)]
+
+
+def test_static_field_keeps_the_time_axis(spark, tmp_path):
+    times = [dt.datetime(2000, 1, d) for d in (1, 2, 3)]
+    a = _field(spark, str(tmp_path / "a"), "time timestamp_ntz, rlat int, rlon int, a double", [(t, 0, x, 1.0) for t in times for x in range(2)])
+    s = _field(spark, str(tmp_path / "s"), "rlat int, rlon int, s double", [(0, 0, 7.0), (0, 0, 7.0)])
+    for order in ([a, s], [s, a]):
+        got = sorted((r.time, r.rlon, r.a, r.s) for r in grids.load_grid(spark, order).collect())
+        assert got == [(t, x, 1.0, 7.0 if x == 0 else None) for t in times for x in range(2)]
+
+
+def test_conflicts_are_errors(spark):
+    both = spark.createDataFrame([(0, 0, 1.0), (0, 0, 2.0)], "rlat int, rlon int, a double")
+    other = spark.createDataFrame([(0, 0, 1.0)], "rlat int, rlon int, b double")
+    with pytest.raises(Exception, match="two values of a for one cell"):
+        grids.combine_variables(both, other).collect()
+    with pytest.raises(ValueError, match="do not contain each other"):
+        grids.combine_variables(spark.createDataFrame([(0, 1.0)], "time int, a double"), other)
 
 
 def test_bounds_counts_and_grid_coarsening(spark):
@@ -124,4 +151,4 @@ def test_read_splits_prunes_years(spark, tmp_path):
     got = sample_plans.read_splits(spark, root, ["tas"], ["hr"], years=[2001, 2003])
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "year" in plan.split("PartitionFilters")[1][:300]
-    assert sorted(r.tas for r in got.collect()) == [1.0, 3.0]
+    assert sorted(r.value for r in got.collect()) == [1.0, 3.0]

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_mod
+from gridloom import catalog
 from gridloom.config import (DataConfig, IndexRange, Loader, Model, Spatial, TimeSelect, Variable,
                              default_coords, default_dims)
 from gridloom.operators.aggregate import Stats
@@ -36,18 +37,18 @@ def test_preprocess_hr_end_to_end(spark, hr_input, tmp_path):
     cfg = config(out, hr_input, [Model("hr", "test", [var])])
     attrs = preprocess.preprocess(spark, cfg)
     a = attrs[("hr", "tas")]
-    written = spark.read.parquet(out)
+    written = spark.read.parquet(f"{out}/splits")
     train = written.where("split = 'train'")
-    st = train.agg(F.avg("tas"), F.stddev_pop("tas"), F.max("rlat"), F.max("rlon")).first()
+    st = train.agg(F.avg("value"), F.stddev_pop("value"), F.max("rlat"), F.max("rlon")).first()
     assert abs(st[0]) < 1e-9 and st[1] == pytest.approx(1.0)
     assert (st[2], st[3]) == (3, 3)
     assert set(r.split for r in written.select("split").distinct().collect()) == \
         {"train", "test", "validation"}
-    assert writers.read_attrs(spark, f"{out}/variable=tas/model=hr")["mean"] == pytest.approx(a["mean"])
+    assert writers.read_attrs(spark, f"{out}/splits/variable=tas/model=hr")["mean"] == pytest.approx(a["mean"])
 
     # samples, batches, masks over everything written
     s_root, b_root = str(tmp_path / "samples"), str(tmp_path / "batched")
-    sample_plans.make_samples(spark, out, s_root, "tas", 4, 4, ["tas"], ["hr"])
+    sample_plans.make_samples(spark, f"{out}/splits", s_root, 4, 4, ["tas"], ["hr"])
     s = spark.read.parquet(s_root)
     assert s.count() == written.select("split", "time").distinct().count()
     assert s.where(F.size("tensor") != 16).count() == 0
@@ -134,15 +135,16 @@ def test_entry_contract(spark):
     df = entry_mod.entry(spark)
     assert df.columns == ["split", "time", "rlat", "rlon", "v"]
     assert df.count() > 0
-    assert set(entry_mod.queries()) == set(entry_mod.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLE_SQL) <= set(entry_mod.queries())
+    assert set(entry_mod.oracle_sql()) <= set(entry_mod.queries())
 
 
 def test_oracle_sql_runs_in_duckdb():
     import duckdb
     con = duckdb.connect()
-    for t in ("embeddings", "lineitem", "events"):
+    for t in ("embeddings", "lineitem", "events", "documents", "labels"):
         con.execute(f"create view {t} as select * from read_parquet('{SF_SMALL}/{t}.parquet')")
-    for name, sql in entry_mod.oracle_sql().items():
+    for name, sql in catalog.ORACLE_SQL.items():
         assert con.execute(sql).fetchall() is not None, name
 
 
@@ -164,7 +166,7 @@ def test_lr_run_writes_samples_without_second_shuffle(spark, tmp_path):
     assert direct.where(F.size("tensor") != 4).count() == 0
     # the same tensors as packing the written splits afterwards
     again = str(tmp_path / "again")
-    sample_plans.make_samples(spark, out, again, "tas", 2, 2, ["tas"], ["lr"])
+    sample_plans.make_samples(spark, f"{out}/splits", again, 2, 2, ["tas"], ["lr"])
     a = direct.select("split", "key", "tensor")
     b = spark.read.parquet(again).select("split", "key", "tensor")
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
@@ -192,9 +194,10 @@ def test_preprocess_variables_in_parallel(spark, hr_input, tmp_path):
     assert out[1].keys() == out[2].keys()
     for k in out[1]:
         assert out[1][k]["mean"] == pytest.approx(out[2][k]["mean"])
-    x = spark.read.parquet(a).drop("year")
-    y = spark.read.parquet(b).drop("year")
+    x = spark.read.parquet(f"{a}/splits").drop("year")
+    y = spark.read.parquet(f"{b}/splits").drop("year")
     assert x.count() == y.count() and x.exceptAll(y).count() == 0
+    assert {r.variable for r in x.where("value is not null").select("variable").distinct().collect()} == {"tas", "uas"}
 
 
 def test_cli_preprocess_samples_batches(spark, hr_input, tmp_path):
@@ -227,6 +230,76 @@ loader: {{batch_size: 4, randomize: true, seed: 0}}
     assert b.where(F.size("tensors") > 4).count() == 0
 
 
+CONFIG = """
+output_path: {out}
+climate_models:
+  - name: hr
+    climate_variables:
+      - {{name: tas, alternative_names: [T2], path: {path}}}
+      - {{name: pr, alternative_names: [T2], path: {path}, transform: ["x * 2"]}}
+  - name: hr_invariant
+    climate_variables:
+      - {{name: orog, alternative_names: [T2], path: {still}, invariant: true}}
+dims:
+  - {{name: time, alternative_names: [Time], chunksize: 100}}
+  - {{name: rlat}}
+  - {{name: rlon}}
+select:
+  time:
+    range: {{start: "20000201T00:00:00", end: "20050101T00:00:00"}}
+    test_years: [{test}]
+    validation_years: [2004]
+  spatial: {{scale_factor: 2, x: {{first_index: 2, last_index: 6}}, y: {{first_index: 2, last_index: 6}}}}
+loader: {{batch_size: 4, randomize: true, seed: 0}}
+"""
+
+
+def test_cli_all_steps_with_two_variables_and_an_invariant(spark, hr_input, tmp_path):
+    """Every step covers every variable, and a second run with other test years leaves nothing of the first."""
+    from gridloom import cli
+    still, out, cfg = str(tmp_path / "still"), str(tmp_path / "out"), tmp_path / "config.yaml"
+    spark.read.parquet(hr_input).where("Time = timestamp_ntz'2000-01-01 00:00:00'").drop("Time").write.parquet(still)
+    for test in (2001, 2003):
+        cfg.write_text(CONFIG.format(out=out, path=hr_input, still=still, test=test))
+        for step in ("preprocess", "samples", "batches", "masks"):
+            cli.main([step, str(cfg)])
+        splits = spark.read.parquet(f"{out}/splits")
+        assert {r.year for r in splits.where("split = 'test'").select("year").distinct().collect()} == {test}
+        years = splits.groupBy("variable", "split", "year").count().groupBy("variable", "year").count()
+        assert years.where("count > 1").count() == 0                 # no year in two splits
+        steps = {r.variable: r.n for r in splits.groupBy("variable").agg(F.count_distinct("time").alias("n")).collect()}
+        samples = spark.read.parquet(f"{out}/samples")
+        assert {r.variable: r["count"] for r in samples.groupBy("variable").count().collect()} == steps and set(steps) == {"tas", "pr"}
+        batched = spark.read.parquet(f"{out}/batched").groupBy("variable").agg(F.sum(F.size("tensors")).alias("n"))
+        assert {r.variable: r.n for r in batched.collect()} == steps
+        masks = spark.read.parquet(f"{out}/masks")
+        assert masks.count() == steps["pr"] and masks.select("variable").distinct().first()[0] == "pr_mask"
+        assert spark.read.parquet(f"{out}/invariants").count() == 16
+
+
+def test_lr_run_shifts_the_source_grid_and_drops_single_dims(spark, tmp_path):
+    """A west-negative source with a constant height gives the rows of the plain one; without the shift it is refused."""
+    outs = []
+    for name, west, lon0 in (("plain", False, 230.0), ("west", True, -130.0), ("wrong", False, -130.0)):
+        src, ref, out = (str(tmp_path / f"{name}_{x}") for x in ("src", "ref", "out"))
+        g = fixtures.dense_field(spark, SF_SMALL)
+        g.select(F.col("time").alias("Time"), "rlat", "rlon", (F.lit(46.0) + F.col("rlat")).alias("lat"), (F.lit(lon0) + F.col("rlon")).alias("lon"),
+                 F.lit(2.0).alias("height"), F.col("v").alias("T2")).write.parquet(src)
+        fixtures.curvilinear_target(spark).withColumn("z", F.lit(0.0)).write.parquet(ref)
+        model = Model("lr", "test", [Variable("tas", ["T2"], path=src, is_west_negative=west)], Variable("hr_ref", path=ref))
+        cfg = DataConfig(output_path=out, climate_models=[model], dims=default_dims(), coords=default_coords(),
+                         time=TimeSelect("20000201T00:00:00", "20050101T00:00:00", [2001], [2004]), spatial=Spatial(4, IndexRange(2, 10), IndexRange(2, 10)))
+        if name == "wrong":
+            with pytest.raises(ValueError, match="inside the source grid"):
+                preprocess.preprocess(spark, cfg)
+            continue
+        preprocess.preprocess(spark, cfg)
+        outs.append(spark.read.parquet(f"{out}/splits"))
+    assert "height" not in outs[0].columns and outs[0].count() > 0
+    a, b = ({(r.split, r.time, r.rlat, r.rlon): r.value for r in o.collect()} for o in outs)
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+
+
 def test_streaming_restart_processes_new_files_once(spark, tmp_path):
     src, sink, ck = (str(tmp_path / n) for n in ("src", "sink", "ck"))
     schema = "time timestamp_ntz, rlat int, rlon int, v double"
