@@ -8,7 +8,10 @@ transform runs inside whole-stage codegen.  Nothing is evaluated with
 * ``/``  → ``try_divide`` (division by zero is missing, numpy gives inf/NaN)
 * ``//`` → ``floor(a / b)``, ``%`` → ``a - b * floor(a / b)`` (Python floors)
 * ``log``/``sqrt`` of values outside their domain → missing
-* comparisons give 1.0/0.0 (numpy booleans in arithmetic); missing compares False
+* comparisons give 1.0/0.0 (numpy booleans in arithmetic); a missing value compares
+  False, but for ``!=``, which is True as for NaN; ``&``, ``|``, ``^`` and ``~`` combine
+  comparisons
+* ``np.nan`` is missing, ``np.inf`` infinite; ``clip`` keeps a missing value missing
 """
 
 from __future__ import annotations
@@ -62,7 +65,7 @@ def _where(cond: Column, a: Column, b: Column) -> Column:
 
 
 def _clip(a: Column, lo: Column, hi: Column) -> Column:
-    return F.least(F.greatest(a, lo), hi)
+    return _minimum(_maximum(a, lo), hi)
 
 
 def _minimum(a: Column, b: Column) -> Column:
@@ -107,7 +110,13 @@ _BUILTINS: dict[str, tuple[int, Callable[..., Column]]] = {
     "abs": (1, F.abs),
 }
 
-_CONSTANTS = {"pi": math.pi, "e": math.e}
+_CONSTANTS = {"pi": math.pi, "e": math.e, "inf": math.inf, "nan": math.nan}
+# Operators on truth values; both sides must be comparisons or combinations of them.
+_LOGIC: dict[type, Callable[[Column, Column], Column]] = {
+    ast.BitAnd: lambda a, b: (a != 0) & (b != 0),
+    ast.BitOr: lambda a, b: (a != 0) | (b != 0),
+    ast.BitXor: lambda a, b: (a != 0) != (b != 0),
+}
 
 _BINOPS: dict[type, Callable[[Column, Column], Column]] = {
     ast.Add: lambda a, b: a + b,
@@ -129,6 +138,15 @@ _CMPOPS: dict[type, Callable[[Column, Column], Column]] = {
 }
 
 
+def is_truth(node: ast.AST) -> bool:
+    """Whether a node has truth values: a comparison, or such combined by ``&``, ``|``, ``^``, ``~``."""
+    if isinstance(node, ast.Compare):
+        return True
+    if isinstance(node, ast.BinOp):
+        return type(node.op) in _LOGIC and is_truth(node.left) and is_truth(node.right)
+    return isinstance(node, ast.UnaryOp) and isinstance(node.op, ast.Invert) and is_truth(node.operand)
+
+
 class _Compiler:
     def __init__(self, x: Column, source: str):
         self.x = x
@@ -151,16 +169,21 @@ class _Compiler:
         if isinstance(node, ast.Attribute):
             if isinstance(node.value, ast.Name) and node.value.id in _NUMPY_NAMES \
                     and node.attr in _CONSTANTS:
-                return F.lit(_CONSTANTS[node.attr])
+                value = _CONSTANTS[node.attr]
+                return F.lit(None).cast("double") if math.isnan(value) else F.lit(value)
             raise self.fail(node, "attribute")
         if isinstance(node, ast.UnaryOp):
             v = self.visit(node.operand)
+            if isinstance(node.op, ast.Invert) and is_truth(node.operand):
+                return (v == 0).cast("double")
             if isinstance(node.op, ast.USub):
                 return -v
             if isinstance(node.op, ast.UAdd):
                 return v
             raise self.fail(node, "unary operator")
         if isinstance(node, ast.BinOp):
+            if type(node.op) in _LOGIC and is_truth(node.left) and is_truth(node.right):
+                return _LOGIC[type(node.op)](self.visit(node.left), self.visit(node.right)).cast("double")
             op = _BINOPS.get(type(node.op))
             if op is None:
                 raise self.fail(node, "operator")
@@ -173,7 +196,7 @@ class _Compiler:
                 if op is None:
                     raise self.fail(node, "comparison")
                 right = self.visit(right_node)
-                term = F.coalesce(op(left, right), F.lit(False))
+                term = F.coalesce(op(left, right), F.lit(isinstance(op_node, ast.NotEq)))
                 out = term if out is None else (out & term)
                 left = right
             return out.cast("double")
@@ -220,13 +243,17 @@ def trial_value(tree: ast.AST, x: float = 1.0):
             return _CONSTANTS[node.attr]
         if isinstance(node, ast.UnaryOp):
             v = ev(node.operand)
+            if isinstance(node.op, ast.Invert):
+                return not v
             return -v if isinstance(node.op, ast.USub) else +v
         if isinstance(node, ast.BinOp):
             a, b = ev(node.left), ev(node.right)
             op = type(node.op)
             return {ast.Add: lambda: a + b, ast.Sub: lambda: a - b, ast.Mult: lambda: a * b,
                     ast.Div: lambda: a / b, ast.FloorDiv: lambda: a // b,
-                    ast.Mod: lambda: a % b, ast.Pow: lambda: a ** b}[op]()
+                    ast.Mod: lambda: a % b, ast.Pow: lambda: a ** b,
+                    ast.BitAnd: lambda: a and b, ast.BitOr: lambda: a or b,
+                    ast.BitXor: lambda: bool(a) != bool(b)}[op]()
         if isinstance(node, ast.Compare):
             left, out = ev(node.left), True
             for op_node, rn in zip(node.ops, node.comparators):
@@ -259,7 +286,7 @@ def compile_transform(source: str, x: Column) -> Column:
     try:
         tree = ast.parse(source.strip(), mode="eval")
     except SyntaxError as exc:
-        raise SyntaxError(f"Invalid transform in config {source}.") from exc
+        raise SyntaxError(f"{source!r} does not parse as a Python expression") from exc
     column = _Compiler(x, source).visit(tree)     # validates names first
     trial_value(tree, 1.0)
     return column

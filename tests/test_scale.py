@@ -255,3 +255,18 @@ def test_split_and_standardize_dict(field30):
         assert "split" not in frame.columns and frame.count() == 900
         assert attrs["mean"] == pytest.approx(data[:, :, 2].mean())
     assert api.coarsen_lr(df, 2, "var").count() == 3 * 15 * 15
+
+
+@pytest.mark.parametrize("expr", ["np.clip(x, 0, 10)", "np.where(x < 0, np.nan, x)", "(x > 1) & (x < 3)", "(x > 2) | (x == 0)", "~(x > 1)", "(x > 1) ^ (x < 3)",
+                                  "x != 2", "np.where((x != 2) & ~(x < 0), x, -1)", "np.minimum(x, np.inf)"])
+def test_missing_values_and_logic_equal_numpy(spark, expr):
+    values = [-5.0, 0.0, 1.0, 2.0, 2.5, 30.0, float("nan")]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").withColumn("v", F.nanvl("v", F.lit(None).cast("double")))
+    got = [r.o for r in rows.select("i", transform_column(F.col("v"), [expr]).alias("o")).orderBy("i").collect()]
+    want = np.asarray(eval(expr, {"np": np, "x": np.array(values)}), float)
+    assert [None if np.isnan(w) else w for w in want.tolist()] == got
+
+
+def test_logic_needs_comparisons():
+    with pytest.raises(ValueError):
+        transform_column(F.col("x"), ["x & 1"])
