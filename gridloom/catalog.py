@@ -9,6 +9,7 @@ rounded to 6 places on both sides because parallel sums are not associative.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +27,8 @@ from .sources import fixtures
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Fixed query parameters.
-SLICE = ("2000-02-01", "2005-01-01")
+# Days cut off at either end of the data's own time range, so that the window grows with the data.
+TRIM_DAYS = 31
 TEST_YEARS = [2001]
 VALIDATION_YEARS = [2004]
 SEED = 0
@@ -86,10 +88,19 @@ def dense(spark: SparkSession, sf: str) -> DataFrame:
     return fixtures.dense_field(spark, sf)
 
 
+def inner_window(field: DataFrame) -> tuple[tuple, tuple]:
+    """The field's time bounds without TRIM_DAYS at either end, and the bounds themselves."""
+    lo, hi = select.time_bounds(field)
+    return (lo + dt.timedelta(days=TRIM_DAYS), hi - dt.timedelta(days=TRIM_DAYS)), (lo, hi)
+
+
+INNER_SQL = f"""(select min(time) + to_days({TRIM_DAYS}) from g) and (select max(time) - to_days({TRIM_DAYS}) from g)"""
+
+
 # --------------------------------------------------------------------------
 # SQL building blocks for the oracle (DuckDB dialect)
 # --------------------------------------------------------------------------
-G_SQL = """g as (
+G_SQL = """g as materialized (
   select timestamp '2000-01-01' + to_days(cast(vec_id*4 as int)) as time,
          cast((i-1)//8 as int) as rlat, cast((i-1)%8 as int) as rlon,
          cast(embedding[i] as double) as v
@@ -152,7 +163,8 @@ def with_(*ctes: str) -> str:
 def q_lr_min_slice(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: slice → coarsen ×4 → ``x * 100`` → year split → standardize (train)."""
     g = dense(spark, sf)
-    s = select.slice_time(g, *SLICE)
+    (start, end), bounds = inner_window(g)
+    s = select.slice_time(g, start, end, bounds=bounds)
     c = aggregate.coarsen(s, 4, "v", shape=G_SHAPE)
     var = Variable("v", transform=["x * 100"], apply_standardize=True)
     out, _ = scale.split_and_scale(c, var, TEST_YEARS, VALIDATION_YEARS)
@@ -161,7 +173,7 @@ def q_lr_min_slice(spark: SparkSession, sf: str) -> DataFrame:
 
 SQL_LR_MIN_SLICE = with_(
     G_SQL,
-    """s as (select * from g where time between timestamp '2000-02-01' and timestamp '2005-01-01')""",
+    f"""s as (select * from g where time between {INNER_SQL})""",
     """c as (select time, cast(rlat // 4 as int) as rlat, cast(rlon // 4 as int) as rlon,
                  avg(v) * 100.0 as v from s group by all)""",
     """sp as (
@@ -347,9 +359,9 @@ SPLIT_SQL = """sp as (
   union all select 'validation', * from {src} where year(time) in (2004))"""
 
 TRAIN_STATS_SQL = """st as (select avg(v) as mu, stddev_pop(v) as sd, min(v) as lo, max(v) as hi
-  from sp where split = 'train')"""
+  from {src} where year(time) not in (2001, 2004))"""
 
-SQL_STANDARDIZE = with_(G_SQL, SPLIT_SQL.format(src="g"), TRAIN_STATS_SQL) + \
+SQL_STANDARDIZE = with_(G_SQL, SPLIT_SQL.format(src="g"), TRAIN_STATS_SQL.format(src="g")) + \
     "select split, time, rlat, rlon, round((v - mu) / sd, 6) as v from sp, st"
 
 
@@ -357,7 +369,7 @@ def q_minmax(spark: SparkSession, sf: str) -> DataFrame:
     return _split_scaled(spark, fixtures.monthly_field(spark, sf), "qty", False, True)
 
 
-SQL_MINMAX = with_(M_SQL, SPLIT_SQL.format(src="m"), TRAIN_STATS_SQL) + \
+SQL_MINMAX = with_(M_SQL, SPLIT_SQL.format(src="m"), TRAIN_STATS_SQL.format(src="m")) + \
     "select split, time, rlat, rlon, round((v - lo) / (hi - lo), 6) as v from sp, st"
 
 
@@ -381,7 +393,7 @@ def q_standardize_then_minmax(spark: SparkSession, sf: str) -> DataFrame:
 
 SQL_STANDARDIZE_THEN_MINMAX = with_(
     G_SQL, """g5 as (select time, rlat, rlon, v + 5.0 as v from g)""",
-    SPLIT_SQL.format(src="g5"), TRAIN_STATS_SQL) + """select split, time, rlat, rlon,
+    SPLIT_SQL.format(src="g5"), TRAIN_STATS_SQL.format(src="g5")) + """select split, time, rlat, rlon,
 round(((v - mu) / sd - (lo - mu) / sd) / ((hi - mu) / sd - (lo - mu) / sd), 6) as v from sp, st"""
 
 
@@ -542,23 +554,24 @@ def q_preprocess_hr(spark: SparkSession, sf: str) -> DataFrame:
     """Per-variable preprocessing of an HR model, lazily (P6 ``hr`` branch)."""
     from .config import default_coords, default_dims
     from .plans import preprocess
+    (start, end), _ = inner_window(dense(spark, sf))
     raw = dense(spark, sf).select(F.col("time").alias("Time"), "rlat", "rlon",
                                   F.col("v").alias("T2"))
     var = Variable("tas", ["T2"], transform=["x * 100"], apply_standardize=True)
     frame, _ = preprocess.prepare_variable(
         raw, var, model="hr", dims=default_dims(), coords=default_coords(),
-        start="2000-03-01", end="2005-03-01", test_years=TEST_YEARS,
+        start=start, end=end, test_years=TEST_YEARS,
         validation_years=VALIDATION_YEARS, scale_factor=2,
         x={"first_index": 2, "last_index": 6}, y={"first_index": 1, "last_index": 5},
         shape=G_SHAPE)
     return rounded(frame.select("split", "time", "rlat", "rlon", "tas"))
 
 
-SQL_PREPROCESS_HR = with_(G_SQL, """c as (
+SQL_PREPROCESS_HR = with_(G_SQL, f"""c as (
   select time, cast(rlat - 1 as int) as rlat, cast(rlon - 2 as int) as rlon, v * 100.0 as v from g
-  where time between timestamp '2000-03-01' and timestamp '2005-03-01'
+  where time between {INNER_SQL}
     and rlon >= 2 and rlon < 6 and rlat >= 1 and rlat < 5)""",
-                          SPLIT_SQL.format(src="c"), TRAIN_STATS_SQL) + \
+                          SPLIT_SQL.format(src="c"), TRAIN_STATS_SQL.format(src="c")) + \
     "select split, time, rlat, rlon, round((v - mu) / sd, 6) as tas from sp, st"
 
 
@@ -625,6 +638,64 @@ SQL_CONCAT_TIME = with_(G_SQL) + """select time, rlat, rlon, round(v, 6) as v fr
 union all select time, rlat, rlon, round(v, 6) as v from g where year(time) > 2002"""
 
 
+def q_merge_static(spark: SparkSession, sf: str) -> DataFrame:
+    """A time field merged with a static one (its mean by cell): every step keeps its row."""
+    from .sources.grids import combine_variables
+    g = dense(spark, sf)
+    static = g.groupBy("rlat", "rlon").agg(F.avg("v").alias("mean"))
+    return rounded(combine_variables(g, static))
+
+
+SQL_MERGE_STATIC = with_(G_SQL, """s as (select rlat, rlon, avg(v) as mean from g group by all)""") + \
+    """select time, rlat, rlon, round(v, 6) as v, round(mean, 6) as mean from g left join s using (rlat, rlon)"""
+
+
+def q_load_many(spark: SparkSession, sf: str) -> DataFrame:
+    """Several given tables through one load: those with other columns are merged on the key they share."""
+    from .sources.grids import load_grid
+    both = load_grid(spark, [f"{sf}/documents.parquet", f"{sf}/labels.parquet"], keys=("doc_id",))
+    return both.select("doc_id", "source", "n_chars", "quality", "toxic")
+
+
+SQL_LOAD_MANY = "select doc_id, source, n_chars, quality, toxic from documents full join labels using (doc_id)"
+
+
+def q_log_precip_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """Precipitation log scale of the monthly field, with rows in all three splits."""
+    var = Variable("pr", apply_standardize=False, apply_normalize=True)
+    out, _ = scale.split_and_scale(fixtures.monthly_field(spark, sf), var, [1995], [1997], value="v")
+    return out.select("split", "time", "rlat", "rlon", r6("v"))
+
+
+SQL_LOG_PRECIP_SPLITS = with_(M_SQL, """sp as (
+  select case when year(time) = 1995 then 'test' when year(time) = 1997 then 'validation' else 'train' end as split, * from m)""",
+                              """st as (select max(v) as hi from sp where split = 'train')""") + \
+    """select split, time, rlat, rlon, round((ln(v + 0.001) - ln(0.001)) / (ln(hi + 0.001) - ln(0.001)), 6) as v from sp, st"""
+
+
+def q_transform_missing(spark: SparkSession, sf: str) -> DataFrame:
+    """Transforms on M laid on its whole 16x16 grid: absent cells stay missing through clip, where, ``!=`` and logic."""
+    m = fixtures.monthly_field(spark, sf)
+    cells = F.explode(F.sequence(F.lit(0), F.lit(fixtures.MONTHLY_SIDE ** 2 - 1)))
+    full = m.select("time").distinct().select("time", cells.alias("c"))
+    full = full.select("time", F.floor(F.col("c") / fixtures.MONTHLY_SIDE).cast("int").alias("rlat"), (F.col("c") % fixtures.MONTHLY_SIDE).cast("int").alias("rlon"))
+    x = F.col("v")
+    laid = full.join(m, ["time", "rlat", "rlon"], "left")
+    out = {"clipped": "np.clip(x, 20, 30)", "hidden": "np.where(x < 25, np.nan, x)", "other": "x != 25",
+           "inside": "(x > 20) & ~(x > 30) | (x == 40)", "low": "np.minimum(x, np.inf)"}
+    return laid.select("time", "rlat", "rlon", *[r6(transform_column(x, [e]), n) for n, e in out.items()])
+
+
+SQL_TRANSFORM_MISSING = with_(M_SQL, """f as (select time, cast(c // 16 as int) as rlat, cast(c % 16 as int) as rlon
+  from (select distinct time from m), range(256) r(c))""", "l as (select f.*, v from f left join m using (time, rlat, rlon))") + """
+select time, rlat, rlon,
+round(case when v is null then null when v < 20 then 20.0 when v > 30 then 30.0 else v end, 6) as clipped,
+round(case when v >= 25 then v end, 6) as hidden,
+round(case when v = 25 then 0.0 else 1.0 end, 6) as other,
+round(case when (v > 20 and v <= 30) or v = 40 then 1.0 else 0.0 end, 6) as inside,
+round(v, 6) as low from l"""
+
+
 def q_lead_unfold(spark: SparkSession, sf: str) -> DataFrame:
     """Forecast leads → valid times: time + (level-1) h, level set to 0."""
     out = cuts.unfold_leads(fixtures.lead_field(spark, sf))
@@ -711,7 +782,7 @@ def q_rain_mask(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("split", "time", "rlat", "rlon", scalars.rain_mask("v").alias("mask"))
 
 
-SQL_RAIN_MASK = with_(G_SQL, SPLIT_SQL.format(src="g"), TRAIN_STATS_SQL) + """
+SQL_RAIN_MASK = with_(G_SQL, SPLIT_SQL.format(src="g"), TRAIN_STATS_SQL.format(src="g")) + """
 select split, time, rlat, rlon,
 case when (v - mu) / sd > -0.0769779160618782 / 0.3726992905139923 then 1 else 0 end as mask
 from sp, st"""
@@ -754,31 +825,42 @@ round(v, 6) as v from g where rlat between 1 and 6 and rlon between 1 and 6
 and time >= timestamp '2001-01-01' and time < timestamp '2004-01-01'"""
 
 
-def q_preprocess_lr(spark: SparkSession, sf: str) -> DataFrame:
-    """Per-variable preprocessing of an LR model, lazily (P6 without the write)."""
+def _preprocess_lr(spark: SparkSession, sf: str, west: bool) -> DataFrame:
     from .plans import preprocess
+    (start, end), _ = inner_window(dense(spark, sf))
     g = dense(spark, sf).withColumnRenamed("v", "T2")
     var = Variable("tas", ["T2"], transform=["x - 273.15"], apply_standardize=True,
-                   apply_normalize=False)
+                   apply_normalize=False, is_west_negative=west)
+    grid = fixtures.dense_grid(spark, sf, west_negative=west)
     frame, _ = preprocess.prepare_variable(
         g, var, model="lr", dims=None, coords=None,
-        start="2000-03-01", end="2005-03-01", test_years=TEST_YEARS,
+        start=start, end=end, test_years=TEST_YEARS,
         validation_years=VALIDATION_YEARS, scale_factor=4,
         x={"first_index": 2, "last_index": 10}, y={"first_index": 2, "last_index": 10},
-        src_grid=fixtures.dense_grid(spark, sf), hr_ref=fixtures.curvilinear_target(spark),
+        src_grid=preprocess.shifted_grid(grid, var), hr_ref=fixtures.curvilinear_target(spark),
         shape=T_SHAPE)
     return rounded(frame.select("split", "time", "rlat", "rlon", "tas"))
 
 
-SQL_PREPROCESS_LR = with_(G_SQL, """g2 as (select * from g
-  where time between timestamp '2000-03-01' and timestamp '2005-03-01')""", T_SQL(), W_SQL, """r as (
+def q_preprocess_lr(spark: SparkSession, sf: str) -> DataFrame:
+    """Per-variable preprocessing of an LR model, lazily (P6 without the write)."""
+    return _preprocess_lr(spark, sf, west=False)
+
+
+def q_preprocess_lr_west(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with the source grid at longitudes -130..: the grid is shifted before the regrid (M4, M5)."""
+    return _preprocess_lr(spark, sf, west=True)
+
+
+SQL_PREPROCESS_LR = with_(G_SQL, f"""g2 as (select * from g
+  where time between {INNER_SQL})""", T_SQL(), W_SQL, """r as (
   select g2.time, w.rlat, w.rlon,
          case when count(g2.v) = max(w.n_corners) then sum(g2.v * w.w) end as v
   from g2 join w on g2.rlat = w.sy and g2.rlon = w.sx group by all)""", """c as (
   select time, cast((rlat - 2) // 4 as int) as rlat, cast((rlon - 2) // 4 as int) as rlon,
          avg(v) - 273.15 as v
   from r where rlat >= 2 and rlat < 10 and rlon >= 2 and rlon < 10 group by all)""",
-                          SPLIT_SQL.format(src="c"), TRAIN_STATS_SQL) + \
+                          SPLIT_SQL.format(src="c"), TRAIN_STATS_SQL.format(src="c")) + \
     "select split, time, rlat, rlon, round((v - mu) / sd, 6) as tas from sp, st"
 
 
@@ -825,7 +907,7 @@ def q_mask_tensors(spark: SparkSession, sf: str) -> DataFrame:
                     F.array_join(F.transform("tensor", lambda e: e.cast("string")), "").alias("bits"))
 
 
-SQL_MASK_TENSORS = with_(G_SQL, SPLIT_SQL.format(src="g"), TRAIN_STATS_SQL, """mk as (
+SQL_MASK_TENSORS = with_(G_SQL, SPLIT_SQL.format(src="g"), TRAIN_STATS_SQL.format(src="g"), """mk as (
   select split, time, rlat, rlon,
          case when (v - mu) / sd > -0.0769779160618782 / 0.3726992905139923 then 1 else 0 end as b
   from sp, st)""") + """select split, 'mask_' || strftime(time, '%Y-%m-%d-%H') as key,
@@ -863,9 +945,11 @@ QUERIES: dict[str, Query] = {
     "coarsen_sparse": q_coarsen_sparse,
     "field_stats": q_field_stats,
     "transform_expr": q_transform_expr,
+    "transform_missing": q_transform_missing,
     "standardize": q_standardize,
     "minmax": q_minmax,
     "log_precip": q_log_precip_train,
+    "log_precip_splits": q_log_precip_splits,
     "standardize_then_minmax": q_standardize_then_minmax,
     "regrid_weights": q_regrid_weights,
     "regrid_bilinear": q_regrid_bilinear,
@@ -878,7 +962,9 @@ QUERIES: dict[str, Query] = {
     "preprocess_hr": q_preprocess_hr,
     "invariant_lr": q_invariant_lr,
     "combine_vars": q_combine_vars,
+    "merge_static": q_merge_static,
     "concat_time": q_concat_time,
+    "load_many": q_load_many,
     "lead_unfold": q_lead_unfold,
     "sample_tensors": q_sample_tensors,
     "sample_keys": q_sample_keys,
@@ -888,6 +974,7 @@ QUERIES: dict[str, Query] = {
     "pair_lr_hr": q_pair_lr_hr,
     "source_cut": q_source_cut,
     "preprocess_lr": q_preprocess_lr,
+    "preprocess_lr_west": q_preprocess_lr_west,
     "time_bounds": q_time_bounds,
     "dim_sizes": q_dim_sizes,
     "unpack_tensors": q_unpack_tensors,
@@ -910,9 +997,11 @@ _ORACLE: dict[str, str] = {
     "coarsen_sparse": SQL_COARSEN_SPARSE,
     "field_stats": SQL_FIELD_STATS,
     "transform_expr": SQL_TRANSFORM_EXPR,
+    "transform_missing": SQL_TRANSFORM_MISSING,
     "standardize": SQL_STANDARDIZE,
     "minmax": SQL_MINMAX,
     "log_precip": SQL_LOG_PRECIP_TRAIN,
+    "log_precip_splits": SQL_LOG_PRECIP_SPLITS,
     "standardize_then_minmax": SQL_STANDARDIZE_THEN_MINMAX,
     "regrid_weights": SQL_REGRID_WEIGHTS,
     "regrid_bilinear": SQL_REGRID_BILINEAR,
@@ -925,7 +1014,9 @@ _ORACLE: dict[str, str] = {
     "preprocess_hr": SQL_PREPROCESS_HR,
     "invariant_lr": SQL_INVARIANT_LR,
     "combine_vars": SQL_COMBINE_VARS,
+    "merge_static": SQL_MERGE_STATIC,
     "concat_time": SQL_CONCAT_TIME,
+    "load_many": SQL_LOAD_MANY,
     "lead_unfold": SQL_LEAD_UNFOLD,
     "sample_tensors": SQL_SAMPLE_TENSORS,
     "sample_keys": SQL_SAMPLE_KEYS,
@@ -935,6 +1026,7 @@ _ORACLE: dict[str, str] = {
     "pair_lr_hr": SQL_PAIR_LR_HR,
     "source_cut": SQL_SOURCE_CUT,
     "preprocess_lr": SQL_PREPROCESS_LR,
+    "preprocess_lr_west": SQL_PREPROCESS_LR,
     "time_bounds": SQL_TIME_BOUNDS,
     "dim_sizes": SQL_DIM_SIZES,
     "unpack_tensors": SQL_UNPACK_TENSORS,
