@@ -6,8 +6,8 @@ the (broadcast) sparse weight matrix.  Spark partitions the work; numpy does
 the per-tensor arithmetic inside ``mapInArrow`` on whole Arrow batches.
 
 The weight matrix has at most 4 entries per target point (or a few per
-coarse block when composed with the block mean), so its size is bounded by
-the target grid, checked before it is broadcast.  Missing semantics match the
+coarse block when composed with the block mean), so the target grid bounds it;
+a larger target is cut into bands, each broadcast by itself.  Missing semantics match the
 cell form: a target is missing when any contributing source value is missing
 or when no source cell contributes (outside the hull).
 """
@@ -34,40 +34,37 @@ class SparseWeights:
     starts: np.ndarray       # segment starts into in_idx / w
     in_idx: np.ndarray       # source positions
     w: np.ndarray            # weights
-    n_in: int
     n_out: int
 
 
-def sparse_weights(weights: DataFrame, nx_in: int, n_in: int, nx_out: int, n_out: int,
-                   max_rows: int = MAX_BROADCAST_ROWS) -> SparseWeights:
-    """Weight frame → sorted arrays, after checking the proven row bound.
+def sparse_weights(weights: DataFrame, nx_in: int, nx_out: int, band: tuple[int, int]) -> SparseWeights:
+    """Weights of the output positions ``band[0]`` to ``band[1] - 1`` as sorted arrays, numbered from the band's start.
 
-    Bilinear (and composed) weights hold at most 4 rows per output point, so
-    ``4 · n_out`` bounds the frame before anything is collected.
+    Bilinear (and composed) weights hold at most 4 rows per output point, so the
+    band bounds what is collected.
     """
-    if 4 * n_out > max_rows:
-        raise ValueError(f"up to {4 * n_out} weight rows exceed the broadcast bound {max_rows}; "
-                         "use the cell-form regrid (banded broadcast joins) instead")
-    pdf = (weights.select((F.col("rlat") * nx_out + F.col("rlon")).alias("o"),
-                          (F.col("sy") * nx_in + F.col("sx")).alias("i"), "w")
-           .toPandas().sort_values(["o", "i"], kind="stable"))
-    o = pdf["o"].to_numpy(np.int64)
-    uniq, starts = np.unique(o, return_index=True)
-    return SparseWeights(uniq, starts, pdf["i"].to_numpy(np.int64), pdf["w"].to_numpy(np.float64),
-                         n_in, n_out)
-
-
-def _runner(bc, keys: list[str], tensor: str, n_in: int, n_out: int, ny_out: int, nx_out: int,
-            rows_per_chunk: int):
+    o = F.col("rlat") * nx_out + F.col("rlon")
+    pdf = (weights.select((o - F.lit(band[0])).alias("o"), (F.col("sy") * nx_in + F.col("sx")).alias("i"), "w")
+           .where((F.col("o") >= 0) & (F.col("o") < band[1] - band[0])).toPandas().sort_values(["o", "i"], kind="stable"))
+    uniq, starts = np.unique(pdf["o"].to_numpy(np.int64), return_index=True)
+    return SparseWeights(uniq, starts, pdf["i"].to_numpy(np.int64), pdf["w"].to_numpy(np.float64), band[1] - band[0])
+
+
+def _runner(bc, names: list[str], tensor: str, n_in: int, n_out: int, band: str):
     """The per-partition function shipped to Python workers.
 
     Self-contained: it uses only numpy, pyarrow and the broadcast arrays, so
-    workers do not need this package on their path.
+    workers do not need this package on their path.  It emits a batch for every
+    few rows, so that neither the gathered products nor the output of a batch
+    pass ``CHUNK_BYTES`` by more than one row.
     """
+    limit = CHUNK_BYTES
+
     def run(batches):
         import numpy as np
         import pyarrow as pa
         out_idx, starts, in_idx, w = bc.value
+        step = max(1, limit // max(1, 8 * max(in_idx.size, n_out, n_in)))
 
         def kernel(x):
             y = np.full((x.shape[0], n_out), np.nan)
@@ -80,22 +77,16 @@ def _runner(bc, keys: list[str], tensor: str, n_in: int, n_out: int, ny_out: int
             y[:, out_idx] = sums
             return y
 
-        for batch in batches:
-            col = batch.column(tensor)
-            flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            if flat.size != len(batch) * n_in:
-                raise ValueError(f"tensors must hold {n_in} values each")
-            x = flat.reshape(len(batch), n_in)
-            parts = [kernel(x[i:i + rows_per_chunk]) for i in range(0, len(batch), rows_per_chunk)]
-            y = np.concatenate(parts) if parts else np.empty((0, n_out))
-            offsets = pa.array(np.arange(0, (len(batch) + 1) * n_out, n_out, dtype=np.int32))
-            values = pa.array(y.ravel(), type=pa.float64(), from_pandas=True)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(k) for k in keys]
-                + [pa.array(np.full(len(batch), ny_out, np.int32)),
-                   pa.array(np.full(len(batch), nx_out, np.int32)),
-                   pa.ListArray.from_arrays(offsets, values)],
-                names=[*keys, "ny", "nx", tensor])
+        for whole in batches:
+            for lo in range(0, len(whole), step):
+                batch = whole.slice(lo, step)
+                flat = batch.column(tensor).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                if flat.size != len(batch) * n_in:
+                    raise ValueError(f"tensors must hold {n_in} values each")
+                y = kernel(flat.reshape(len(batch), n_in))
+                offsets = pa.array(np.arange(len(batch) + 1) * n_out, pa.int32())
+                values = pa.array(y.ravel(), type=pa.float64(), from_pandas=True)
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.ListArray.from_arrays(offsets, values)], names=[*names, band])
 
     return run
 
@@ -105,17 +96,22 @@ def regrid_tensors(df: DataFrame, weights: DataFrame, in_shape: tuple[int, int],
                    tensor: str = "tensor", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Map-only regrid of tensor rows ``(*keys, tensor)``; output tensors are doubles.
 
-    Raises ValueError when the weight frame is past the broadcast bound.
+    Targets whose weights pass ``max_rows`` are cut into bands of output
+    positions, one broadcast and one pass over the same rows each; the bands'
+    arrays are put together at the end.  Nothing is shuffled either way.
     """
     ny_in, nx_in = in_shape
     ny_out, nx_out = out_shape
     n_in, n_out = ny_in * nx_in, ny_out * nx_out
-    sw = sparse_weights(weights, nx_in, n_in, nx_out, n_out, max_rows)
-    bc = df.sparkSession.sparkContext.broadcast((sw.out_idx, sw.starts, sw.in_idx, sw.w))
+    per_band = max(1, max_rows // 4)
     keys = [k for k in keys if k in df.columns]
-    key_fields = [df.schema[k] for k in keys]
-    rows_per_chunk = max(1, CHUNK_BYTES // max(1, 8 * sw.in_idx.size))
-    run = _runner(bc, keys, tensor, n_in, n_out, ny_out, nx_out, rows_per_chunk)
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in key_fields]
-                       + ["ny int", "nx int", f"`{tensor}` array<double>"])
-    return df.select(*keys, tensor).mapInArrow(run, schema)
+    out = df.select(*keys, tensor)
+    bands = []
+    for k, lo in enumerate(range(0, n_out, per_band)):
+        band = (lo, min(n_out, lo + per_band))
+        sw = sparse_weights(weights, nx_in, nx_out, band)
+        bc = df.sparkSession.sparkContext.broadcast((sw.out_idx, sw.starts, sw.in_idx, sw.w))
+        names, bands = out.columns, [*bands, f"_band{k}"]
+        schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields), f"_band{k} array<double>"])
+        out = out.mapInArrow(_runner(bc, names, tensor, n_in, band[1] - band[0], bands[-1]), schema)
+    return out.select(*keys, F.lit(ny_out).alias("ny"), F.lit(nx_out).alias("nx"), (F.concat(*bands) if len(bands) > 1 else F.col(bands[0])).alias(tensor))

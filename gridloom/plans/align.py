@@ -24,9 +24,9 @@ Physical plan for LR alignment (regrid → crop → coarsen), two-step form:
       scan ─► Exchange rangepartitioning(time, n) ─► BroadcastHashJoin(composed)
            ─► HashAggregate(time, block_y, block_x)
 
-  The guard (one aggregate over the source) falls back to the two-step form
-  whenever a value is missing, because the block mean skips missing cells and
-  is then no longer linear.
+  The guard (one aggregate over the source) asks of every step that it holds
+  each cell once with a value; otherwise the two-step form runs, because the
+  block mean skips missing cells and is then no longer linear.
 """
 
 from __future__ import annotations
@@ -47,18 +47,26 @@ CELL_BYTES = 24
 
 @dataclass
 class SourceProfile:
-    rows: int
-    values: int
     steps: int
+    complete: int
 
 
-def profile_source(cells: DataFrame, value: str, keys: tuple[str, ...]) -> SourceProfile:
-    """Rows, non-missing values and time steps of the source (one aggregate)."""
-    aggs = [F.count(F.lit(1)).alias("rows"), F.count(value).alias("values")]
-    aggs.append(F.count_distinct("time").alias("steps") if "time" in keys
-                else F.lit(1).alias("steps"))
-    r = cells.agg(*aggs).first()
-    return SourceProfile(int(r["rows"]), int(r["values"]), int(r["steps"]))
+def profile_source(cells: DataFrame, value: str, keys: tuple[str, ...], n_cells: int | None = None) -> SourceProfile:
+    """Time steps of the source, and how many hold each of ``n_cells`` cells once and none missing.
+
+    Decided step by step: a copy of one cell never makes up for the lack of
+    another.  Without ``n_cells`` only the steps are counted.
+    """
+    by = [k for k in keys if k in cells.columns]
+    if n_cells is None:
+        if not by:
+            return SourceProfile(1, 0)
+        return SourceProfile(int(cells.agg(F.count_distinct(*by)).first()[0]), 0)
+    per_cell = cells.groupBy(*by, "rlat", "rlon").agg(F.count(F.lit(1)).alias("_n"), F.count(value).alias("_v"))
+    per_step = per_cell.groupBy(*by).agg(F.count(F.lit(1)).alias("_cells"), F.max("_n").alias("_most"), F.sum("_v").alias("_v"))
+    full = (F.col("_cells") == n_cells) & (F.col("_most") == 1) & (F.col("_v") == n_cells)
+    r = per_step.agg(F.count(F.lit(1)).alias("steps"), F.count_if(full).alias("complete")).first()
+    return SourceProfile(int(r["steps"]), int(r["complete"]))
 
 
 def time_partitions(steps: int, out_cells_per_step: int, floor: int) -> int:
@@ -69,8 +77,8 @@ def time_partitions(steps: int, out_cells_per_step: int, floor: int) -> int:
 
 def _cropped_target(tgt_grid: DataFrame, scale_factor: int, x, y,
                     shape: Shape | None) -> tuple[DataFrame, Shape]:
-    assert "rlon" in tgt_grid.columns, "rlon not in dims, check dataset"
-    assert "rlat" in tgt_grid.columns, "rlat not in dims, check dataset"
+    assert "rlon" in tgt_grid.columns, "the target grid has no rlon column"
+    assert "rlat" in tgt_grid.columns, "the target grid has no rlat column"
     shape = shape or select.grid_shape(tgt_grid)
     cropped = select.crop_field(tgt_grid, scale_factor, x, y, shape=shape)
     return cropped, select.cropped_shape(scale_factor, x, y, shape)
@@ -124,7 +132,7 @@ def align_with_lr(cells: DataFrame, src_grid: DataFrame, tgt_grid: DataFrame, sc
     out_shape = select.cropped_shape(scale_factor, x, y, tgt_shape)
     keys = tuple(k for k in keys if k in cells.columns)
     if out_shape.ny % scale_factor or out_shape.nx % scale_factor:
-        raise ValueError(f"grid {out_shape.ny}x{out_shape.nx} is not divisible by {scale_factor}")
+        raise ValueError(f"blocks of {scale_factor} do not tile a {out_shape.ny}x{out_shape.nx} grid")
     if compose is False:
         aligned = align_grid(cells, src_grid, tgt_grid, scale_factor, x, y, value, keys, tgt_shape,
                              max_broadcast_rows=max_broadcast_rows)
@@ -133,12 +141,12 @@ def align_with_lr(cells: DataFrame, src_grid: DataFrame, tgt_grid: DataFrame, sc
     target, _ = _cropped_target(tgt_grid, scale_factor, x, y, tgt_shape)
     info: dict = {}
     weights = _covered(regrid.grid_weights(src_grid, target, info=info))
-    profile = profile_source(cells, value, keys)
+    profile = profile_source(cells, value, keys, info.get("source_cells", -1))
     n_targets = out_shape.ny * out_shape.nx
-    ok = (profile.values == profile.rows
-          and profile.rows == profile.steps * info.get("source_cells", -1))
+    ok = profile.complete == profile.steps
     if compose is True and not ok:
-        raise ValueError("composed weights need a dense, null-free source")
+        raise ValueError(f"{profile.steps - profile.complete} of {profile.steps} steps lack cells, repeat them or hold missing values; "
+                         "composed weights need every cell once")
     if ok:
         composed = regrid.compose_coarsen(weights, scale_factor)
         blocks = n_targets // (scale_factor * scale_factor)

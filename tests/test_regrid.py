@@ -328,13 +328,51 @@ def test_tensor_regrid_matches_cells(spark):
     assert got[(0, 0, 3)] is None                 # outside the hull
 
 
-def test_tensor_regrid_bound(spark):
+def test_tensor_regrid_in_bands_and_small_chunks(spark, monkeypatch):
+    """A low bound cuts the targets into bands, a low chunk size the rows into batches: same tensors, no refusal."""
     from gridloom.operators import tensor_regrid
-    g = grid_frame(spark, [40.0, 41.0], [200.0, 201.0])
-    w = regrid.grid_weights(g, g)
-    df = spark.createDataFrame([(T0, [1.0, 2.0, 3.0, 4.0])], "time timestamp_ntz, tensor array<double>")
-    with pytest.raises(ValueError):
-        tensor_regrid.regrid_tensors(df, w, (2, 2), (2, 2), keys=("time",), max_rows=1)
+    g = grid_frame(spark, [40.0, 41.0, 42.0], [200.0, 201.0, 203.0])
+    t = grid_frame(spark, [39.5, 40.5, 41.0, 41.75], [200.5, 201.0, 202.0])
+    w = regrid.grid_weights(g, t)
+    rng = np.random.default_rng(0)
+    rows = [(T0 + dt.timedelta(hours=i), [None if rng.random() < 0.1 else float(x) for x in rng.normal(size=9)]) for i in range(40)]
+    df = spark.createDataFrame(rows, "time timestamp_ntz, tensor array<double>")
+
+    def run(**options):
+        out = tensor_regrid.regrid_tensors(df, w, (3, 3), (4, 3), keys=("time",), **options)
+        return {r.time: (r.ny, r.nx, list(r.tensor)) for r in out.collect()}
+
+    one = run()
+    assert len(one) == 40 and all(len(v[2]) == 12 for v in one.values())
+    monkeypatch.setattr(tensor_regrid, "CHUNK_BYTES", 300)
+    assert run() == run(max_rows=20) == run(max_rows=1) == one
+
+
+def test_nearly_equal_axis_values(spark):
+    """Float noise in an axis costs nothing and is interpolated like any other interval."""
+    src = grid_frame(spark, [40.0, 40.0 + 1e-9, 41.0, 45.0], [200.0, 201.0])
+    tgt = grid_frame(spark, [40.0, 40.0 + 5e-10, 40.5, 44.0, 45.0, 45.1], [200.5])
+    got = {(r.rlat, r.sy): r.w for r in regrid.grid_weights(src, tgt).where("sx = 0").collect()}
+    assert {k[0] for k in got} == {0, 1, 2, 3, 4}
+    assert got[(1, 0)] == pytest.approx(0.25, rel=1e-5) and got[(3, 3)] == pytest.approx(0.375) and got[(4, 3)] == pytest.approx(0.5)
+
+
+def test_no_overlap_is_empty_on_every_path(spark):
+    src, tgt = grid_frame(spark, [40.0, 41.0], [200.0, 201.0]), grid_frame(spark, [10.0, 11.0, 12.0], [20.0, 21.0, 22.0])
+    cells = spark.createDataFrame([(T0, y, x, 1.0) for y in range(2) for x in range(2)], "time timestamp_ntz, rlat int, rlon int, v double")
+    for bound in (regrid.MAX_BROADCAST_ROWS, 8):
+        assert regrid.interpolate(cells, src, tgt, "v", max_broadcast_rows=bound).count() == 0
+
+
+def test_a_copy_does_not_make_up_for_a_gap(spark):
+    """One cell twice and another absent in a step: the counts add up, the composed form must not be taken."""
+    src = tgt = grid_frame(spark, [40.0, 41.0, 42.0, 43.0], [200.0, 201.0, 202.0, 203.0])
+    rows = [(T0, y, x, float(4 * y + x)) for y in range(4) for x in range(4) if (y, x) != (0, 0)] + [(T0, 3, 3, 15.0)]
+    cells = spark.createDataFrame(rows, "time timestamp_ntz, rlat int, rlon int, v double")
+    args = (cells, src, tgt, 2, {"first_index": 0, "last_index": 4}, {"first_index": 0, "last_index": 4}, "v")
+    with pytest.raises(ValueError, match="1 of 1 steps"):
+        align.align_with_lr(*args, compose=True)
+    assert result(align.align_with_lr(*args)) == result(align.align_with_lr(*args, compose=False))
 
 
 @pytest.mark.parametrize("compose", [False, "auto"])

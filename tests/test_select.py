@@ -197,3 +197,17 @@ def test_date_select_iso(spark):
     df = spark.sql("""select explode(sequence(timestamp_ntz'2000-12-31 00:00:00',
         timestamp_ntz'2001-01-03 23:00:00', interval 1 hour)) as time""")
     assert select.date_select(df, "2001-01-01", "2001-01-01").count() == 24
+
+
+def test_year_predicates_equal_the_calendar_year_and_reach_the_scan(spark, tmp_path):
+    times = [dt.datetime(y, m, d, h) for y in range(1998, 2008) for m, d, h in ((1, 1, 0), (6, 15, 12), (12, 31, 23))]
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(x,) for x in times] + [(None,)], "time timestamp_ntz").write.parquet(path)
+    df = spark.read.parquet(path)
+    for years in ([2001], [2003, 2001, 2002, 2006], []):
+        assert sorted(r.time for r in df.where(select.in_years(years)).collect()) == [x for x in times if x.year in years]
+        assert sorted(r.time for r in df.where(select.outside_years(years)).collect()) == [x for x in times if x.year not in years]
+    for frame in (*select.train_test_split(df, [2001], [2004]).values(), df.where(select.train_rows([2001], [2004]))):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+        assert "time" in pushed
