@@ -389,3 +389,37 @@ def test_align_banded_equals_broadcast(spark, compose):
     # the cells are never joined by shuffling on source positions; every band is broadcast
     assert "SortMergeJoin [sy" not in plan and "ShuffledHashJoin [sy" not in plan
     assert plan.count("BroadcastHashJoin [sy") >= 2
+
+
+def test_one_wide_quad_keeps_the_bins_small(spark, monkeypatch):
+    """A last column a hundred times wider than the rest: targets still meet few quads each, and weights stay right."""
+    lats, lons = [40.0 + i for i in range(12)], [200.0 + i for i in range(12)] + [1400.0]
+    src = grid_frame(spark, lats, lons)
+    tgt = grid_frame(spark, [40.25 + i for i in range(10)], [200.5 + i for i in range(10)] + [800.0])
+    seen = []
+    real = regrid._solver
+
+    def counting(names):
+        run = real(names)
+
+        def counted(batches):
+            for batch in batches:
+                from collections import Counter
+                most = max(Counter(zip(batch.column("rlat").to_pylist(), batch.column("rlon").to_pylist())).values(), default=0)
+                assert most <= 4, most
+                yield from run(iter([batch]))
+        seen.append(names)
+        return counted
+
+    monkeypatch.setattr(regrid, "_solver", counting)
+    a = {(r.rlat, r.rlon, r.sy, r.sx): r.w for r in regrid.curvilinear_weights(src, tgt).collect()}
+    b = {(r.rlat, r.rlon, r.sy, r.sx): r.w for r in regrid.bilinear_weights(src, tgt).collect()}
+    assert seen and a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+
+
+def test_no_session_setting_is_changed():
+    import pathlib
+
+    import gridloom
+    for f in pathlib.Path(gridloom.__file__).parent.rglob("*.py"):
+        assert "conf.set(" not in f.read_text(), f
