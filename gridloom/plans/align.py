@@ -61,7 +61,7 @@ def profile_source(cells: DataFrame, value: str, keys: tuple[str, ...], n_cells:
     if n_cells is None:
         if not by:
             return SourceProfile(1, 0)
-        return SourceProfile(int(cells.agg(F.count_distinct(*by)).first()[0]), 0)
+        return SourceProfile(int(aggregate.step_counts(cells, by[0]).first()["n_steps"]), 0)
     per_cell = cells.groupBy(*by, "rlat", "rlon").agg(F.count(F.lit(1)).alias("_n"), F.count(value).alias("_v"))
     per_step = per_cell.groupBy(*by).agg(F.count(F.lit(1)).alias("_cells"), F.max("_n").alias("_most"), F.sum("_v").alias("_v"))
     full = (F.col("_cells") == n_cells) & (F.col("_most") == 1) & (F.col("_v") == n_cells)

@@ -6,10 +6,9 @@ Both are single projections/filters; the filters reach the Parquet scan.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions.scalars import lead_shift
-from ..operators import select
+from ..operators import names, select
 from ..sources.grids import existing_paths, load_grid
 
 
@@ -19,7 +18,7 @@ def unfold_leads(df: DataFrame, time: str = "time", level: str = "level") -> Dat
     Splitting by level, shifting each level and merging by time collapse into
     one projection over the ``level`` column; duplicate valid times are kept.
     """
-    return df.withColumns({time: lead_shift(time, level), level: F.lit(0)})
+    return names.set_level(df.withColumn(time, lead_shift(time, level)), level=level)
 
 
 def source_cut(cells: DataFrame, grid: DataFrame, lon_min: float, lon_max: float,

@@ -116,7 +116,7 @@ def run_variable(spark: SparkSession, model: Model, var: Variable, cfg: DataConf
     if model.name in LR_MODELS and src_grid is not None:
         # the source grid carries the coordinates (and their longitude shift)
         names_of = {n for c in cfg.coords for n in (c.name, *c.alternative_names)}
-        cells = cells.drop(*[c for c in cells.columns if c in names_of])
+        cells = names.drop_coords(cells, names_of)
     frame, attrs = prepare_variable(
         cells, var, model.name, cfg.dims, cfg.coords, cfg.time.start, cfg.time.end,
         cfg.time.test_years, cfg.time.validation_years, cfg.spatial.scale_factor,
@@ -126,9 +126,11 @@ def run_variable(spark: SparkSession, model: Model, var: Variable, cfg: DataConf
         writers.write_invariant(frame, invariant_root(cfg.output_path), var.name, model.name)
     else:
         ny, nx = sample_shape or _sample_shape(cfg, model.name)
-        time_chunk = next((d.chunksize for d in cfg.dims if d.name == "time"), "auto")
-        writers.write_splits(frame, split_root(cfg.output_path), var.name, model.name, attrs=attrs,
-                             max_records_per_file=writers.records_per_file(time_chunk, ny * nx))
+        chunks = {d.name: d.chunksize for d in cfg.dims}
+        tiles = writers.tile_sides(chunks)
+        cells_per_step = min(tiles.get("rlat", ny), ny) * min(tiles.get("rlon", nx), nx)
+        writers.write_splits(frame, split_root(cfg.output_path), var.name, model.name, attrs=attrs, tiles=tiles,
+                             max_records_per_file=writers.records_per_file(chunks.get("time", "auto"), cells_per_step))
         if samples_root is not None:
             # LR frames come out of groupBy(time, rlat, rlon): no copies possible
             samples.assert_unique_keys(frame, ("split",))

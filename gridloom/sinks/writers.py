@@ -13,8 +13,7 @@
   (partition columns, then time), so every file holds an ordered run and
   Parquet row-group statistics let time filters skip data.  Frames coming
   out of the alignment plan are already range-partitioned by time, so their
-  files also cover contiguous time ranges.  ``cluster=True`` adds an explicit
-  range repartition for inputs in arbitrary order.
+  files also cover contiguous time ranges.
 """
 
 from __future__ import annotations
@@ -24,6 +23,7 @@ import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 ATTRS_DIR = "_attrs"
 VALUE = "value"
@@ -65,27 +65,25 @@ def read_attrs(spark: SparkSession, path: str) -> dict:
     return json.loads(rows[0][0]) if rows else {}
 
 
-def cluster_by_time(df: DataFrame, time: str = "time", partitions: int | None = None) -> DataFrame:
-    """Range-partition and sort by time (K4's chunking along time)."""
-    if time not in df.columns:
-        return df
-    ranged = df.repartitionByRange(partitions, time) if partitions else df.repartitionByRange(time)
-    return ranged.sortWithinPartitions(time)
+def tile_sides(chunks: dict) -> dict[str, int]:
+    """Sides of the spatial tiles asked for (K4): rlat and rlon chunk sizes that are positive numbers."""
+    return {d: chunks[d] for d in ("rlat", "rlon") if isinstance(chunks.get(d), int) and chunks[d] > 0}
 
 
 def write_dataset(df: DataFrame, path: str, attrs: dict | None = None,
                   partition_by: Sequence[str] = (), max_records_per_file: int | None = None,
-                  cluster: bool = False) -> None:
+                  tiles: dict[str, int] | None = None) -> None:
     """Overwrite ``path`` with ``df`` and record ``history`` (K1, K4).
 
-    An empty frame still writes its schema and the sidecar.
+    An empty frame still writes its schema and the sidecar.  With ``tiles`` the
+    rows of a task are ordered tile by tile, each in time order, so that files cut
+    at ``max_records_per_file`` hold chunks of one tile.
     """
     spark = df.sparkSession
-    if cluster:
-        out = cluster_by_time(df)
-    else:
-        order = [c for c in (*partition_by, "time") if c in df.columns]
-        out = df.sortWithinPartitions(*order) if order else df
+    tiles = {d: n for d, n in (tiles or {}).items() if d in df.columns}
+    order = [*(c for c in partition_by if c in df.columns), *(F.floor(F.col(d) / n) for d, n in tiles.items()),
+             *(c for c in ("time",) if c in df.columns), *tiles]
+    out = df.sortWithinPartitions(*order) if order else df
     w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
@@ -110,16 +108,16 @@ def neutral(df: DataFrame, variable: str) -> DataFrame:
 
 
 def write_splits(df: DataFrame, root: str, variable: str, model: str,
-                 attrs: dict | None = None, max_records_per_file: int | None = None) -> None:
+                 attrs: dict | None = None, max_records_per_file: int | None = None,
+                 tiles: dict[str, int] | None = None) -> None:
     """The splits of one (variable, model), partitioned by split and year (K2).
 
     ``df`` carries a ``split`` column; an earlier run of the same variable and
     model is replaced entirely, whatever years it had.
     """
-    from pyspark.sql import functions as F
     out = neutral(df, variable).withColumn("year", F.year("time").cast("int"))
     write_dataset(out, pair_path(root, variable, model), attrs=attrs, partition_by=("split", "year"),
-                  max_records_per_file=max_records_per_file)
+                  max_records_per_file=max_records_per_file, tiles=tiles)
 
 
 def write_invariant(df: DataFrame, root: str, variable: str, model: str) -> None:

@@ -152,3 +152,15 @@ def test_read_splits_prunes_years(spark, tmp_path):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "year" in plan.split("PartitionFilters")[1][:300]
     assert sorted(r.value for r in got.collect()) == [1.0, 3.0]
+
+
+def test_files_hold_chunks_of_one_tile(spark, tmp_path):
+    root = str(tmp_path / "out")
+    rows = [("train", dt.datetime(2000, 1, d), y, x, 1.0) for d in range(1, 7) for y in range(4) for x in range(4)]
+    df = spark.createDataFrame(rows, "split string, time timestamp_ntz, rlat int, rlon int, tas double").coalesce(1)
+    tiles = writers.tile_sides({"time": 3, "rlat": 2, "rlon": 2, "z": 9})
+    writers.write_splits(df, root, "tas", "hr", tiles=tiles, max_records_per_file=writers.records_per_file(3, 4))
+    per_file = spark.read.parquet(root).groupBy(F.input_file_name().alias("f")).agg(
+        F.count_distinct(F.floor(F.col("rlat") / 2), F.floor(F.col("rlon") / 2)).alias("tiles"), F.count_distinct("time").alias("steps"), F.count(F.lit(1)).alias("n"))
+    assert [(r.tiles, r.steps, r.n) for r in per_file.collect()] == [(1, 3, 12)] * 8
+    assert writers.tile_sides({"rlat": -1, "rlon": "auto"}) == {}
