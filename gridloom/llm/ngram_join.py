@@ -71,7 +71,7 @@ def _classes(column, size):
     return np.concatenate(keys), np.concatenate(sizes)
 
 
-def _tagger(size, names, types):
+def _tagger(size, names):
     """Adds class key and set size behind the columns ``names`` (the text is the last column read)."""
     def tag(batches):
         for batch in batches:
@@ -274,7 +274,7 @@ def _members(docs: DataFrame, id: str, text: str, size: int) -> DataFrame:
     """``_id``, ``_class`` and ``_n`` of every document."""
     rows = docs.select(F.col(id).alias("_id"), F.col(text).cast("string").alias("_text"))
     schema = T.StructType([rows.schema["_id"], *T._parse_datatype_string("_class long, _n long").fields])
-    return rows.mapInArrow(_tagger(size, ["_id"], None), schema)
+    return rows.mapInArrow(_tagger(size, ["_id"]), schema)
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = SIZE, per_cent: int = PER_CENT) -> DataFrame:
@@ -297,7 +297,7 @@ def keep_one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", si
     best = best.select(F.col("_w._id").alias("_id"), F.col("_w._class").alias("_class"), "_copies")
     names = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(text).cast("string").alias("_text"))
-    tagged = rows.mapInArrow(_tagger(size, ["_row"], None), T.StructType([rows.schema["_row"], *T._parse_datatype_string("_class long, _n long").fields]))
+    tagged = rows.mapInArrow(_tagger(size, ["_row"]), T.StructType([rows.schema["_row"], *T._parse_datatype_string("_class long, _n long").fields]))
     tagged = tagged.withColumn("_own", F.col(f"_row.`{id}`"))
     kept = tagged.where("_n > 0").join(best, (tagged["_class"] == best["_class"]) & tagged["_own"].eqNullSafe(best["_id"])).select("_row", best["_class"], best["_id"], "_copies")
     once = kept.where("_copies > 1").groupBy("_class", "_id").agg(F.first("_row").alias("_row")).select("_row")

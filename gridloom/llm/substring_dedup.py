@@ -140,7 +140,8 @@ def remove_repeated(docs: DataFrame, text: str = "text", window: int = WINDOW, j
     """
     others = [F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(None).cast("int").alias("none")]
     blocks, bits = plan(text_bytes(docs, text))
-    dealt = docs.select(F.pmod(F.xxhash64(*others, text), F.lit(blocks)).cast("int").alias("_block"), F.struct(*others).alias("_row"), F.col(text).cast("string").alias("_text"))
+    plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if f.name != text and not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))]
+    dealt = docs.select(F.pmod(F.xxhash64(*plain, text), F.lit(blocks)).cast("int").alias("_block"), F.struct(*others).alias("_row"), F.col(text).cast("string").alias("_text"))
     sent = dealt.groupBy("_block").applyInArrow(_sender(window, bits), "_range int, _block int, _packed binary")
     answers = sent.groupBy("_range").applyInArrow(_answer, "_block int, _range int, _bits binary")
     schema = T.StructType([T.StructField("row", dealt.schema["_row"].dataType), *T._parse_datatype_string("n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept_text string").fields])

@@ -62,3 +62,9 @@ def test_cut_leaves_the_rest_as_it_was(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, kept_text string")
     got = sorted(map(tuple, cut_repeated(df, window=4).collect()))
     assert got == [(1, " x  \ty ", 7, "en"), (2, "\n\nélan", 6, "m"), (3, "", 0, "n"), (4, "clean\n  text", 12, "k"), (5, "", 0, "z")]
+
+
+def test_columns_that_cannot_be_hashed_pass_through(spark):
+    df = spark.createDataFrame([(1, "a b c a b c", {"k": 1}, [1])], "doc_id long, text string, m map<string,int>, l array<int>")
+    row = remove_repeated(df, window=3).first()
+    assert (row.n_removed, row.row.m, row.row.l) == (6, {"k": 1}, [1])
