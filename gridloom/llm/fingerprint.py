@@ -21,7 +21,6 @@ is its own neighbour; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-import math
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .hash_blocks import plan
 from .text import WORD_BASE, _powers, _prefix, buffers, mix, slices, split_words, text_bytes, word_hashes
 
 CUT = 8
 UNIFORM, SIGNS = 8, 128
+#: Text of a range of ids: it grows with the root of the corpus between these bounds.
+PART_BYTES = (2 << 20, 64 << 20)
 WIDTH = 2 + UNIFORM + SIGNS  # 16-bit lanes; the first two hold the count
-PART_BYTES = 16 << 20
 
 
 def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -150,7 +151,7 @@ def _pair(table):
                      "near_edited": likeness(mine, theirs), "near_next": likeness(mine, every[after])})
 
 
-def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", parts: int | None = None) -> DataFrame:
     """Fingerprints of every text and of the text with its second half replaced by the start of the next document's, by falling id.
 
     Documents are dealt out by ranges of ids whose ends are ids of the table, so
@@ -158,7 +159,7 @@ def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text",
     is shuffled once.
     """
     rows = docs.select(F.col(id).cast("long").alias("_id"), F.col(text).cast("string").alias("_text"))
-    parts = max(1, math.ceil(text_bytes(docs, text) / part_bytes))
+    parts = parts or plan(text_bytes(docs, text), PART_BYTES)[0]
     found = rows.agg(F.max("_id"), F.percentile_approx("_id", [i / parts for i in range(1, parts)] or [0.5], max(10_000, 20 * parts))).first()
     ends = {found[0], *(found[1] if parts > 1 and found[1] else [])} - {None}
     heads = np.array(sorted(ends, reverse=True) or [0], np.int64)  # a number for each part

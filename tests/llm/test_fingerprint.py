@@ -80,18 +80,18 @@ def run(spark, rows, **options):
 EDGES = [(5, "abc déf"), (-3, None), (9, ""), (7, "日本語 x"), (7, "other"), (7, "other"), (None, "null id"), (1, "w " * 20000), (2, "x")]
 
 
-@pytest.mark.parametrize("part_bytes", [1 << 20, 40, 3])
-def test_edges_equal_brute_force(spark, part_bytes):
-    assert run(spark, EDGES, part_bytes=part_bytes) == brute(EDGES)
+@pytest.mark.parametrize("parts", [None, 3, 40])
+def test_edges_equal_brute_force(spark, parts):
+    assert run(spark, EDGES, parts=parts) == brute(EDGES)
 
 
 def test_small_tables(spark):
     for rows in ([], [(1, "alone in here")], [(None, "a"), (None, "b")]):
-        assert run(spark, rows, part_bytes=1) == brute(rows)
+        assert run(spark, rows, parts=5) == brute(rows)
 
 
 def test_documents_equal_brute_force(spark, small):
     rows = [tuple(r) for r in small.select("doc_id", "text").collect()]
-    assert run(spark, rows, part_bytes=30_000) == brute(rows)
+    assert run(spark, rows, parts=9) == brute(rows)
     plain = {r.doc_id: r.fingerprint for r in op.fingerprints(small).collect()}
     assert plain == {d: op.spelled(vec(t))[0].as_py() for d, t in rows}
