@@ -756,7 +756,10 @@ string_agg(key, '__' order by pos) as name, cast(count(*) as int) as n from o gr
 def q_batch_tensors(spark: SparkSession, sf: str) -> DataFrame:
     """Stacked batch tensors (K7), summarised by batch checksum."""
     s = _split_samples(spark, sf)
-    a = samples.assign_batches(s.select("split", "key"), BATCH_SIZE, SEED, group=("split",))
+    # keys come from the distinct times, so that the field is packed once
+    keys = select.with_split(dense(spark, sf).select("time").distinct(), TEST_YEARS, VALIDATION_YEARS) \
+        .select("split", scalars.sample_key("time").alias("key")).distinct()
+    a = samples.assign_batches(keys, BATCH_SIZE, SEED, group=("split",))
     b = samples.batches(s, a, group=("split",),
                         broadcast_assignment=samples.assignment_fits_broadcast(a))
     total = F.aggregate(F.flatten("tensors"), F.lit(0.0), lambda acc, e: acc + e.cast("double"))

@@ -47,7 +47,7 @@ def standardize(c: str | Column, mean, std) -> Column:
     _check_number("mean", mean)
     _check_number("std", std)
     if std is not None and std == 0:
-        raise ZeroDivisionError("Standard deviation is zero.")
+        raise ZeroDivisionError("the training values are all equal: their standard deviation of 0 cannot scale anything")
     if mean is None or std is None or (isinstance(std, float) and math.isnan(std)):
         return F.lit(None).cast("double")
     return (col(c).cast("double") - F.lit(float(mean))) / F.lit(float(std))
@@ -58,7 +58,7 @@ def min_max(c: str | Column, lo, hi) -> Column:
     _check_number("min", lo)
     _check_number("max", hi)
     if lo is not None and hi is not None and lo == hi:
-        raise ZeroDivisionError("Min and max are equal.")
+        raise ZeroDivisionError(f"the training values span no range: smallest and largest are both {lo}")
     if lo is None or hi is None:
         return F.lit(None).cast("double")
     return (col(c).cast("double") - F.lit(float(lo))) / F.lit(float(hi) - float(lo))
@@ -73,7 +73,7 @@ def log_precip(c: str | Column, lo, hi, eps: float = PRECIP_EPSILON) -> Column:
     _check_number("min", lo)
     _check_number("max", hi)
     if lo is not None and hi is not None and lo == hi:
-        raise ZeroDivisionError("Min and max are equal.")
+        raise ZeroDivisionError(f"the training values span no range: smallest and largest are both {lo}")
     if hi is None:
         return F.lit(None).cast("double")
     denom = math.log(float(hi) + eps) - math.log(eps)

@@ -30,9 +30,9 @@ def coarsen(df: DataFrame, factor: int, values: str | list[str], shape: Shape |
     boundary).
     """
     if factor < 1:
-        raise ValueError("scale factor must be at least one")
+        raise ValueError(f"blocks need a side of 1 or more, got {factor}")
     if shape is not None and (shape.ny % factor or shape.nx % factor):
-        raise ValueError(f"grid {shape.ny}x{shape.nx} is not divisible by {factor}")
+        raise ValueError(f"blocks of {factor} do not tile a {shape.ny}x{shape.nx} grid")
     values = [values] if isinstance(values, str) else list(values)
     keys = [k for k in keys if k in df.columns]
     return (df.groupBy(*keys, _block(rlat, factor).alias(rlat), _block(rlon, factor).alias(rlon))

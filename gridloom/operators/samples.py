@@ -79,7 +79,7 @@ def assign_batches(keys: DataFrame, batch_size: int, seed: int = 0,
     ``randomize=False`` keeps the sorted key order.
     """
     if batch_size < 1:
-        raise ValueError("n must be at least one")
+        raise ValueError(f"a batch holds at least one sample, got a batch size of {batch_size}")
     group = list(group)
     if randomize:
         hashed = keys.select(*group, "key", permutation_hash(seed).alias("_h"))
