@@ -5,6 +5,11 @@ import pytest
 
 from gridloom.llm.decontamination import contained_items, drop_contaminated
 
+
+@pytest.fixture(scope="module")
+def small(spark):
+    return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+
 WORD = re.compile("[^\x20\x09-\x0d]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 

@@ -10,6 +10,11 @@ import pytest
 from gridloom.llm import fingerprint as op
 from gridloom.llm.text import buffers, split_words, word_hashes
 
+
+@pytest.fixture(scope="module")
+def small(spark):
+    return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
 

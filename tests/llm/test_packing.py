@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from gridloom.llm import packing as op
 
 
+@pytest.fixture(scope="module")
+def small(spark):
+    return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+
+
 def cost(histogram, ends):
     return sum(n * (min(e for e in ends if e >= x) - x) for x, n in histogram)
 

@@ -5,6 +5,11 @@ import pytest
 
 from gridloom.llm.substring_dedup import cut_repeated, remove_repeated
 
+
+@pytest.fixture(scope="module")
+def small(spark):
+    return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
 

@@ -11,6 +11,11 @@ from tokenizers import Tokenizer
 from gridloom.llm import token_counts as op
 from gridloom.llm.text import buffers
 
+
+@pytest.fixture(scope="module")
+def small(spark):
+    return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(PATH)
 TABLES = op.compile_tokenizer(PATH)
