@@ -32,6 +32,8 @@ BUCKETS, DIM = 1 << 17, 6
 GRAMS = (3, 4, 5)
 WINDOW = 8
 PER_CLASS = 2000
+#: Bytes of text whose n-grams are held at a time.
+GRAM_SLICE = 1 << 19
 ROUNDS, EPOCHS, STEPS, BATCH, RATE = 3, 2, 300, 1024, 0.05  # a round has EPOCHS epochs and STEPS steps at least
 THRESHOLD = 0.7
 #: Letters, digits and bytes of longer code points stay; A-Z in lower case; everything else ends a word.
@@ -41,20 +43,24 @@ for _lo, _hi in ((48, 58), (65, 91), (97, 123)):
     INSIDE[_lo:_hi] = LOWER[_lo:_hi]
 
 
-def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Bucket and word of every n-gram of a slice, the first word of each row, and the hash of each word."""
-    # a blank on either side of every text, so that no n-gram crosses rows
+def clean_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A slice's texts with a blank on either side of each and INSIDE applied, its words, and the first word of each row."""
     n = len(offsets) - 1
     padded = np.full(len(data) + n + 1, 32, np.uint8)
     rows = np.repeat(np.arange(n), np.diff(offsets))
     padded[np.arange(len(data)) + rows + 1] = INSIDE[data]
-    starts, ends, first = split_words(padded, np.append(offsets[:-1] + np.arange(n), len(padded)))
+    return padded, *split_words(padded, np.append(offsets[:-1] + np.arange(n), len(padded)))
+
+
+def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket and word of every n-gram of a slice, the first word of each row, and the hash of each word."""
+    padded, starts, ends, first = clean_words(data, offsets)
     lengths = ends - starts
     buckets, words = [], []
     for size in GRAMS:
         # n-grams of a word with one blank before and behind it
         count = np.maximum(lengths + 2 - size + 1, 0)
-        word = np.repeat(np.arange(len(starts)), count)
+        word = np.repeat(np.arange(len(starts), dtype=np.int32), count)
         at = np.arange(len(word)) - np.repeat(np.cumsum(count) - count, count) + starts[word] - 1
         code = np.full(len(at), size, np.uint64)
         for i in range(size):
@@ -64,6 +70,30 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(buckets), np.concatenate(words), first, word_hashes(padded, starts, ends)
 
 
+def vocabulary(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of many texts, slice by slice: each word's distinct number and hash, the first word of each row, and the n-grams of
+    the distinct words with the first n-gram of each."""
+    names, first, known = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)], np.zeros(0, np.uint64)
+    keys, buckets, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for lo, hi in slices(offsets, GRAM_SLICE):
+        padded, starts, ends, own = clean_words(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
+        hashes = word_hashes(padded, starts, ends)
+        names.append(hashes)
+        first.append(own[1:] + first[-1][-1])
+        unique, at = np.unique(hashes, return_index=True)
+        at = at[~np.isin(unique, known)]
+        known = np.union1d(known, unique)
+        length = ends[at] - starts[at]
+        spelled = padded[np.arange(length.sum()) + np.repeat(starts[at] - np.cumsum(length) + length, length)]
+        found, word, _, _ = grams(spelled, np.concatenate([[0], np.cumsum(length)]))
+        keys.append(hashes[at])
+        buckets.append(found[np.argsort(word, kind="stable")])
+        sizes.append(np.bincount(word, minlength=len(at)))
+    keys, sizes, names = np.concatenate(keys), np.concatenate(sizes), np.concatenate(names)
+    order = np.argsort(keys)
+    return order[np.searchsorted(keys[order], names)], names, np.concatenate(first), np.concatenate(buckets), np.concatenate([[0], np.cumsum(sizes)])
+
+
 def fresh(names: np.ndarray, first: np.ndarray) -> np.ndarray:
     """1 for each word that the WINDOW - 1 words before it in its text don't hold, else 0: a window counts a word once."""
     out = np.ones(len(names), np.float32)
@@ -114,15 +144,8 @@ def fit(texts: pa.Array, labels: np.ndarray, seed: int = 7) -> tuple[np.ndarray,
     """Weight of each bucket (embedding times the difference of the softmax's rows), and slope and offset of the score."""
     rng = np.random.default_rng(seed)
     data, offsets = buffers(texts)
-    # distinct words once: their n-grams, and words as runs of ids
-    buckets, words, first, names = grams(data, offsets)
-    n_words, new = len(names), fresh(names, first)
-    _, seen, ids = np.unique(names, return_index=True, return_inverse=True)
-    own = np.argsort(words, kind="stable")
-    bounds = np.searchsorted(words[own], np.arange(n_words + 1))
-    size = bounds[seen + 1] - bounds[seen]
-    gram_at = np.concatenate([[0], np.cumsum(size)])
-    gram_of = buckets[own][np.arange(gram_at[-1]) + np.repeat(bounds[seen] - gram_at[:-1], size)]
+    ids, names, first, gram_of, gram_at = vocabulary(data, offsets)
+    size, new = np.diff(gram_at), fresh(names, first)
     lo, hi, rows = window_starts(first, WINDOW)
     embed = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
     soft = rng.normal(0, 0.1, (DIM + 1, 2)).astype(np.float32)
@@ -171,7 +194,7 @@ def fit(texts: pa.Array, labels: np.ndarray, seed: int = 7) -> tuple[np.ndarray,
         best = np.full(len(labels), -np.inf)
         np.maximum.at(best, rows, value)
         use = np.flatnonzero((target == 0) | (value >= np.maximum(best[rows] * 0.6, best[rows] - 4)))
-    top = np.concatenate([_best_window(weights, data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]) for a, b in slices(offsets)])
+    top = np.concatenate([_best_window(weights, data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]) for a, b in slices(offsets, GRAM_SLICE)])
     known = ~np.isnan(top)
     slope, offset = _logistic(top[known], labels[known])
     return weights.astype(np.float32), float(slope), float(offset)
@@ -205,7 +228,7 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, float, float], keep: list[s
         for batch in batches:
             data, offsets = buffers(batch.column(1))
             out = [np.zeros(0)]
-            for lo, hi in slices(offsets):
+            for lo, hi in slices(offsets, GRAM_SLICE):
                 if len(weights):
                     best = _best_window(weights, data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
                     out.append(np.where(np.isnan(best), 0.0, 1 / (1 + np.exp(-np.clip(slope * np.nan_to_num(best) + offset, -30, 30)))))
