@@ -18,12 +18,16 @@ from gridloom.llm.substring_dedup import cut_repeated
 from gridloom.llm.toxicity import drop_toxic
 
 
+#: Near duplicates of the pipeline: shingles of five words, Jaccard index of 0.8; the query op7 has its own values.
+SHINGLE, PER_CENT = 5, 80
+
+
 def _toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def _ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_one_of_each(docs)
+    return keep_one_of_each(docs, size=SHINGLE, per_cent=PER_CENT)
 
 
 def _substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -52,3 +52,10 @@ def test_every_stage_equals_brute_force(spark):
     packed = stage(4, kept)
     check(packed, [r[:2] for r in kept], packing.BUCKETS, packing.BUDGET)
     assert Counter(map(tuple, corpus_pipeline.run(spark, SF).collect())) == Counter(map(tuple, packed))
+
+
+def test_every_stage_with_five_words_and_80_per_cent(spark, monkeypatch):
+    shingles, brute = test_ngram_join.shingles, test_ngram_join.brute
+    monkeypatch.setattr(test_ngram_join, "shingles", lambda text: shingles(text, 5))
+    monkeypatch.setattr(test_ngram_join, "brute", lambda rows: brute(rows, 80))
+    test_every_stage_equals_brute_force(spark)
