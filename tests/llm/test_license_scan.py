@@ -46,3 +46,38 @@ def test_license_lines_of_the_corpus(spark):
     for r in docs.collect():
         lines = {k for k in ("Apache-2.0", "MIT", "GPL-3.0", "CC-BY-NC-4.0") if op.TEMPLATES[k] in r.text}
         assert got[r.doc_id] == lines
+
+
+NEIGHBOURS = {
+    "Released under the BSD License": "BSD", "Released under the 3-Clause BSD License": "BSD-3-Clause-line", "Released under the ISC License": "ISC",
+    "Licensed under CC BY 4.0": "CC-BY-4.0-short", "Licensed under CC BY-NC-SA 4.0": "CC-BY-NC-SA-4.0-short", "Licensed under CC BY-NC 5.0": None, "Licensed under CC0 1.0": "CC0-1.0",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "CC-BY-NC-4.0-long",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License": "CC-BY-4.0",
+    "Licensed under the Apache License, Version 1.1": "Apache-1.1", "Licensed under the Apache License, Version 2.1": None, "Released under the Zope License": None,
+    "This work is licensed under the GNU General Public License, version 2": "GPL-2.0", "This work is licensed under the GNU General Public License, version 4": None,
+    "This work is licensed under the GNU Lesser General Public License, version 3": "LGPL-3.0", "This work is licensed under the GNU Affero General Public License v3.0": "AGPL-3.0-v-dotted",
+    op.TEMPLATES["GPL-3.0-header"].replace("version 3", "version 2"): "GPL-2.0-header",
+    op.TEMPLATES["GPL-3.0-header"].replace("General", "Lesser General").replace("program", "library"): "LGPL-3.0-header",
+    op.TEMPLATES["GPL-3.0-header"].replace("version 3", "version 4"): None,
+    "Licensed under the Apache License 2.0": "Apache-2.0", "Licensed under the Apache Software License, Version 2.0": "Apache-2.0", "Licensed under the Apache License, Version 2": "Apache-2.0-short",
+    "This work is licensed under the GNU Public License, version 3": "GPL-3.0", "This work is licensed under the GNU General Public License v3": "GPL-3.0-v",
+    "This work is licensed under the GNU General Public License, version 4, section 3": None, "Released under the MIT/X11 License": "MIT-X11",
+}
+
+
+def test_neighbours_of_a_license_are_told_apart(spark):
+    texts = [f"some words before it {t}. And some behind it" for t in NEIGHBOURS]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: {n.license for n in r.notices} for r in op.scan_licenses(rows).collect()}
+    assert got == {i: {n} - {None} for i, n in enumerate(NEIGHBOURS.values())}
+
+
+def test_every_template_is_found_as_itself(spark):
+    rows = spark.createDataFrame(list(enumerate(op.TEMPLATES.values())), "doc_id long, text string")
+    got = {r.doc_id: (r.license, r.coverage) for r in op.scan_licenses(rows).collect()}
+    assert got == {i: (n, 1.0) for i, n in enumerate(op.TEMPLATES)}
+
+
+def test_worn_notice_is_not_taken_for_a_part_of_it(spark):
+    worn = op.TEMPLATES["BSD-3-Clause-notice"].replace("specific prior", "our").replace("copyright holder", "author")
+    assert [n.license for n in op.scan_licenses(spark.createDataFrame([(1, worn)], "doc_id long, text string")).first().notices] == ["BSD-3-Clause-notice"]
