@@ -1,3 +1,4 @@
+import functools
 from collections import Counter
 
 import test_decontamination
@@ -16,7 +17,7 @@ def words(text):
     return test_substring_dedup.WORD.findall(text)
 
 
-def test_every_stage_equals_brute_force(spark):
+def test_every_stage_equals_brute_force(spark, monkeypatch):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     names = docs.columns
     rows = [tuple(r) for r in docs.collect()]
@@ -32,7 +33,8 @@ def test_every_stage_equals_brute_force(spark):
     kept = [tuple(r) for r in stage(0, rows)]
     assert toxic and Counter(kept) == Counter(r for r in rows if r[0] not in toxic)
 
-    least = {d: c for d, _, c in test_ngram_join.brute([r[:2] for r in kept])}
+    monkeypatch.setattr(test_ngram_join, "shingles", functools.partial(test_ngram_join.shingles, size=corpus_pipeline.SHINGLE))
+    least = {d: c for d, _, c in test_ngram_join.brute([r[:2] for r in kept], corpus_pipeline.PER_CENT)}
     rows, kept = kept, [tuple(r) for r in stage(1, kept)]
     assert len(kept) < len(rows) and Counter(kept) == Counter(r for r in rows if least[r[0]] == r[0])
 
@@ -52,10 +54,3 @@ def test_every_stage_equals_brute_force(spark):
     packed = stage(4, kept)
     check(packed, [r[:2] for r in kept], packing.BUCKETS, packing.BUDGET)
     assert Counter(map(tuple, corpus_pipeline.run(spark, SF).collect())) == Counter(map(tuple, packed))
-
-
-def test_every_stage_with_five_words_and_80_per_cent(spark, monkeypatch):
-    shingles, brute = test_ngram_join.shingles, test_ngram_join.brute
-    monkeypatch.setattr(test_ngram_join, "shingles", lambda text: shingles(text, 5))
-    monkeypatch.setattr(test_ngram_join, "brute", lambda rows: brute(rows, 80))
-    test_every_stage_equals_brute_force(spark)
