@@ -1,0 +1,95 @@
+import hashlib
+import math
+import random
+import re
+from collections import Counter, defaultdict
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridloom.llm import mixing as op
+
+WORD = re.compile("[^\x20\x09-\x0d]+")
+SCHEMA = "doc_id long, source string, text string, size int, _size int, _part int"
+
+
+def brute_targets(sizes, weights=(1, 2, 3), epochs=3, share=1):
+    """Targets as the rule says: share by weight, stop what is above its limit, share again."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    total, held = Fraction(math.floor(sum(sizes.values()) * share)), {}
+    while True:
+        free = [s for s in names if s not in held]
+        left, over = total - sum(held.values()), sum(weight[s] for s in free)
+        target = {s: left * weight[s] / over for s in free}
+        above = [s for s in free if target[s] >= epochs * sizes[s]]
+        if not above:
+            return held | target
+        held |= {s: Fraction(epochs * sizes[s]) for s in above}
+
+
+def brute(rows, weights=(1, 2, 3), epochs=3, share=1):
+    sized = [(d, s, len(WORD.findall(t or ""))) for d, s, t in rows]
+    own = defaultdict(int)
+    for _, s, n in sized:
+        own[s] += n
+    target = brute_targets(own, weights, epochs, share)
+    out = Counter()
+    for s in own:
+        budget = min(epochs * own[s], math.floor(target[s] + Fraction(1, 2)))
+        passes, rest = divmod(budget, own[s]) if own[s] else (0, 0)
+        order = lambda r: (hashlib.md5(f"mix|{'' if r[0] is None else r[0]}".encode()).digest(), r[0] is not None, r[0] or 0, r[2])
+        for d, _, n in sorted((r for r in sized if r[1] == s), key=order):
+            cut = max(0, min(n, rest))
+            rest -= cut
+            out[d, n, own[s], round(float(target[s]), 6), passes * n + cut] += 1
+    return out
+
+
+def run(spark, rows, **how):
+    df = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], SCHEMA)
+    return Counter((r.doc_id, r.size, r.source_size, round(r.target, 6), r.taken) for r in op.mix(df, **how).collect())
+
+
+def corpus(seed, n=400):
+    rng = random.Random(seed)
+    return [(i, rng.choice(["hot"] * 8 + ["a", "b", "é", "Z", None]), "w " * rng.choice([0, 1, 5, 40])) for i in range(n)]
+
+
+@pytest.mark.parametrize("seed, how", [(1, {}), (2, {"weights": (5, 1), "epochs": 2}), (3, {"share": 0.25}), (4, {"weights": (1, 9, 1, 4), "epochs": 7, "share": 2})])
+def test_mix_equals_brute_force(spread, seed, how):
+    rows = corpus(seed)
+    assert run(spread, rows, **how) == brute(rows, **how)
+
+
+def test_budgets_are_met_to_the_word_and_reruns_agree(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = op.mix(docs).withColumn("of", F.col("source_size")).collect()
+    taken, target = Counter(), {}
+    for r in rows:
+        taken[r.source_size, r.target] += r.taken
+        target[r.source_size, r.target] = r.target
+        assert 0 <= r.taken <= 3 * r.size and r.taken == r.repeats * r.size + r.cut and 0 <= r.cut <= r.size
+    assert all(abs(taken[k] - target[k]) <= 0.5 for k in target)
+    again = op.mix(docs.repartition(5)).withColumn("of", F.col("source_size")).collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, rows))
+
+
+def test_a_source_that_needs_repeats(spark):
+    rows = [(i, "a", "x") for i in range(4)] + [(i + 10, "b", "x") for i in range(4)] + [(99, "z", "x " * 1000)]
+    got = run(spark, rows)
+    assert got == brute(rows) and {k[4] for k in got if k[0] < 20} == {3}
+
+
+def test_nulls_ties_repeats_long_and_empty(spread):
+    rows = [(None, None, None), (None, None, "a b"), (None, None, "a b"), (1, "s", ""), (1, "s", " \t\n\x0b\x0c\r"), (2, "s", "é b c"), (2, "s", "é b c"), (2, "s", "d"),
+            (3, "", "w\r\n" * 200_000), (4, "zero", None)] + [(7, "t", "k k k")] * 30
+    assert run(spread, rows) == brute(rows)
+    assert run(spread, rows[:0]) == Counter()
+    assert set(run(spread, [(1, "a", None), (2, None, "")])) == {(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)}
+
+
+def test_no_python_on_the_main_path(spark):
+    plan = op.mix(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
