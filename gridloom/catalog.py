@@ -450,20 +450,8 @@ def q_regrid_curvilinear(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(out)
 
 
-# Brute force: every target point is tested against every quad of T.
-SQL_REGRID_CURVILINEAR = with_(M_SQL, T_SQL(side=16), G_SQL, G_GRID_SQL, """q as (
-  select a.rlat as qy, a.rlon as qx, a.lat as lat00, a.lon as lon00, b.lat as lat01, b.lon as lon01,
-         c.lat as lat10, c.lon as lon10, d.lat as lat11, d.lon as lon11
-  from t a join t b on b.rlat = a.rlat and b.rlon = a.rlon + 1
-           join t c on c.rlat = a.rlat + 1 and c.rlon = a.rlon
-           join t d on d.rlat = a.rlat + 1 and d.rlon = a.rlon + 1)""", """k as (
-  select gg.rlat, gg.rlon, q.qy, q.qx,
-         gg.lon - lon00 as hx, gg.lat - lat00 as hy, lon01 - lon00 as ex, lat01 - lat00 as ey,
-         lon10 - lon00 as fx, lat10 - lat00 as fy,
-         lon00 - lon01 - lon10 + lon11 as gx, lat00 - lat01 - lat10 + lat11 as gy
-  from gg, q
-  where gg.lat between least(lat00, lat01, lat10, lat11) and greatest(lat00, lat01, lat10, lat11)
-    and gg.lon between least(lon00, lon01, lon10, lon11) and greatest(lon00, lon01, lon10, lon11))""",
+# Targets within quads, from the corners and the target of each pair: inverse bilinear coordinates, lowest quad, weights.
+SOLVE_SQL = (
     """c as (select *, gx * fy - gy * fx as k2, (ex * fy - ey * fx) + (hx * gy - hy * gx) as k1,
   hx * ey - hy * ex as k0 from k)""",
     """d as (select *, sqrt(greatest(k1 * k1 - 4.0 * k0 * k2, 0.0)) as disc from c)""",
@@ -487,12 +475,74 @@ SQL_REGRID_CURVILINEAR = with_(M_SQL, T_SQL(side=16), G_SQL, G_GRID_SQL, """q as
   union all select rlat, rlon, qy + 1, qx, (1.0 - s) * t from cl
   union all select rlat, rlon, qy + 1, qx + 1, s * t from cl)""",
     """w as (select rlat, rlon, sy, sx, w, count(*) over (partition by rlat, rlon) as n_corners
-  from c4 where w <> 0)""") + """select m.time, w.rlat, w.rlon,
+  from c4 where w <> 0)""")
+
+
+# Brute force: every target point is tested against every quad of T.
+SQL_REGRID_CURVILINEAR = with_(M_SQL, T_SQL(side=16), G_SQL, G_GRID_SQL, """q as (
+  select a.rlat as qy, a.rlon as qx, a.lat as lat00, a.lon as lon00, b.lat as lat01, b.lon as lon01,
+         c.lat as lat10, c.lon as lon10, d.lat as lat11, d.lon as lon11
+  from t a join t b on b.rlat = a.rlat and b.rlon = a.rlon + 1
+           join t c on c.rlat = a.rlat + 1 and c.rlon = a.rlon
+           join t d on d.rlat = a.rlat + 1 and d.rlon = a.rlon + 1)""", """k as (
+  select gg.rlat, gg.rlon, q.qy, q.qx,
+         gg.lon - lon00 as hx, gg.lat - lat00 as hy, lon01 - lon00 as ex, lat01 - lat00 as ey,
+         lon10 - lon00 as fx, lat10 - lat00 as fy,
+         lon00 - lon01 - lon10 + lon11 as gx, lat00 - lat01 - lat10 + lat11 as gy
+  from gg, q
+  where gg.lat between least(lat00, lat01, lat10, lat11) and greatest(lat00, lat01, lat10, lat11)
+    and gg.lon between least(lon00, lon01, lon10, lon11) and greatest(lon00, lon01, lon10, lon11))""",
+    *SOLVE_SQL) + """select m.time, w.rlat, w.rlon,
 round(case when count(*) = max(w.n_corners) and count(m.v) = max(w.n_corners)
       then sum(m.v * w.w) end, 6) as v
 from m join w on m.rlat = w.sy and m.rlon = w.sx group by all"""
 
 
+def q_regrid_curvilinear_global(spark: SparkSession, sf: str) -> DataFrame:
+    """G laid on a grid that holds the pole and crosses the date line, regridded on the sphere (J1d)."""
+    out = regrid.interpolate(dense(spark, sf), fixtures.polar_grid(spark), fixtures.polar_target(spark), "v",
+                             method="spherical", tgt_points=fixtures.RINGS * fixtures.RING_POINTS)
+    return rounded(out)
+
+
+def _xyz(lat: str, lon: str) -> str:
+    return f"""cos(radians({lat})) * cos(radians({lon})) as x, cos(radians({lat})) * sin(radians({lon})) as y, sin(radians({lat})) as z"""
+
+
+def _seen_corners() -> str:
+    """The corners a, b, c, d of a quad in the east (lon) and north (lat) of the target t."""
+    def along(axis: str, corner: str) -> str:
+        return " + ".join(f't."{axis}{k}" * {corner}.{k}' for k in "xyz")
+
+    return ", ".join(f"{along('a', c)} as lon{tag}, {along('b', c)} as lat{tag}" for c, tag in zip("abcd", ("00", "01", "10", "11"), strict=True))
+
+
+# Brute force: every target against every quad, both seen along the line from the centre through the target.
+SQL_REGRID_CURVILINEAR_GLOBAL = with_(G_SQL, f"""pl as (
+  select j as rlat, i as rlon, cos(radians({fixtures.POLAR_LAT})) - sin(radians({fixtures.POLAR_LAT})) * b as x, a as y,
+         sin(radians({fixtures.POLAR_LAT})) + cos(radians({fixtures.POLAR_LAT})) * b as z
+  from (select cast(j as int) as j, cast(i as int) as i, (i - 3.5) * {fixtures.POLAR_STEP}::double as a,
+               (j - 3.5) * {fixtures.POLAR_STEP}::double * 1.1::double + i * 0.01::double as b from range(8) p(j), range(8) r(i)))""",
+    """pg as (select rlat, rlon, degrees(asin(z / sqrt(x * x + y * y + z * z))) as lat, degrees(atan2(y, x)) as lon from pl)""",
+    f"""pv as (select rlat, rlon, {_xyz("lat", "lon")} from pg)""",
+    f"""tg as (select cast(j as int) as rlat, cast(i as int) as rlon, 73.3::double + 2.05::double * j as lat, 22.5::double * i + 0.37::double * j as lon
+  from range({fixtures.RINGS}) p(j), range({fixtures.RING_POINTS}) r(i))""",
+    f"""tv as (select rlat, rlon, {_xyz("lat", "lon")}, -sin(radians(lon)) as ax, cos(radians(lon)) as ay, 0.0::double as az,
+  -sin(radians(lat)) * cos(radians(lon)) as bx, -sin(radians(lat)) * sin(radians(lon)) as "by", cos(radians(lat)) as bz from tg)""",
+    """q as (
+  select t.rlat, t.rlon, a.rlat as qy, a.rlon as qx, """ + _seen_corners() + """
+  from tv t, pv a join pv b on b.rlat = a.rlat and b.rlon = a.rlon + 1
+           join pv c on c.rlat = a.rlat + 1 and c.rlon = a.rlon
+           join pv d on d.rlat = a.rlat + 1 and d.rlon = a.rlon + 1
+  where t.x * (a.x + b.x + c.x + d.x) + t.y * (a.y + b.y + c.y + d.y) + t.z * (a.z + b.z + c.z + d.z) > 0)""",
+    """k as (
+  select rlat, rlon, qy, qx, -lon00 as hx, -lat00 as hy, lon01 - lon00 as ex, lat01 - lat00 as ey,
+         lon10 - lon00 as fx, lat10 - lat00 as fy, lon00 - lon01 - lon10 + lon11 as gx, lat00 - lat01 - lat10 + lat11 as gy from q)""",
+    *SOLVE_SQL) + """select g.time, w.rlat, w.rlon,
+round(case when count(*) = max(w.n_corners) and count(g.v) = max(w.n_corners) then sum(g.v * w.w) end, 6) as v
+from g join w on g.rlat = w.sy and g.rlon = w.sx group by all"""
+
+
 def q_align_lr(spark: SparkSession, sf: str) -> DataFrame:
     """Regrid onto T, crop 8×8 from (2, 2), coarsen by 4 (P5)."""
     g = dense(spark, sf)
@@ -959,6 +1009,7 @@ QUERIES: dict[str, Query] = {
     "regrid_outside": q_regrid_outside,
     "regrid_tensor": q_regrid_tensor,
     "regrid_curvilinear": q_regrid_curvilinear,
+    "regrid_curvilinear_global": q_regrid_curvilinear_global,
     "align_lr": q_align_lr,
     "align_hr": q_align_hr,
     "align_lr_sparse": q_align_lr_sparse,
@@ -1011,6 +1062,7 @@ _ORACLE: dict[str, str] = {
     "regrid_outside": SQL_REGRID_OUTSIDE,
     "regrid_tensor": SQL_REGRID_BILINEAR,
     "regrid_curvilinear": SQL_REGRID_CURVILINEAR,
+    "regrid_curvilinear_global": SQL_REGRID_CURVILINEAR_GLOBAL,
     "align_lr": SQL_ALIGN_LR,
     "align_hr": SQL_ALIGN_HR,
     "align_lr_sparse": SQL_ALIGN_LR_SPARSE,

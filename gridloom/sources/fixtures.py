@@ -10,10 +10,14 @@ size grows with the scale factor:
 * ``lead_field`` (L): daily forecast leads 1..12 on a 4×4 grid, sum of
   ``events.value`` per (day, lead, user cell).
 * ``curvilinear_target`` (T): a 12×12 rotated grid laid over G's area.
+* ``polar_grid``, ``polar_target``: an 8×8 grid that holds the pole and crosses the
+  date line, and rings of points around the pole.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +33,9 @@ MONTHLY_SIDE = 16
 LEAD_SIDE = 4
 LEAD_LEVELS = 12
 TARGET_SIDE = 12
+POLAR_LAT = 84.0
+POLAR_STEP = 0.06
+RINGS, RING_POINTS = 9, 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -115,3 +122,23 @@ def curvilinear_target(spark: SparkSession, lat_shift: float = 0.0,
         F.col("rlat").cast("int").alias("rlat"), F.col("rlon").cast("int").alias("rlon"),
         (F.lit(46.0 + lat_shift) + F.lit(0.45) * F.col("rlat") + F.lit(0.05) * F.col("rlon")).alias("lat"),
         (F.lit(230.0) + F.lit(0.45) * F.col("rlon") + F.lit(0.05) * F.col("rlat")).alias("lon"))
+
+
+def polar_grid(spark: SparkSession) -> DataFrame:
+    """G's indices on a plane that touches the sphere at 84° N, 0° E: a skewed grid over the pole (a grid definition).
+
+    Longitudes are in -180..180.
+    """
+    cos, sin, rows = math.cos(math.radians(POLAR_LAT)), math.sin(math.radians(POLAR_LAT)), []
+    for j in range(DENSE_SIDE):
+        for i in range(DENSE_SIDE):
+            a, b = (i - 3.5) * POLAR_STEP, (j - 3.5) * POLAR_STEP * 1.1 + i * 0.01
+            x, y, z = cos - sin * b, a, sin + cos * b
+            rows.append((j, i, math.degrees(math.asin(z / math.sqrt(x * x + y * y + z * z))), math.degrees(math.atan2(y, x))))
+    return spark.createDataFrame(rows, "rlat int, rlon int, lat double, lon double")
+
+
+def polar_target(spark: SparkSession) -> DataFrame:
+    """Rings of points from 73° N to the pole's neighbourhood, longitudes in 0..360 (a grid definition)."""
+    pts = spark.range(0, RINGS * RING_POINTS, 1, 1).select(F.floor(F.col("id") / RING_POINTS).cast("int").alias("rlat"), (F.col("id") % RING_POINTS).cast("int").alias("rlon"))
+    return pts.select("rlat", "rlon", (F.lit(73.3) + F.lit(2.05) * F.col("rlat")).alias("lat"), (F.lit(22.5) * F.col("rlon") + F.lit(0.37) * F.col("rlat")).alias("lon"))
