@@ -1,32 +1,31 @@
 """Grid alignment plans (P4, P5) and the high-resolution crop.
 
-Physical plan for LR alignment (regrid → crop → coarsen), two-step form:
+Physical plan for LR alignment (regrid → crop → coarsen):
 
-    scan ─► Exchange rangepartitioning(time, n) ─► BroadcastHashJoin(weights)
-         ─► HashAggregate(time, rlat, rlon)      (no exchange: clustered by time)
-         ─► HashAggregate(time, rlat/f, rlon/f)  (no exchange)
+    scan ─► Exchange(slot of time, n) ─► Window(slot, time)      (whole steps are marked)
+         ─► BroadcastHashJoin(weights of both routes)
+         ─► HashAggregate(slot, time, route, rlat, rlon)         (no exchange)
+         ─► HashAggregate(slot, time, block_y, block_x)          (no exchange)
 
 * The only shuffle moves the *source* field (the small, low-resolution side)
-  before the regrid multiplies it to the target size.
+  before the regrid multiplies it to the target size.  A step's partition is
+  computed from its time (``timeaxis``); nothing is sampled.
 * ``n`` is sized from the *output* volume (steps × target cells), not from
   the input bytes: AQE would size the exchange by the small input and leave a
-  few tasks to produce the high-resolution output.  Every time step has the
-  same bounded number of cells, so range partitions on time are balanced and
-  the written files cover contiguous time ranges.
+  few tasks to produce the high-resolution output.
 * The crop is pushed into the weight frame: cropped-away targets are never
   computed.
-* Composed form: when the source is dense and null-free, regrid and block
-  mean are both linear, so their weight matrices multiply into one (≈ a few
-  source cells per coarse block; targets outside the source hull are absent
-  and each block divides by the targets it covers).
-  The high-resolution intermediate is then never built:
-
-      scan ─► Exchange rangepartitioning(time, n) ─► BroadcastHashJoin(composed)
-           ─► HashAggregate(time, block_y, block_x)
-
-  The guard (one aggregate over the source) asks of every step that it holds
-  each cell once with a value; otherwise the two-step form runs, because the
-  block mean skips missing cells and is then no longer linear.
+* Two routes in one plan: for a step that holds every source cell once with a
+  value, regrid and block mean are both linear, so their weight matrices multiply
+  into one (a few source cells per coarse block; targets outside the source
+  hull are absent and each block divides by the targets it covers) and the
+  high-resolution intermediate is never built.  A step that lacks a cell, holds
+  one twice or a missing value is regridded and then block-averaged, because the
+  block mean skips missing cells and is then no longer linear.  A window over
+  the step decides, inside the same partitioning; one incomplete step leaves
+  the others on their route.
+* Weights past the broadcast bound meet the cells in bands of target rows
+  (``bands``): one scan, one exchange, and the route is chosen per band and step.
 """
 
 from __future__ import annotations
@@ -34,11 +33,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import aggregate, regrid, select
+from ..operators.bands import apply_banded
 from ..operators.select import Shape
+from ..operators.timeaxis import SLOT, by_slot, time_axis
 
 # Output bytes per task the time partitioning aims for (cell rows ≈ 24 bytes).
 TARGET_TASK_BYTES = 128 * 1024 * 1024
@@ -84,13 +85,29 @@ def _cropped_target(tgt_grid: DataFrame, scale_factor: int, x, y,
     return cropped, select.cropped_shape(scale_factor, x, y, shape)
 
 
-def _by_time(cells: DataFrame, keys: tuple[str, ...], profile: SourceProfile | None,
-             out_cells_per_step: int) -> DataFrame:
+def _slots(cells: DataFrame, out_cells_per_step: int):
+    """The time axis of the cells and the number of slots for their output."""
+    axis = time_axis(cells)
+    return axis, time_partitions(axis.steps, out_cells_per_step, cells.sparkSession.sparkContext.defaultParallelism)
+
+
+def _by_time(cells: DataFrame, keys: tuple[str, ...], out_cells_per_step: int) -> tuple[DataFrame, tuple[str, ...]]:
+    """Cells dealt by time slot, and the keys that are clustered by it."""
     if "time" not in keys:
-        return cells
-    floor = cells.sparkSession.sparkContext.defaultParallelism
-    steps = profile.steps if profile is not None else floor
-    return cells.repartitionByRange(time_partitions(steps, out_cells_per_step, floor), "time")
+        return cells, keys
+    axis, n = _slots(cells, out_cells_per_step)
+    return by_slot(cells, axis, n), (SLOT, *keys)
+
+
+def mark_whole(cells: DataFrame, value: str, keys: tuple[str, ...], n_cells: int) -> DataFrame:
+    """``cells`` with ``_whole``: whether their step holds ``n_cells`` different cells, each once with a value.
+
+    Windows over the step: no exchange where ``keys`` are clustered.
+    """
+    step = Window.partitionBy(*keys)
+    again = F.lag(F.struct("rlat", "rlon")).over(step.orderBy("rlat", "rlon")).eqNullSafe(F.struct("rlat", "rlon"))
+    whole = (F.count(F.lit(1)).over(step) == n_cells) & (F.count(value).over(step) == n_cells) & ~F.max("_again").over(step)
+    return cells.withColumn("_again", again).withColumn("_whole", whole).drop("_again")
 
 
 def _covered(weights: DataFrame) -> DataFrame:
@@ -102,20 +119,23 @@ def _covered(weights: DataFrame) -> DataFrame:
 
 def align_grid(cells: DataFrame, src_grid: DataFrame, tgt_grid: DataFrame, scale_factor: int,
                x, y, value: str, keys: tuple[str, ...] = ("time",),
-               tgt_shape: Shape | None = None, profile: SourceProfile | None = None,
+               tgt_shape: Shape | None = None,
                max_broadcast_rows: int = regrid.MAX_BROADCAST_ROWS) -> DataFrame:
     """Regrid onto the reference grid and crop it (P4); coordinates are dropped."""
+    return _aligned(cells, src_grid, tgt_grid, scale_factor, x, y, value, keys, tgt_shape, max_broadcast_rows).drop(SLOT)
+
+
+def _aligned(cells, src_grid, tgt_grid, scale_factor, x, y, value, keys, tgt_shape, max_broadcast_rows) -> DataFrame:
     regrid.check_inputs(src_grid, tgt_grid)
     target, out_shape = _cropped_target(tgt_grid, scale_factor, x, y, tgt_shape)
     weights = _covered(regrid.grid_weights(src_grid, target))
-    # ≤ 4 weight rows per cropped target point: a bound known without a job;
-    # past the broadcast bound the targets are applied in bands
+    # ≤ 4 weight rows per cropped target point: a bound known without a job
     keys = tuple(k for k in keys if k in cells.columns)
-    if profile is None and "time" in keys:
-        profile = profile_source(cells, value, keys)
-    cells = _by_time(cells, keys, profile, out_shape.ny * out_shape.nx)
-    return regrid.apply_weights_tiled(cells, weights, value, keys, out_shape.ny,
-                                      out_shape.ny * out_shape.nx, max_broadcast_rows)
+    points = out_shape.ny * out_shape.nx
+    if 4 * points > max_broadcast_rows:
+        return apply_banded(cells, weights, value, keys, out_shape.ny, points, max_broadcast_rows)
+    cells, keys = _by_time(cells, keys, points)
+    return regrid.apply_weights(cells, weights, value, keys)
 
 
 def align_with_lr(cells: DataFrame, src_grid: DataFrame, tgt_grid: DataFrame, scale_factor: int,
@@ -124,8 +144,9 @@ def align_with_lr(cells: DataFrame, src_grid: DataFrame, tgt_grid: DataFrame, sc
                   max_broadcast_rows: int = regrid.MAX_BROADCAST_ROWS) -> DataFrame:
     """Regrid, crop and coarsen a low-resolution field (P5).
 
-    ``compose``: ``"auto"`` uses the composed weight matrix when the guard
-    holds, ``False`` always runs the two steps, ``True`` requires the guard.
+    ``compose``: ``"auto"`` uses the composed weight matrix for every step that
+    is whole, ``False`` always runs the two steps, ``True`` requires all steps to
+    be whole.
     """
     regrid.check_inputs(src_grid, tgt_grid)
     tgt_shape = tgt_shape or select.grid_shape(tgt_grid)
@@ -134,30 +155,29 @@ def align_with_lr(cells: DataFrame, src_grid: DataFrame, tgt_grid: DataFrame, sc
     if out_shape.ny % scale_factor or out_shape.nx % scale_factor:
         raise ValueError(f"blocks of {scale_factor} do not tile a {out_shape.ny}x{out_shape.nx} grid")
     if compose is False:
-        aligned = align_grid(cells, src_grid, tgt_grid, scale_factor, x, y, value, keys, tgt_shape,
-                             max_broadcast_rows=max_broadcast_rows)
-        return aggregate.coarsen(aligned, scale_factor, value, shape=out_shape, keys=keys)
+        aligned = _aligned(cells, src_grid, tgt_grid, scale_factor, x, y, value, keys, tgt_shape, max_broadcast_rows)
+        by = (SLOT, *keys) if SLOT in aligned.columns else keys
+        return aggregate.coarsen(aligned, scale_factor, value, shape=out_shape, keys=by).drop(SLOT)
 
     target, _ = _cropped_target(tgt_grid, scale_factor, x, y, tgt_shape)
     info: dict = {}
     weights = _covered(regrid.grid_weights(src_grid, target, info=info))
-    profile = profile_source(cells, value, keys, info.get("source_cells", -1))
-    n_targets = out_shape.ny * out_shape.nx
-    ok = profile.complete == profile.steps
-    if compose is True and not ok:
-        raise ValueError(f"{profile.steps - profile.complete} of {profile.steps} steps lack cells, repeat them or hold missing values; "
-                         "composed weights need every cell once")
-    if ok:
-        composed = regrid.compose_coarsen(weights, scale_factor)
-        blocks = n_targets // (scale_factor * scale_factor)
-        # composed rows ≤ uncomposed rows ≤ 4 per target point
-        return regrid.apply_weights_tiled(_by_time(cells, keys, profile, blocks), composed, value,
-                                          keys, out_shape.ny // scale_factor, n_targets,
-                                          max_broadcast_rows)
-    by_time = _by_time(cells, keys, profile, n_targets)
-    aligned = regrid.apply_weights_tiled(by_time, weights, value, keys, out_shape.ny, n_targets,
-                                         max_broadcast_rows)
-    return aggregate.coarsen(aligned, scale_factor, value, shape=out_shape, keys=keys)
+    n_cells, points = info.get("source_cells", -1), out_shape.ny * out_shape.nx
+    if compose is True:
+        profile = profile_source(cells, value, keys, n_cells)
+        if profile.complete != profile.steps:
+            raise ValueError(f"{profile.steps - profile.complete} of {profile.steps} steps lack cells, repeat them or hold missing values; "
+                             "composed weights need every cell once")
+    composed = regrid.compose_coarsen(weights, scale_factor)
+    if 8 * points > max_broadcast_rows:  # both routes' weights
+        return apply_banded(cells, weights, value, keys, out_shape.ny, points, max_broadcast_rows, composed=composed, factor=scale_factor)
+    cells, by = _by_time(cells, keys, points)
+    marked = mark_whole(cells, value, by, n_cells)
+    both = composed.withColumn("_whole", F.lit(True)).unionByName(weights.withColumn("_whole", F.lit(False)))
+    made = regrid.apply_weights(marked, both, value, by, match=("_whole",))
+    block = {c: F.when(F.col("_whole"), F.col(c)).otherwise(F.floor(F.col(c) / scale_factor)).cast("int") for c in ("rlat", "rlon")}
+    # a whole step has its blocks by now, one row each
+    return made.groupBy(*by, *[b.alias(c) for c, b in block.items()]).agg(F.avg(value).alias(value)).drop(SLOT)
 
 
 def align_hr(cells: DataFrame, scale_factor: int, x, y, shape: Shape | None = None) -> DataFrame:
