@@ -891,12 +891,12 @@ def _preprocess_lr(spark: SparkSession, sf: str, west: bool) -> DataFrame:
         validation_years=VALIDATION_YEARS, scale_factor=4,
         x={"first_index": 2, "last_index": 10}, y={"first_index": 2, "last_index": 10},
         src_grid=preprocess.shifted_grid(grid, var), hr_ref=fixtures.curvilinear_target(spark),
-        shape=T_SHAPE)
+        shape=T_SHAPE, stage=preprocess.checkpoint_stage)
     return rounded(frame.select("split", "time", "rlat", "rlon", "tas"))
 
 
 def q_preprocess_lr(spark: SparkSession, sf: str) -> DataFrame:
-    """Per-variable preprocessing of an LR model, lazily (P6 without the write)."""
+    """Per-variable preprocessing of an LR model: staged with its statistics observed (P6 without the write)."""
     return _preprocess_lr(spark, sf, west=False)
 
 

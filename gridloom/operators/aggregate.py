@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .select import Shape
@@ -63,11 +63,16 @@ class Stats:
         return key in ("mean", "std", "min", "max", "count") and getattr(self, key) is not None
 
 
-def stats_frame(df: DataFrame, value: str, group: list[str] | None = None) -> DataFrame:
-    """Mean, population std, min, max and count fused into one aggregate."""
-    aggs = [F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"),
+def stats_columns(value: str | Column) -> list[Column]:
+    """Mean, population std, min, max and count as aggregate columns."""
+    return [F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"),
             F.min(value).cast("double").alias("min"), F.max(value).cast("double").alias("max"),
             F.count(value).alias("count")]
+
+
+def stats_frame(df: DataFrame, value: str, group: list[str] | None = None) -> DataFrame:
+    """Mean, population std, min, max and count fused into one aggregate."""
+    aggs = stats_columns(value)
     return df.groupBy(*group).agg(*aggs) if group else df.agg(*aggs)
 
 

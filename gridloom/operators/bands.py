@@ -27,21 +27,20 @@ from .timeaxis import SLOT
 GROUP_CELLS = 4_000_000
 
 
-def _matrix(rows, width):
-    """Weights sorted by target: source cells, weights, first row of each target, its indices and corners."""
-    import numpy as np
-
-    order = np.lexsort((rows["sx"], rows["sy"], rows["rlon"], rows["rlat"]))
-    r = {k: v[order] for k, v in rows.items()}
-    code = r["sy"].astype(np.int64) * width + r["sx"]
-    new = np.ones(len(code), bool)
-    new[1:] = (r["rlat"][1:] != r["rlat"][:-1]) | (r["rlon"][1:] != r["rlon"][:-1])
-    first = np.flatnonzero(new)
-    return code, r["w"], first, r["rlat"][first], r["rlon"][first], r["n_corners"][first]
-
-
 def _work(keys: list[str], values: list[str], factor: int | None, schema):
     """Task function of one band and slot: (cells, weights) → the band's targets of every step."""
+    def matrix(rows, width):
+        """Weights sorted by target: source cells, weights, first row of each target, its indices and corners."""
+        import numpy as np
+
+        order = np.lexsort((rows["sx"], rows["sy"], rows["rlon"], rows["rlat"]))
+        r = {k: v[order] for k, v in rows.items()}
+        code = r["sy"].astype(np.int64) * width + r["sx"]
+        new = np.ones(len(code), bool)
+        new[1:] = (r["rlat"][1:] != r["rlat"][:-1]) | (r["rlon"][1:] != r["rlon"][:-1])
+        first = np.flatnonzero(new)
+        return code, r["w"], first, r["rlat"][first], r["rlon"][first], r["n_corners"][first]
+
     def run(cells, weights):
         import numpy as np
         import pyarrow as pa
@@ -55,7 +54,7 @@ def _work(keys: list[str], values: list[str], factor: int | None, schema):
         whole = weights["_whole"].to_numpy().astype(bool)
         sy, sx = number(cells, "sy"), number(cells, "sx")
         width = int(max(sx.max(), w["sx"].max())) + 1
-        parts = {k: _matrix({c: v[whole == k] for c, v in w.items()}, width) for k in (True, False) if (whole == k).any()}
+        parts = {k: matrix({c: v[whole == k] for c, v in w.items()}, width) for k in (True, False) if (whole == k).any()}
         known = np.unique(np.concatenate([m[0] for m in parts.values()]))
         at = {k: np.searchsorted(known, m[0]) for k, m in parts.items()}
         needed = {k: np.bincount(at[k], minlength=len(known)) > 0 for k in at}

@@ -34,21 +34,20 @@ def samples(df: DataFrame, value: str, ny: int, nx: int,
     """
     keyed = df.withColumn("key", sample_key("time"))
     packed = pack(keyed, value, ny, nx, keys=(*group, "key"), check=check,
-                  element_type=element_type, extra={"time": F.min("time")})
+                  element_type=element_type, least=("time",))
     return packed.select(*group, "key", "time", "ny", "nx", "tensor")
 
 
 def samples_by_time(df: DataFrame, value: str, ny: int, nx: int,
                     group: Sequence[str] = (), check: bool = True,
-                    element_type: str = "float", unique_cells: bool = False) -> DataFrame:
+                    element_type: str = "float") -> DataFrame:
     """Like ``samples`` but packed by ``(group, time)``.
 
     A frame already clustered by time (the alignment plan's range
     partitioning, kept through its checkpoint) packs without any exchange.
     Hour keys are derived afterwards; ``assert_unique_keys`` checks them.
     """
-    packed = pack(df, value, ny, nx, keys=(*group, "time"), check=check, element_type=element_type,
-                  unique_cells=unique_cells)
+    packed = pack(df, value, ny, nx, keys=(*group, "time"), check=check, element_type=element_type)
     return packed.select(*group, sample_key("time").alias("key"), "time", "ny", "nx", "tensor")
 
 

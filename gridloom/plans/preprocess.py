@@ -6,9 +6,9 @@ For one variable the plan is
          → transform → year split → fit on train → scale → write
 
 ``prepare_variable`` builds it lazily.  ``run_variable`` executes it with two
-actions: the aligned field is first materialised as a reliable checkpoint
-(``spark.checkpoint.dir``), so fitting the statistics and writing the splits
-read it instead of recomputing the regrid; then the partitioned write.
+actions: the aligned and transformed field is first materialised as a reliable
+checkpoint (``spark.checkpoint.dir``), and the training statistics are observed
+on the rows that go by, so they cost no pass; then the partitioned write.
 Executors lost during either action are recovered from the checkpoint and
 the shuffle files, not from the driver.
 """
@@ -71,7 +71,8 @@ def prepare_variable(cells: DataFrame, var: Variable, model: str,
 
     Time-dependent variables get a ``split`` column and are scaled with train
     statistics; invariants get no time slice, no transform and no scaling.
-    ``stage`` (optional) materialises the aligned field before fitting.
+    ``stage`` (optional) materialises the aligned and transformed field; the
+    statistics are observed on the way.
     """
     if dims is not None and coords is not None:
         cells = names.configure_metadata(cells, var, dims, coords, frame_dims=frame_dims)
@@ -88,9 +89,14 @@ def prepare_variable(cells: DataFrame, var: Variable, model: str,
     # Stage only expensive alignments: an LR regrid is worth materialising once
     # for the statistics pass and the write; an HR crop is a filter that reaches
     # the scan, so re-reading the source is cheaper than writing a copy of it.
-    if stage is not None and model in LR_MODELS:
-        aligned = stage(aligned)
-    return scale.split_and_scale(aligned, var, test_years, validation_years, value=value)
+    if stage is None or model not in LR_MODELS:
+        return scale.split_and_scale(aligned, var, test_years, validation_years, value=value)
+    aligned, stats = scale.user_defined_transform(aligned, var, value), None
+    if var.apply_standardize or var.apply_normalize:
+        aligned, stats = scale.observe_train(aligned, value, test_years, validation_years)
+    staged = stage(aligned)  # the only job over the aligned field; the statistics come with it
+    return scale.split_and_scale(staged, var, test_years, validation_years, value=value,
+                                 train_stats=stats() if stats else None, transformed=True)
 
 
 def checkpoint_stage(df: DataFrame) -> DataFrame:
@@ -132,10 +138,8 @@ def run_variable(spark: SparkSession, model: Model, var: Variable, cfg: DataConf
         writers.write_splits(frame, split_root(cfg.output_path), var.name, model.name, attrs=attrs, tiles=tiles,
                              max_records_per_file=writers.records_per_file(chunks.get("time", "auto"), cells_per_step))
         if samples_root is not None:
-            # LR frames come out of groupBy(time, rlat, rlon): no copies possible
             samples.assert_unique_keys(frame, ("split",))
-            tens = samples.samples_by_time(frame, var.name, ny, nx, group=("split",),
-                                           unique_cells=model.name in LR_MODELS)
+            tens = samples.samples_by_time(frame, var.name, ny, nx, group=("split",))
             out = tens.withColumn("name", F.concat(F.lit(f"{var.name}_"), F.col("key")))
             writers.write_samples(out, samples_root, var.name, model.name)
             writers.write_train_stats(spark, samples_root, var.name, model.name, attrs)

@@ -183,6 +183,23 @@ def test_lr_run_writes_samples_without_second_shuffle(spark, tmp_path):
     assert plan.count("Exchange") == 1 and "rangepartitioning(time" in plan
 
 
+@pytest.mark.parametrize("normalize, transform", [(False, None), (True, ["x * 2", "x + 3"])])
+def test_statistics_come_with_the_staging_write(spark, monkeypatch, normalize, transform):
+    """No pass over the staged field to fit: the statistics are observed while it is written, and are those of a fit."""
+    from gridloom.operators import scale
+    g = fixtures.dense_field(spark, SF_SMALL).withColumn("v", F.when(F.col("v") < 2.2, F.col("v")))
+    var = Variable("v", transform=transform, apply_standardize=True, apply_normalize=normalize)
+    args = (g, var, "lr", None, None, "2000-02-01", "2001-12-01", [2001], [2001], 4, {"first_index": 2, "last_index": 10}, {"first_index": 2, "last_index": 10})
+    how = {"src_grid": fixtures.dense_grid(spark, SF_SMALL), "hr_ref": fixtures.curvilinear_target(spark)}
+    want, stats = preprocess.prepare_variable(*args, **how)
+    want = {tuple(r)[:-1]: r.v for r in want.select("split", "time", "rlat", "rlon", "v").collect()}
+    monkeypatch.setattr(scale, "fit_stats", lambda *a: pytest.fail("a pass of its own"))
+    got, observed = preprocess.prepare_variable(*args, **how, stage=preprocess.checkpoint_stage)
+    assert observed == pytest.approx(stats) and "FileScan" not in got._jdf.queryExecution().executedPlan().toString()
+    got = {tuple(r)[:-1]: r.v for r in got.select("split", "time", "rlat", "rlon", "v").collect()}
+    assert got.keys() == want.keys() and all((x is None) == (want[k] is None) and (x is None or x == pytest.approx(want[k])) for k, x in got.items())
+
+
 def test_preprocess_variables_in_parallel(spark, hr_input, tmp_path):
     a, b = str(tmp_path / "seq"), str(tmp_path / "par")
     vars_ = [Variable("tas", ["T2"], path=hr_input), Variable("uas", ["T2"], path=hr_input,

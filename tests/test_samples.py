@@ -3,6 +3,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from gridloom.functions import scalars
@@ -45,20 +46,43 @@ def test_incomplete_sample_raises(spark):
 def test_same_hour_steps_raise(spark):
     rows = [(T0 + dt.timedelta(minutes=m), 0, 0, 1.0) for m in (0, 30)]
     df = spark.createDataFrame(rows, "time timestamp_ntz, rlat int, rlon int, v double")
-    with pytest.raises(ValueError, match="holds 2 cells"):
+    with pytest.raises(PythonException, match="holds more than 1 cells"):
         samples.samples(df, "v", 1, 1).collect()
 
 
 def test_copies_and_off_grid_cells_raise_before_packing(spark):
     rows = [(T0, y, x, 1.0) for y in range(2) for x in range(2)]
     df = spark.createDataFrame(rows * 3, "time timestamp_ntz, rlat int, rlon int, v double")
-    with pytest.raises(ValueError, match="holds 12 cells"):
-        tensors.pack(df, "v", 2, 2)
+    with pytest.raises(PythonException, match="holds more than 4 cells"):
+        tensors.pack(df, "v", 2, 2).collect()
     off = spark.createDataFrame(rows[:3] + [(T0, 5, 0, 1.0)], df.schema)
-    with pytest.raises(ValueError, match="off the 2x2 grid"):
-        tensors.pack(off, "v", 2, 2)
+    with pytest.raises(PythonException, match="off the 2x2 grid"):
+        tensors.pack(off, "v", 2, 2).collect()
+    twice = spark.createDataFrame(rows[:3] + rows[:1], df.schema)
+    for check in (True, False):
+        with pytest.raises(PythonException, match="duplicate cells"):
+            tensors.pack(twice, "v", 2, 2, check=check).collect()
 
 
+def test_unchecked_packing_leaves_nulls_in_place(spark):
+    rows = [(T0, 1, 1, 4.0), (T0, 0, 0, 1.0), (T0, 1, 0, None), (T0 + dt.timedelta(hours=1), 0, 1, 2.0)]
+    df = spark.createDataFrame(rows, "time timestamp_ntz, rlat int, rlon int, v double")
+    got = {r.time: list(r.tensor) for r in tensors.pack(df, "v", 2, 2, check=False).collect()}
+    assert got == {T0: [1.0, None, None, 4.0], T0 + dt.timedelta(hours=1): [None, 2.0, None, None]}
+
+
+def test_packing_is_one_pass_without_collected_lists(spark):
+    """Steps of several batches stream into one tensor; the plan collects nothing, and the call runs no job."""
+    g = spark.range(0, 3 * 150 * 150).select((F.lit(T0) + F.expr("make_dt_interval(0, cast(id % 3 as int))")).alias("time"),
+                                             (F.col("id") / 3 % 150).cast("int").alias("rlat"), (F.col("id") / 450).cast("int").alias("rlon"), F.col("id").cast("double").alias("v"))
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    packed = tensors.pack(g, "v", 150, 150, element_type="double")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+    plan = packed._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
+    back = tensors.unpack(packed, "v")
+    assert back.exceptAll(g).count() == 0 and back.count() == g.count()
+
 def test_sample_keys(spark):
     df = spark.createDataFrame([(dt.datetime(2001, 2, 3, 4, 0), 0, 0, 1.0)],
                                "time timestamp_ntz, rlat int, rlon int, v double")
