@@ -1,14 +1,15 @@
 """Writers (K1–K8): partitioned Parquet plus small JSON sidecars.
 
 * Every (variable, model) has a path of its own below the root of its kind,
-  ``root/variable=…/model=…``, and is overwritten as a whole: a partition that a
-  new run does not produce is gone, and other variables are never touched.
+  ``root/variable=…/model=…``, and is replaced as a whole: a partition that a
+  new run does not produce is gone, other variables are never touched, and a run
+  that fails leaves the rows of the run before (``runs``).
   Splits, invariants, samples, batches and masks have separate roots, and the
   value column is called ``value`` everywhere, so a root has one schema and one
   partition depth.
-* Attributes (``history``, train statistics) go to a one-row JSON sidecar in
-  ``_attrs/`` next to the data; names starting with ``_`` are ignored by the
-  Parquet reader.
+* Attributes (``history``, train statistics) go into the run's manifest; what has
+  attributes but no rows gets a one-row JSON sidecar in ``_attrs/``.  Names
+  starting with ``_`` are ignored by the Parquet reader.
 * No writer adds a shuffle by default: rows are sorted within their task
   (partition columns, then time), so every file holds an ordered run and
   Parquet row-group statistics let time filters skip data.  Frames coming
@@ -25,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import runs
+
 ATTRS_DIR = "_attrs"
 VALUE = "value"
 
@@ -46,7 +49,7 @@ def read_pairs(spark: SparkSession, root: str, pairs: Sequence[tuple[str, str]])
     """The rows of some pairs with their partition columns; no pair → FileNotFoundError."""
     if not pairs:
         raise FileNotFoundError(f"nothing is written for the variables and models asked for below {root}")
-    return spark.read.option("basePath", root.rstrip("/")).parquet(*[pair_path(root, v, m) for v, m in pairs])
+    return runs.read_folders(spark, [pair_path(root, v, m) for v, m in pairs], base=root.rstrip("/"))
 
 
 def history_line(program: str = "gridloom") -> str:
@@ -61,6 +64,10 @@ def write_attrs(spark: SparkSession, path: str, attrs: dict) -> None:
 
 
 def read_attrs(spark: SparkSession, path: str) -> dict:
+    """The attributes of a written folder, or of a sidecar."""
+    found = runs.manifest(spark, path)
+    if found:
+        return found["attrs"]
     rows = spark.read.text(f"{path.rstrip('/')}/{ATTRS_DIR}").collect()
     return json.loads(rows[0][0]) if rows else {}
 
@@ -73,9 +80,10 @@ def tile_sides(chunks: dict) -> dict[str, int]:
 def write_dataset(df: DataFrame, path: str, attrs: dict | None = None,
                   partition_by: Sequence[str] = (), max_records_per_file: int | None = None,
                   tiles: dict[str, int] | None = None) -> None:
-    """Overwrite ``path`` with ``df`` and record ``history`` (K1, K4).
+    """Replace what ``path`` holds by ``df`` and record ``history`` (K1, K4).
 
-    An empty frame still writes its schema and the sidecar.  With ``tiles`` the
+    The old rows stay until the new ones are complete.  An empty frame still
+    writes its schema and its attributes.  With ``tiles`` the
     rows of a task are ordered tile by tile, each in time order, so that files cut
     at ``max_records_per_file`` hold chunks of one tile.
     """
@@ -84,15 +92,12 @@ def write_dataset(df: DataFrame, path: str, attrs: dict | None = None,
     order = [*(c for c in partition_by if c in df.columns), *(F.floor(F.col(d) / n) for d, n in tiles.items()),
              *(c for c in ("time",) if c in df.columns), *tiles]
     out = df.sortWithinPartitions(*order) if order else df
-    w = out.write.mode("overwrite")
+    w = out.write.mode("append")
     if partition_by:
-        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
+        w = w.partitionBy(*partition_by)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
-    w.parquet(path)
-    meta = {"history": history_line()}
-    meta.update(attrs or {})
-    write_attrs(spark, path, meta)
+    runs.replace(spark, path, lambda: w.parquet(path), {"history": history_line(), **(attrs or {})})
 
 
 def records_per_file(time_chunksize, cells_per_step: int) -> int | None:
@@ -126,8 +131,9 @@ def write_invariant(df: DataFrame, root: str, variable: str, model: str) -> None
 
 
 def _write_tensors(rows: DataFrame, root: str, variable: str, model: str) -> None:
-    (rows.drop("variable", "model").write.mode("overwrite").partitionBy("split")
-     .option("partitionOverwriteMode", "static").parquet(pair_path(root, variable, model)))
+    path = pair_path(root, variable, model)
+    w = rows.drop("variable", "model").write.mode("append").partitionBy("split")
+    runs.replace(rows.sparkSession, path, lambda: w.parquet(path))
 
 
 def write_samples(samples: DataFrame, root: str, variable: str, model: str) -> None:

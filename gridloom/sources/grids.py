@@ -52,8 +52,8 @@ def load_grid(spark: SparkSession, path: str | Sequence[str],
     """Open one path, a glob or a list of either.
 
     Paths holding the same columns are read as one scan (concatenation);
-    different variables are merged on the coordinate columns they share (see
-    ``combine_variables``).  With several paths, their schemas are read first,
+    different variables are merged on the coordinate columns they share, all in
+    one step (see ``combine_all``).  With several paths, their schemas are read first,
     some at a time.
     """
     paths = expand_paths(spark, _paths(path))
@@ -64,11 +64,7 @@ def load_grid(spark: SparkSession, path: str | Sequence[str],
     frames: dict[tuple, list[str]] = {}
     for cols, p in zip(columns, paths, strict=True):
         frames.setdefault(cols, []).append(p)
-    parts = [null_nans(spark.read.parquet(*ps), keys) for ps in frames.values()]
-    out = parts[0]
-    for other in parts[1:]:
-        out = combine_variables(out, other, keys)
-    return out
+    return combine_all([null_nans(spark.read.parquet(*ps), keys) for ps in frames.values()], keys)
 
 
 def _only_value(c: str):
@@ -86,30 +82,47 @@ def collapse_copies(df: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.groupBy(*on).agg(*[_only_value(c) for c in df.columns if c not in on])
 
 
+def combine_all(frames: Sequence[DataFrame], keys: Sequence[str] = COORD_COLUMNS) -> DataFrame:
+    """Merge of any number of variables on their shared coordinates.
+
+    Variables on equal coordinates meet in a full outer merge: one union of all of
+    them and one ``groupBy(keys)``, in which each key keeps the value of each
+    variable (missing where one lacks it), copies collapse map-side, and no key can
+    skew the one exchange, however many variables there are.  Variables with fewer
+    coordinates (static fields) are merged among themselves in the same way and
+    attached to every row that has their cell; Spark broadcasts them if their size
+    allows.  Coordinates that do not contain each other, a variable that two inputs
+    carry, and two different values of one cell are errors.
+    """
+    parts = [(f, [k for k in keys if k in f.columns]) for f in frames]
+    values = [c for f, on in parts for c in f.columns if c not in on]
+    twice = sorted({c for c in values if values.count(c) > 1})
+    if twice:
+        raise ValueError(f"several inputs carry {twice}; rename all but one first")
+    levels: dict[frozenset, list[tuple[DataFrame, list[str]]]] = {}
+    for f, on in parts:
+        levels.setdefault(frozenset(on), []).append((f, on))
+    order = sorted(levels, key=len, reverse=True)
+    for less in order[1:]:
+        if not less or not less < order[0]:
+            raise ValueError(f"coordinates {sorted(order[0])} and {sorted(less)} do not contain each other")
+    out = None
+    for level in order:
+        on = levels[level][0][1]
+        merged = levels[level][0][0]
+        if len(levels[level]) > 1:
+            for f, _ in levels[level][1:]:
+                merged = merged.unionByName(f, allowMissingColumns=True)
+        if len(levels[level]) > 1 or out is not None:
+            merged = collapse_copies(merged, on)
+        out = merged if out is None else out.join(merged, on, "left")
+    return out.select(*[k for k in keys if k in order[0]], *values)
+
+
 def combine_variables(a: DataFrame, b: DataFrame,
                       keys: Sequence[str] = COORD_COLUMNS) -> DataFrame:
-    """Merge of two variables on their shared coordinates.
-
-    On equal coordinates it is a full outer merge: a union followed by one
-    ``groupBy(keys)``, in which each key keeps the value of each variable
-    (missing where a side lacks it), copies collapse map-side, and no key can
-    skew the one exchange.  A variable with fewer coordinates (a static field)
-    is attached to every row of the other that has its cell; Spark broadcasts
-    it if its size allows.  Coordinates that neither side holds entirely, and
-    two different values of one cell, are errors.
-    """
-    on_a, on_b = ([k for k in keys if k in f.columns] for f in (a, b))
-    va, vb = ([c for c in f.columns if c not in on] for f, on in ((a, on_a), (b, on_b)))
-    if set(va) & set(vb):
-        raise ValueError(f"both inputs carry {sorted(set(va) & set(vb))}; rename one first")
-    if set(on_a) == set(on_b):
-        u = a.select(*on_a, *va).unionByName(b.select(*on_a, *vb), allowMissingColumns=True)
-        return u.groupBy(*on_a).agg(*[_only_value(c) for c in va + vb])
-    if set(on_a) > set(on_b) and on_b:
-        return a.join(collapse_copies(b.select(*on_b, *vb), on_b), on_b, "left").select(*on_a, *va, *vb)
-    if set(on_b) > set(on_a) and on_a:
-        return b.join(collapse_copies(a.select(*on_a, *va), on_a), on_a, "left").select(*on_b, *va, *vb)
-    raise ValueError(f"coordinates {on_a} and {on_b} do not contain each other")
+    """Merge of two variables on their shared coordinates (J2); see ``combine_all``."""
+    return combine_all([a, b], keys)
 
 
 def existing_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:

@@ -129,6 +129,42 @@ def test_conflicts_are_errors(spark):
         grids.combine_variables(spark.createDataFrame([(0, 1.0)], "time int, a double"), other)
 
 
+@pytest.mark.parametrize("n", [2, 4, 7])
+def test_any_number_of_variables_is_one_exchange(spark, tmp_path, n):
+    t0 = dt.datetime(2000, 1, 1)
+    paths = [_field(spark, str(tmp_path / f"v{k}"), f"time timestamp_ntz, rlat int, rlon int, v{k} double",
+                    [(t0 + dt.timedelta(hours=h), 0, x, float(10 * k + x)) for h in range(2) for x in range(3) if (x + h) % (k + 1) == 0 for _ in range(2)]) for k in range(n)]
+    still = _field(spark, str(tmp_path / "s"), "rlat int, rlon int, s double", [(0, x, -1.0 * x) for x in range(2)])
+    other = _field(spark, str(tmp_path / "o"), "rlat int, rlon int, o double", [(0, 2, 5.0)])
+    merged = grids.load_grid(spark, paths)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    want = {}
+    for k in range(n):
+        for h in range(2):
+            for x in range(3):
+                if (x + h) % (k + 1) == 0:
+                    want.setdefault((t0 + dt.timedelta(hours=h), x), {})[f"v{k}"] = float(10 * k + x)
+    full = grids.load_grid(spark, [still, *paths, other])
+    assert full.columns == ["time", "rlat", "rlon", "s", *[f"v{k}" for k in range(n)], "o"]
+    got = {(r.time, r.rlon): r for r in full.collect()}
+    assert got.keys() == want.keys() and full.count() == len(want)
+    for (t, x), r in got.items():
+        assert {f"v{k}": r[f"v{k}"] for k in range(n) if r[f"v{k}"] is not None} == want[t, x]
+        assert (r.s, r.o) == (-1.0 * x if x < 2 else None, 5.0 if x == 2 else None)
+
+
+def test_a_variable_given_twice_is_an_error(spark):
+    a = spark.createDataFrame([(0, 0, 1.0)], "rlat int, rlon int, a double")
+    b = spark.createDataFrame([(0, 0, 1.0, 2.0)], "rlat int, rlon int, a double, b double")
+    with pytest.raises(ValueError, match="carry"):
+        grids.combine_all([a, b])
+
+
 def test_bounds_counts_and_grid_coarsening(spark):
     from gridloom.operators import aggregate
     rows = [(dt.datetime(2000, 1, 1, h), y, x, 1.0) for h in range(3) for y in range(2) for x in range(2)]
