@@ -27,6 +27,7 @@ from ..operators.select import Shape
 from ..session import ensure_checkpoint_dir
 from ..sinks import writers
 from ..sources.grids import load_grid, load_reference_grid
+from ..sources.gridstore import stored_grid
 from . import align
 
 log = logging.getLogger(__name__)
@@ -165,12 +166,16 @@ def reference_grid(spark: SparkSession, model: Model, cfg: DataConfig) -> DataFr
     """The model's ``hr_ref`` grid with names and longitudes normalised."""
     if model.hr_ref is None:
         return None
-    raw = load_grid(spark, model.hr_ref.path)
-    raw = names.rename_all(names.rename_all(raw, cfg.coords), cfg.dims)
-    grid = load_reference_grid(spark, raw)
-    if model.hr_ref.is_west_negative:
-        grid = names.match_longitudes(grid)
-    return grid
+    grid = stored_points(spark, model.hr_ref.path, cfg)
+    return names.match_longitudes(grid) if model.hr_ref.is_west_negative else grid
+
+
+def stored_points(spark: SparkSession, path, cfg: DataConfig) -> DataFrame:
+    """The grid points of a field under their configured names, from the run's grid store."""
+    def make():
+        return load_reference_grid(spark, names.rename_all(names.rename_all(load_grid(spark, path), cfg.coords), cfg.dims))
+
+    return stored_grid(spark, path, repr((cfg.coords, cfg.dims)), make)
 
 
 def source_grid(cells: DataFrame) -> DataFrame:
@@ -201,7 +206,7 @@ def preprocess(spark: SparkSession, cfg: DataConfig, parallel: int = 1,
                 raw = names.rename_all(names.rename_all(load_grid(spark, var.path), cfg.coords),
                                        cfg.dims)
                 if {"lat", "lon"} <= set(raw.columns):
-                    src = shifted_grid(source_grid(raw), var)
+                    src = shifted_grid(stored_points(spark, var.path, cfg), var)
             tasks.append((model, var, src, hr_ref))
 
     def run(t):
