@@ -10,6 +10,7 @@ rounded to 6 places on both sides because parallel sums are not associative.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +23,9 @@ from .functions.expr import transform_column
 from .operators import aggregate, names, regrid, samples, scale, select, tensor_regrid, tensors
 from .operators.select import Shape
 from .plans import align, cuts
+from .session import ensure_checkpoint_dir
 from .sources import fixtures
+from .sources.grids import load_grid
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +87,11 @@ def _sql_round6(sql: str) -> str:
         i = k
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own in the shared checkpoint folder, for queries that write and read back."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def dense(spark: SparkSession, sf: str) -> DataFrame:
     return fixtures.dense_field(spark, sf)
 
@@ -677,15 +685,15 @@ from q full outer join d using (time, rlat, rlon)"""
 
 
 def q_concat_time(spark: SparkSession, sf: str) -> DataFrame:
-    """Two time ranges of one variable concatenated along time."""
-    g = dense(spark, sf)
-    early = g.where(F.year("time") <= 2002)
-    late = g.where(F.year("time") > 2002)
-    return rounded(early.unionByName(late))
+    """One variable kept in a file for even years and one for odd years, opened as one field."""
+    folder, g = work_folder(spark, "concat"), dense(spark, sf)
+    paths = [f"{folder}/{k}" for k in (0, 1)]
+    for k, path in enumerate(paths):
+        g.where(F.year("time") % 2 == k).write.parquet(path)
+    return rounded(load_grid(spark, paths))
 
 
-SQL_CONCAT_TIME = with_(G_SQL) + """select time, rlat, rlon, round(v, 6) as v from g where year(time) <= 2002
-union all select time, rlat, rlon, round(v, 6) as v from g where year(time) > 2002"""
+SQL_CONCAT_TIME = with_(G_SQL) + "select time, rlat, rlon, round(v, 6) as v from g"
 
 
 def q_merge_static(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,4 +1,6 @@
-"""Command line: ``python -m gridloom.cli {preprocess,samples,batches,masks} config.yaml``.
+"""Command line: ``python -m gridloom.cli {cut,unfold,preprocess,samples,batches,masks} config.yaml``.
+
+``cut`` and ``unfold`` prepare sources and take a file of their own (box, dates, source names).
 
 Each step is one or a few Spark jobs on the session the command creates (or
 the one ``spark-submit`` provides); nothing is collected beyond scalars.
@@ -11,8 +13,8 @@ import logging
 
 from pyspark.sql import SparkSession
 
-from .config import LR_MODELS_HINT, load_config
-from .plans import preprocess, samples
+from .config import LR_MODELS_HINT, load_config, load_settings
+from .plans import cuts, preprocess, samples
 
 
 def _session() -> SparkSession:
@@ -25,12 +27,16 @@ def _session() -> SparkSession:
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="gridloom")
-    p.add_argument("step", choices=["preprocess", "samples", "batches", "masks"])
+    p.add_argument("step", choices=["cut", "unfold", "preprocess", "samples", "batches", "masks"])
     p.add_argument("config")
     args = p.parse_args(argv)
     logging.basicConfig(level=logging.INFO)
-    cfg = load_config(args.config)
     spark = _session()
+    if args.step in ("cut", "unfold"):
+        settings = load_settings(args.config)
+        (cuts.cut_all if args.step == "cut" else cuts.unfold_all)(spark, settings)
+        return
+    cfg = load_config(args.config)
     root = cfg.output_path.rstrip("/")
     if args.step == "preprocess":
         preprocess.preprocess(spark, cfg)

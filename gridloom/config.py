@@ -153,3 +153,10 @@ def load_config(path: str) -> DataConfig:
     import yaml
     with open(path) as fh:
         return config_from_dict(yaml.safe_load(fh))
+
+
+def load_settings(path: str) -> dict:
+    """Read a YAML file of plain settings (source cuts and lead unfolding)."""
+    import yaml
+    with open(path) as fh:
+        return yaml.safe_load(fh)

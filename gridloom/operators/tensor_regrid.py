@@ -50,43 +50,52 @@ def sparse_weights(weights: DataFrame, nx_in: int, nx_out: int, band: tuple[int,
     return SparseWeights(uniq, starts, pdf["i"].to_numpy(np.int64), pdf["w"].to_numpy(np.float64), band[1] - band[0])
 
 
-def _runner(bc, names: list[str], tensor: str, n_in: int, n_out: int, band: str):
+def _runner(bcs: list, bands: list[tuple[int, int]], names: list[str], tensor: str, n_in: int, n_out: int):
     """The per-partition function shipped to Python workers.
 
     Self-contained: it uses only numpy, pyarrow and the broadcast arrays, so
     workers do not need this package on their path.  It emits a batch for every
     few rows, so that neither the gathered products nor the output of a batch
-    pass ``CHUNK_BYTES`` by more than one row.
+    pass ``CHUNK_BYTES`` by more than one row, and it holds the weights of one
+    band at a time.
     """
     limit = CHUNK_BYTES
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        out_idx, starts, in_idx, w = bc.value
-        step = max(1, limit // max(1, 8 * max(in_idx.size, n_out, n_in)))
 
-        def kernel(x):
-            y = np.full((x.shape[0], n_out), np.nan)
-            if in_idx.size == 0:
-                return y
-            gathered = x[:, in_idx]
-            sums = np.add.reduceat(gathered * w, starts, axis=1)
-            missing = np.add.reduceat(np.isnan(gathered).astype(np.int32), starts, axis=1) > 0
-            sums[missing] = np.nan
-            y[:, out_idx] = sums
-            return y
+        def weights(bc):
+            arrays = bc.value
+            if len(bcs) > 1:
+                bc.__dict__.pop("_value", None)  # read again from the worker's disk when its turn comes
+            return arrays
 
+        def fill(y, x, bc, start):
+            out_idx, starts, in_idx, w = weights(bc)
+            if in_idx.size == 0:
+                return
+            rows = max(1, limit // (8 * in_idx.size))
+            for lo in range(0, len(x), rows):
+                gathered = x[lo:lo + rows, in_idx]
+                sums = np.add.reduceat(gathered * w, starts, axis=1)
+                missing = np.add.reduceat(np.isnan(gathered).astype(np.int32), starts, axis=1) > 0
+                sums[missing] = np.nan
+                y[lo:lo + rows, start + out_idx] = sums
+
+        step = max(1, limit // max(1, 8 * max(n_out, n_in)))
         for whole in batches:
             for lo in range(0, len(whole), step):
                 batch = whole.slice(lo, step)
                 flat = batch.column(tensor).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
                 if flat.size != len(batch) * n_in:
                     raise ValueError(f"tensors must hold {n_in} values each")
-                y = kernel(flat.reshape(len(batch), n_in))
+                x, y = flat.reshape(len(batch), n_in), np.full((len(batch), n_out), np.nan)
+                for bc, (start, _) in zip(bcs, bands):
+                    fill(y, x, bc, start)
                 offsets = pa.array(np.arange(len(batch) + 1) * n_out, pa.int32())
                 values = pa.array(y.ravel(), type=pa.float64(), from_pandas=True)
-                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.ListArray.from_arrays(offsets, values)], names=[*names, band])
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.ListArray.from_arrays(offsets, values)], names=[*names, "_out"])
 
     return run
 
@@ -97,21 +106,21 @@ def regrid_tensors(df: DataFrame, weights: DataFrame, in_shape: tuple[int, int],
     """Map-only regrid of tensor rows ``(*keys, tensor)``; output tensors are doubles.
 
     Targets whose weights pass ``max_rows`` are cut into bands of output
-    positions, one broadcast and one pass over the same rows each; the bands'
-    arrays are put together at the end.  Nothing is shuffled either way.
+    positions, one broadcast each; a task fills the bands of a few rows one after
+    the other, so there is one pass over the rows whatever the number of bands.
+    Nothing is shuffled.
     """
     ny_in, nx_in = in_shape
     ny_out, nx_out = out_shape
     n_in, n_out = ny_in * nx_in, ny_out * nx_out
     per_band = max(1, max_rows // 4)
     keys = [k for k in keys if k in df.columns]
-    out = df.select(*keys, tensor)
-    bands = []
-    for k, lo in enumerate(range(0, n_out, per_band)):
-        band = (lo, min(n_out, lo + per_band))
+    bands = [(lo, min(n_out, lo + per_band)) for lo in range(0, n_out, per_band)]
+    sent = []
+    for band in bands:
         sw = sparse_weights(weights, nx_in, nx_out, band)
-        bc = df.sparkSession.sparkContext.broadcast((sw.out_idx, sw.starts, sw.in_idx, sw.w))
-        names, bands = out.columns, [*bands, f"_band{k}"]
-        schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields), f"_band{k} array<double>"])
-        out = out.mapInArrow(_runner(bc, names, tensor, n_in, band[1] - band[0], bands[-1]), schema)
-    return out.select(*keys, F.lit(ny_out).alias("ny"), F.lit(nx_out).alias("nx"), (F.concat(*bands) if len(bands) > 1 else F.col(bands[0])).alias(tensor))
+        sent.append(df.sparkSession.sparkContext.broadcast((sw.out_idx, sw.starts, sw.in_idx, sw.w)))
+    rows = df.select(*keys, tensor)
+    schema = ", ".join([*(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys), "_out array<double>"])
+    out = rows.mapInArrow(_runner(sent, bands, keys, tensor, n_in, n_out), schema)
+    return out.select(*keys, F.lit(ny_out).alias("ny"), F.lit(nx_out).alias("nx"), F.col("_out").alias(tensor))

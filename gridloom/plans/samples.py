@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import samples as S
-from ..sinks import writers
+from ..sinks import bucketed, writers
 
 SPLITS = ("train", "test", "validation")
 GROUP = ("variable", "model", "split")
@@ -59,14 +59,23 @@ def sample_frame(cells: DataFrame, value: str, ny: int, nx: int,
 
 
 def make_samples(spark: SparkSession, split_root: str, sample_root: str, ny: int, nx: int,
-                 variables: Sequence[str] | None = None, models: Sequence[str] | None = None) -> None:
-    """Splits → tensors, each (variable, model) written to its own path."""
+                 variables: Sequence[str] | None = None, models: Sequence[str] | None = None,
+                 buckets: int | None = None) -> None:
+    """Splits → tensors, each (variable, model) written to its own path.
+
+    With ``buckets`` the samples are bucketed by (split, key), so that tables of
+    the same number of buckets pair without a shuffle (``bucketed.pair_bucketed``).
+    """
     pairs = wanted(spark, split_root, variables, models)
     if not pairs:
         raise FileNotFoundError(f"no splits of {variables} and {models} below {split_root}")
     for var, model in pairs:
         cells = read_splits(spark, split_root, [var], [model])
-        writers.write_samples(sample_frame(cells, writers.VALUE, ny, nx), sample_root, var, model)
+        rows = sample_frame(cells, writers.VALUE, ny, nx)
+        if buckets:
+            bucketed.write_bucketed(rows, sample_root, var, model, buckets)
+        else:
+            writers.write_samples(rows, sample_root, var, model)
         attrs = writers.read_attrs(spark, writers.pair_path(split_root, var, model))
         writers.write_train_stats(spark, sample_root, var, model, {k: v for k, v in attrs.items() if k != "history"})
 
@@ -82,7 +91,7 @@ def batch_frame(sample_rows: DataFrame, batch_size: int, seed: int = 0,
                 group: Sequence[str] = GROUP, randomize: bool = True) -> DataFrame:
     keys = sample_rows.select(*group, "key")
     assignment = S.assign_batches(keys, batch_size, seed, group=group, randomize=randomize)
-    small = S.assignment_fits_broadcast(assignment)
+    small = S.assignment_fits_broadcast(keys)  # a row per key
     name_col = "name" if "name" in sample_rows.columns else "key"
     return S.batches(sample_rows, assignment, group=group, broadcast_assignment=small,
                      name_col=name_col)

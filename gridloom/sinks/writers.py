@@ -26,6 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.timeaxis import SLOT, by_slot, time_axis
 from . import runs
 
 ATTRS_DIR = "_attrs"
@@ -100,6 +101,17 @@ def write_dataset(df: DataFrame, path: str, attrs: dict | None = None,
     runs.replace(spark, path, lambda: w.parquet(path), {"history": history_line(), **(attrs or {})})
 
 
+def write_by_time(df: DataFrame, path: str, files: int, attrs: dict | None = None) -> None:
+    """``df`` in time order over about ``files`` files of consecutive steps.
+
+    Rows are dealt by a slot computed from the time axis, so nothing is sampled; on
+    an uneven axis, whose slots are no ranges, Spark's range partitioning deals them.
+    """
+    axis = time_axis(df)
+    dealt = by_slot(df, axis, files).drop(SLOT) if axis.even else df.repartitionByRange(files, "time")
+    write_dataset(dealt, path, attrs=attrs)
+
+
 def records_per_file(time_chunksize, cells_per_step: int) -> int | None:
     """A time chunk of ``n`` steps → files of at most ``n`` steps (K4); -1/"auto" → no cap."""
     if isinstance(time_chunksize, int) and time_chunksize > 0:
