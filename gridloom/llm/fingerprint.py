@@ -3,10 +3,12 @@
 A text is a multiset of paragraphs: its lines, long ones cut after every word
 whose hash is 0 modulo ``CUT``, so that an edit leaves the pieces around it as
 they are.  Every piece is hashed to a wide vector; the fingerprint is the sum of
-the vectors: the number of pieces modulo 2**32, ``UNIFORM`` random lanes and
-``SIGNS`` lanes of +1 or -1, all modulo 2**16.  It does not depend on the order,
-equal multisets have equal fingerprints, different ones differ but for a chance
-of about 2**-128, and ``insert`` and ``delete`` update it without the text.
+the vectors: the number of pieces, ``UNIFORM`` random lanes and ``SIGNS`` lanes of
++1 or -1, all modulo 2**32.  The random lanes have 128 bits, from the 122 bits of
+two polynomials over cryptographic word digests.  The fingerprint does not depend
+on the order, equal multisets have equal fingerprints, different ones differ but
+for a chance of about 2**-122, and ``insert`` and ``delete`` update it without the
+text.
 
 The mean square of the sign lanes estimates the sum of the squared multiplicities
 of a multiset, and that of a difference by how much two multisets differ; the
@@ -29,47 +31,45 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .hash_blocks import plan
-from .text import WORD_BASE, _powers, _prefix, buffers, mix, slices, split_words, text_bytes, word_hashes
+from .text import buffers, mix, run_values, slices, split_words, text_bytes, word_values
 
 CUT = 8
-UNIFORM, SIGNS = 8, 128
+UNIFORM, SIGNS = 4, 128
 #: Text of a range of ids: it grows with the root of the corpus between these bounds.
 PART_BYTES = (2 << 20, 64 << 20)
-WIDTH = 2 + UNIFORM + SIGNS  # 16-bit lanes; the first two hold the count
+WIDTH = 1 + UNIFORM + SIGNS  # 32-bit lanes; the first one holds the count
 
 
 def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each piece of a slice of texts, and the first piece of each row (one more entry than rows)."""
+    """The two values of each piece of a slice of texts, and the first piece of each row (one more entry than rows)."""
     starts, ends, first = split_words(data, offsets)
     n = len(starts)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    words = word_hashes(data, starts, ends)
+        return np.zeros((2, 0), np.uint64), np.zeros(len(offsets), np.int64)
+    words = word_values(data, starts, ends)
     lines = np.concatenate([[0], np.cumsum((data == 10) | (data == 13))])
     opens = np.zeros(n, bool)
     opens[first[:-1][np.diff(first) > 0]] = True
-    opens[1:] |= (lines[starts[1:]] > lines[ends[:-1]]) | (words[:-1] % np.uint64(CUT) == 0)
+    opens[1:] |= (lines[starts[1:]] > lines[ends[:-1]]) | (words[0, :-1] % np.uint64(CUT) == 0)
     at = np.flatnonzero(opens)
-    to = np.append(at[1:], n)
-    sums, back = _prefix(words * _powers(WORD_BASE, n)), _powers(pow(WORD_BASE, -1, 1 << 64), n)
-    return mix((sums[to] - sums[at]) * back[at] + (to - at).astype(np.uint64)), np.searchsorted(at, first)
+    return run_values(words, at, np.append(at[1:], n)), np.searchsorted(at, first)
 
 
-def vectors(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Sum of the pieces' vectors of each row, as ``WIDTH`` lanes modulo 2**16."""
+def vectors(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sum of the pieces' vectors of each row, as ``WIDTH`` lanes modulo 2**32."""
     n = len(first) - 1
-    out = np.zeros((n, WIDTH), np.uint16)
+    out = np.zeros((n, WIDTH), np.uint32)
     filled = np.flatnonzero(np.diff(first))
     if not len(filled):
         return out
-    seeds = np.arange(1, UNIFORM // 4 + SIGNS // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    wide = mix(hashes[:, None] ^ seeds)
-    lanes = np.ascontiguousarray(wide[:, :UNIFORM // 4]).view(np.uint16)
-    bits = np.unpackbits(np.ascontiguousarray(wide[:, UNIFORM // 4:]).view(np.uint8), axis=1)
+    own = [mix(v) for v in values]  # half of the random lanes comes from each value
+    lanes = np.stack(own, 1).view(np.uint32)
+    seeds = np.arange(1, SIGNS // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    bits = np.unpackbits(mix((own[0] ^ mix(own[1]))[:, None] ^ seeds).view(np.uint8), axis=1)
     at, count = first[filled], np.diff(first)[filled]
-    out[filled, 0], out[filled, 1] = count & 0xFFFF, (count >> 16) & 0xFFFF
-    out[filled, 2:2 + UNIFORM] = np.add.reduceat(lanes, at, axis=0, dtype=np.uint32) & 0xFFFF
-    out[filled, 2 + UNIFORM:] = (2 * np.add.reduceat(bits, at, axis=0, dtype=np.int32) - count[:, None]) & 0xFFFF
+    out[filled, 0] = count.astype(np.uint32)
+    out[filled, 1:1 + UNIFORM] = np.add.reduceat(lanes, at, axis=0, dtype=np.uint64).astype(np.uint32)
+    out[filled, 1 + UNIFORM:] = (2 * np.add.reduceat(bits, at, axis=0, dtype=np.int64) - count[:, None]).astype(np.uint32)
     return out
 
 
@@ -77,37 +77,32 @@ def of_texts(texts: pa.Array) -> np.ndarray:
     """Fingerprint vectors of a string column."""
     data, offsets = buffers(texts)
     parts = [vectors(*pieces(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])) for lo, hi in slices(offsets)]
-    return np.concatenate([np.zeros((0, WIDTH), np.uint16), *parts])
+    return np.concatenate([np.zeros((0, WIDTH), np.uint32), *parts])
 
 
 def counts(v: np.ndarray) -> np.ndarray:
-    return v[:, 0].astype(np.int64) | (v[:, 1].astype(np.int64) << 16)
-
-
-def _with_counts(lanes: np.ndarray, total: np.ndarray) -> np.ndarray:
-    lanes[:, 0], lanes[:, 1] = total & 0xFFFF, (total >> 16) & 0xFFFF
-    return lanes
+    return v[:, 0].astype(np.int64)
 
 
 def insert(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Fingerprints of the multisets with those of ``b`` added."""
-    return _with_counts(a + b, counts(a) + counts(b))
+    return a + b
 
 
 def delete(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Fingerprints of the multisets with those of ``b`` taken out."""
-    return _with_counts(a - b, counts(a) - counts(b))
+    return a - b
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    x, y = (np.ascontiguousarray(v[:, 2 + UNIFORM:]).view(np.int16).astype(np.float64) for v in (a, b))
+    x, y = (np.ascontiguousarray(v[:, 1 + UNIFORM:]).view(np.int32).astype(np.float64) for v in (a, b))
     apart = ((x - y) ** 2).sum(1) / np.maximum((x * x).sum(1) + (y * y).sum(1), 1)
     return np.where((a == b).all(1), 1.0, np.clip(1 - apart, 0, 1))
 
 
 def spelled(v: np.ndarray) -> pa.Array:
     """Fingerprints as lowercase hex."""
-    return pa.array([row.tobytes().hex() for row in v.astype("<u2")], pa.string())
+    return pa.array([row.tobytes().hex() for row in v.astype("<u4")], pa.string())
 
 
 def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

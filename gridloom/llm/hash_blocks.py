@@ -40,3 +40,30 @@ def range_edges(hashes: np.ndarray, bits: int) -> np.ndarray:
     """Where each range of the hash space begins in ascending ``hashes``; one more entry than ranges."""
     marks = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(0, np.uint64)
     return np.concatenate([[0], np.searchsorted(hashes, marks), [len(hashes)]])
+
+
+def pack_wide(high: np.ndarray, low: np.ndarray) -> bytes:
+    """Hashes of 64 and 32 bits, ascending by both."""
+    return pack(high) + np.ascontiguousarray(low, np.uint32).tobytes()
+
+
+def unpack_wide(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(packed) // 12
+    return unpack(packed[:8 * n]), np.frombuffer(packed, np.uint32, n, 8 * n)
+
+
+def ascending(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of wide hashes by both parts, and where it comes to a new one.
+
+    Equal high parts with different low ones are rare, so the low parts are sorted
+    only where there are any.
+    """
+    order = np.argsort(high)
+    h, lo = high[order], low[order]
+    same = h[1:] == h[:-1]
+    if (same & (lo[1:] != lo[:-1])).any():
+        order = np.lexsort((low, high))
+        lo = low[order]
+    new = np.ones(len(high), bool)
+    new[1:] = ~same | (lo[1:] != lo[:-1])
+    return order, new

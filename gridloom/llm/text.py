@@ -2,12 +2,19 @@
 
 All of them work on the UTF-8 bytes of a slice of documents at once.  A word is
 ``[^\\x20\\x09-\\x0D]+``; the separators are single bytes, so byte positions
-never split a code point.  Hashes are polynomials modulo 2**64 over randomised
-byte and word values, finished with a 64-bit mixer.
+never split a code point.
+
+Two kinds of hashes.  ``word_hashes`` deals words into features and buckets: a
+polynomial modulo 2**64, cheap, with collisions that can be constructed.  Where
+equality of hashes stands for equality of text, ``word_values`` gives every word
+two values from a cryptographic digest, and sequences of words are Rabin-Karp
+polynomials over the two modulo the prime 2**61 - 1, which has none of the
+structure that lets polynomials modulo a power of two collide.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +29,12 @@ SEPARATORS = np.zeros(256, bool)
 SEPARATORS[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+BYTE_BASE = 0x9E3779B97F4A7C15
+#: The field of the word polynomials, and a base for each of the two values of a word.
+PRIME = (1 << 61) - 1
+BASES = (0x0F1BBCDCBFA53E0B, 0x05851F42D4C957F3)
+#: Words whose windows are hashed at a time; the tables of powers are as long.
+CHUNK = 1 << 18
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -99,21 +111,90 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
 
 
-def window_hashes(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rabin-Karp hash of every window of ``size`` words within one row.
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME, for x < 2**64."""
+    x = (x & np.uint64(PRIME)) + (x >> np.uint64(61))
+    return np.where(x >= PRIME, x - np.uint64(PRIME), x)
 
-    Returns the hashes, the first word of each window, and the first window of
-    each row (one more entry than rows).
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo PRIME, for factors below 2**61: 32-bit halves, with 2**61 = 1."""
+    half, low = np.uint64(32), np.uint64(0xFFFFFFFF)
+    a1, a0, b1, b0 = a >> half, a & low, b >> half, b & low
+    middle, last = a1 * b0 + a0 * b1, a0 * b0
+    return _reduced(((a1 * b1) << np.uint64(3)) + (middle >> np.uint64(29)) + ((middle & np.uint64((1 << 29) - 1)) << half)
+                    + (last & np.uint64(PRIME)) + (last >> np.uint64(61)))
+
+
+def _field_sums(x: np.ndarray) -> np.ndarray:
+    """Prefix sums modulo PRIME, one more than values: the halves are summed apart, so nothing overflows."""
+    out = np.zeros(len(x) + 1, np.uint64)
+    low, high = np.cumsum(x & np.uint64(0xFFFFFFFF), dtype=np.uint64), _reduced(np.cumsum(x >> np.uint64(32), dtype=np.uint64))
+    out[1:] = _reduced((high >> np.uint64(29)) + ((high & np.uint64((1 << 29) - 1)) << np.uint64(32)) + _reduced(low))
+    return out
+
+
+def _field_powers(base: int, n: int, known: dict = {}) -> np.ndarray:  # noqa: B006 - a cache of the worker
+    have = known.get(base, np.ones(1, np.uint64))
+    while len(have) < n:
+        have = np.concatenate([have, _times(have, np.uint64(pow(base, len(have), PRIME)))])
+    known[base] = have
+    return have[:n]
+
+
+def word_values(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Two values below 2**61 for each word, from the BLAKE2b digest of its bytes; ``data`` holds these words and separators only."""
+    if not len(starts):
+        return np.zeros((2, 0), np.uint64)
+    at = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=at[1:])
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(data[~SEPARATORS[data]])]).dictionary_encode()
+    digests = b"".join(hashlib.blake2b(w, digest_size=16).digest() for w in words.dictionary.to_pylist())
+    values = np.frombuffer(digests, "<u8").astype(np.uint64).reshape(-1, 2).T & np.uint64(PRIME)
+    return values[:, words.indices.to_numpy()]
+
+
+def window_values(values: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rabin-Karp values of every window of ``size`` words within one row.
+
+    Returns the two values of each, the first word of each window, and the first
+    window of each row (one more entry than rows).
     """
     per_row = np.maximum(np.diff(first) - size + 1, 0)
     row_first = np.concatenate([[0], np.cumsum(per_row)])
-    total = int(row_first[-1])
-    at = np.arange(total) + np.repeat(first[:-1] - row_first[:-1], per_row)
-    if not total:
-        return np.zeros(0, np.uint64), at, row_first
-    sums = _prefix(words * _powers(WORD_BASE, len(words)))
-    back = _powers(pow(WORD_BASE, -1, 1 << 64), len(words))
-    return mix((sums[at + size] - sums[at]) * back[at]), at, row_first
+    at = np.arange(int(row_first[-1])) + np.repeat(first[:-1] - row_first[:-1], per_row)
+    out = np.zeros((2, len(at)), np.uint64)
+    for lo in range(0, values.shape[1] if len(at) else 0, CHUNK):
+        a, b = np.searchsorted(at, [lo, lo + CHUNK])
+        if a == b:
+            continue
+        own, here = values[:, lo:lo + CHUNK + size - 1], at[a:b] - lo
+        for k, base in enumerate(BASES):
+            sums = _field_sums(_times(own[k], _field_powers(base, own.shape[1])))
+            back = _field_powers(pow(base, -1, PRIME), own.shape[1])
+            out[k, a:b] = _times(_reduced(sums[here + size] + np.uint64(PRIME) - sums[here]), back[here])
+    return out, at, row_first
+
+
+def run_values(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The two Rabin-Karp values of runs of words, which follow each other without a gap; the length counts as well."""
+    length = ends - starts
+    place = np.arange(values.shape[1]) - np.repeat(starts, length)
+    out = np.zeros((2, len(starts)), np.uint64)
+    for k, base in enumerate(BASES):
+        sums = _field_sums(_times(values[k], _field_powers(base, int(length.max(initial=0)) + 1)[place]))
+        out[k] = _reduced(sums[ends] + np.uint64(PRIME) - sums[starts] + length.astype(np.uint64))
+    return out
+
+
+def folded(values: np.ndarray) -> np.ndarray:
+    """64-bit hashes of pairs of values."""
+    return mix(values[0] ^ mix(values[1]))
+
+
+def wide(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """96 of the 122 bits of pairs of values: 64 well-mixed ones and 32 more."""
+    return mix(values[0] | (values[1] << np.uint64(61))), ((values[1] >> np.uint64(3)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -123,15 +204,16 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarr
     without words has none.
     """
     starts, ends, first = split_words(data, offsets)
-    words = word_hashes(data, starts, ends)
-    hashes, _, row_first = window_hashes(words, first, size)
+    words = word_values(data, starts, ends)
+    found, _, row_first = window_values(words, first, size)
+    hashes = folded(found)
     counts, n_words = np.diff(row_first), np.diff(first)
     rows = np.repeat(np.arange(len(counts)), counts)
     short = np.flatnonzero((n_words > 0) & (n_words < size))
     if len(short):
-        extra = [window_hashes(words[first[r]:first[r + 1]], np.array([0, n_words[r]]), int(n_words[r]))[0] for r in short]
+        whole = [run_values(words[:, first[r]:first[r + 1]], np.array([0]), n_words[r:r + 1]) for r in short]
         at = np.searchsorted(rows, short)
-        hashes, rows = np.insert(hashes, at, np.concatenate(extra)), np.insert(rows, at, short)
+        hashes, rows = np.insert(hashes, at, folded(np.concatenate(whole, 1))), np.insert(rows, at, short)
     return hashes, rows
 
 

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from gridloom.llm import fingerprint as op
-from gridloom.llm.text import buffers, split_words, word_hashes
+from gridloom.llm.text import buffers, split_words, word_values
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +25,7 @@ def brute_pieces(text):
         for w in WORD.findall(line):
             piece.append(w)
             data, at = buffers(pa.array([w]))
-            if int(word_hashes(data, *split_words(data, at)[:2])[0]) % op.CUT == 0:
+            if int(word_values(data, *split_words(data, at)[:2])[0, 0]) % op.CUT == 0:
                 out.append(tuple(piece))
                 piece = []
         if piece:
