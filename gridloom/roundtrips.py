@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from . import catalog as C
 from .config import DataConfig, IndexRange, Model, Spatial, TimeSelect, Variable, default_coords, default_dims
+from .functions.scalars import RAIN_MEAN, RAIN_STD
 from .operators import aggregate, samples, select
 from .plans import preprocess
 from .plans import samples as sample_plans
@@ -34,21 +35,19 @@ def _inputs(spark: SparkSession, sf: str, folder: str) -> dict[str, str]:
     return where
 
 
-def _run(spark: SparkSession, sf: str, kinds: tuple[str, ...]) -> str:
-    """``preprocess`` (P7) of models of the given kinds; returns the output folder."""
+def _run(spark: SparkSession, sf: str, kinds: tuple[str, ...], name: str = "tas") -> str:
+    """``preprocess`` (P7) of models of the given kinds, their variable called ``name``; returns the output folder."""
     folder = C.work_folder(spark, "run")
     path = _inputs(spark, sf, folder)
     (start, end), _ = C.inner_window(fixtures.dense_field(spark, sf))
     ref = Variable("hr_ref", path=path["ref"])
 
-    def tas(name):
-        return Variable("tas", ["T2"], path=path[name], transform=["x * 100"], apply_standardize=True)
+    def field(source):
+        return Variable(name, ["T2"], path=path[source], transform=["x * 100"], apply_standardize=True)
 
-    def height(invariant="H"):
-        return Variable("orog", [invariant], path=path["still"], invariant=True)
-
-    models = {"hr": Model("hr", "high", [tas("hr")]), "lr": Model("lr", "low", [tas("lr")], ref),
-              "hr_invariant": Model("hr_invariant", "high", [height()]), "lr_invariant": Model("lr_invariant", "low", [height()], ref)}
+    height = Variable("orog", ["H"], path=path["still"], invariant=True)
+    models = {"hr": Model("hr", "high", [field("hr")]), "lr": Model("lr", "low", [field("lr")], ref),
+              "hr_invariant": Model("hr_invariant", "high", [height]), "lr_invariant": Model("lr_invariant", "low", [height], ref)}
     crop = IndexRange(*CROP)
     cfg = DataConfig(output_path=f"{folder}/out", climate_models=[models[k] for k in kinds], dims=default_dims(), coords=default_coords(),
                      time=TimeSelect(start, end, C.TEST_YEARS, C.VALIDATION_YEARS), spatial=Spatial(FACTOR, crop, crop))
@@ -101,9 +100,9 @@ union all select 'orog', 'lr_invariant', cast((rlat - 2) // 2 as int), cast((rlo
 from r where rlat >= 2 and rlat < 6 and rlon >= 2 and rlon < 6 group by all"""
 
 
-def _sampled(spark: SparkSession, sf: str) -> str:
+def _sampled(spark: SparkSession, sf: str, name: str = "tas") -> str:
     """Samples (P8) of the splits of a run, with their statistics (K6); returns their root."""
-    out = _run(spark, sf, ("hr",))
+    out = _run(spark, sf, ("hr",), name)
     side = CROP[1] - CROP[0]
     sample_plans.make_samples(spark, preprocess.split_root(out), f"{out}/samples", side, side)
     return f"{out}/samples"
@@ -144,6 +143,35 @@ SQL_WRITTEN_STATS = C.with_(C.G_SQL, _HR_SQL) + """select 'mean' as attribute, r
 union all select 'std', round(stddev_pop(v), 6) from hr where year(time) not in (2001, 2004)"""
 
 
+def q_written_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches made from written samples (P9, W3, W4, K7): members in permuted order, and their cells."""
+    root = _sampled(spark, sf)
+    sample_plans.make_batches(spark, root, f"{root}_batched", C.BATCH_SIZE, C.SEED)
+    rows = writers.read_pairs(spark, f"{root}_batched", [("tas", "hr")])
+    above = F.aggregate("tensors", F.lit(0), lambda n, t: n + F.size(F.filter(t, lambda e: e > 0)))
+    return rows.select("split", "batch_id", "name", F.size("tensors").alias("n"), above.alias("n_above"))
+
+
+SQL_WRITTEN_BATCHES = C.with_(C.G_SQL, _HR_SQL, f"""s as ({_model_sql("hr")})""", """k as (
+  select split, strftime(time, '%Y-%m-%d-%H') as key, count(*) filter (value > 0) as above from s group by all)""", """o as (
+  select *, row_number() over (partition by split order by md5('0|' || key), key) - 1 as pos from k)""") + """
+select split, cast(pos // 4 as bigint) as batch_id, string_agg('tas_' || key, '__' order by pos) as name,
+cast(count(*) as int) as n, cast(sum(above) as int) as n_above from o group by all"""
+
+
+def q_written_masks(spark: SparkSession, sf: str) -> DataFrame:
+    """Masks made from written precipitation samples (P10, K8), as strings of 0 and 1."""
+    root = _sampled(spark, sf, "pr")
+    sample_plans.make_masks(spark, root, f"{root}_masks")
+    rows = writers.read_pairs(spark, f"{root}_masks", [("pr_mask", "hr")])
+    return rows.select("variable", "split", "key", F.array_join(F.transform("tensor", lambda e: e.cast("string")), "").alias("bits"))
+
+
+SQL_WRITTEN_MASKS = C.with_(C.G_SQL, _HR_SQL) + f"""select 'pr_mask' as variable, split, 'mask_' || strftime(time, '%Y-%m-%d-%H') as key,
+string_agg(case when value > {-RAIN_MEAN!r} / {RAIN_STD!r} then '1' else '0' end, '' order by rlat, rlon) as bits
+from ({_model_sql("hr")}) group by all"""
+
+
 def q_sorted_files(spark: SparkSession, sf: str) -> DataFrame:
     """G written in time order (W1): rows and steps of every file's range, and whether files overlap."""
     path = f"{C.work_folder(spark, 'sorted')}/g"
@@ -178,6 +206,8 @@ QUERIES = {
     "written_samples": q_written_samples,
     "listed_samples": q_listed_samples,
     "written_stats": q_written_stats,
+    "written_batches": q_written_batches,
+    "written_masks": q_written_masks,
     "sorted_files": q_sorted_files,
     "paired_buckets": q_paired_buckets,
 }
@@ -188,6 +218,8 @@ _ORACLE = {
     "written_samples": SQL_WRITTEN_SAMPLES,
     "listed_samples": SQL_LISTED_SAMPLES,
     "written_stats": SQL_WRITTEN_STATS,
+    "written_batches": SQL_WRITTEN_BATCHES,
+    "written_masks": SQL_WRITTEN_MASKS,
     "sorted_files": SQL_SORTED_FILES,
     "paired_buckets": C.SQL_PAIR_LR_HR,
 }
