@@ -11,14 +11,16 @@ their sets reaches ``per_cent`` / 100.
    counts come from packed hash blocks (``hash_blocks``).  Shingles that occur in
    one class alone count for a set's size but are not dealt out, and a class with
    too few others to reach the index with anything is left out.
-3. Stars: in each partition every class is compared with its most common member
-   (the one whose shingles occur most), which ties a group of copies together in
-   one pass instead of through all its pairs.
-4. R-tree: partitions that still hold several components are indexed by their
-   classes' group counts of shingles that other classes have too; the tree
-   prunes by the sum of coordinate minima, and
-   surviving pairs of different components are verified on the texts.  A hot
-   partition is cut into cells of bounded size that pair up all its parts.
+   Partitions of the same classes are searched once.
+3. R-tree: the classes of a partition are indexed by their group counts of
+   shingles that other classes have too; the tree prunes by the sum of coordinate
+   minima, and all surviving pairs are verified on the texts.  So every link of two
+   classes that meet in a partition of up to ``SMALL`` classes is found.
+4. Large partitions hold groups of copies that must not be expanded into all their
+   pairs.  First every class is compared with the partition's most common member
+   (the one whose shingles occur most), which ties a group together in one pass;
+   partitions that still hold several components then go through the R-tree for
+   pairs of different components, in cells of bounded size that pair up all parts.
 5. Components over all links by alternating stars.
 
 Pairs are verified on 64-bit shingle hashes of the whole texts.
@@ -44,6 +46,8 @@ from .hash_blocks import pack, plan, range_edges, unpack
 from .text import LOWER, buffers, distinct, mix, shingles, slices, text_bytes
 
 SIZE, PER_CENT = 4, 85
+#: Classes of a partition whose links are all listed.
+SMALL = 16
 #: Rows of one cell of a partition; a larger partition is cut into cells that pair up its parts.
 CELL = 2048
 #: Partition rows that one task of the R-tree step holds, about.
@@ -238,8 +242,18 @@ def _cells(rows: DataFrame, classes: DataFrame) -> DataFrame:
     return rows.join(classes.select("_class", "_n", "_point"), "_class")
 
 
+def _searched(cells: DataFrame, rows: int, per_cent: int) -> DataFrame:
+    """Candidate pairs ``a``, ``b`` of partition cells, by the R-tree, in tasks of about GROUP_ROWS rows."""
+    tasks = F.pmod(F.xxhash64("_key", "_cell"), F.lit(max(1, -(-rows // GROUP_ROWS)))).cast("int")
+    return cells.withColumn("_task", tasks).groupBy("_task").applyInArrow(_tree_search(per_cent), "a long, b long").distinct()
+
+
 def class_links(docs: DataFrame, text: str = "text", size: int = SIZE, per_cent: int = PER_CENT) -> tuple[DataFrame, DataFrame]:
-    """Verified links ``a``, ``b`` between classes that tie together all their components, and those components (``node``, ``root``)."""
+    """Verified links ``a``, ``b`` between classes, and their components (``node``, ``root``).
+
+    The links are all those of classes that meet in a partition of up to ``SMALL``
+    classes, and beyond them enough to tie every component together.
+    """
     blocks, bits = plan(text_bytes(docs, text))
     texts = docs.select(F.col(text).cast("string").alias("_text")).mapInArrow(_first_texts(size, blocks), "_block int, _class long, _text string")
     sent = texts.groupBy("_block").applyInArrow(_sender(size, bits), "_range int, _block int, _packed binary, _counts binary")
@@ -249,20 +263,26 @@ def class_links(docs: DataFrame, text: str = "text", size: int = SIZE, per_cent:
 
     keys = classes.select("_class", "_n", "_weight", F.explode("_keys").alias("_key"))
     centre = F.max(F.struct("_weight", "_class", "_n"))
-    star = keys.groupBy("_key").agg(centre.alias("_c"), F.count(F.lit(1)).alias("_m")).where("_m > 1").select("_key", F.col("_c._class").alias("b"), F.col("_c._n").alias("_nb"))
-    near = keys.join(star, "_key")
-    pairs = near.where((F.col("_class") != F.col("b")) & (F.least("_n", "_nb") * 100 >= F.greatest("_n", "_nb") * per_cent)).select(F.col("_class").alias("a"), "b").distinct()
-    links = stored(_links(pairs, classes, size, per_cent), "stars")
+    # partitions of the same classes are one: the copies of a group share many prefix shingles
+    members = [F.bit_xor(F.xxhash64("_class")).alias("_x"), F.bit_xor(F.xxhash64("_class", F.lit(1))).alias("_y"), F.count(F.lit(1)).alias("_m")]
+    star = keys.groupBy("_key").agg(centre.alias("_c"), *members).where("_m > 1")
+    star = star.groupBy("_x", "_y", "_m").agg(F.min(F.struct("_key", "_c")).alias("_p"))
+    star = star.select("_p._key", F.col("_p._c._class").alias("b"), F.col("_p._c._n").alias("_nb"), "_m")
+    near = stored(keys.select("_key", "_class", "_n").join(star, "_key"), "near")
+    few = near.where(F.col("_m") <= SMALL).select("_key", F.lit(0).alias("_cell"), "_class", F.col("_class").alias("_root"), F.lit(2).alias("_side"))
+    found = _searched(few.join(classes.select("_class", "_n", "_point"), "_class"), few.count(), per_cent)
+    large = near.where(F.col("_m") > SMALL)
+    pairs = large.where((F.col("_class") != F.col("b")) & (F.least("_n", "_nb") * 100 >= F.greatest("_n", "_nb") * per_cent))
+    pairs = pairs.select(F.least("_class", "b").alias("a"), F.greatest("_class", "b").alias("b"))
+    links = stored(_links(found.unionByName(pairs).distinct(), classes, size, per_cent), "links")
 
     roots = stored(components(links), "roots")
-    # partitions whose classes, but for the centre that was compared with all, lie in several components
-    rest = near.where("_class <> b").select("_key", "_class").join(roots.withColumnRenamed("node", "_class"), "_class", "left").withColumn("_root", F.coalesce("root", "_class")).select("_key", "_class", "_root")
+    # large partitions whose classes, but for the centre that was compared with all, lie in several components
+    rest = large.where("_class <> b").select("_key", "_class").join(roots.withColumnRenamed("node", "_class"), "_class", "left").withColumn("_root", F.coalesce("root", "_class")).select("_key", "_class", "_root")
     rest = stored(rest, "rest")
     several = rest.groupBy("_key").agg(F.min("_root").alias("_lo"), F.max("_root").alias("_hi")).where("_lo <> _hi").select("_key")
     open_ = rest.join(several, "_key")
-    cells = _cells(open_, classes)
-    tasks = F.pmod(F.xxhash64("_key", "_cell"), F.lit(max(1, -(-open_.count() // GROUP_ROWS)))).cast("int")
-    found = cells.withColumn("_task", tasks).groupBy("_task").applyInArrow(_tree_search(per_cent), "a long, b long").distinct()
+    found = _searched(_cells(open_, classes), open_.count(), per_cent)
     more = stored(_links(found, classes, size, per_cent), "trees")
     if more.isEmpty():
         return links, roots

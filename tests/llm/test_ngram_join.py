@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gridloom.llm import ngram_join as op
 from gridloom.llm.components import components
@@ -67,15 +68,34 @@ def test_edges_equal_brute_force(spark):
     assert run(spark, []) == Counter()
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1, 2, 4])
 def test_near_copies_equal_brute_force(spark, seed, monkeypatch):
     if seed == 2:  # cells of a few rows, many blocks
         monkeypatch.setattr(op, "CELL", 3)
         monkeypatch.setattr(op, "plan", lambda total: (5, 3))
+    if seed != 1:  # nearly all partitions count as large
+        monkeypatch.setattr(op, "SMALL", 2)
     rows = near_copies(seed)
     assert run(spark, rows) == Counter(brute(rows))
 
 
+@pytest.mark.parametrize("small", [16, 1000])
+def test_the_tree_lists_every_link_of_small_partitions(spark, monkeypatch, small):
+    """Links, not only components: all pairs of different sets that reach the index, each once, without the star."""
+    monkeypatch.setattr(op, "SMALL", small)
+    rows = near_copies(5, groups=5, copies=12, words=200) + EDGES
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    links, _ = op.class_links(df)
+    got = [tuple(r) for r in links.collect()]
+    by_class = {}
+    for r in op._members(df.withColumn("doc_id", F.monotonically_increasing_id()), "doc_id", "text", op.SIZE).join(
+            df.withColumn("_id", F.monotonically_increasing_id()).select("_id", "text"), "_id").collect():
+        by_class.setdefault(shingles(r.text), r._class)
+    sets = [s for s in by_class if s]
+    want = {tuple(sorted((by_class[a], by_class[b]))) for i, a in enumerate(sets) for b in sets[:i] if 100 * len(a & b) >= 85 * len(a | b)}
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
+
+
 def test_documents_equal_brute_force(spark):
     rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
     want = brute(rows)
