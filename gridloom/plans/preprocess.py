@@ -82,7 +82,10 @@ def prepare_variable(cells: DataFrame, var: Variable, model: str,
     value = var.name
     keys = ("time",) if not var.invariant and "time" in cells.columns else ()
     if not var.invariant:
-        cells = select.slice_time(cells, start, end)
+        bounds = None
+        if shape is None and model in HR_MODELS and {"time", "rlat", "rlon"} <= set(cells.columns):
+            bounds, shape = select.field_profile(cells)  # one pass for both
+        cells = select.slice_time(cells, start, end, bounds=bounds)
     aligned = align_variable(cells, model, scale_factor, x, y, value, src_grid, hr_ref,
                              shape=shape, keys=keys)
     if var.invariant:

@@ -183,6 +183,20 @@ def test_lr_run_writes_samples_without_second_shuffle(spark, tmp_path):
     assert plan.count("Exchange") == 1 and "rangepartitioning(time" in plan
 
 
+def test_bounds_and_shape_of_a_high_resolution_field_are_one_pass(spark, hr_input, monkeypatch):
+    from gridloom.operators import select
+    cells, crop = spark.read.parquet(hr_input), {"first_index": -6, "last_index": -2}
+    var = Variable("tas", ["T2"])
+    args = (default_dims(), default_coords(), "2000-02-01", "2005-01-01", [2001], [2004], 2, crop, crop)
+    want, _ = preprocess.prepare_variable(cells, var, "hr", *args, shape=select.Shape(8, 8))
+    for name in ("time_bounds", "grid_shape"):
+        monkeypatch.setattr(select, name, lambda *a: pytest.fail("a pass of its own"))
+    got, _ = preprocess.prepare_variable(cells, var, "hr", *args)
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count() > 0
+    with pytest.raises(ValueError, match="but the data start at"):
+        preprocess.prepare_variable(cells, var, "hr", *args[:2], "1990-01-01", *args[3:])
+
+
 @pytest.mark.parametrize("normalize, transform", [(False, None), (True, ["x * 2", "x + 3"])])
 def test_statistics_come_with_the_staging_write(spark, monkeypatch, normalize, transform):
     """No pass over the staged field to fit: the statistics are observed while it is written, and are those of a fit."""
