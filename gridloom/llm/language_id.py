@@ -11,7 +11,8 @@ Characters are folded to one case and to an alphabet of ``ALPHABET`` codes:
 letters of the scripts keep their own code up to U+07FF, later ones share codes by
 hash; everything that is not a letter ends a word.
 
-Defined results: a null text or one without letters is ``und`` with score 0; rows
+Defined results: a null text or one without letters (marks alone are none) is
+``und`` with score 0; rows
 with a null language are not learned from; without any language every text is
 ``und``; repeated rows count and score each; an empty table gives an empty result.
 """
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .labelled import fold
-from .text import buffers, slices
+from .text import LOWER, buffers, slices
 
 PROFILE = 300
 ALPHABET = 1 << 12
@@ -145,6 +146,15 @@ def distances(data: np.ndarray, offsets: np.ndarray, codes: np.ndarray, grams: n
     return out, np.bincount(rows, minlength=n)
 
 
+def with_letters(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Whether each text of a slice holds a letter: one of A-Z or a-z, or else the first that is found."""
+    ascii_ = np.concatenate([[0], np.cumsum((LOWER[data] >= 97) & (LOWER[data] <= 122))])[offsets]
+    found = ascii_[1:] > ascii_[:-1]
+    for r in np.flatnonzero(~found & (np.diff(offsets) > 0)):
+        found[r] = any(map(str.isalpha, data[offsets[r]:offsets[r + 1]].tobytes().decode("utf-8", "ignore")))
+    return found
+
+
 def identify(docs: DataFrame, folds: int = 3, held_out: int = 1, id: str = "doc_id", text: str = "text", lang: str = "lang", size: int = PROFILE) -> DataFrame:
     """Per document: id, ``held_out``, ``lang_pred`` and ``score`` (1 - distance / the largest distance possible)."""
     sc = docs.sparkSession.sparkContext
@@ -163,7 +173,9 @@ def identify(docs: DataFrame, folds: int = 3, held_out: int = 1, id: str = "doc_
             data, offsets = buffers(batch.column(1))
             langs, scores = [], [np.zeros(0)]
             for lo, hi in slices(offsets):
-                far, filled = distances(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], codes.value, grams, ranks, size)
+                part, own = data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
+                far, filled = distances(part, own, codes.value, grams, ranks, size)
+                filled = np.where(with_letters(part, own), filled, 0)
                 if not names:
                     langs += [UNKNOWN] * (hi - lo)
                     scores.append(np.zeros(hi - lo))

@@ -74,3 +74,11 @@ def test_nulls_repeats_ties_and_empty_tables(spark):
     assert [(by[i].lang_pred, by[i].score) for i in (2, 3, 4)] == [("und", 0.0)] * 3 and by[5].lang_pred == "xx" and by[7].lang_pred == "ww"
     assert all(r.lang_pred == "und" for r in op.identify(docs.selectExpr("doc_id", "text", "cast(null as string) lang")).collect())
     assert op.identify(docs.limit(0)).collect() == []
+
+
+def test_texts_of_marks_only_have_no_letter(spark):
+    texts = ["\u0301\u0302", "e\u0301", "\u0301 日", "12 \u0300", "", "é", "ʰ", "ª"]
+    assert op.with_letters(*buffers(pa.array(texts))).tolist() == [False, True, True, False, False, True, True, True]
+    rows = [(i, t, "xx" if i == 1 else None) for i, t in enumerate(texts)]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in op.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), folds=1, held_out=9).collect()}
+    assert got[0] == got[3] == got[4] == ("und", 0.0) and got[1] == ("xx", 1.0) and got[5][0] == "xx"
