@@ -15,7 +15,8 @@ other over the same batch, and no document text is shuffled.
 Defined results: a null or blank text on either side matches nothing; an item of
 fewer than five words is one shingle and matches documents that are the same
 sequence; repeated documents are reported each, repeated items too; null ids
-stay null; empty tables match nothing.
+stay null; a very long text is searched whole by one task; other columns ride along
+in a struct, so they clash with nothing; empty tables match nothing.
 """
 
 from __future__ import annotations

@@ -17,7 +17,9 @@ estimates 2 |A and B| / (|A| + |B|).
 
 Defined results: a null or blank text is the empty multiset, likeness 1 to another
 such; rows are ordered by falling id, nulls last, equal ids by text; a single row
-is its own neighbour; an empty table gives an empty result.
+is its own neighbour; a very long text is hashed whole by one task; only id and
+text are read, under names of their own, so further columns clash with nothing; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations

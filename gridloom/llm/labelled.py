@@ -15,11 +15,11 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, training: Column, per
     """``label`` (0 or 1) and ``text`` of at most ``per_class`` documents of each label, first by a hash of the id.
 
     Only ids and labels are joined and ranked; texts are read for the ids chosen.
-    Two labels of one id count as the larger.
+    Two labels of one id count as the larger, of two texts the first by code point.
     """
     known = labels.where(F.col(label).isin(0, 1)).groupBy(id).agg(F.max(label).cast("int").alias("_label"))
     known = docs.select(id).distinct().where(training & F.col(id).isNotNull()).join(known, id)
     chosen = [known.where(F.col("_label") == k).orderBy(F.xxhash64(id), id).limit(per_class) for k in (0, 1)]
     chosen = chosen[0].unionByName(chosen[1])
     texts = docs.select(id, F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text")).join(F.broadcast(chosen), id)  # at most 2 * per_class ids
-    return texts.dropDuplicates([id]).select(F.col("_label").alias("label"), F.col("_text").alias("text"))
+    return texts.groupBy(id).agg(F.min("_label").alias("label"), F.min("_text").alias("text")).select("label", "text")

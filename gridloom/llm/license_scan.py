@@ -14,8 +14,10 @@ found.  Of notices that overlap, the one with the most aligned words stands.
 The pass is map-only: the templates travel with the tasks.
 
 Defined results: a null or blank text has no notice; of equal coverages the longer
-template is the best, then the first by name; repeated rows are scanned each; an
-empty table gives an empty result.
+template is the best, then the first by name; repeated rows are scanned each; a
+very long text is scanned whole by one task; only id and text are read, under names
+of their own, so further columns clash with nothing; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations

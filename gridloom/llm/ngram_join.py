@@ -28,8 +28,9 @@ Pairs are verified on 64-bit shingle hashes of the whole texts.
 Defined results: a null or blank text has the empty set and is linked with
 nothing (its component is its own id); with fewer words than ``size`` the whole
 sequence is the one shingle; repeated rows belong to one class; a null id takes
-the smallest id of its component, null if there is none; empty tables give empty
-results.
+the smallest id of its component, null if there is none; a very long text is one row
+of one block and verified whole; only id and text are read, under names of their
+own, so further columns clash with nothing; empty tables give empty results.
 """
 
 from __future__ import annotations

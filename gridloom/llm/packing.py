@@ -13,8 +13,9 @@ slots' offsets, so no bucket meets in one task and no text is shuffled.
 
 Defined results: a null or blank text has length 0 and goes to the first bucket;
 repeated rows are packed each; rows with equal ids and lengths are
-interchangeable; a document longer than the budget is a batch of its own; an empty
-table gives an empty result.
+interchangeable; a document longer than the budget is a batch of its own; only id
+and text are read, under names of their own, so further columns clash with nothing;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -12,8 +12,11 @@ The model is fitted by one task on at most ``PER_PART`` positives and twice as
 many unlabelled texts; every document is scored over its whole text.
 
 Defined results: a null text counts as empty, and an empty text scores as the
-model finds it; without positives the score is 0; repeated rows score alike; an
-empty table gives an empty result.
+model finds it; without positives the score is 0; repeated rows score alike; of
+several texts under one id the first by code point is learned from; a very long text
+is scored whole by one task; only ids, labels and text are read, under names of
+their own, so further columns clash with nothing; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -170,7 +173,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int
     web = known.orderBy(F.xxhash64(F.lit(1), id), id).limit(2 * per_part)
     chosen = trusted.withColumn("positive", F.lit(True)).unionByName(web.withColumn("positive", F.lit(False)))
     texts = docs.select(id, F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text")).join(F.broadcast(chosen), id)  # at most 3 * per_part ids
-    rows = texts.dropDuplicates([id, "positive"]).select("positive", F.col("_text").alias("text"), F.lit(0).alias("_all"))
+    rows = texts.groupBy(id, "positive").agg(F.min("_text").alias("text")).select("positive", "text", F.lit(0).alias("_all"))
     parts = [np.frombuffer(r.model) for r in rows.groupBy("_all").applyInArrow(_fitter(seed), "model binary").collect()]  # a network of fixed size
     if not parts:
         return None

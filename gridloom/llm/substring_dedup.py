@@ -12,8 +12,9 @@ that any two different ones are taken for the same; nothing else is approximate.
 
 Defined results: a null or blank text has no words and keeps the empty text; a
 text shorter than a window keeps all its words; repeated rows are documents of
-their own, so their windows repeat each other; a null id is kept as it is; an
-empty table gives an empty result.
+their own, so their windows repeat each other; a null id is kept as it is; a very
+long text is one row of one block, its windows hashed in chunks; other columns ride
+along in a struct, so they clash with nothing; an empty table gives an empty result.
 """
 
 from __future__ import annotations

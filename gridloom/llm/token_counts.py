@@ -18,7 +18,9 @@ state it is entered in, with which the bytes before its first piece start run.
 
 Defined results: a null or empty text has 0 bytes and 0 tokens; special strings
 inside a text are one token each, as the library's default has it; repeated rows
-are counted each; an empty table gives an empty result.
+are counted each; a very long text is counted whole by one task, and a piece of it
+without any blank lane by lane; only id and text are read, so further columns clash
+with nothing; an empty table gives an empty result.
 """
 
 from __future__ import annotations
