@@ -4,6 +4,13 @@ Toxic documents go, one document of each near-duplicate group stays, passages
 that repeat are cut out, documents with benchmark items go, and what is left is
 packed by length.  Every stage takes (spark, docs, sf_dir) and works on all that
 the stage before kept; all but the last return the columns of ``documents``.
+
+In every stage a null or blank text is kept as it is: it is not toxic, near nothing,
+holds no passage and no benchmark item, and is packed with length 0.  A null id, a
+null source or language and further columns ride along.  Repeated rows score alike;
+one of them stays as a near duplicate.  Texts are worked on whole, however long, by
+one task each.  An empty table goes through as an empty table; without labels of both
+classes nothing is toxic, without benchmark items nothing is contaminated.
 """
 
 from __future__ import annotations
