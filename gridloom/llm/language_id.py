@@ -14,9 +14,9 @@ hash; everything that is not a letter ends a word.
 Defined results: a null text or one without letters (marks alone are none) is
 ``und`` with score 0; rows with a null language are not learned from; without any
 language every text is ``und``; repeated rows count and score each; a very long text
-is ranked whole by one task, which takes about 140 times its bytes of memory; only
-id, language and text are read, so further columns clash with nothing; an empty
-table gives an empty result.
+is counted whole by one task, a few megabytes of it at a time; only id, language and
+text are read, so further columns clash with nothing; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .labelled import fold
-from .text import LOWER, buffers, slices
+from .text import LOWER, SEPARATORS, SLICE_BYTES, buffers, slices
 
 PROFILE = 300
 ALPHABET = 1 << 12
@@ -93,6 +93,34 @@ def gram_counts(data: np.ndarray, offsets: np.ndarray, codes: np.ndarray) -> tup
     return keys[new] >> 40, keys[new] & ((1 << 40) - 1), np.diff(np.append(new, len(keys)))
 
 
+def blank_cuts(data: np.ndarray, limit: int):
+    """Byte ranges of about ``limit`` that end behind a blank, so that no word is cut; a longer word is a range of its own."""
+    lo = 0
+    while lo < len(data):
+        hi = lo + limit
+        while hi < len(data):
+            blank = np.flatnonzero(SEPARATORS[data[hi:hi + limit]])
+            if len(blank):
+                hi += int(blank[0]) + 1
+                break
+            hi += limit
+        yield lo, min(hi, len(data))
+        lo = hi
+
+
+def slice_counts(data: np.ndarray, offsets: np.ndarray, codes: np.ndarray, limit: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``gram_counts`` of a slice; the counts of a text over ``limit`` bytes, which is a slice of its own, are added up piece by piece."""
+    limit = limit or SLICE_BYTES
+    if len(offsets) != 2 or len(data) <= limit:
+        return gram_counts(data, offsets, codes)
+    grams, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for lo, hi in blank_cuts(data, limit):
+        _, own, n = gram_counts(data[lo:hi], np.array([0, hi - lo]), codes)
+        grams, back = np.unique(np.concatenate([grams, own]), return_inverse=True)
+        counts = np.bincount(back, np.concatenate([counts, n])).astype(np.int64)
+    return np.zeros(len(grams), np.int64), grams, counts
+
+
 def ranked(rows: np.ndarray, counts: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of the entries by row, falling count and n-gram, and each one's rank in its row."""
     order = np.lexsort((grams, -counts, rows))
@@ -109,7 +137,7 @@ def _counter(codes):
             data, offsets = buffers(batch.column(1))
             langs = np.array(batch.column(0).to_pylist(), object)
             for lo, hi in slices(offsets):
-                rows, grams, counts = gram_counts(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], codes.value)
+                rows, grams, counts = slice_counts(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], codes.value)
                 for lang in set(langs[lo:hi]):
                     own = langs[lo + rows] == lang
                     old = sums.get(lang, (np.zeros(0, np.int64), np.zeros(0, np.int64)))
@@ -135,7 +163,7 @@ def distances(data: np.ndarray, offsets: np.ndarray, codes: np.ndarray, grams: n
     ``grams`` ascend; ``ranks`` has a row for each language and ``size`` where a profile lacks the n-gram.
     """
     n = len(offsets) - 1
-    rows, own, counts = gram_counts(data, offsets, codes)
+    rows, own, counts = slice_counts(data, offsets, codes)
     order, rank = ranked(rows, counts, own)
     order, rank = order[rank < size], rank[rank < size]
     rows, own = rows[order], own[order]
@@ -150,8 +178,9 @@ def distances(data: np.ndarray, offsets: np.ndarray, codes: np.ndarray, grams: n
 
 def with_letters(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Whether each text of a slice holds a letter: one of A-Z or a-z, or else the first that is found."""
-    ascii_ = np.concatenate([[0], np.cumsum((LOWER[data] >= 97) & (LOWER[data] <= 122))])[offsets]
-    found = ascii_[1:] > ascii_[:-1]
+    plain = (LOWER[data] >= 97) & (LOWER[data] <= 122)
+    at = np.flatnonzero(plain) if len(offsets) != 2 else np.array([plain.argmax()] if plain.any() else [], np.int64)
+    found = np.diff(np.searchsorted(at, offsets)) > 0
     for r in np.flatnonzero(~found & (np.diff(offsets) > 0)):
         found[r] = any(map(str.isalpha, data[offsets[r]:offsets[r + 1]].tobytes().decode("utf-8", "ignore")))
     return found

@@ -82,3 +82,23 @@ def test_texts_of_marks_only_have_no_letter(spark):
     rows = [(i, t, "xx" if i == 1 else None) for i, t in enumerate(texts)]
     got = {r.doc_id: (r.lang_pred, r.score) for r in op.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), folds=1, held_out=9).collect()}
     assert got[0] == got[3] == got[4] == ("und", 0.0) and got[1] == ("xx", 1.0) and got[5][0] == "xx"
+
+
+def test_a_long_text_is_counted_in_pieces():
+    rng = np.random.default_rng(4)
+    text = " ".join(rng.choice(["ab", "c-d", "éÉx", "日本", "12", "\n", "z" * 70], 900))
+    data, at = buffers(pa.array([text]))
+    for limit in (16, 50, 333):
+        cuts = list(op.blank_cuts(data, limit))
+        assert cuts[0][0] == 0 and cuts[-1][1] == len(data) and all(a[1] == b[0] for a, b in zip(cuts, cuts[1:])) and len(cuts) > 3
+        for got, want in zip(op.slice_counts(data, at, CODES, limit), op.gram_counts(data, at, CODES)):
+            assert np.array_equal(got, want)
+    lone = buffers(pa.array(["w" * 400]))
+    assert list(op.blank_cuts(lone[0], 50)) == [(0, 400)]
+    assert [x.tolist() for x in op.slice_counts(*lone, CODES, 50)] == [x.tolist() for x in op.gram_counts(*lone, CODES)]
+
+
+def test_a_text_of_several_megabytes(spark):
+    docs = spark.createDataFrame([(1, "abc def " * 700_000, "xx"), (2, "abc def", None), (3, "uvw zyx", "yy")], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in op.identify(docs, folds=1, held_out=9).collect()}
+    assert got[1].lang_pred == got[2].lang_pred == "xx" and got[1].score == got[2].score == 1.0 and got[3].lang_pred == "yy"

@@ -54,3 +54,26 @@ def test_every_stage_equals_brute_force(spark, monkeypatch):
     packed = stage(4, kept)
     check(packed, [r[:2] for r in kept], packing.BUCKETS, packing.BUDGET)
     assert Counter(map(tuple, corpus_pipeline.run(spark, SF).collect())) == Counter(map(tuple, packed))
+
+
+def test_nulls_repeats_and_empty_tables_go_through(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(test_ngram_join, "shingles", functools.partial(test_ngram_join.shingles, size=corpus_pipeline.SHINGLE))
+    small = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    rows = [tuple(r) for r in docs.limit(60).collect()]
+    odd = [(None, None, None, None, None), (9001, None, "en", "s", 0), (9002, "", None, None, 0), (None, "a null id here", "en", None, 14)]
+
+    def run(name, rows, labels, items):
+        folder = tmp_path / name
+        spark.createDataFrame(rows, docs.schema).write.parquet(str(folder / "documents.parquet"))
+        for table, kept in (("labels", labels), ("benchmark", items)):
+            df = spark.read.parquet(f"{small}/{table}.parquet")
+            (df if kept else df.limit(0)).write.parquet(str(folder / f"{table}.parquet"))
+        return corpus_pipeline.run(spark, str(folder)).collect()
+
+    got = Counter(r.doc_id for r in run("odd", rows + odd + rows[:3] + odd[:2], True, True))
+    assert got[None] == 3 and got[9001] == 2 and got[9002] == 1  # blank rows stay, repeated ones too
+    assert set(got) <= {r[0] for r in rows + odd} and all(n == 1 for d, n in got.items() if d is not None and d < 9000)
+    assert run("none", [], True, True) == []
+    assert Counter(r.doc_id for r in run("bare", rows, False, False)) == Counter(
+        d for d, _, c in test_ngram_join.brute([r[:2] for r in rows], corpus_pipeline.PER_CENT) if c == d)
