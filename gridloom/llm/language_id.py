@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .labelled import fold
-from .text import LOWER, SEPARATORS, SLICE_BYTES, buffers, slices
+from .text import LOWER, SLICE_BYTES, blank_cuts, buffers, slices
 
 PROFILE = 300
 ALPHABET = 1 << 12
@@ -93,21 +93,6 @@ def gram_counts(data: np.ndarray, offsets: np.ndarray, codes: np.ndarray) -> tup
     return keys[new] >> 40, keys[new] & ((1 << 40) - 1), np.diff(np.append(new, len(keys)))
 
 
-def blank_cuts(data: np.ndarray, limit: int):
-    """Byte ranges of about ``limit`` that end behind a blank, so that no word is cut; a longer word is a range of its own."""
-    lo = 0
-    while lo < len(data):
-        hi = lo + limit
-        while hi < len(data):
-            blank = np.flatnonzero(SEPARATORS[data[hi:hi + limit]])
-            if len(blank):
-                hi += int(blank[0]) + 1
-                break
-            hi += limit
-        yield lo, min(hi, len(data))
-        lo = hi
-
-
 def slice_counts(data: np.ndarray, offsets: np.ndarray, codes: np.ndarray, limit: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``gram_counts`` of a slice; the counts of a text over ``limit`` bytes, which is a slice of its own, are added up piece by piece."""
     limit = limit or SLICE_BYTES

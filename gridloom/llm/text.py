@@ -74,6 +74,21 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         lo = min(hi, n)
 
 
+def blank_cuts(data: np.ndarray, limit: int):
+    """Byte ranges of about ``limit`` that end behind a blank, so that no word is cut; a longer word is a range of its own."""
+    lo = 0
+    while lo < len(data):
+        hi = lo + limit
+        while hi < len(data):
+            blank = np.flatnonzero(SEPARATORS[data[hi:hi + limit]])
+            if len(blank):
+                hi += int(blank[0]) + 1
+                break
+            hi += limit
+        yield lo, min(hi, len(data))
+        lo = hi
+
+
 def split_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of each word, and the first word of each row (one more entry than rows)."""
     if not len(data):

@@ -15,8 +15,8 @@ every document is scored over its whole text.
 Defined results: a null text or one without letters or digits scores 0; without
 labelled documents of both classes the score is the share of label 1 (0 without
 labels); repeated rows score alike; of several texts under one id the first by code
-point is learned from; a very long text is scored whole by one task, which takes
-about 60 times its bytes of memory; other columns ride along in a struct, so they
+point is learned from; a very long text is scored whole by one task, half a megabyte
+of it at a time; other columns ride along in a struct, so they
 clash with nothing; an empty table gives an empty result.
 """
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .labelled import fold, sample
-from .text import LOWER, buffers, mix, slices, split_words, word_hashes
+from .text import LOWER, blank_cuts, buffers, mix, slices, split_words, word_hashes
 
 BUCKETS, DIM = 1 << 17, 6
 GRAMS = (3, 4, 5)
@@ -120,16 +120,40 @@ def _word_means(values: np.ndarray, words: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(words, values, n) / counts
 
 
-def _best_window(weights: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """The largest window mean of each row; NaN without words."""
+def _best_window(weights: np.ndarray, data: np.ndarray, offsets: np.ndarray, limit: int | None = None) -> np.ndarray:
+    """The largest window mean of each row; NaN without words.
+
+    A text over ``limit`` bytes, which is a slice of its own, goes by in pieces.  A
+    piece begins with words of the one before: a window's words look back as far as
+    the window is long, so windows that begin among the first of them are the other
+    piece's.
+    """
+    limit = limit or GRAM_SLICE
+    if len(offsets) == 2 and len(data) > limit:
+        best, begin = np.nan, 0
+        for lo, hi in blank_cuts(data, limit):
+            part = data[begin:hi]
+            means, at, _, _ = _window_means(weights, part, np.array([0, len(part)]))
+            starts = clean_words(part, np.array([0, len(part)]))[1]
+            means = means[at >= (WINDOW - 1 if begin else 0)]
+            if len(means) and (len(starts) >= WINDOW or hi == len(data)):  # fewer words are a window only if there are no more
+                best = np.fmax(best, means.max())
+            if len(starts) >= 2 * (WINDOW - 1):
+                begin += int(starts[-2 * (WINDOW - 1)]) - 1
+        return np.array([best])
+    means, _, rows, filled = _window_means(weights, data, offsets)
+    best = np.full(len(offsets) - 1, np.nan)
+    if len(means):
+        best[filled] = np.maximum.reduceat(means, np.searchsorted(rows, filled))
+    return best
+
+
+def _window_means(weights: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Mean, first word and row of every window of a slice, and the rows that have words."""
     buckets, words, first, names = grams(data, offsets)
     sums = np.concatenate([[0.0], np.cumsum(_word_means(weights[buckets], words, len(names)) * fresh(names, first))])
     lo, hi, rows = window_starts(first, 1)
-    best = np.full(len(first) - 1, np.nan)
-    if len(lo):
-        filled = np.flatnonzero(np.diff(first))
-        best[filled] = np.maximum.reduceat((sums[hi] - sums[lo]) / (hi - lo), np.searchsorted(rows, filled))
-    return best
+    return (sums[hi] - sums[lo]) / np.maximum(hi - lo, 1), lo, rows, np.flatnonzero(np.diff(first))
 
 
 def _logistic(x, y, rounds=60):

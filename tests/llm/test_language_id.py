@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 
 from gridloom.llm import language_id as op
-from gridloom.llm.text import buffers
+from gridloom.llm.text import blank_cuts, buffers
 
 CODES = op.letter_codes()
 
@@ -89,12 +89,12 @@ def test_a_long_text_is_counted_in_pieces():
     text = " ".join(rng.choice(["ab", "c-d", "éÉx", "日本", "12", "\n", "z" * 70], 900))
     data, at = buffers(pa.array([text]))
     for limit in (16, 50, 333):
-        cuts = list(op.blank_cuts(data, limit))
+        cuts = list(blank_cuts(data, limit))
         assert cuts[0][0] == 0 and cuts[-1][1] == len(data) and all(a[1] == b[0] for a, b in zip(cuts, cuts[1:])) and len(cuts) > 3
         for got, want in zip(op.slice_counts(data, at, CODES, limit), op.gram_counts(data, at, CODES)):
             assert np.array_equal(got, want)
     lone = buffers(pa.array(["w" * 400]))
-    assert list(op.blank_cuts(lone[0], 50)) == [(0, 400)]
+    assert list(blank_cuts(lone[0], 50)) == [(0, 400)]
     assert [x.tolist() for x in op.slice_counts(*lone, CODES, 50)] == [x.tolist() for x in op.gram_counts(*lone, CODES)]
 
 

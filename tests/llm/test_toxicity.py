@@ -78,3 +78,15 @@ def test_nulls_repeats_and_missing_labels(spark):
     found = op.toxicity(both, marks).collect()
     assert all(r.predicted == r.doc_id % 2 for r in found if r.doc_id is not None and r.doc_id < 40)
     assert [r.score for r in found if r.doc_id in (None, 41)] == [0.0, 0.0]
+
+
+@pytest.mark.parametrize("limit", [40, 90, 400])
+def test_pieces_of_a_long_text_have_its_best_window(limit):
+    rng = np.random.default_rng(limit)
+    weights = rng.normal(size=op.BUCKETS)
+    for n in (0, 3, 8, 9, 200):
+        for words in (["a", "bb", "ccc", "d-d", "é"], [f"w{i}" for i in range(40)], ["x" * 60, "y"]):
+            text = " ".join(rng.choice(words, n))
+            data, at = buffers(pa.array([text]))
+            got, want = op._best_window(weights, data, at, limit), op._best_window(weights, data, at, 1 << 20)
+            assert np.array_equal(np.isnan(got), np.isnan(want)) and np.allclose(got, want, equal_nan=True, atol=1e-9)
