@@ -5,7 +5,7 @@ whose hash is 0 modulo ``CUT``, so that an edit leaves the pieces around it as
 they are.  Every piece is hashed to a wide vector; the fingerprint is the sum of
 the vectors: the number of pieces, ``UNIFORM`` random lanes and ``SIGNS`` lanes of
 +1 or -1, all modulo 2**32.  The random lanes have 128 bits, from the 122 bits of
-two polynomials over cryptographic word digests.  The fingerprint does not depend
+two polynomials over keyed hashes of the words.  The fingerprint does not depend
 on the order, equal multisets have equal fingerprints, different ones differ but
 for a chance of about 2**-122, and ``insert`` and ``delete`` update it without the
 text.

@@ -6,8 +6,8 @@ anywhere else is removed, and overlapping windows merge into maximal intervals.
 
 Two passes over the text, dealt into blocks: the first counts the blocks' packed
 hashes by range of the hash space, the second applies the answers (one bit per
-hash).  Windows are told apart by 96 bits of two polynomials over cryptographic
-word digests (``text.word_values``): 10^13 windows have a chance of about 10^-3
+hash).  Windows are told apart by 96 bits of two polynomials over keyed hashes
+of the words (``text.word_values``): 10^13 windows have a chance of about 10^-3
 that any two different ones are taken for the same; nothing else is approximate.
 
 Defined results: a null or blank text has no words and keeps the empty text; a

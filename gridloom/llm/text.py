@@ -6,20 +6,20 @@ never split a code point.
 
 Two kinds of hashes.  ``word_hashes`` deals words into features and buckets: a
 polynomial modulo 2**64, cheap, with collisions that can be constructed.  Where
-equality of hashes stands for equality of text, ``word_values`` gives every word
-two values from a cryptographic digest, and sequences of words are Rabin-Karp
-polynomials over the two modulo the prime 2**61 - 1, which has none of the
-structure that lets polynomials modulo a power of two collide.
+equality of hashes stands for equality of text, every word has two values from a
+keyed hash (SipHash-2-4).  Long windows are Rabin-Karp polynomials over two of them
+modulo the prime 2**61 - 1, which has none of the structure that lets polynomials
+modulo a power of two collide; shingles of a few words chain one through the mixer.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pandas.util import hash_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +35,8 @@ PRIME = (1 << 61) - 1
 BASES = (0x0F1BBCDCBFA53E0B, 0x05851F42D4C957F3)
 #: Words whose windows are hashed at a time; the tables of powers are as long.
 CHUNK = 1 << 18
+#: Keys of the word hashes.
+KEYS = ("gridloom words 0", "gridloom words 1")
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -157,16 +159,20 @@ def _field_powers(base: int, n: int, known: dict = {}) -> np.ndarray:  # noqa: B
     return have[:n]
 
 
-def word_values(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Two values below 2**61 for each word, from the BLAKE2b digest of its bytes; ``data`` holds these words and separators only."""
+def word_digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lanes: int = 2) -> np.ndarray:
+    """64-bit values of each word, its SipHash-2-4 under each of the KEYS; ``data`` holds these words and separators only."""
     if not len(starts):
-        return np.zeros((2, 0), np.uint64)
+        return np.zeros((lanes, 0), np.uint64)
     at = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(ends - starts, out=at[1:])
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(data[~SEPARATORS[data]])]).dictionary_encode()
-    digests = b"".join(hashlib.blake2b(w, digest_size=16).digest() for w in words.dictionary.to_pylist())
-    values = np.frombuffer(digests, "<u8").astype(np.uint64).reshape(-1, 2).T & np.uint64(PRIME)
-    return values[:, words.indices.to_numpy()]
+    different = np.array(words.dictionary.to_pylist(), object)
+    return np.stack([hash_array(different, hash_key=key, categorize=False) for key in KEYS[:lanes]])[:, words.indices.to_numpy()]
+
+
+def word_values(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Two values below 2**61 for each word."""
+    return word_digests(data, starts, ends) & np.uint64(PRIME)
 
 
 def window_values(values: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -202,16 +208,20 @@ def run_values(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return out
 
 
-def folded(values: np.ndarray) -> np.ndarray:
-    """64-bit hashes of pairs of values."""
-    return mix(values[0] ^ mix(values[1]))
-
-
 def wide(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """96 of the 122 bits of pairs of values: 64 well-mixed ones and 32 more."""
     return mix(values[0] | (values[1] << np.uint64(61))), ((values[1] >> np.uint64(3)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
+def _chained(words: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` words from every word on, but the last ones."""
+    n = max(len(words) - size + 1, 0)
+    h = mix(words[:n])
+    for j in range(1, size):
+        h = mix(h ^ words[j:j + n])
+    return h
+
+
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash and row of every ``size``-word shingle, by row.
 
@@ -219,16 +229,18 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarr
     without words has none.
     """
     starts, ends, first = split_words(data, offsets)
-    words = word_values(data, starts, ends)
-    found, _, row_first = window_values(words, first, size)
-    hashes = folded(found)
+    words = word_digests(data, starts, ends, 1)[0]
+    per_row = np.maximum(np.diff(first) - size + 1, 0)
+    row_first = np.concatenate([[0], np.cumsum(per_row)])
+    at = np.arange(int(row_first[-1])) + np.repeat(first[:-1] - row_first[:-1], per_row)
+    hashes = _chained(words, size)[at] if len(at) else np.zeros(0, np.uint64)
     counts, n_words = np.diff(row_first), np.diff(first)
     rows = np.repeat(np.arange(len(counts)), counts)
     short = np.flatnonzero((n_words > 0) & (n_words < size))
     if len(short):
-        whole = [run_values(words[:, first[r]:first[r + 1]], np.array([0]), n_words[r:r + 1]) for r in short]
+        whole = [_chained(words[first[r]:first[r + 1]], int(n_words[r])) for r in short]
         at = np.searchsorted(rows, short)
-        hashes, rows = np.insert(hashes, at, folded(np.concatenate(whole, 1))), np.insert(rows, at, short)
+        hashes, rows = np.insert(hashes, at, np.concatenate(whole)), np.insert(rows, at, short)
     return hashes, rows
 
 
