@@ -19,14 +19,17 @@ from .operators.scale import (compute_normalization, compute_standardization, sp
                               split_and_standardize, user_defined_transform)
 from .operators.select import (box_select, crop_field, date_select, slice_time,
                                train_test_split, with_split)
+from .operators.sphere import spherical_weights
 from .operators.tensor_regrid import regrid_tensors
 from .operators.tensors import pack, unpack
 from .plans.align import align_grid, align_hr, align_with_lr
-from .plans.cuts import source_cut, unfold_leads
+from .plans.cuts import cut_all, source_cut, unfold_all, unfold_leads
 from .plans.preprocess import preprocess, prepare_variable, run_variable
 from .plans.samples import make_batches, make_masks, make_samples
-from .sinks.writers import write_dataset, write_splits
-from .sources.grids import combine_variables, load_grid, load_reference_grid
+from .sinks.bucketed import pair_bucketed, read_bucketed, write_bucketed
+from .sinks.runs import read_dataset
+from .sinks.writers import write_by_time, write_dataset, write_splits
+from .sources.grids import combine_all, combine_variables, load_grid, load_reference_grid
 
 
 def coarsen_lr(df, scale_factor: int, value: str = "v", **kw):

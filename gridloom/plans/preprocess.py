@@ -115,10 +115,9 @@ def run_variable(spark: SparkSession, model: Model, var: Variable, cfg: DataConf
                  sample_shape: tuple[int, int] | None = None) -> dict:
     """Load, prepare and write one variable; returns the recorded attributes.
 
-    With ``samples_root`` the tensor samples (P8) are written from the same
-    staged frame, packed by (split, time): the aligned frame is already
-    clustered by time, so no second pass over written splits and no extra
-    shuffle of the field is needed.
+    With ``samples_root`` the tensor samples (P8) are written as well, packed by
+    (split, time): for LR models from the staged frame, for HR models from the
+    splits just written, which hold the crop only.
     """
     t0 = _time.time()
     cells = load_grid(spark, var.path)
@@ -142,6 +141,9 @@ def run_variable(spark: SparkSession, model: Model, var: Variable, cfg: DataConf
         writers.write_splits(frame, split_root(cfg.output_path), var.name, model.name, attrs=attrs, tiles=tiles,
                              max_records_per_file=writers.records_per_file(chunks.get("time", "auto"), cells_per_step))
         if samples_root is not None:
+            if model.name in HR_MODELS:  # what was written is the crop, scaled; the source would be read whole again
+                written = writers.read_pairs(spark, split_root(cfg.output_path), [(var.name, model.name)])
+                frame = written.select("split", "time", "rlat", "rlon", F.col(writers.VALUE).alias(var.name))
             samples.assert_unique_keys(frame, ("split",))
             tens = samples.samples_by_time(frame, var.name, ny, nx, group=("split",))
             out = tens.withColumn("name", F.concat(F.lit(f"{var.name}_"), F.col("key")))

@@ -214,6 +214,18 @@ def test_statistics_come_with_the_staging_write(spark, monkeypatch, normalize, t
     assert got.keys() == want.keys() and all((x is None) == (want[k] is None) and (x is None or x == pytest.approx(want[k])) for k, x in got.items())
 
 
+def test_hr_run_writes_samples_from_its_splits(spark, hr_input, tmp_path):
+    out, s_root, again = str(tmp_path / "proc"), str(tmp_path / "samples"), str(tmp_path / "again")
+    var = Variable("tas", ["T2"], path=hr_input, apply_standardize=True)
+    cfg = config(out, hr_input, [Model("hr", "test", [var])])
+    attrs = preprocess.preprocess(spark, cfg, samples_root=s_root)
+    sample_plans.make_samples(spark, f"{out}/splits", again, 4, 4, ["tas"], ["hr"])
+    a, b = (spark.read.parquet(p).select("split", "key", "name", "tensor") for p in (s_root, again))
+    assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0
+    stats = writers.read_attrs(spark, f"{s_root}/train/tas_train_hr_attrs")["attributes"]
+    assert stats["mean"] == pytest.approx(attrs[("hr", "tas")]["mean"])
+
+
 def test_preprocess_variables_in_parallel(spark, hr_input, tmp_path):
     a, b = str(tmp_path / "seq"), str(tmp_path / "par")
     vars_ = [Variable("tas", ["T2"], path=hr_input), Variable("uas", ["T2"], path=hr_input,
